@@ -8,11 +8,39 @@ them) in full, so its work grows with the scale factor.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fixtures import render as R
+from quotemill import schemas as S
+from quotemill.functions import html as H
+from quotemill.functions import text as X
 from quotemill.operators import extract as E
+from quotemill.operators import links as L
 from quotemill.operators import validate as V
 
+# Domains for the off-site filter query.
+OFFSITE_DOMAINS = ("example.org", "www.ththin.example.com")
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _nav_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.extract_links(_t(spark, sf_dir, "pages"), scope_tag="nav")
+
+
+def _href_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each nav link's href as found, prefixed with '/<page lang>', with '<lang>', and blank."""
+    pages = _t(spark, sf_dir, "pages").select(
+        "page_id", F.regexp_extract("html", r'<html[^>]*\slang="([^"]*)"', 1).alias("lang"))
+    links = _nav_links(spark, sf_dir).join(pages, "page_id")
+    variants = F.array(
+        F.col("href"), F.concat(F.lit("/"), F.col("lang"), F.col("href")),
+        F.concat(F.col("lang"), F.col("href")),
+        F.when(F.col("pos") % 4 == 0, F.lit("")))
+    return links.select("page_id", "pos", F.posexplode(variants).alias("variant", "href"))
+
 
 def q_company_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers rendered as listing pages, re-extracted and typed."""
@@ -21,6 +49,102 @@ def q_company_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.valid_rows(staged, "companies")
 
 
+
+def q_link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every menu anchor of every page, document order."""
+    return _nav_links(spark, sf_dir)
+
+
+def q_index_url_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index-page URL rule over href variants; null hrefs are refused."""
+    kept, _ = L.drop_missing_href(_href_variants(spark, sf_dir), "index")
+    return kept.select("page_id", "pos", F.col("variant").cast("int"), "href",
+                       L.index_page_url("href", R.HOST).alias("target_url"))
+
+
+def q_company_url_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company-page URL rule; null and empty hrefs are skipped."""
+    kept, _ = L.drop_missing_href(_href_variants(spark, sf_dir), "company")
+    return kept.select("page_id", "pos", F.col("variant").cast("int"), "href",
+                       L.company_page_url("href", R.HOST).alias("target_url"))
+
+
+def q_offsite_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which fetched page URLs fall inside the allowed domains."""
+    pages = _t(spark, sf_dir, "pages")
+    return pages.select("page_id", L.url_host("url").alias("host"),
+                        L.within_domains("url", OFFSITE_DOMAINS).alias("allowed"))
+
+
+def q_dedupe_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links resolved against their page, one row per canonical URL, first label wins."""
+    pages = _t(spark, sf_dir, "pages").select("page_id", "url")
+    links = (_nav_links(spark, sf_dir).join(pages, "page_id")
+             .select("page_id", "pos", "label", "href",
+                     L.absolute_url("url", "href").alias("target_url")))
+    return L.dedupe_links(links).select("canonical_url", "page_id", "pos", "label", "href")
+
+
+def _next_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page links to page_id + 1, labelled with its own title (the last one dangles)."""
+    pages = _t(spark, sf_dir, "pages")
+    titles = pages.select("page_id", X.strip(H.first_text_of(H.clean_html("html"), "title")).alias("label"))
+    nxt = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("target_url"))
+    last = pages.groupBy().agg(F.max("page_id").alias("page_id"))
+    dangling = last.select("page_id", F.concat(F.lit(R.HOST + "/missing/"), F.col("page_id").cast("string"))
+                           .alias("target_url"))
+    return titles.join(nxt.unionByName(dangling), "page_id").withColumn("pos", F.lit(0))
+
+
+def q_link_page_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link -> page equi-join, carrying the parent's label as ``market``."""
+    links = _next_page_links(spark, sf_dir).withColumnRenamed("page_id", "from_page_id")
+    joined, _ = L.resolve_links(links, _t(spark, sf_dir, "pages"), carry=("label", "from_page_id"))
+    return joined.select("page_id", "url", "market", "from_page_id")
+
+
+def q_unresolved_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links whose target page was not fetched (menu hrefs and the dangling next link)."""
+    pages = _t(spark, sf_dir, "pages")
+    base = pages.select("page_id", "url")
+    menu = (_nav_links(spark, sf_dir).join(base, "page_id")
+            .select("page_id", "pos", L.absolute_url("url", "href").alias("target_url")))
+    nxt = _next_page_links(spark, sf_dir).select("page_id", F.lit(-1).alias("pos"), "target_url")
+    _, unresolved = L.resolve_links(menu.unionByName(nxt), pages, carry=("page_id",))
+    return unresolved.select("page_id", F.col("pos").cast("int"), "target_url")
+
+
+def q_heading_or_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page heading text; the index-name selector falls back to its sentinel."""
+    doc = _t(spark, sf_dir, "pages").select("page_id", H.clean_html("html").alias("doc"))
+    heading = F.col("doc")
+    return doc.select(
+        "page_id",
+        F.when(H.has_element(heading, "h1"), X.strip(H.first_text_of(heading, "h1")))
+         .otherwise(F.lit(S.SENTINEL_INDEX_NAME)).alias("heading"),
+        F.when(H.has_element(heading, "small", S.INDEX_NAME_CLASS),
+               X.strip(H.first_text_of(heading, "small", S.INDEX_NAME_CLASS)))
+         .otherwise(F.lit(S.SENTINEL_INDEX_NAME)).alias("indice_name"))
+
+
+def q_page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraph texts of each page: first, second (sentinel when missing), count."""
+    ps = _t(spark, sf_dir, "pages").select("page_id", H.texts(H.clean_html("html"), "p").alias("ps"))
+    return ps.select("page_id",
+                     X.nth_or("ps", 0, S.SENTINEL_DATA).alias("first_text"),
+                     X.nth_or("ps", 1, S.SENTINEL_DATA).alias("second_text"),
+                     F.size("ps").cast("int").alias("n_texts"))
+
+
 QUERIES = {
     "q_company_items": q_company_items,
+    "q_link_extract": q_link_extract,
+    "q_index_url_rule": q_index_url_rule,
+    "q_company_url_rule": q_company_url_rule,
+    "q_offsite_filter": q_offsite_filter,
+    "q_dedupe_links": q_dedupe_links,
+    "q_link_page_join": q_link_page_join,
+    "q_unresolved_links": q_unresolved_links,
+    "q_heading_or_default": q_heading_or_default,
+    "q_page_texts": q_page_texts,
 }

@@ -7,6 +7,135 @@ variation formulas as ``fixtures.render``.
 
 from __future__ import annotations
 
+HOST = "https://www.markets.example"
+
+
+def clean(x: str = "html") -> str:
+    """Script, style and comments removed."""
+    return f"regexp_replace({x}, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g')"
+
+
+def dec(x: str) -> str:
+    """Entity decoding for the named entities found in the test pages (&amp; last)."""
+    out = x
+    for ent, ch in (("&quot;", "'\"'"), ("&copy;", "'\u00a9'"), ("&middot;", "'\u00b7'"),
+                    ("&lt;", "'<'"), ("&gt;", "'>'"), ("&nbsp;", "chr(160)"), ("&amp;", "'&'")):
+        out = f"replace({out}, '{ent}', {ch})"
+    return out
+
+
+WS = r"[\t\n\x0B\f\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+def strip(x: str) -> str:
+    """Python str.strip() (all Unicode whitespace)."""
+    return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
+
+
+def origin(x: str) -> str:
+    return f"regexp_extract({x}, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+
+
+def canon(x: str) -> str:
+    """B6 key: fragment dropped, query arguments sorted."""
+    u = f"regexp_replace({x}, '#.*$', '')"
+    base = f"regexp_replace({u}, '\\?.*$', '')"
+    args = f"list_sort(list_filter(string_split(regexp_extract({u}, '\\?(.*)$', 1), '&'), lambda a: a <> ''))"
+    return f"CASE WHEN len({args}) > 0 THEN {base} || '?' || array_to_string({args}, '&') ELSE {base} END"
+
+
+NAV_LINKS = f"""
+  nav_a AS (
+    SELECT page_id,
+      regexp_extract_all({clean()}, '<a href="([^"]*)">([^<]*)</a>', 1) AS hs,
+      regexp_extract_all({clean()}, '<a href="([^"]*)">([^<]*)</a>', 2) AS ls
+    FROM pages),
+  nav_b AS (SELECT page_id, hs, ls, unnest(generate_series(1, len(hs))) AS i FROM nav_a),
+  links AS (
+    SELECT CAST(page_id AS BIGINT) AS page_id, CAST(i - 1 AS INTEGER) AS pos,
+           NULLIF({dec('ls[i]')}, '') AS label, {dec('hs[i]')} AS href
+    FROM nav_b)"""
+
+HREF_VARIANTS = NAV_LINKS + """,
+  lang AS (SELECT page_id, regexp_extract(html, '<html[^>]*\\slang="([^"]*)"', 1) AS lang FROM pages),
+  v AS (
+    SELECT page_id, pos, 0 AS variant, href FROM links
+    UNION ALL SELECT page_id, pos, 1, '/' || lang || href FROM links JOIN lang USING (page_id)
+    UNION ALL SELECT page_id, pos, 2, lang || href FROM links JOIN lang USING (page_id)
+    UNION ALL SELECT page_id, pos, 3, '' FROM links WHERE pos % 4 = 0)"""
+
+LINK_EXTRACT = f"WITH {NAV_LINKS} SELECT page_id, pos, label, href FROM links"
+
+INDEX_URL_RULE = f"""WITH {HREF_VARIANTS}
+SELECT page_id, pos, CAST(variant AS INTEGER) AS variant, href,
+  CASE WHEN starts_with(href, '/en/') OR starts_with(href, '/fr/') THEN '{HOST}' || href
+       ELSE '{HOST}/en/' || href END AS target_url
+FROM v WHERE href IS NOT NULL"""
+
+COMPANY_URL_RULE = f"""WITH {HREF_VARIANTS}
+SELECT page_id, pos, CAST(variant AS INTEGER) AS variant, href,
+  CASE WHEN contains(href, 'en/') THEN '{HOST}' || href || '/listed-companies'
+       ELSE '{HOST}/fr' || href || '/listed-companies' END AS target_url
+FROM v WHERE href IS NOT NULL AND href <> ''"""
+
+OFFSITE_FILTER = """
+WITH h AS (SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS host
+           FROM pages)
+SELECT page_id, host,
+  (host = 'example.org' OR ends_with(host, '.example.org')
+   OR host = 'www.ththin.example.com' OR ends_with(host, '.www.ththin.example.com')) AS allowed
+FROM h"""
+
+DEDUPE_LINKS = f"""WITH {NAV_LINKS},
+  l AS (SELECT l.page_id, l.pos, l.label, l.href, {origin('p.url')} || l.href AS target_url
+        FROM links l JOIN pages p USING (page_id)),
+  c AS (SELECT *, {canon('target_url')} AS canonical_url FROM l),
+  r AS (SELECT *, row_number() OVER (PARTITION BY canonical_url ORDER BY page_id, pos) AS rn FROM c)
+SELECT canonical_url, page_id, pos, label, href FROM r WHERE rn = 1"""
+
+TITLES = f"""
+  titles AS (
+    SELECT page_id,
+      {strip(dec("NULLIF(regexp_extract(" + clean() + ", '(?s)<title[^>]*>([^<]*)', 1), '')"))} AS label
+    FROM pages)"""
+
+LINK_PAGE_JOIN = f"""WITH {TITLES}
+SELECT p2.page_id, p2.url, t.label AS market, CAST(t.page_id AS BIGINT) AS from_page_id
+FROM titles t JOIN pages p2 ON p2.page_id = t.page_id + 1"""
+
+UNRESOLVED_LINKS = f"""WITH {NAV_LINKS},
+  m AS (SELECT l.page_id, l.pos, {origin('p.url')} || l.href AS target_url
+        FROM links l JOIN pages p USING (page_id)),
+  n AS (SELECT t.page_id, -1 AS pos, p2.url AS target_url
+        FROM pages t JOIN pages p2 ON p2.page_id = t.page_id + 1
+        UNION ALL
+        SELECT max(page_id), -1, '{HOST}/missing/' || CAST(max(page_id) AS VARCHAR) FROM pages),
+  u AS (SELECT * FROM m UNION ALL SELECT * FROM n)
+SELECT CAST(page_id AS BIGINT) AS page_id, CAST(pos AS INTEGER) AS pos, target_url
+FROM u WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE p.url = u.target_url)"""
+
+HEADING_OR_DEFAULT = f"""
+SELECT page_id,
+  CASE WHEN regexp_matches({clean()}, '(?i)<h1\\b')
+       THEN {strip(dec("NULLIF(regexp_extract(" + clean() + ", '(?s)<h1[^>]*>([^<]*)', 1), '')"))}
+       ELSE 'Index Name Not Found' END AS heading,
+  CASE WHEN regexp_matches(html, 'subheading-category') THEN 'unexpected'
+       ELSE 'Index Name Not Found' END AS indice_name
+FROM pages"""
+
+PAGE_TEXTS = f"""
+WITH s AS (SELECT page_id, list_slice(string_split_regex({clean()}, '<p>'), 2, 100000000) AS segs FROM pages),
+t AS (
+  SELECT page_id, flatten(list_transform(segs, lambda g: list_filter(
+      string_split_regex(regexp_extract(g, '(?s)^(.*?)(?:</p>|</article>|$)', 1), '<[^>]*>'),
+      lambda x: len(x) > 0))) AS ps
+  FROM s)
+SELECT page_id,
+  COALESCE({strip(dec('ps[1]'))}, 'Data not found') AS first_text,
+  COALESCE({strip(dec('ps[2]'))}, 'Data not found') AS second_text,
+  CAST(len(ps) AS INTEGER) AS n_texts
+FROM t"""
+
 COMPANY_ITEMS = """
 SELECT
   CASE WHEN c_custkey % 2 = 1 THEN c_name || ' & Co' ELSE c_name END AS company_name,
@@ -25,4 +154,13 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 
 ORACLE = {
     "q_company_items": COMPANY_ITEMS,
+    "q_link_extract": LINK_EXTRACT,
+    "q_index_url_rule": INDEX_URL_RULE,
+    "q_company_url_rule": COMPANY_URL_RULE,
+    "q_offsite_filter": OFFSITE_FILTER,
+    "q_dedupe_links": DEDUPE_LINKS,
+    "q_link_page_join": LINK_PAGE_JOIN,
+    "q_unresolved_links": UNRESOLVED_LINKS,
+    "q_heading_or_default": HEADING_OR_DEFAULT,
+    "q_page_texts": PAGE_TEXTS,
 }

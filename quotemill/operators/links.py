@@ -129,3 +129,25 @@ def resolve_links(links: DataFrame, pages: DataFrame, url_col: str = "target_url
     page_urls = pages.select(F.col("url").alias("_url"))
     unresolved = links.join(page_urls, links[url_col] == page_urls["_url"], "left_anti")
     return joined, unresolved
+
+
+def absolute_url(base_url: ColumnOrName, href: ColumnOrName) -> Column:
+    """Resolve an href against the page it was found on (``response.follow``).
+
+    Absolute hrefs pass through; ``//host/..`` takes the page scheme; ``/path``
+    takes the page origin; any other href is appended to the page's directory.
+    Dot segments are not normalised.
+    """
+    def resolve(base: Column, h: Column) -> Column:
+        origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+        scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+        path_base = F.regexp_replace(base, r"[?#].*$", "")
+        directory = F.when(path_base.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*$"),
+                           F.concat(path_base, F.lit("/"))) \
+                     .otherwise(F.regexp_extract(path_base, r"^(.*/)", 1))
+        return (F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
+                .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
+                .when(h.startswith("/"), F.concat(origin, h))
+                .otherwise(F.concat(F.when(directory == "", F.concat(origin, F.lit("/")))
+                                    .otherwise(directory), h)))
+    return let(base_url, lambda b: let(href, lambda h: resolve(b, h)))
