@@ -14,6 +14,7 @@ from fixtures import render as R
 from quotemill import schemas as S
 from quotemill.functions import html as H
 from quotemill.functions import text as X
+from quotemill.operators import consumer as C
 from quotemill.operators import extract as E
 from quotemill.operators import links as L
 from quotemill.operators import validate as V
@@ -136,6 +137,69 @@ def q_page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.size("ps").cast("int").alias("n_texts"))
 
 
+def _index_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = R.index_pages(spark, sf_dir)
+    raw = E.index_items(pages, R.CONTENT_START, R.CONTENT_END)
+    return V.stage(V.abbreviate(raw), "indices")
+
+
+def _valid_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.valid_rows(_index_staged(spark, sf_dir), "indices", keep=("page_id",))
+
+
+def _valid_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = V.stage(E.company_items(R.company_pages(spark, sf_dir)), "companies")
+    return V.valid_rows(staged, "companies")
+
+
+def q_index_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index pages re-extracted; maps summarised by size."""
+    st = _index_staged(spark, sf_dir)
+
+    def size_or_null(c: str):
+        """Entry count; -1 when the record lost its map."""
+        return F.when(F.col(c).isNull(), F.lit(-1)).otherwise(F.size(c)).cast("int")
+    return st.select(
+        "page_id", "current_date", "index_abbreviation", "indice_name",
+        F.col("_t_index_value").alias("index_value"), F.col("_t_index_change").alias("index_change"),
+        F.col("_t_index_percentage_change").alias("index_percentage_change"),
+        size_or_null("time_periods").alias("n_periods"), size_or_null("market_summary").alias("n_summary"),
+        "extract_error", "reject_reason")
+
+
+def q_period_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time-period returns of valid indices, unpivoted and typed."""
+    return C.period_returns(_valid_indices(spark, sf_dir), keys=("page_id",))
+
+
+def q_summary_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market-summary cells, last duplicate key wins, long form."""
+    st = _index_staged(spark, sf_dir).filter(F.col("market_summary").isNotNull())
+    return C.summary_entries(st, keys=("page_id",))
+
+
+def q_metric_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary metrics of valid indices normalised to (metric, magnitude, currency, amount)."""
+    return C.metric_units(_valid_indices(spark, sf_dir), keys=("page_id",))
+
+
+def q_level_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index level with the value/change shift repaired."""
+    return C.level_repair(_valid_indices(spark, sf_dir)).select(
+        "page_id", "index_value", "index_change", "level", "level_repaired")
+
+
+def q_company_index_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies joined to their market's index through the label abbreviation."""
+    joined = C.company_index_join(_valid_companies(spark, sf_dir), _valid_indices(spark, sf_dir))
+    return joined.select("company_name", "price", "index_abbreviation", "indice_name")
+
+
+def q_sector_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roll-up of extracted companies by sector and market."""
+    return C.sector_rollup(_valid_companies(spark, sf_dir))
+
+
 QUERIES = {
     "q_company_items": q_company_items,
     "q_link_extract": q_link_extract,
@@ -147,4 +211,11 @@ QUERIES = {
     "q_unresolved_links": q_unresolved_links,
     "q_heading_or_default": q_heading_or_default,
     "q_page_texts": q_page_texts,
+    "q_index_items": q_index_items,
+    "q_period_returns": q_period_returns,
+    "q_summary_kv": q_summary_kv,
+    "q_metric_units": q_metric_units,
+    "q_level_repair": q_level_repair,
+    "q_company_index_join": q_company_index_join,
+    "q_sector_rollup": q_sector_rollup,
 }

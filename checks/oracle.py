@@ -136,6 +136,19 @@ SELECT page_id,
   CAST(len(ps) AS INTEGER) AS n_texts
 FROM t"""
 
+def market_label(nk: str, name: str, blk: str) -> str:
+    """Menu label of a (nation, block) market, as rendered by fixtures.render.market_label."""
+    mid = f"(({blk}) * 100 + {nk})"
+    head = f"{name} || ' Board ' || CAST({blk} AS VARCHAR)"
+    abbr = f"'B' || CAST({nk} AS VARCHAR) || '-' || CAST({blk} AS VARCHAR)"
+    return (f"CASE WHEN {mid} % 11 = 0 THEN {head} "
+            f"WHEN {mid} % 11 = 1 THEN {head} || ' (' || {abbr} || ') (ALT)' "
+            f"WHEN {mid} % 11 = 2 THEN {head} || ' ()' "
+            f"WHEN {mid} % 23 = 7 THEN {head} || ' (B' || CAST({nk} AS VARCHAR) || chr(10) || '-' "
+            f"|| CAST({blk} AS VARCHAR) || ')' "
+            f"ELSE {head} || ' (' || {abbr} || ')' END")
+
+
 COMPANY_ITEMS = """
 SELECT
   CASE WHEN c_custkey % 2 = 1 THEN c_name || ' & Co' ELSE c_name END AS company_name,
@@ -147,10 +160,129 @@ SELECT
        ELSE CAST((c_custkey * 53) % 40001 - 20000 AS DOUBLE) / 100 END AS ytd,
   CAST((c_custkey * 7919) % 100000000 + 1000 AS DOUBLE) AS market_cap,
   strftime(DATE '2024-01-01' + CAST(c_custkey % 365 AS INTEGER), '%d-%b-%Y') AS date,
-  n_name || ' Board ' || CAST(c_custkey // 40 AS VARCHAR) || ' (B' || CAST(c_nationkey AS VARCHAR)
-    || '-' || CAST(c_custkey // 40 AS VARCHAR) || ')' AS market_name
+  {label} AS market_name
 FROM customer JOIN nation ON c_nationkey = n_nationkey
-"""
+""".format(label=market_label("c_nationkey", "n_name", "c_custkey // 40"))
+
+def fmt2(x: str) -> str:
+    return f"format('{{:,.2f}}', {x})"
+
+
+MARKETS = """
+  per_cust AS (
+    SELECT o_custkey, count(*) AS n_orders,
+           sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS order_cents, max(o_orderdate) AS last_date
+    FROM orders GROUP BY o_custkey),
+  mj AS (
+    SELECT c_nationkey AS nk, c_custkey // 40 AS block, CAST(round(c_acctbal * 100) AS BIGINT) AS acct_cents,
+           COALESCE(n_orders, 0) AS n_orders, COALESCE(order_cents, 0) AS order_cents, last_date
+    FROM customer LEFT JOIN per_cust ON c_custkey = o_custkey),
+  mk AS (
+    SELECT nk, block, block * 100 + nk AS mid, count(*) AS n_cust, sum(acct_cents) AS acct_cents,
+           sum(n_orders) AS n_orders, sum(order_cents) AS order_cents, max(last_date) AS last_date
+    FROM mj GROUP BY nk, block),
+  mm AS (SELECT mk.*, n_name FROM mk JOIN nation ON nk = n_nationkey),
+  ix0 AS (
+    SELECT mid AS page_id, mid, nk, block, n_name, n_cust, acct_cents, n_orders, order_cents,
+      CASE WHEN mid % 6 IN (2, 3) THEN 'Date not found'
+           ELSE strftime(COALESCE(last_date, TIMESTAMP '2024-04-03'), '%d-%b-%Y') END AS current_date,
+      CASE WHEN mid % 11 = 0 THEN 'Abbreviation not found'
+           WHEN mid % 11 = 1 THEN 'B' || nk || '-' || block
+           WHEN mid % 11 = 2 THEN ''
+           WHEN mid % 23 = 7 THEN 'Abbreviation not found'
+           ELSE 'B' || nk || '-' || block END AS index_abbreviation,
+      CASE WHEN mid % 13 = 0 THEN 'Index Name Not Found'
+           WHEN mid % 29 = 3 THEN NULL
+           WHEN mid % 31 = 4 THEN repeat('Long ', 60) || n_name
+           ELSE '🏛 ' || n_name || ' Exchange ' || block END AS indice_name,
+      CASE WHEN mid % 5 IN (1, 3, 4) THEN CAST(order_cents AS DOUBLE) / 100 END AS index_value,
+      CASE WHEN mid % 5 = 0 THEN CAST(order_cents AS DOUBLE) / 100
+           WHEN mid % 5 IN (3, 4) THEN CAST((mid * 13) % 2001 - 1000 AS DOUBLE) / 100 END AS index_change,
+      CASE WHEN mid % 4 = 1 THEN -(CAST((mid * 7) % 300000 AS DOUBLE) / 100) END AS index_percentage_change,
+      CASE mid % 7 WHEN 0 THEN 4 WHEN 1 THEN 5 WHEN 2 THEN 3 WHEN 3 THEN 0 WHEN 4 THEN 3 ELSE 5 END AS n_periods,
+      CASE WHEN mid % 9 = 0 THEN 0 WHEN mid % 9 = 2 THEN -1 WHEN mid % 9 IN (1, 3) THEN 3 ELSE 4 END AS n_summary,
+      NULLIF(concat_ws(';',
+        CASE WHEN mid % 13 <> 0 AND mid % 29 = 3 THEN 'index_name_without_text' END,
+        CASE WHEN mid % 9 = 2 THEN 'summary_cell_without_span' END), '') AS extract_error
+    FROM mm),
+  ix AS (
+    SELECT *, NULLIF(concat_ws(';',
+        CASE WHEN mid % 4 = 3 THEN 'index_percentage_change:not_a_number' END,
+        CASE WHEN length(indice_name) > 255 THEN 'indice_name:too_long' END,
+        extract_error), '') AS reject_reason
+    FROM ix0)"""
+
+INDEX_ITEMS = f"""WITH {MARKETS}
+SELECT page_id, current_date, index_abbreviation, indice_name, index_value, index_change,
+  index_percentage_change, CAST(n_periods AS INTEGER) AS n_periods, CAST(n_summary AS INTEGER) AS n_summary,
+  extract_error, reject_reason
+FROM ix"""
+
+PERIOD_RETURNS = f"""WITH {MARKETS},
+  shapes(shape, period, j) AS (VALUES
+    (0, '1M', 0), (0, '3M', 1), (0, 'YTD', 2), (0, '1Y', 3),
+    (1, '1M', 0), (1, '3M', 1), (1, 'YTD', 2), (1, '1Y', 3), (1, '2Y', 4),
+    (2, '1M', 2), (2, '3M', 1), (2, 'YTD', 3),
+    (4, '1M', 0), (4, '3M', 1), (4, 'YTD', 2),
+    (5, '1M', 0), (5, '3M', 1), (5, 'YTD', 2), (5, '1Y', 3), (5, '2Y', 4),
+    (6, '1M', 0), (6, '3M', 1), (6, 'YTD', 2), (6, '1Y', 3), (6, '2Y', 4))
+SELECT page_id, period, CAST((mid * (j + 3) * 17) % 4001 - 2000 AS DOUBLE) / 100 AS pct
+FROM ix JOIN shapes ON shapes.shape = ix.mid % 7
+WHERE reject_reason IS NULL"""
+
+SUMMARY_ENTRIES = """
+  sm AS (
+    SELECT *, CASE WHEN mid % 3 = 0 THEN 'Mln' WHEN mid % 3 = 1 THEN 'Millions' ELSE 'Bln' END AS mag_word,
+              CASE WHEN mid % 3 = 2 THEN 1e9 ELSE 1e6 END AS mag,
+              'C' || nk AS cur
+    FROM ix WHERE mid % 9 NOT IN (0, 2)),
+  se AS (
+    SELECT page_id, mid, 'Value Traded (' || mag_word || ' ' || cur || ')' AS key,
+           format('{:,.2f}', CAST(acct_cents AS DOUBLE) / 100) AS value,
+           'Value Traded' AS metric, mag, cur AS currency, CAST(acct_cents AS DOUBLE) / 100 * mag AS amount,
+           reject_reason FROM sm
+    UNION ALL
+    SELECT page_id, mid, 'Volume',
+           CASE WHEN mid % 9 = 1 THEN 'Volume' WHEN mid % 9 = 3 THEN 'dup-' || n_orders
+                ELSE format('{:,.0f}', CAST(n_orders * 1000 + n_cust AS DOUBLE)) END,
+           'Volume', 1.0, NULL,
+           CASE WHEN mid % 9 IN (1, 3) THEN NULL ELSE CAST(n_orders * 1000 + n_cust AS DOUBLE) END,
+           reject_reason FROM sm
+    UNION ALL
+    SELECT page_id, mid, 'Transactions', CASE WHEN n_orders = 0 THEN '-' ELSE CAST(n_orders AS VARCHAR) END,
+           'Transactions', 1.0, NULL, CASE WHEN n_orders = 0 THEN NULL ELSE CAST(n_orders AS DOUBLE) END,
+           reject_reason FROM sm WHERE mid % 9 <> 3
+    UNION ALL
+    SELECT page_id, mid, 'Market Cap. (' || mag_word || ' ' || cur || ')',
+           format('{:,.2f}', CAST(order_cents + acct_cents AS DOUBLE) / 100),
+           'Market Cap.', mag, cur, CAST(order_cents + acct_cents AS DOUBLE) / 100 * mag,
+           reject_reason FROM sm WHERE mid % 9 <> 1)"""
+
+SUMMARY_KV = f"""WITH {MARKETS}, {SUMMARY_ENTRIES}
+SELECT page_id, key, value FROM se"""
+
+METRIC_UNITS = f"""WITH {MARKETS}, {SUMMARY_ENTRIES}
+SELECT page_id, metric, CAST(mag AS DOUBLE) AS magnitude, currency, amount
+FROM se WHERE reject_reason IS NULL"""
+
+LEVEL_REPAIR = f"""WITH {MARKETS}
+SELECT page_id, index_value, index_change, COALESCE(index_value, index_change) AS level,
+       (index_value IS NULL AND index_change IS NOT NULL) AS level_repaired
+FROM ix WHERE reject_reason IS NULL"""
+
+COMPANY_CTE = "companies AS (" + COMPANY_ITEMS.replace(
+    "FROM customer JOIN nation", ", c_custkey, c_nationkey FROM customer JOIN nation") + ")"
+
+COMPANY_INDEX_JOIN = f"""WITH {MARKETS}, {COMPANY_CTE}
+SELECT c.company_name, c.price, ix.index_abbreviation, ix.indice_name
+FROM companies c JOIN ix ON ix.mid = (c.c_custkey // 40) * 100 + c.c_nationkey
+WHERE ix.reject_reason IS NULL AND ix.index_abbreviation NOT IN ('Abbreviation not found', '')"""
+
+SECTOR_ROLLUP = f"""WITH {COMPANY_CTE}
+SELECT sector, market_name, count(*) AS n_companies, sum(market_cap) AS total_market_cap,
+       CAST(sum(CAST(round(ytd * 100) AS BIGINT)) AS DOUBLE) / count(ytd) / 100 AS mean_ytd
+FROM companies GROUP BY ROLLUP (sector, market_name)"""
+
 
 ORACLE = {
     "q_company_items": COMPANY_ITEMS,
@@ -163,4 +295,11 @@ ORACLE = {
     "q_unresolved_links": UNRESOLVED_LINKS,
     "q_heading_or_default": HEADING_OR_DEFAULT,
     "q_page_texts": PAGE_TEXTS,
+    "q_index_items": INDEX_ITEMS,
+    "q_period_returns": PERIOD_RETURNS,
+    "q_summary_kv": SUMMARY_KV,
+    "q_metric_units": METRIC_UNITS,
+    "q_level_repair": LEVEL_REPAIR,
+    "q_company_index_join": COMPANY_INDEX_JOIN,
+    "q_sector_rollup": SECTOR_ROLLUP,
 }

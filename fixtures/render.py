@@ -20,7 +20,7 @@ HOST = S.DEFAULT_HOST
 ROWS_PER_PAGE = 40
 # Quote block markers for the index pages (C2 re-aimed as markers).
 CONTENT_START = r'<div class="quote-content">'
-CONTENT_END = r'<!--/quote-content-->|</section>'
+CONTENT_END = r'<div class="quote-end">'
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,10 +45,26 @@ def _page(rows: DataFrame, key_cols: list[str], order_col: str, html_col: str,
 # ---------------------------------------------------------------------------
 # Company listing pages: customer x nation, one page per (nation, key block).
 
+def market_id(nation_key: Column, block: Column) -> Column:
+    return (block * 100 + nation_key).cast("bigint")
+
+
+def market_label(nation_key: Column, nation_name: Column, block: Column) -> Column:
+    """Menu label of one (nation, block) market; variation by market id exercises D6."""
+    mid = market_id(nation_key, block)
+    head = F.concat(nation_name, F.lit(" Board "), block.cast("string"))
+    abbr = F.concat(F.lit("B"), nation_key.cast("string"), F.lit("-"), block.cast("string"))
+    return (F.when(mid % 11 == 0, head)
+            .when(mid % 11 == 1, F.concat(head, F.lit(" ("), abbr, F.lit(") (ALT)")))
+            .when(mid % 11 == 2, F.concat(head, F.lit(" ()")))
+            .when(mid % 23 == 7, F.concat(head, F.lit(" (B"), nation_key.cast("string"), F.lit("\n-"),
+                                          block.cast("string"), F.lit(")")))
+            .otherwise(F.concat(head, F.lit(" ("), abbr, F.lit(")"))))
+
+
 def company_market(nation_key: Column, nation_name: Column, block: Column) -> tuple[Column, Column]:
     """Market label and menu href of one (nation, block) market."""
-    label = F.concat(nation_name, F.lit(" Board "), block.cast("string"),
-                     F.lit(" (B"), nation_key.cast("string"), F.lit("-"), block.cast("string"), F.lit(")"))
+    label = market_label(nation_key, nation_name, block)
     slug = F.concat(F.lower(nation_name), F.lit("-"), block.cast("string"))
     href = F.when(nation_key % 5 == 2, F.concat(F.lit("/fr/bourse/"), slug)) \
             .otherwise(F.concat(F.lit("/en/stock-markets/"), slug))
@@ -117,3 +133,150 @@ def company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(
         (F.col("block") * 100 + F.col("c_nationkey")).cast("bigint").alias("page_id"),
         company_page_url(F.col("href")).alias("url"), html.alias("html"), "market")
+
+
+# ---------------------------------------------------------------------------
+# Index pages: one per (nation, key block) market, values from its customers
+# and their orders.  Money is summed in integer cents so totals are exact.
+
+PERIOD_KEYS = ["1M", "3M", "YTD", "1Y", "2Y"]
+MAGNITUDES = ["Mln", "Millions", "Bln"]
+
+
+def market_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(mid, nk, n_name, block, n_cust, acct_cents, n_orders, order_cents, last_date)``."""
+    c = _read(spark, sf_dir, "customer")
+    n = _read(spark, sf_dir, "nation")
+    o = _read(spark, sf_dir, "orders")
+    per_cust = o.groupBy("o_custkey").agg(
+        F.count("*").alias("n_orders"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("order_cents"),
+        F.max("o_orderdate").alias("last_date"))
+    block = (F.col("c_custkey") / ROWS_PER_PAGE).cast("bigint")
+    joined = (c.join(per_cust, c.c_custkey == per_cust.o_custkey, "left")
+              .select(F.col("c_nationkey").alias("nk"), block.alias("block"),
+                      F.round(F.col("c_acctbal") * 100).cast("bigint").alias("acct_cents"),
+                      F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
+                      F.coalesce("order_cents", F.lit(0)).alias("order_cents"), "last_date"))
+    stats = joined.groupBy("nk", "block").agg(
+        F.count("*").alias("n_cust"), F.sum("acct_cents").alias("acct_cents"),
+        F.sum("n_orders").alias("n_orders"), F.sum("order_cents").alias("order_cents"),
+        F.max("last_date").alias("last_date"))
+    return (stats.join(F.broadcast(n), stats.nk == n.n_nationkey)
+            .select(market_id(F.col("nk"), F.col("block")).alias("mid"), "nk", "n_name", "block",
+                    "n_cust", "acct_cents", "n_orders", "order_cents", "last_date"))
+
+
+def _cents(c: Column) -> Column:
+    return F.format_number(c.cast("double") / 100, 2)
+
+
+def _tag(tag: str, body: Column, attrs: str = "") -> Column:
+    return F.concat(F.lit(f"<{tag}{attrs}>"), body, F.lit(f"</{tag}>"))
+
+
+def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(page_id, url, html, market)``: one index page per market."""
+    m = market_stats(spark, sf_dir)
+    mid, nk, blk = F.col("mid"), F.col("nk"), F.col("block")
+    label = market_label(nk, F.col("n_name"), blk)
+    slug = F.concat(F.lower(F.col("n_name")), F.lit("-"), blk.cast("string"))
+
+    # Heading (C7, C11): present with text, absent, present without text, too long.
+    name = F.concat(F.lit(" \U0001F3DB "), F.col("n_name"), F.lit(" Exchange "), blk.cast("string"), F.lit(" "))
+    name = F.when(mid % 31 == 4, F.concat(F.repeat(F.lit("Long "), 60), F.col("n_name"))).otherwise(name)
+    heading = (F.when(mid % 13 == 0, F.lit('<h1 class="page-subtitle">Market</h1>'))
+               .when(mid % 29 == 3, F.lit('<h1 class="page-subtitle">Market <small class="subheading-category"></small></h1>'))
+               .otherwise(F.concat(F.lit('<h1 class="page-subtitle">Market <small class="subheading-category">'),
+                                   name, F.lit("</small></h1>"))))
+
+    # Quote date.
+    date = F.date_format(F.coalesce(F.col("last_date"), F.lit("2024-04-03").cast("timestamp")), "dd-MMM-yyyy")
+    date_font = (F.when(mid % 6 == 0, F.concat(F.lit('<font size="1">x As of y As of '), date, F.lit("</font>")))
+                 .when(mid % 6 == 1, F.concat(F.lit('<font size="1"> '), date, F.lit("</font>")))
+                 .when(mid % 6 == 2, F.lit(""))
+                 .when(mid % 6 == 3, F.lit('<font size="1"></font>'))
+                 .otherwise(F.concat(F.lit('<font size="1">As of '), date, F.lit(" </font>"))))
+
+    # Level and change spans (C9, D14, quirk Q1).
+    span = '<span style="font-weight:bold;font-size: 22pt">'
+    value = _cents(F.col("order_cents"))
+    change = signed(((mid * 13) % 2001 - 1000).cast("double") / 100)
+    levels = (F.when(mid % 5 == 0, F.concat(F.lit(span + " </span>"), F.lit(span), value, F.lit("</span>")))
+              .when(mid % 5 == 1, F.concat(F.lit(span), value, F.lit("</span>")))
+              .when(mid % 5 == 2, F.lit(""))
+              .otherwise(F.concat(F.lit(span), value, F.lit("</span> "), F.lit(span), change, F.lit("</span>"))))
+
+    # Falling change (C10): absent, red, green (ignored), red with a percent sign (rejected later).
+    move = F.format_number(((mid * 7) % 300000).cast("double") / 100, 2)
+    falling = (F.when(mid % 4 == 0, F.lit(""))
+               .when(mid % 4 == 1, F.concat(F.lit('<font><span style="color: #ff0000;">-'), move, F.lit("</span></font>")))
+               .when(mid % 4 == 2, F.concat(F.lit('<font><span style="color: #00aa00;">+'), move, F.lit("</span></font>")))
+               .otherwise(F.concat(F.lit('<font><span style="color: #ff0000;">-'), move, F.lit("%</span></font>"))))
+
+    # Period table (E1): key / value list shapes by mid % 7.
+    def pv(j: int) -> Column:
+        return signed(((mid * (j + 3) * 17) % 4001 - 2000).cast("double") / 100, 2, "%")
+
+    def keys_html(keys: list[str]) -> Column:
+        return F.lit('<tr class="tr_ht1">' + "".join(f"<td>{k}</td>" for k in keys) + "</tr>")
+
+    def values_html(n: int) -> Column:
+        parts = [F.lit('<tr class="tabrow">')]
+        for j in range(n):
+            parts += [F.lit("<td><p>"), pv(j), F.lit("</p></td>")]
+        parts.append(F.lit("</tr>"))
+        return F.concat(*parts)
+
+    def table(keys: list[str], n: int) -> Column:
+        return F.concat(F.lit('<table class="tabtable-rs_c4try72e">'), keys_html(keys), values_html(n), F.lit("</table>"))
+
+    periods = (F.when(mid % 7 == 0, table(PERIOD_KEYS[:4], 4))
+               .when(mid % 7 == 1, table(PERIOD_KEYS, 6))
+               .when(mid % 7 == 2, table(["1M", "3M", "1M", "YTD"], 4))
+               .when(mid % 7 == 3, F.lit(""))
+               .when(mid % 7 == 4, table(PERIOD_KEYS, 3))
+               .otherwise(table(PERIOD_KEYS, 5)))
+
+    # Summary table (C12, E2): normal, one-span cell, cell without span, duplicate key.
+    cur = F.concat(F.lit("C"), nk.cast("string"))
+    mag = F.when(mid % 3 == 0, F.lit("Mln")).when(mid % 3 == 1, F.lit("Millions")).otherwise(F.lit("Bln"))
+    vt_key = F.concat(F.lit("Value Traded ("), mag, F.lit(" "), cur, F.lit(")"))
+    cap_key = F.concat(F.lit("Market Cap. ("), mag, F.lit(" "), cur, F.lit(")"))
+    volume = F.format_number((F.col("n_orders") * 1000 + F.col("n_cust")).cast("double"), 0)
+    trans = F.when(F.col("n_orders") == 0, F.lit("-")).otherwise(F.col("n_orders").cast("string"))
+    cap = _cents(F.col("order_cents") + F.col("acct_cents"))
+
+    def cell(k: Column, v: Column) -> Column:
+        return F.concat(F.lit("<td><span>"), k, F.lit("</span> <span>"), v, F.lit("</span></td>"))
+
+    row1 = F.concat(F.lit('<tr class="tabrow">'), cell(vt_key, _cents(F.col("acct_cents"))),
+                    cell(F.lit("Volume"), volume), F.lit("</tr>"))
+    row2_normal = F.concat(F.lit('<tr class="tabrow">'), cell(F.lit("Transactions"), trans), cell(cap_key, cap), F.lit("</tr>"))
+    row2 = (F.when(mid % 9 == 1, F.concat(F.lit('<tr class="tabrow">'), cell(F.lit("Transactions"), trans),
+                                          F.lit("<td><span>Volume</span></td></tr>")))
+            .when(mid % 9 == 2, F.concat(F.lit('<tr class="tabrow">'), cell(F.lit("Transactions"), trans),
+                                         F.lit("<td>n/a</td></tr>")))
+            .when(mid % 9 == 3, F.concat(F.lit('<tr class="tabrow">'),
+                                         cell(F.lit("Volume"), F.concat(F.lit("dup-"), F.col("n_orders").cast("string"))),
+                                         cell(cap_key, cap), F.lit("</tr>")))
+            .otherwise(row2_normal))
+    summary = F.when(mid % 9 == 0, F.lit("")).otherwise(
+        F.concat(F.lit('<table class="tabtable-gr_alterora_elemental_2_grey_1s2"><tbody>'), row1, row2,
+                 F.lit("</tbody></table>")))
+
+    html = F.concat(
+        F.lit("<!DOCTYPE html><html><head><title>Market</title><style>.x{}</style></head><body>"
+              '<div class="menu"><a href="/en/">Home</a></div>'),
+        heading,
+        F.lit('<section><div class="quote-content"><div class="quote">'), date_font,
+        F.lit("<p>Index level</p>"), levels, F.lit(" "), falling,
+        F.lit('</div><div class="quote-end"></div></div>'),
+        periods, summary,
+        F.lit('</section><footer><font size="1">As of 01-Jan-1999 (archive)</font>'
+              '<span style="font-weight:bold;font-size: 22pt">0.00</span></footer></body></html>'))
+    href = F.when(nk % 5 == 2, F.concat(F.lit("/fr/bourse/"), slug)).otherwise(F.concat(F.lit("/en/stock-markets/"), slug))
+    url = F.when(href.startswith("/en/") | href.startswith("/fr/"), F.concat(F.lit(HOST), href)) \
+           .otherwise(F.concat(F.lit(HOST + "/en/"), href))
+    return m.select(mid.alias("page_id"), url.alias("url"), html.alias("html"), label.alias("market"),
+                    href.alias("href"))

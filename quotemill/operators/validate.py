@@ -65,10 +65,13 @@ def stage(raw: DataFrame, kind: str) -> DataFrame:
     return raw.select("*", *typed, reason.alias("reject_reason"))
 
 
-def valid_rows(staged: DataFrame, kind: str) -> DataFrame:
-    """Valid side in table column order (F10), without the surrogate ``id``."""
+def valid_rows(staged: DataFrame, kind: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Valid side in table column order (F10), without the surrogate ``id``.
+
+    ``keep`` names extra columns (e.g. ``page_id``) to carry in front.
+    """
     _, _, schema = KINDS[kind]
-    cols = []
+    cols = [F.col(c) for c in keep]
     for f in schema.fields:
         if f.name == "id":
             continue
