@@ -17,7 +17,13 @@ from quotemill.functions import text as X
 from quotemill.operators import consumer as C
 from quotemill.operators import extract as E
 from quotemill.operators import links as L
+from quotemill.operators import audit as A
 from quotemill.operators import validate as V
+from quotemill.functions import maps as M
+from quotemill.plans import daily as D
+from quotemill.session import scratch_path
+from quotemill.sinks import writers as W
+from quotemill.sources import readers as RD
 
 # Domains for the off-site filter query.
 OFFSITE_DOMAINS = ("example.org", "www.ththin.example.com")
@@ -200,6 +206,222 @@ def q_sector_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.sector_rollup(_valid_companies(spark, sf_dir))
 
 
+def q_company_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1D / YTD cells read from font, else p, else the N/A default (raw text)."""
+    raw = E.company_items(R.company_pages(spark, sf_dir))
+    return raw.select("company_name", "one_day", "ytd")
+
+
+def q_time_periods_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order, keys = line flags, values = line numbers of small lines; zip, last key wins."""
+    li = _t(spark, sf_dir, "lineitem")
+    lines = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
+        "l_linenumber", F.concat("l_returnflag", "l_linestatus").alias("k"), "l_quantity"))).alias("ls"))
+    keys = F.transform("ls", lambda x: x["k"])
+    values = F.transform(F.filter("ls", lambda x: x["l_quantity"] < 25),
+                         lambda x: x["l_linenumber"].cast("string"))
+    zipped = lines.select(F.col("l_orderkey").alias("o_orderkey"), M.zip_map(keys, values).alias("m"))
+    return zipped.select("o_orderkey", F.explode("m").alias("key", "value"))
+
+
+def q_abbreviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-parentheses rule over customer labels (none, two, empty, CR/LF inside, empty, null)."""
+    c = _t(spark, sf_dir, "customer")
+    k, name = F.col("c_custkey"), F.col("c_name")
+    label = (F.when(k % 14 == 12, F.lit(None).cast("string"))
+             .when(k % 7 == 5, F.lit(""))
+             .when(k % 7 == 0, name)
+             .when(k % 7 == 1, F.concat(name, F.lit(" (X"), k.cast("string"), F.lit(") (Y)")))
+             .when(k % 7 == 2, F.concat(name, F.lit(" ()")))
+             .when(k % 7 == 3, F.concat(name, F.lit(" (N\n"), k.cast("string"), F.lit(")")))
+             .when(k % 7 == 4, F.concat(name, F.lit(" (R\r"), k.cast("string"), F.lit(")")))
+             .otherwise(F.concat(name, F.lit(" ("), F.col("c_mktsegment"), F.lit(")"))))
+    return c.select("c_custkey", X.paren_group(label).alias("abbreviation"))
+
+
+def _date_text(c: str) -> "F.Column":
+    return F.date_format(F.col(c), "dd-MMM-yyyy")
+
+
+def q_after_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text after the last 'As of' marker (zero, one or two markers), stripped."""
+    o = _t(spark, sf_dir, "orders")
+    k, d = F.col("o_orderkey"), _date_text("o_orderdate")
+    text = (F.when(k % 3 == 0, F.concat(F.lit("As of "), d))
+            .when(k % 3 == 1, F.concat(F.lit("x As of y As of "), d, F.lit("  ")))
+            .otherwise(F.concat(F.lit("  "), d)))
+    return o.select("o_orderkey", X.after_last(text, S.DATE_MARKER).alias("date_part"))
+
+
+def q_number_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Money text with separators, sentinels, blanks, exponents -> double or null."""
+    o = _t(spark, sf_dir, "orders")
+    k, v = F.col("o_orderkey"), F.col("o_totalprice")
+    f = F.format_number(v, 2)
+    e = F.concat(F.round(v * 100).cast("bigint").cast("string"), F.lit("e-2"))
+    value_text = (F.when(k % 10 == 0, F.lit(S.SENTINEL_DATA)).when(k % 10 == 1, F.lit(""))
+                  .when(k % 10 == 2, F.lit(",")).when(k % 10 == 3, F.concat(F.lit(" "), f, F.lit(" ")))
+                  .when(k % 10 == 4, e).otherwise(f))
+    pct_text = (F.when(k % 10 == 0, F.lit(S.SENTINEL_COMPANY)).when(k % 10 == 1, F.lit(""))
+                .when(k % 10 == 2, F.lit("%")).when(k % 10 == 3, F.concat(F.lit(" "), f, F.lit("% ")))
+                .when(k % 10 == 4, F.concat(e, F.lit("%"))).otherwise(F.concat(f, F.lit("%"))))
+    return o.select("o_orderkey",
+                    X.to_number(value_text, S.SENTINEL_DATA)["value"].alias("index_value"),
+                    X.to_number(pct_text, S.SENTINEL_COMPANY, True)["value"].alias("one_day"))
+
+
+def q_reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company records built from orders with bad tokens -> status and reasons."""
+    o = _t(spark, sf_dir, "orders")
+    k, v = F.col("o_orderkey"), F.col("o_totalprice")
+    f = F.format_number(v, 2)
+    name = (F.when(k % 12 == 5, F.repeat(F.lit("N"), 300))
+            .when(k % 12 == 6, F.concat(F.repeat(F.lit("N"), 250), F.repeat(F.lit(" "), 10)))
+            .otherwise(F.concat(F.lit("Order "), k.cast("string"))))
+    price = (F.when(k % 12 == 0, F.lit("-")).when(k % 12 == 1, F.lit("1.2%"))
+             .when(k % 12 == 2, F.lit("inf")).when(k % 12 == 3, F.lit("nan"))
+             .when(k % 12 == 4, F.lit("1.0d")).when(k % 12 == 8, F.lit("-inf")).otherwise(f))
+    ytd = F.when(k % 12 == 7, F.lit("%")).otherwise(F.lit("+1.50%"))
+    cap = F.when(k % 12 == 8, F.lit("-")).otherwise(f)
+    raw = o.select("o_orderkey", name.alias("company_name"), F.col("o_orderpriority").alias("sector"),
+                   price.alias("price"), F.lit(S.SENTINEL_COMPANY).alias("one_day"), ytd.alias("ytd"),
+                   cap.alias("market_cap"), _date_text("o_orderdate").alias("date"),
+                   F.concat(F.lit("M ("), F.col("o_orderstatus"), F.lit(")")).alias("market_name"))
+    st = V.stage(raw, "companies")
+    ok = F.col("reject_reason").isNull()
+    return st.select("o_orderkey", F.when(ok, "valid").otherwise("rejected").alias("status"), "reject_reason",
+                     F.col("_t_price").alias("price"),
+                     F.length("_t_company_name").cast("int").alias("name_length"))
+
+
+def q_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event props JSON -> map -> entries, and the map written back as JSON."""
+    ev = _t(spark, sf_dir, "events").select("event_id", M.parse_dict_literal("props").alias("m"))
+    e = ev.select("event_id", F.explode(M.or_empty("m")).alias("key", "value"))
+    return e.select("event_id", "key", "value",
+                    M.map_json(F.create_map("key", "value")).alias("entry_json"))
+
+
+def q_dict_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Props as Python dict literals in a CSV feed, written, read back and parsed."""
+    ev = _t(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.replace(F.col("props"), F.lit('"'), F.lit("'")).alias("props"))
+    path = scratch_path(spark, "feed")
+    W.write_feed_csv(ev, path)
+    schema = "event_id string, event_type string, props string"
+    back = RD.read_feed_csv(spark, path, schema)
+    return back.select(F.col("event_id").cast("bigint").alias("event_id"),
+                       F.explode(M.parse_dict_literal("props")).alias("key", "value"))
+
+
+EXPORT_DS = "2024-04-04"
+
+
+def q_export_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies appended, full history landed as NDJSON, strictly re-loaded."""
+    base = scratch_path(spark, "export")
+    W.append_with_ids(spark, _valid_companies(spark, sf_dir), f"{base}/history/companies", S.COMPANIES)
+    history = RD.read_history(spark, f"{base}/history/companies", S.COMPANIES)
+    W.land(history, f"{base}/landing", "companies", EXPORT_DS)
+    W.land(history, f"{base}/landing", "companies", EXPORT_DS)  # re-run of the date: replaced, not doubled
+    loaded = W.truncate_load(spark, f"{base}/landing", "companies", EXPORT_DS, S.COMPANIES,
+                             f"{base}/warehouse/companies")
+    return loaded.drop("id")
+
+
+APPEND_SCHEMA = "id bigint, o_orderkey bigint, o_totalprice double"
+
+
+def q_append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders appended in two batches; ids dense 1..n across both."""
+    from pyspark.sql.types import _parse_datatype_string
+    schema = _parse_datatype_string(APPEND_SCHEMA)
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    path = scratch_path(spark, "history")
+    early = F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp")
+    W.append_with_ids(spark, o.filter(early).drop("o_orderdate"), path, schema)
+    W.append_with_ids(spark, o.filter(~early).drop("o_orderdate"), path, schema)
+    h = spark.read.parquet(path)
+    return h.agg(F.count("*").alias("n_rows"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
+                 F.countDistinct("id").alias("n_ids"), F.countDistinct("o_orderkey").alias("n_orders"))
+
+
+ALL_TABLES = ("region nation customer supplier part orders lineitem events documents "
+              "embeddings pages benchmark labels conversations").split()
+
+
+def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1: row count of every table."""
+    return A.row_counts(**{t: _t(spark, sf_dir, t) for t in ALL_TABLES}) \
+            .select(F.col("table").alias("table_name"), F.col("rows").alias("n_rows"))
+
+
+def q_file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed orders audited for bytes, lines and blank content (paths dropped)."""
+    base = scratch_path(spark, "audit")
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    landed = W.land(o, base, "orders", EXPORT_DS)
+    audits = A.union_all([A.audit_files(spark, landed, "orders"), A.audit_text(spark, landed, "orders")])
+    return audits.filter(F.col("check") != "landed_files")
+
+
+def q_run_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole daily job on a rendered site."""
+    pages = R.site_pages(spark, sf_dir)
+    base = scratch_path(spark, "daily")
+    pages.write.parquet(f"{base}/pages")
+    pages = RD.read_pages(spark, f"{base}/pages")
+    seeds = R.menu_pages(spark, sf_dir).select("url")
+    rules = D.SiteRules(host=R.HOST, content_start=R.CONTENT_START, content_end=R.CONTENT_END)
+    audit = D.run_daily(spark, pages, seeds, base, EXPORT_DS, rules)
+    return audit.filter(F.col("check") != "landed_files")
+
+
+def q_export_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price per unit exported with 10-decimal rounding and read back."""
+    li = _t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_extendedprice") / F.col("l_quantity")).alias("ratio"))
+    base = scratch_path(spark, "rounding")
+    W.land(li, base, "ratios", EXPORT_DS, compat_round=True)
+    schema = "l_orderkey bigint, l_linenumber int, ratio double"
+    return spark.read.schema(schema).json(RD.landing_path(base, "ratios", EXPORT_DS))
+
+
+def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: NDJSON company records, odd keys carrying an extra field, checked against the load schema."""
+    c = _t(spark, sf_dir, "customer")
+    recs = c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("company_name"),
+                    F.col("c_mktsegment").alias("sector"), F.col("c_acctbal").alias("price"),
+                    F.when(F.col("c_custkey") % 2 == 1, F.lit("vip")).alias("note"))
+    base = scratch_path(spark, "drift")
+    recs.write.json(base)
+    return A.unexpected_fields(spark, base, S.COMPANIES)
+
+
+def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by day, kept or expired under the 13-day rule at the latest day."""
+    ev = _t(spark, sf_dir, "events")
+    daily = ev.groupBy(F.to_date("ts").alias("ds")).agg(F.count("*").alias("n_events"))
+    run_date = ev.agg(F.max(F.to_date("ts"))).first()[0]
+    kept = W.retained(daily, "ds", run_date, 13).withColumn("kept", F.lit(True))
+    gone = W.expired(daily, "ds", run_date, 13).withColumn("kept", F.lit(False))
+    return kept.unionByName(gone).select(F.date_format("ds", "yyyy-MM-dd").alias("ds"), "n_events", "kept")
+
+
+def q_latest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest event per user (by time, then id), via a partial aggregate."""
+    ev = _t(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    return C.latest_rows(ev, ["user_id"], ["ts", "event_id"]).select(
+        "user_id", "event_id", "event_type", "value")
+
+
+def q_quote_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quote dates as text (with sentinel) typed back to dates."""
+    o = _t(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderkey") % 9 == 0, F.lit(S.SENTINEL_DATE)).otherwise(_date_text("o_orderdate"))
+    return o.select("o_orderkey", F.date_format(C.quote_date(text), "yyyy-MM-dd").alias("quote_date"))
+
+
 QUERIES = {
     "q_company_items": q_company_items,
     "q_link_extract": q_link_extract,
@@ -218,4 +440,22 @@ QUERIES = {
     "q_level_repair": q_level_repair,
     "q_company_index_join": q_company_index_join,
     "q_sector_rollup": q_sector_rollup,
+    "q_company_fallback": q_company_fallback,
+    "q_time_periods_zip": q_time_periods_zip,
+    "q_abbreviation": q_abbreviation,
+    "q_after_last": q_after_last,
+    "q_number_clean": q_number_clean,
+    "q_reject_split": q_reject_split,
+    "q_json_props": q_json_props,
+    "q_dict_literal": q_dict_literal,
+    "q_export_load": q_export_load,
+    "q_append_history": q_append_history,
+    "q_row_counts": q_row_counts,
+    "q_file_audit": q_file_audit,
+    "q_run_daily": q_run_daily,
+    "q_export_rounding": q_export_rounding,
+    "q_schema_drift": q_schema_drift,
+    "q_retention": q_retention,
+    "q_latest_row": q_latest_row,
+    "q_quote_date": q_quote_date,
 }

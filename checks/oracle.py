@@ -284,6 +284,146 @@ SELECT sector, market_name, count(*) AS n_companies, sum(market_cap) AS total_ma
 FROM companies GROUP BY ROLLUP (sector, market_name)"""
 
 
+def signed(v: str) -> str:
+    return f"(CASE WHEN {v} >= 0 THEN '+' ELSE '' END || format('{{:,.2f}}', {v}))"
+
+
+OD = "CAST((c_custkey * 37) % 2001 - 1000 AS DOUBLE) / 100"
+YTD = "CAST((c_custkey * 53) % 40001 - 20000 AS DOUBLE) / 100"
+
+COMPANY_FALLBACK = f"""
+SELECT CASE WHEN c_custkey % 2 = 1 THEN c_name || ' & Co' ELSE c_name END AS company_name,
+  CASE WHEN c_custkey % 7 = 0 THEN 'N/A' ELSE {signed(OD)} || '%' END AS one_day,
+  CASE WHEN c_custkey % 11 = 0 THEN 'N/A' ELSE {signed(YTD)} || '%' END AS ytd
+FROM customer"""
+
+TIME_PERIODS_ZIP = """
+WITH k AS (
+  SELECT l_orderkey, row_number() OVER (
+           PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag || l_linestatus, l_quantity) AS i,
+         l_returnflag || l_linestatus AS key
+  FROM lineitem),
+v AS (
+  SELECT l_orderkey, row_number() OVER (
+           PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag || l_linestatus, l_quantity) AS i,
+         CAST(l_linenumber AS VARCHAR) AS value
+  FROM lineitem WHERE l_quantity < 25),
+z AS (SELECT k.l_orderkey, k.i, k.key, v.value FROM k JOIN v ON k.l_orderkey = v.l_orderkey AND k.i = v.i),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, key ORDER BY i DESC) AS rn FROM z)
+SELECT l_orderkey AS o_orderkey, key, value FROM r WHERE rn = 1"""
+
+ABBREVIATION = """
+WITH l AS (
+  SELECT c_custkey,
+    CASE WHEN c_custkey % 14 = 12 THEN NULL
+         WHEN c_custkey % 7 = 5 THEN ''
+         WHEN c_custkey % 7 = 0 THEN c_name
+         WHEN c_custkey % 7 = 1 THEN c_name || ' (X' || c_custkey || ') (Y)'
+         WHEN c_custkey % 7 = 2 THEN c_name || ' ()'
+         WHEN c_custkey % 7 = 3 THEN c_name || ' (N' || chr(10) || c_custkey || ')'
+         WHEN c_custkey % 7 = 4 THEN c_name || ' (R' || chr(13) || c_custkey || ')'
+         ELSE c_name || ' (' || c_mktsegment || ')' END AS label
+  FROM customer)
+SELECT c_custkey,
+  CASE WHEN label IS NULL OR label = '' THEN label
+       WHEN regexp_matches(label, '\\((.*?)\\)') THEN regexp_extract(label, '\\((.*?)\\)', 1)
+       ELSE 'Abbreviation not found' END AS abbreviation
+FROM l"""
+
+AFTER_LAST = f"""
+WITH t AS (SELECT o_orderkey, strftime(o_orderdate, '%d-%b-%Y') AS d FROM orders),
+x AS (SELECT o_orderkey,
+        CASE WHEN o_orderkey % 3 = 0 THEN 'As of ' || d
+             WHEN o_orderkey % 3 = 1 THEN 'x As of y As of ' || d || '  '
+             ELSE '  ' || d END AS text
+      FROM t)
+SELECT o_orderkey, {strip("split_part(text, 'As of', -1)")} AS date_part FROM x"""
+
+NUMBER_CLEAN = """
+SELECT o_orderkey,
+  CASE WHEN o_orderkey % 10 IN (0, 1, 2) THEN NULL ELSE o_totalprice END AS index_value,
+  CASE WHEN o_orderkey % 10 IN (0, 1, 2) THEN NULL ELSE o_totalprice END AS one_day
+FROM orders"""
+
+REJECT_SPLIT = """
+SELECT o_orderkey,
+  CASE WHEN o_orderkey % 12 IN (0, 1, 2, 4, 5, 8) THEN 'rejected' ELSE 'valid' END AS status,
+  CASE o_orderkey % 12 WHEN 0 THEN 'price:not_a_number' WHEN 1 THEN 'price:not_a_number'
+       WHEN 2 THEN 'price:not_finite' WHEN 4 THEN 'price:not_a_number'
+       WHEN 5 THEN 'company_name:too_long'
+       WHEN 8 THEN 'price:not_finite;market_cap:not_a_number' END AS reject_reason,
+  CASE WHEN o_orderkey % 12 IN (0, 1, 2, 4, 8) THEN NULL
+       WHEN o_orderkey % 12 = 3 THEN CAST('nan' AS DOUBLE) ELSE o_totalprice END AS price,
+  CAST(CASE WHEN o_orderkey % 12 = 5 THEN 300 WHEN o_orderkey % 12 = 6 THEN 255
+            ELSE length('Order ' || o_orderkey) END AS INTEGER) AS name_length
+FROM orders"""
+
+JSON_ENTRIES = """
+  je AS (SELECT event_id, unnest(json_keys(props)) AS key, props FROM events),
+  jv AS (SELECT event_id, key, json_extract_string(props, '$."' || key || '"') AS value FROM je)"""
+
+JSON_PROPS = f"""WITH {JSON_ENTRIES}
+SELECT event_id, key, value, '{{"' || key || '":"' || value || '"}}' AS entry_json FROM jv"""
+
+DICT_LITERAL = f"""WITH {JSON_ENTRIES}
+SELECT event_id, key, value FROM jv"""
+
+APPEND_HISTORY = """
+SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS min_id, count(*) AS max_id, count(*) AS n_ids,
+       count(DISTINCT o_orderkey) AS n_orders
+FROM orders"""
+
+ROW_COUNTS = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}"
+    for t in ("region nation customer supplier part orders lineitem events documents "
+              "embeddings pages benchmark labels conversations").split())
+
+FILE_AUDIT = """
+SELECT 'orders' AS dataset, 'landed_empty' AS "check", CAST(0 AS BIGINT) AS value, false AS flag
+UNION ALL SELECT 'orders', 'landed_rows', count(*), count(*) = 0 FROM orders
+UNION ALL SELECT 'orders', 'landed_blank', 0, false"""
+
+
+def _daily_rows(kind: str, records: str, valid: str, rejected: str) -> str:
+    rows = [("records", records), ("valid", valid), ("rejected", rejected),
+            ("links_refused", "n_menus"), ("links_unresolved", "n_menus"), ("history_rows", valid),
+            ("landed_empty", "0"), ("landed_rows", valid), ("landed_blank", "0"),
+            ("unexpected_fields", "0"), ("loaded_rows", valid)]
+    return " UNION ALL ".join(
+        f"SELECT '{kind}' AS dataset, '{c}' AS \"check\", CAST({v} AS BIGINT) AS value, false AS flag FROM tot"
+        for c, v in rows)
+
+
+RUN_DAILY = f"""WITH {MARKETS},
+  tot AS (
+    SELECT (SELECT count(*) FROM ix) AS n_markets,
+           (SELECT count(*) FROM ix WHERE reject_reason IS NULL) AS n_valid_ix,
+           (SELECT count(*) FROM customer) AS n_customers,
+           (SELECT count(*) FROM (SELECT DISTINCT nk, block // 25 FROM mk)) AS n_menus)
+{_daily_rows('indices', 'n_markets', 'n_valid_ix', 'n_markets - n_valid_ix')}
+UNION ALL
+{_daily_rows('companies', 'n_customers', 'n_customers', '0')}"""
+
+EXPORT_ROUNDING = """
+SELECT l_orderkey, l_linenumber, round(l_extendedprice / l_quantity, 10) AS ratio FROM lineitem"""
+
+SCHEMA_DRIFT = """
+SELECT 'note' AS field, count(*) AS rows FROM customer WHERE c_custkey % 2 = 1"""
+
+RETENTION = """
+WITH d AS (SELECT CAST(ts AS DATE) AS ds, count(*) AS n_events FROM events GROUP BY 1)
+SELECT strftime(ds, '%Y-%m-%d') AS ds, n_events, ((SELECT max(ds) FROM d) - ds) < 13 AS kept FROM d"""
+
+LATEST_ROW = """
+SELECT user_id, event_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1"""
+
+QUOTE_DATE = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS quote_date
+FROM orders"""
+
+
 ORACLE = {
     "q_company_items": COMPANY_ITEMS,
     "q_link_extract": LINK_EXTRACT,
@@ -302,4 +442,22 @@ ORACLE = {
     "q_level_repair": LEVEL_REPAIR,
     "q_company_index_join": COMPANY_INDEX_JOIN,
     "q_sector_rollup": SECTOR_ROLLUP,
+    "q_company_fallback": COMPANY_FALLBACK,
+    "q_time_periods_zip": TIME_PERIODS_ZIP,
+    "q_abbreviation": ABBREVIATION,
+    "q_after_last": AFTER_LAST,
+    "q_number_clean": NUMBER_CLEAN,
+    "q_reject_split": REJECT_SPLIT,
+    "q_json_props": JSON_PROPS,
+    "q_dict_literal": DICT_LITERAL,
+    "q_export_load": COMPANY_ITEMS,
+    "q_append_history": APPEND_HISTORY,
+    "q_row_counts": ROW_COUNTS,
+    "q_file_audit": FILE_AUDIT,
+    "q_run_daily": RUN_DAILY,
+    "q_export_rounding": EXPORT_ROUNDING,
+    "q_schema_drift": SCHEMA_DRIFT,
+    "q_retention": RETENTION,
+    "q_latest_row": LATEST_ROW,
+    "q_quote_date": QUOTE_DATE,
 }

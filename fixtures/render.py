@@ -280,3 +280,54 @@ def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise(F.concat(F.lit(HOST + "/en/"), href))
     return m.select(mid.alias("page_id"), url.alias("url"), html.alias("html"), label.alias("market"),
                     href.alias("href"))
+
+
+# ---------------------------------------------------------------------------
+# Menu (seed) pages for the whole daily job: one per (nation, group of 25 blocks).
+
+MENU_GROUP = 25
+
+
+def menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(page_id, url, html)`` menu pages linking every market.
+
+    Each menu page also holds one anchor without href (B4), its first link
+    repeated with another label (B6), a link to a market that has no page (B8)
+    and anchors outside the menu block or without the menu class (ignored).
+    """
+    m = market_stats(spark, sf_dir).select("mid", "nk", "n_name", "block")
+    label = market_label(F.col("nk"), F.col("n_name"), F.col("block"))
+    slug = F.concat(F.lower(F.col("n_name")), F.lit("-"), F.col("block").cast("string"))
+    href = F.when(F.col("nk") % 5 == 2, F.concat(F.lit("/fr/bourse/"), slug)) \
+            .otherwise(F.concat(F.lit("/en/stock-markets/"), slug))
+    li = F.concat(F.lit('<li><a class="menu-market-link" href="'), href, F.lit('">'),
+                  F.replace(label, F.lit("&"), F.lit("&amp;")), F.lit("</a></li>"))
+    items = m.select("nk", (F.col("block") / MENU_GROUP).cast("bigint").alias("grp"), "mid",
+                     li.alias("li"), href.alias("href"))
+    pages = items.groupBy("nk", "grp").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("mid", "li"))), lambda x: x["li"]), "")
+        .alias("body"),
+        F.min_by("href", "mid").alias("first_href"))
+    closed = F.concat(F.lit("/en/stock-markets/closed-"), F.col("nk").cast("string"), F.lit("-"),
+                      F.col("grp").cast("string"))
+    html = F.concat(
+        F.lit('<!DOCTYPE html><html><head><title>Markets</title></head><body>'
+              '<nav><a class="menu-market-link" href="/en/about">About</a></nav>'
+              '<div class="mega-inner"><ul>'), F.col("body"),
+        F.lit('<li><a class="menu-market-link">Coming soon</a></li>'),
+        F.lit('<li><a class="menu-market-link" href="'), F.col("first_href"), F.lit('">Again</a></li>'),
+        F.lit('<li><a class="menu-market-link" href="'), closed, F.lit('">Closed (CL)</a></li>'),
+        F.lit('<li><a href="/en/news">News</a></li></ul></div></body></html>'))
+    return pages.select(
+        (F.col("grp") * 1000 + F.col("nk")).cast("bigint").alias("page_id"),
+        F.concat(F.lit(HOST + "/en/menu/"), F.col("nk").cast("string"), F.lit("/"),
+                 F.col("grp").cast("string")).alias("url"),
+        html.alias("html"))
+
+
+def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fetched page of the site: menus, index pages and listing pages."""
+    menus = menu_pages(spark, sf_dir).select((F.col("page_id") * 10).alias("page_id"), "url", "html")
+    index = index_pages(spark, sf_dir).select((F.col("page_id") * 10 + 1).alias("page_id"), "url", "html")
+    listing = company_pages(spark, sf_dir).select((F.col("page_id") * 10 + 2).alias("page_id"), "url", "html")
+    return menus.unionByName(index).unionByName(listing)

@@ -34,7 +34,7 @@ def latest_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def quote_date(c: str | Column) -> Column:
     """``dd-MMM-yyyy`` text -> date; sentinels and bad text -> null."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_date(col, F.lit("dd-MMM-yyyy"))
+    return F.try_to_date(col, "dd-MMM-yyyy")
 
 
 def period_returns(indices: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFrame:
