@@ -213,15 +213,12 @@ def q_company_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_time_periods_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order, keys = line flags, values = line numbers of small lines; zip, last key wins."""
-    li = _t(spark, sf_dir, "lineitem")
-    lines = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
-        "l_linenumber", F.concat("l_returnflag", "l_linestatus").alias("k"), "l_quantity"))).alias("ls"))
-    keys = F.transform("ls", lambda x: x["k"])
-    values = F.transform(F.filter("ls", lambda x: x["l_quantity"] < 25),
-                         lambda x: x["l_linenumber"].cast("string"))
-    zipped = lines.select(F.col("l_orderkey").alias("o_orderkey"), M.zip_map(keys, values).alias("m"))
-    return zipped.select("o_orderkey", F.explode("m").alias("key", "value"))
+    """Period tables of every index page zipped (longer values, duplicate keys, none), long form.
+
+    The zip runs inside each page's row, so no key can concentrate work.
+    """
+    st = _index_staged(spark, sf_dir)
+    return st.select("page_id", F.explode("time_periods").alias("key", "value"))
 
 
 def q_abbreviation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -218,14 +218,16 @@ SELECT page_id, current_date, index_abbreviation, indice_name, index_value, inde
   extract_error, reject_reason
 FROM ix"""
 
-PERIOD_RETURNS = f"""WITH {MARKETS},
+SHAPES = """
   shapes(shape, period, j) AS (VALUES
     (0, '1M', 0), (0, '3M', 1), (0, 'YTD', 2), (0, '1Y', 3),
     (1, '1M', 0), (1, '3M', 1), (1, 'YTD', 2), (1, '1Y', 3), (1, '2Y', 4),
     (2, '1M', 2), (2, '3M', 1), (2, 'YTD', 3),
     (4, '1M', 0), (4, '3M', 1), (4, 'YTD', 2),
     (5, '1M', 0), (5, '3M', 1), (5, 'YTD', 2), (5, '1Y', 3), (5, '2Y', 4),
-    (6, '1M', 0), (6, '3M', 1), (6, 'YTD', 2), (6, '1Y', 3), (6, '2Y', 4))
+    (6, '1M', 0), (6, '3M', 1), (6, 'YTD', 2), (6, '1Y', 3), (6, '2Y', 4))"""
+
+PERIOD_RETURNS = f"""WITH {MARKETS}, {SHAPES}
 SELECT page_id, period, CAST((mid * (j + 3) * 17) % 4001 - 2000 AS DOUBLE) / 100 AS pct
 FROM ix JOIN shapes ON shapes.shape = ix.mid % 7
 WHERE reject_reason IS NULL"""
@@ -297,20 +299,11 @@ SELECT CASE WHEN c_custkey % 2 = 1 THEN c_name || ' & Co' ELSE c_name END AS com
   CASE WHEN c_custkey % 11 = 0 THEN 'N/A' ELSE {signed(YTD)} || '%' END AS ytd
 FROM customer"""
 
-TIME_PERIODS_ZIP = """
-WITH k AS (
-  SELECT l_orderkey, row_number() OVER (
-           PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag || l_linestatus, l_quantity) AS i,
-         l_returnflag || l_linestatus AS key
-  FROM lineitem),
-v AS (
-  SELECT l_orderkey, row_number() OVER (
-           PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag || l_linestatus, l_quantity) AS i,
-         CAST(l_linenumber AS VARCHAR) AS value
-  FROM lineitem WHERE l_quantity < 25),
-z AS (SELECT k.l_orderkey, k.i, k.key, v.value FROM k JOIN v ON k.l_orderkey = v.l_orderkey AND k.i = v.i),
-r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, key ORDER BY i DESC) AS rn FROM z)
-SELECT l_orderkey AS o_orderkey, key, value FROM r WHERE rn = 1"""
+PV = "CAST((mid * (j + 3) * 17) % 4001 - 2000 AS DOUBLE) / 100"
+
+TIME_PERIODS_ZIP = f"""WITH {MARKETS}, {SHAPES}
+SELECT page_id, period AS key, {signed(PV)} || '%' AS value
+FROM ix JOIN shapes ON shapes.shape = ix.mid % 7"""
 
 ABBREVIATION = """
 WITH l AS (

@@ -33,6 +33,13 @@ def signed(v: Column, decimals: int = 2, suffix: str = "") -> Column:
                     F.format_number(v, decimals), F.lit(suffix))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rendered pages are few and small; keep one partition per core so that
+    extraction downstream is not squeezed into the single partition AQE would
+    coalesce them into."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _page(rows: DataFrame, key_cols: list[str], order_col: str, html_col: str,
           extra: list[Column]) -> DataFrame:
     """Group rendered rows into pages, document order by ``order_col``."""
@@ -130,9 +137,9 @@ def company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<table class="tabtable-rs_01k0jris table"><thead><tr><th>Company</th><th>Sector</th>'
               '<th>Price</th><th>1D</th><th>YTD</th><th>M Cap</th><th>Date</th></tr></thead>\n<tbody>\n'),
         F.col("body"), F.lit("</tbody></table><!-- end of list --></body></html>"))
-    return pages.select(
+    return _spread(pages.select(
         (F.col("block") * 100 + F.col("c_nationkey")).cast("bigint").alias("page_id"),
-        company_page_url(F.col("href")).alias("url"), html.alias("html"), "market")
+        company_page_url(F.col("href")).alias("url"), html.alias("html"), "market"))
 
 
 # ---------------------------------------------------------------------------
@@ -278,8 +285,8 @@ def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     href = F.when(nk % 5 == 2, F.concat(F.lit("/fr/bourse/"), slug)).otherwise(F.concat(F.lit("/en/stock-markets/"), slug))
     url = F.when(href.startswith("/en/") | href.startswith("/fr/"), F.concat(F.lit(HOST), href)) \
            .otherwise(F.concat(F.lit(HOST + "/en/"), href))
-    return m.select(mid.alias("page_id"), url.alias("url"), html.alias("html"), label.alias("market"),
-                    href.alias("href"))
+    return _spread(m.select(mid.alias("page_id"), url.alias("url"), html.alias("html"), label.alias("market"),
+                            href.alias("href")))
 
 
 # ---------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import text as X
+from .sizing import broadcast_if_small
 
 # Magnitude words in summary keys.
 MAGNITUDE_WORDS = {"Mln": 1e6, "Millions": 1e6, "Bln": 1e9, "Billions": 1e9}
@@ -76,18 +77,21 @@ def level_repair(indices: DataFrame) -> DataFrame:
                   .withColumn("level_repaired", repaired)
 
 
-def company_index_join(companies: DataFrame, indices: DataFrame) -> DataFrame:
+def company_index_join(companies: DataFrame, indices: DataFrame,
+                       max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Companies joined to their market's index through the label abbreviation.
 
     Index rows without a usable abbreviation (sentinel or empty) do not join.
-    Both sides are hash-partitioned on the abbreviation (no broadcast: either
-    side may grow with the data).
+    The index side holds about one row per market per day; when a bounded
+    count proves it small it is broadcast, so the company side is never
+    shuffled and a market holding a third of all companies cannot create a hot
+    reducer.  Beyond the bound it is a shuffle join with AQE skew handling.
     """
     c = companies.withColumn("_abbr", X.paren_group("market_name"))
     i = indices.filter((F.col("index_abbreviation") != S.SENTINEL_ABBREVIATION)
-                       & (F.col("index_abbreviation") != ""))
-    return c.join(i.withColumnRenamed("id", "index_id"), c["_abbr"] == i["index_abbreviation"], "inner") \
-            .drop("_abbr")
+                       & (F.col("index_abbreviation") != "")).withColumnRenamed("id", "index_id")
+    i = broadcast_if_small(i, max_broadcast_rows)
+    return c.join(i, c["_abbr"] == i["index_abbreviation"], "inner").drop("_abbr")
 
 
 def sector_rollup(companies: DataFrame, dims: tuple[str, ...] = ("sector", "market_name")) -> DataFrame:

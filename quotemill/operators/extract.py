@@ -15,6 +15,7 @@ from ..functions import html as H
 from ..functions import maps as M
 from ..functions import text as X
 from ..functions.core import let
+from .sizing import spread
 
 
 def _scope(fragment: Column, tag: str, cls: str | None = None, attrs=None) -> Column:
@@ -32,7 +33,7 @@ def index_items(resolved: DataFrame, content_start: str | None = None,
     for records the source lost (heading without text, summary cell without
     span text).
     """
-    base = resolved.select("page_id", "url", "market", H.clean_html("html").alias("doc"))
+    base = spread(resolved).select("page_id", "url", "market", H.clean_html("html").alias("doc"))
     if content_start:
         base = base.withColumn("content", H.block_between("doc", content_start, content_end))
     else:
@@ -97,7 +98,7 @@ def company_items(resolved: DataFrame) -> DataFrame:
     tables = H.elements(doc, "table", S.COMPANY_TABLE_CLASS)
     bodies = F.flatten(F.transform(tables, lambda t: H.elements(t, "tbody")))
     rows = F.flatten(F.transform(bodies, lambda b: H.elements(b, "tr")))
-    exploded = resolved.select("page_id", "market", F.posexplode(rows).alias("row_pos", "row"))
+    exploded = spread(resolved).select("page_id", "market", F.posexplode(rows).alias("row_pos", "row"))
 
     row = F.col("row")
     c1, c2, c3, c4, c5, c6, c7 = S.COMPANY_CELL_CLASSES

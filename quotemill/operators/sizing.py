@@ -20,3 +20,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     if bounded_count(df, max_rows) <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work at least one partition per core.
+
+    Parsing pages is CPU-bound.  A page table stored in fewer splits than the
+    cluster has cores (a small file, one row group) would leave cores idle, so
+    it is spread round-robin.  When the input already has enough splits -- any
+    realistically sized table -- this is a no-op and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

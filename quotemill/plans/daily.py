@@ -84,7 +84,7 @@ def run_daily(spark: SparkSession, pages: DataFrame, seeds, base: str, ds,
         valid = V.valid_rows(stage_df.filter(F.col("status") == "valid"), kind)
         rejects = V.reject_rows(stage_df.filter(F.col("status") == "rejected"), kind)
         rejects.write.mode("overwrite").parquet(f"{base}/rejects/{kind}/ds={key}")
-        W.append_with_ids(spark, valid, f"{base}/history/{kind}", schema)
+        W.append_with_ids(spark, valid, f"{base}/history/{kind}", schema, stable_input=True)
 
         counts = stage_df.groupBy().agg(
             F.count("*").alias("records"),

@@ -28,17 +28,20 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
-def assign_ids(df: DataFrame, start: int | Column = 1, col: str = "id") -> DataFrame:
+def assign_ids(df: DataFrame, start: int | Column = 1, col: str = "id",
+               stable_input: bool = False) -> DataFrame:
     """Dense increasing ids ``start, start+1, ...`` without a global window.
 
     Pass 1 counts rows per partition; the offsets table has one row per
     partition (bounded by the partition count, not the data) and is broadcast;
-    pass 2 adds offset + position within the partition.  The input is
-    checkpointed first so both passes see identical partitions and order.
+    pass 2 adds offset + position within the partition.  Both passes must see
+    identical partitions and row order: unless the caller states that the input
+    is a plain file scan (``stable_input``), it is checkpointed first.
     """
     tagged = (df.withColumn("_pid", F.spark_partition_id())
               .withColumn("_row", F.monotonically_increasing_id()))
-    tagged = tagged.checkpoint(eager=True)
+    if not stable_input:
+        tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_pid").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -60,10 +63,11 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def append_with_ids(spark: SparkSession, valid: DataFrame, path: str, schema: T.StructType) -> None:
+def append_with_ids(spark: SparkSession, valid: DataFrame, path: str, schema: T.StructType,
+                    stable_input: bool = False) -> None:
     """Create if absent, number after the current max id, append in column order."""
     ensure_table(spark, path, schema)
-    with_ids = assign_ids(valid, next_id(spark, path))
+    with_ids = assign_ids(valid, next_id(spark, path), stable_input=stable_input)
     append(with_ids.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), path)
 
 
