@@ -120,14 +120,19 @@ def resolve_links(links: DataFrame, pages: DataFrame, url_col: str = "target_url
     when ``label`` is carried).  The link side is broadcast when a bounded
     count proves it small, so page HTML is never shuffled; otherwise the join
     falls back to a shuffle join chosen by AQE.
+
+    Unresolved links are found against the URLs the join reached (at most one
+    row per link target), not against the whole page table, so the page URL
+    column is never shuffled either.
     """
     side = links.select(F.col(url_col).alias("_target"), *[F.col(c) for c in carry])
     side = broadcast_if_small(side, max_broadcast_rows)
     joined = pages.join(side, pages["url"] == side["_target"], "inner").drop("_target")
     if "label" in carry:
         joined = joined.withColumnRenamed("label", "market")
-    page_urls = pages.select(F.col("url").alias("_url"))
-    unresolved = links.join(page_urls, links[url_col] == page_urls["_url"], "left_anti")
+    reached = pages.select("url").join(side.select("_target"), F.col("url") == F.col("_target"), "inner") \
+                   .select(F.col("_target").alias("_reached")).distinct()
+    unresolved = links.join(reached, links[url_col] == reached["_reached"], "left_anti")
     return joined, unresolved
 
 

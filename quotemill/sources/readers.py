@@ -10,24 +10,39 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import text as X
-from ..operators.sizing import broadcast_if_small
+from ..operators.sizing import bounded_count, broadcast_if_small
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """A1/A2: the table of fetched pages ``(page_id, url, html)``."""
-    return spark.read.schema(S.PAGES).parquet(path)
+def read_pages(spark: SparkSession, path: str, ds=None) -> DataFrame:
+    """A1/A2: the table of fetched pages ``(page_id, url, html)``.
+
+    A page archive at scale is stored partitioned by fetch date ``ds``
+    (``yyyyMMdd``); passing ``ds`` reads that one partition (partition pruning),
+    so a daily run never scans the archive's HTML.
+    """
+    if ds is None:
+        return spark.read.schema(S.PAGES).parquet(path)
+    schema = T.StructType(S.PAGES.fields + [T.StructField("ds", T.StringType(), True)])
+    return (spark.read.schema(schema).parquet(path)
+            .filter(F.col("ds") == ds_key(ds)).drop("ds"))
 
 
-def seed_pages(pages: DataFrame, seeds, max_broadcast_rows: int = 100_000) -> DataFrame:
+def seed_pages(pages: DataFrame, seeds, max_listed: int = 1_000,
+               max_broadcast_rows: int = 100_000) -> DataFrame:
     """A1: the pages that carry the market menu.
 
     ``seeds`` is a list of URLs (the source had one) or a one-column DataFrame of
-    URLs; a DataFrame is joined as a left-semi join, broadcast when its size is
-    proven small.
+    URLs.  Up to ``max_listed`` URLs (proven by a bounded count) become an
+    ``IN`` filter that is pushed into the page scan; more are joined as a
+    left-semi join, broadcast when proven small.
     """
     if isinstance(seeds, DataFrame):
-        s = broadcast_if_small(seeds.select(F.col(seeds.columns[0]).alias("_seed")), max_broadcast_rows)
-        return pages.join(s, pages["url"] == s["_seed"], "left_semi")
+        s = seeds.select(F.col(seeds.columns[0]).alias("_seed")).distinct()
+        if bounded_count(s, max_listed) <= max_listed:
+            seeds = [r[0] for r in s.collect()]
+        else:
+            s = broadcast_if_small(s, max_broadcast_rows)
+            return pages.join(s, pages["url"] == s["_seed"], "left_semi")
     return pages.filter(F.col("url").isin(list(seeds)))
 
 
