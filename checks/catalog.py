@@ -33,15 +33,15 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _nav_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.extract_links(_t(spark, sf_dir, "pages"), scope_tag="nav")
+def _nav_links(spark: SparkSession, sf_dir: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    pages = _t(spark, sf_dir, "pages").withColumn(
+        "lang", F.regexp_extract("html", r'<html[^>]*\slang="([^"]*)"', 1))
+    return L.extract_links(pages, scope_tag="nav", carry=carry)
 
 
 def _href_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each nav link's href as found, prefixed with '/<page lang>', with '<lang>', and blank."""
-    pages = _t(spark, sf_dir, "pages").select(
-        "page_id", F.regexp_extract("html", r'<html[^>]*\slang="([^"]*)"', 1).alias("lang"))
-    links = _nav_links(spark, sf_dir).join(pages, "page_id")
+    links = _nav_links(spark, sf_dir, carry=("lang",))
     variants = F.array(
         F.col("href"), F.concat(F.lit("/"), F.col("lang"), F.col("href")),
         F.concat(F.col("lang"), F.col("href")),
@@ -85,10 +85,8 @@ def q_offsite_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dedupe_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links resolved against their page, one row per canonical URL, first label wins."""
-    pages = _t(spark, sf_dir, "pages").select("page_id", "url")
-    links = (_nav_links(spark, sf_dir).join(pages, "page_id")
-             .select("page_id", "pos", "label", "href",
-                     L.absolute_url("url", "href").alias("target_url")))
+    links = _nav_links(spark, sf_dir, carry=("url",)).select(
+        "page_id", "pos", "label", "href", L.absolute_url("url", "href").alias("target_url"))
     return L.dedupe_links(links).select("canonical_url", "page_id", "pos", "label", "href")
 
 
@@ -113,9 +111,8 @@ def q_link_page_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_unresolved_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links whose target page was not fetched (menu hrefs and the dangling next link)."""
     pages = _t(spark, sf_dir, "pages")
-    base = pages.select("page_id", "url")
-    menu = (_nav_links(spark, sf_dir).join(base, "page_id")
-            .select("page_id", "pos", L.absolute_url("url", "href").alias("target_url")))
+    menu = _nav_links(spark, sf_dir, carry=("url",)).select(
+        "page_id", "pos", L.absolute_url("url", "href").alias("target_url"))
     nxt = _next_page_links(spark, sf_dir).select("page_id", F.lit(-1).alias("pos"), "target_url")
     _, unresolved = L.resolve_links(menu.unionByName(nxt), pages, carry=("page_id",))
     return unresolved.select("page_id", F.col("pos").cast("int"), "target_url")

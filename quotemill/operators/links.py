@@ -18,12 +18,14 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def extract_links(pages: DataFrame, scope_tag: str | None = None, scope_class: str | None = None,
-                  anchor_class: str | None = None) -> DataFrame:
-    """B1 + C13: one row per anchor, ``(page_id, pos, label, href)``, document order.
+                  anchor_class: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """B1 + C13: one row per anchor, ``(page_id, pos, label, href, *carry)``, document order.
 
     ``label`` is the anchor's first direct text (``a::text`` ``.get()``), ``href``
     its attribute value (null when absent); both entity-decoded, neither
     stripped.  With a scope, only anchors inside the scope element(s) count.
+    ``carry`` names page columns (e.g. ``url``) to keep on every link, so that
+    nothing has to be joined back to the page table later.
     Narrow: no shuffle; each page is handled in the task that read it.
     """
     doc = H.clean_html("html")
@@ -34,9 +36,9 @@ def extract_links(pages: DataFrame, scope_tag: str | None = None, scope_class: s
     parsed = F.transform(anchors, lambda a: F.struct(
         H.first_text(F.regexp_replace(a, r"(?is)^<a\b[^>]*>|</a\s*>$", "")).alias("label"),
         H.attr_value(F.regexp_extract(a, r"(?is)^<a\b[^>]*>", 0), "href").alias("href")))
-    return (spread(pages).select("page_id", F.posexplode(parsed).alias("pos", "link"))
+    return (spread(pages).select("page_id", *carry, F.posexplode(parsed).alias("pos", "link"))
             .select(F.col("page_id").cast("bigint"), F.col("pos").cast("int"),
-                    "link.label", "link.href"))
+                    "link.label", "link.href", *carry))
 
 
 def index_page_url(href: ColumnOrName, host: str = schemas.DEFAULT_HOST,
