@@ -15,7 +15,7 @@ from ..functions import html as H
 from ..functions import maps as M
 from ..functions import text as X
 from ..functions.core import let
-from .sizing import spread
+from .sizing import fence, spread
 
 
 def _scope(fragment: Column, tag: str, cls: str | None = None, attrs=None) -> Column:
@@ -72,7 +72,7 @@ def index_items(resolved: DataFrame, content_start: str | None = None,
         F.when(name_lost, F.lit("index_name_without_text")),
         F.when(cell_lost, F.lit("summary_cell_without_span"))))
     date_text = F.col("_date_text")
-    return staged.select(
+    return fence(staged.select(
         "page_id", "url",
         F.when(date_text.isNull() | (date_text == ""), F.lit(S.SENTINEL_DATE))
          .otherwise(X.after_last(date_text, S.DATE_MARKER)).alias("current_date"),
@@ -85,7 +85,7 @@ def index_items(resolved: DataFrame, content_start: str | None = None,
         F.when(cell_lost, F.lit(None).cast(S.MAP_SS))
          .otherwise(M.entries_to_map("_kvs")).alias("market_summary"),
         "time_periods",
-        F.nullif(F.array_join(errors, ";"), F.lit("")).alias("extract_error"))
+        F.nullif(F.array_join(errors, ";"), F.lit("")).alias("extract_error")))
 
 
 def company_items(resolved: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def company_items(resolved: DataFrame) -> DataFrame:
         return let(_scope(row, "td", cls), lambda cell: X.first_nonempty(
             H.first_text_of(cell, "font"), H.first_text_of(cell, "p")))
 
-    return exploded.select(
+    return fence(exploded.select(
         "page_id", F.col("row_pos").cast("int").alias("row_pos"),
         X.strip_or_default(H.first_text_of(_scope(row, "td", c1), "a")).alias("company_name"),
         X.strip_or_default(cell_text(c2)).alias("sector"),
@@ -119,4 +119,4 @@ def company_items(resolved: DataFrame) -> DataFrame:
         X.strip_or_default(fallback_text(c5)).alias("ytd"),
         X.strip_or_default(cell_text(c6)).alias("market_cap"),
         X.strip_or_default(cell_text(c7)).alias("date"),
-        F.col("market").alias("market_name"))
+        F.col("market").alias("market_name")))

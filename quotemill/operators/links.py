@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import html as H
 from ..functions.core import let
-from .sizing import broadcast_if_small, spread
+from .sizing import broadcast_if_small, fence, spread
 
 ColumnOrName = Column | str
 
@@ -36,9 +36,9 @@ def extract_links(pages: DataFrame, scope_tag: str | None = None, scope_class: s
     parsed = F.transform(anchors, lambda a: F.struct(
         H.first_text(F.regexp_replace(a, r"(?is)^<a\b[^>]*>|</a\s*>$", "")).alias("label"),
         H.attr_value(F.regexp_extract(a, r"(?is)^<a\b[^>]*>", 0), "href").alias("href")))
-    return (spread(pages).select("page_id", *carry, F.posexplode(parsed).alias("pos", "link"))
-            .select(F.col("page_id").cast("bigint"), F.col("pos").cast("int"),
-                    "link.label", "link.href", *carry))
+    return fence(spread(pages).select("page_id", *carry, F.posexplode(parsed).alias("pos", "link"))
+                 .select(F.col("page_id").cast("bigint"), F.col("pos").cast("int"),
+                         "link.label", "link.href", *carry))
 
 
 def index_page_url(href: ColumnOrName, host: str = schemas.DEFAULT_HOST,

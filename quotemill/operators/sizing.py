@@ -22,15 +22,50 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return df
 
 
+_SCAN_ONLY = {"FileSourceScanExec", "ProjectExec", "FilterExec", "ColumnarToRowExec",
+              "InputAdapter", "WholeStageCodegenExec", "RowDataSourceScanExec", "BatchScanExec"}
+
+
+def _scan_only(df: DataFrame) -> bool:
+    """True when the physical plan is scan -> filter -> project only (planning, no execution)."""
+    stack = [df._jdf.queryExecution().sparkPlan()]
+    while stack:
+        node = stack.pop()
+        if node.getClass().getSimpleName() not in _SCAN_ONLY:
+            return False
+        children = node.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+    return True
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy per-row work at least one partition per core.
 
     Parsing pages is CPU-bound.  A page table stored in fewer splits than the
     cluster has cores (a small file, one row group) would leave cores idle, so
-    it is spread round-robin.  When the input already has enough splits -- any
-    realistically sized table -- this is a no-op and nothing is shuffled.
+    it is spread round-robin.  Only plain scans are considered: their split
+    count is known from the file listing without running anything, while the
+    partitioning of a shuffled input is already set by the shuffle (and AQE).
+    When the input already has enough splits -- any realistically sized
+    table -- this is a no-op and nothing is shuffled.
     """
+    if not _scan_only(df):
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+def fence(df: DataFrame) -> DataFrame:
+    """Keep later filters from re-running the projections that built ``df``.
+
+    Catalyst pushes a filter through deterministic projections by substituting
+    each referenced column with its expression, so a filter on an extracted
+    field would evaluate the whole extraction once in the filter and again in
+    the projection.  Re-emitting each row through a one-element ``inline``
+    (a Generate node) stops that: predicates on generated columns stay above
+    it, and the projections below run once per row.
+    """
+    cols = df.columns
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in cols]))))
