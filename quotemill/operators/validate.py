@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import maps as M
 from ..functions import text as X
-from .sizing import fence
+from .sizing import fence, spread
 
 KINDS = {
     "indices": (S.INDEX_NUMBER_FIELDS, S.INDEX_TEXT_LIMITS, S.INDICES),
@@ -63,7 +63,7 @@ def stage(raw: DataFrame, kind: str) -> DataFrame:
     if "extract_error" in raw.columns:
         reasons.append(F.col("extract_error"))
     reason = F.nullif(F.array_join(F.array_compact(F.array(*reasons)), ";"), F.lit(""))
-    return fence(raw.select("*", *typed, reason.alias("reject_reason")))
+    return fence(spread(raw).select("*", *typed, reason.alias("reject_reason")))
 
 
 def valid_rows(staged: DataFrame, kind: str, keep: tuple[str, ...] = ()) -> DataFrame:
