@@ -110,10 +110,18 @@ def clean_html(html: ColumnOrName) -> Column:
     return F.regexp_replace(_c(html), _SCRIPT_STYLE_COMMENT, "")
 
 
+_NAMED_MAP: list[Column] = []
+
+
+def _named_map() -> Column:
+    """The named-entity table as one map literal, built once per process."""
+    if not _NAMED_MAP:
+        _NAMED_MAP.append(F.create_map(*[F.lit(x) for kv in NAMED_ENTITIES.items() for x in kv]))
+    return _NAMED_MAP[0]
+
+
 def _entity_char(name: Column) -> Column:
-    named = F.lit(None).cast("string")
-    for k, v in NAMED_ENTITIES.items():
-        named = F.when(name == k, F.lit(v)).otherwise(named)
+    named = F.try_element_at(_named_map(), name)
     hexa = F.lower(F.substring(name, 2, 1)) == "x"
     code = F.when(hexa, F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 8))
     code_hex = F.lpad(F.hex(code.cast("bigint")), 8, "0")

@@ -22,13 +22,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return df
 
 
-_SCAN_ONLY = {"FileSourceScanExec", "ProjectExec", "FilterExec", "ColumnarToRowExec",
-              "InputAdapter", "WholeStageCodegenExec", "RowDataSourceScanExec", "BatchScanExec"}
+_SCAN_ONLY = {"LogicalRelation", "DataSourceV2Relation", "Project", "Filter", "SubqueryAlias"}
 
 
 def _scan_only(df: DataFrame) -> bool:
-    """True when the physical plan is scan -> filter -> project only (planning, no execution)."""
-    stack = [df._jdf.queryExecution().sparkPlan()]
+    """True when the plan is scan -> filter -> project only.
+
+    Walks the analyzed logical plan, which exists as soon as the DataFrame does,
+    so the check neither plans nor runs anything.
+    """
+    stack = [df._jdf.queryExecution().analyzed()]
     while stack:
         node = stack.pop()
         if node.getClass().getSimpleName() not in _SCAN_ONLY:
