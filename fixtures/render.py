@@ -207,10 +207,6 @@ def _cents(c: Column) -> Column:
     return F.format_number(c.cast("double") / 100, 2)
 
 
-def _tag(tag: str, body: Column, attrs: str = "") -> Column:
-    return F.concat(F.lit(f"<{tag}{attrs}>"), body, F.lit(f"</{tag}>"))
-
-
 def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(page_id, url, html, market, href)``: one index page per market (materialised)."""
     return _materialized(spark, sf_dir, "index", lambda: _render_index_pages(spark, sf_dir))

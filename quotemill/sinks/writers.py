@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import schemas as S
 from ..functions import maps as M
 from ..sources import readers as R
 
@@ -122,5 +121,3 @@ def expired(df: DataFrame, ds_col: str, run_date, days: int = 13) -> DataFrame:
     """The complement of ``retained`` (what the retention rule deletes)."""
     return df.filter(F.datediff(F.lit(run_date).cast("date"), F.col(ds_col).cast("date")) >= days)
 
-
-SCHEMAS = S.TABLES

@@ -1,6 +1,4 @@
 """HTML selector forms (C0-C13) as column expressions."""
-from pyspark.sql import functions as F
-
 from conftest import one_col
 from quotemill.functions import html as H
 

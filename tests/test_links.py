@@ -1,6 +1,4 @@
 """Links and URL rules: FIXTURES.md §3.4, B1-B8."""
-from pyspark.sql import functions as F
-
 from conftest import one_col
 from quotemill.operators import links as L
 
