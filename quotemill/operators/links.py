@@ -73,7 +73,13 @@ def drop_missing_href(links: DataFrame, rule: str) -> tuple[DataFrame, DataFrame
 
 
 def url_host(url: ColumnOrName) -> Column:
-    return F.lower(F.try_parse_url(_c(url), F.lit("HOST")))
+    """Host of an absolute URL, lower-cased, without user info or port (null if none).
+
+    Lenient like Python's ``urlparse``: characters that a strict URI parser
+    refuses (spaces, non-ASCII) elsewhere in the URL do not lose the host.
+    """
+    host = F.regexp_extract(_c(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^@/?#]*@)?(\[[^\]]*\]|[^:/?#]*)", 1)
+    return F.nullif(F.lower(host), F.lit(""))
 
 
 def within_domains(url: ColumnOrName, domains=schemas.DEFAULT_DOMAINS) -> Column:

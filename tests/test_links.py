@@ -35,8 +35,10 @@ def test_extract_links_scope_class_order(spark):
 
 
 def test_domains_and_canonical(spark):
-    urls = ["https://www.m.example/a", "https://x.www.m.example/a", "https://evilwww.m.example/", "nonsense"]
-    assert one_col(spark, urls, lambda c: L.within_domains(c, ["www.m.example"])) == [True, True, False, False]
+    urls = ["https://www.m.example/a", "https://x.www.m.example/a", "https://evilwww.m.example/", "nonsense",
+            "https://user@WWW.M.example:8443/a b/é"]
+    assert one_col(spark, urls, lambda c: L.within_domains(c, ["www.m.example"])) == [True, True, False, False, True]
+    assert one_col(spark, urls[-1:], L.url_host) == ["www.m.example"]
     assert one_col(spark, ["http://a/b?z=1&a=2#frag", "http://a/b"], L.canonical_url) == \
         ["http://a/b?a=2&z=1", "http://a/b"]
 
