@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill import schemas as S
+from quotemill.operators.sizing import broadcast_if_small
 from quotemill.session import checkpoint_root
 
 HOST = S.DEFAULT_HOST
@@ -138,7 +139,7 @@ def company_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<td class="col_width_7">'), date, F.lit("</td></tr>\n"))
     block = (k / ROWS_PER_PAGE).cast("bigint")
     label, href = company_market(F.col("c_nationkey"), F.col("n_name"), block)
-    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    return (c.join(broadcast_if_small(n, 1_000), c.c_nationkey == n.n_nationkey)
             .select(k, "c_nationkey", "n_name", block.alias("block"),
                     label.alias("market"), href.alias("href"), tr.alias("tr")))
 
@@ -198,7 +199,7 @@ def market_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("n_cust"), F.sum("acct_cents").alias("acct_cents"),
         F.sum("n_orders").alias("n_orders"), F.sum("order_cents").alias("order_cents"),
         F.max("last_date").alias("last_date"))
-    return (stats.join(F.broadcast(n), stats.nk == n.n_nationkey)
+    return (stats.join(broadcast_if_small(n, 1_000), stats.nk == n.n_nationkey)
             .select(market_id(F.col("nk"), F.col("block")).alias("mid"), "nk", "n_name", "block",
                     "n_cust", "acct_cents", "n_orders", "order_cents", "last_date"))
 
