@@ -64,8 +64,9 @@ _CHILD_ELEMENT = rf"(?is)<(?!(?:{VOID_TAGS})\b)([a-z][a-z0-9:-]*)\b[^>]*>.*?</\1
 _ANY_TAG = r"(?s)<[^>]*>"
 # First direct text node: skip complete child elements and stray tags (atomically,
 # so a body without text fails in linear time), then take the first text run.
+# A '<' with no '>' after it is text, as in the tag split of ``direct_texts``.
 _FIRST_TEXT = (rf"(?is)^(?>(?:<(?!(?:{VOID_TAGS})\b)([a-z][a-z0-9:-]*)\b[^>]*>.*?</\1\s*>"
-               r"|<[^>]*>)*)([^<]+)")
+               r"|<[^>]*>)*)((?:[^<]|<(?![^>]*>))+)")
 
 
 def _c(c: ColumnOrName) -> Column:

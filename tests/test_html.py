@@ -1,4 +1,5 @@
 """HTML selector forms (C0-C13) as column expressions."""
+from pyspark.sql import functions as F
 from conftest import one_col
 from quotemill.functions import html as H
 
@@ -50,3 +51,11 @@ def test_kv_cell(spark):
     out = one_col(spark, cells, H.kv_cell)
     assert [None if r is None else (r["key"], r["value"]) for r in out] == \
         [("Key", "1,0"), ("Volume", "Volume"), None]
+
+
+def test_first_text_equals_first_direct_text(spark):
+    vals = ["a < b", "<b>x</b> y", "<b>x", "x<br>y", "< b>", "<>", "a<", "<td>", " ", "<b></b><i></i>",
+            "&amp;<b>", "<font></font><p> z </p>", "\n <a>N</a>", "<b>x<b>y</b>z</b>w", "<br><b>q", "<<b>>"]
+    got = one_col(spark, vals, H.first_text)
+    want = one_col(spark, vals, lambda c: H.decode_entities(F.get(H.direct_texts(c), 0)))
+    assert got == want
