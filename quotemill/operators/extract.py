@@ -88,17 +88,25 @@ def index_items(resolved: DataFrame, content_start: str | None = None,
         F.nullif(F.array_join(errors, ";"), F.lit("")).alias("extract_error")))
 
 
-def company_items(resolved: DataFrame) -> DataFrame:
+def company_items(resolved: DataFrame, rebalance_rows: bool = False) -> DataFrame:
     """zero or more raw company records per page, one per ``tbody tr``.
 
     Adds ``page_id`` and ``row_pos`` (document order) so that results can be
     traced to their page; the eight item fields are strings.
+
+    A page is parsed by the task that holds it.  When a single page can hold a
+    large share of all rows (SURVEY K8), ``rebalance_rows`` inserts a
+    ``rebalance`` after the row split so AQE spreads the per-row cell work
+    over many tasks; it costs one shuffle of the row HTML, so it is off by
+    default.
     """
     doc = H.clean_html("html")
     tables = H.elements(doc, "table", S.COMPANY_TABLE_CLASS)
     bodies = F.flatten(F.transform(tables, lambda t: H.elements(t, "tbody")))
     rows = F.flatten(F.transform(bodies, lambda b: H.elements(b, "tr")))
     exploded = spread(resolved).select("page_id", "market", F.posexplode(rows).alias("row_pos", "row"))
+    if rebalance_rows:
+        exploded = exploded.hint("rebalance")
 
     row = F.col("row")
     c1, c2, c3, c4, c5, c6, c7 = S.COMPANY_CELL_CLASSES

@@ -67,3 +67,16 @@ def test_varchar_trailing_spaces(spark):
                     F.lit("m").alias("market_name"))
     st = V.stage(raw, "companies").first()
     assert len(st._t_company_name) == 255 and st.reject_reason == "sector:too_long"
+
+
+def test_company_items_rebalanced_rows_same_result(spark):
+    rows = "".join(f'<tr><td class="col_width_1"><a>C{i}</a></td><td class="col_width_3">{i}.5</td></tr>'
+                   for i in range(300))
+    html = f'<table class="tabtable-rs_01k0jris"><tbody>{rows}</tbody></table>'
+    pages = spark.createDataFrame([(1, "u", html, "Hot (H)"), (2, "v", COMPANY_ROW, "M (X)")],
+                                  "page_id long, url string, html string, market string")
+    plain = E.company_items(pages)
+    balanced = E.company_items(pages, rebalance_rows=True)
+    assert "RebalancePartitions" in balanced._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(plain.collect()) == sorted(balanced.collect())
+    assert plain.count() == 302
