@@ -68,3 +68,20 @@ def test_extraction_has_no_python_and_filters_stay_above_the_fence(spark):
     opt = _optimized(valid)
     assert opt.index("Filter") < opt.index("Generate inline")
     assert opt.count("subheading-category") == 2  # exists-test + text, each evaluated once
+
+
+def test_pages_by_date_prune_partitions_and_seeds_push_into_scan(spark, scratch):
+    from quotemill.sources import readers as R
+    path = scratch("archive")
+    pages = spark.range(0, 40, 1, 4).select(
+        F.col("id").alias("page_id"), F.concat(F.lit("https://h/p"), F.col("id").cast("string")).alias("url"),
+        F.lit("<p>x</p>").alias("html"), F.when(F.col("id") < 20, "20240403").otherwise("20240404").alias("ds"))
+    pages.write.partitionBy("ds").parquet(path)
+    day = R.read_pages(spark, path, ds="2024-04-04")
+    plan = _physical(day)
+    assert "PartitionFilters: [isnotnull(ds" in plan and "20240404" in plan
+    assert day.count() == 20
+    seeds = spark.createDataFrame([("https://h/p25",), ("https://h/p3",)], "url string")
+    seed = R.seed_pages(day, seeds)
+    assert "PushedFilters: [In(url" in _physical(seed)
+    assert [r.page_id for r in seed.collect()] == [25]
