@@ -80,3 +80,17 @@ def test_company_items_rebalanced_rows_same_result(spark):
     assert "RebalancePartitions" in balanced._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(plain.collect()) == sorted(balanced.collect())
     assert plain.count() == 302
+
+
+def test_route_and_conform(spark):
+    items = spark.createDataFrame([("indices", 1), ("companies", 2), ("companies", 3), ("other", 4)],
+                                  "record_type string, k int")
+    routed = V.route(items)
+    assert set(routed) == {"indices", "companies"}
+    assert (routed["indices"].count(), routed["companies"].count()) == (1, 2)  # unknown types are not stored
+    df = spark.createDataFrame([("x", "1", 7)], "company_name string, price string, id int")
+    out = V.conform(df.select("company_name", F.col("price").cast("double").alias("price"), "id",
+                              *[F.lit(None).alias(c) for c in ["sector", "one_day", "ytd", "market_cap",
+                                                                "date", "market_name"]]), S.COMPANIES)
+    assert out.columns == [f.name for f in S.COMPANIES.fields]
+    assert [f.dataType for f in out.schema.fields] == [f.dataType for f in S.COMPANIES.fields]
