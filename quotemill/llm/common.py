@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +16,25 @@ from quotemill.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to Python workers, once a session, through Spark's own file distribution."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="quotemill-py-"), "quotemill_workers.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder in ("", "llm"):
+            for name in sorted(os.listdir(os.path.join(top, folder))):
+                if name.endswith(".py"):
+                    z.write(os.path.join(top, folder, name), os.path.join("quotemill", folder, name))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh table in the shared scratch folder and read it back.
 

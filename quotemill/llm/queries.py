@@ -5,9 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quotemill.llm import chat_format, mixing, url_filter
-from quotemill.llm.common import table
+from quotemill.llm import chat_format, imatch, knn_tree, lang_id, mixing, url_filter
+from quotemill.llm.common import in_partitions, table
+
+
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return imatch.fingerprint_edits(in_partitions(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,11 +28,27 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = in_partitions(docs).withColumn("held_out", lang_id.remainder(F.col("doc_id"), 4) == 2)
+    model = lang_id.train(docs.where("not held_out"))
+    out = lang_id.predict(docs, model, ("doc_id", "held_out"))
+    return out.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op9_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page."""
     out = url_filter.judge(table(spark, sf_dir, "pages"))
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return knn_tree.search(rows, rows.where("vec_id % 20 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_preference_format, op3_source_mix, op9_url_verdicts)}
+    f.__name__: f for f in (
+        op1_imatch, op2_preference_format, op3_source_mix, op7_language, op9_url_verdicts, op10_nearest)}
