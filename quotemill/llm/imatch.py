@@ -41,7 +41,7 @@ def _document_counts(frames):
         for text in frame["text"]:
             if text:
                 counts.update(terms(text))
-            if len(counts) > 300_000:
+            if len(counts) > 1_000_000:
                 yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
                 counts = Counter()
     yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
