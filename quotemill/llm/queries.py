@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import chat_format, imatch, knn_tree, lang_id, mixing, url_filter
+from quotemill.llm import bpe, chat_format, imatch, knn_tree, lang_id, mixing, url_filter
 from quotemill.llm.common import in_partitions, table
 
 
@@ -28,6 +28,14 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids and decoded text of every document, as digests."""
+    import public_tokenizers
+
+    docs = in_partitions(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -51,4 +59,4 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_imatch, op2_preference_format, op3_source_mix, op7_language, op9_url_verdicts, op10_nearest)}
+        op1_imatch, op2_preference_format, op3_source_mix, op4_bpe, op7_language, op9_url_verdicts, op10_nearest)}
