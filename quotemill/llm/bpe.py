@@ -22,13 +22,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import WORD, batches, ship, staged
+from quotemill.llm.common import WORD, batches, bloom_filter, ship, staged
 
 #: Mean characters between hash cuts (a power of two) and width of the rolling hash.
 MEAN_CHUNK, WIDTH = 1024, 16
-#: The filter that tells tasks which chunks are shared: bits a chunk, and bits at most (32 MB).
-#: A fuller filter sends more chunks through the table, with the same result.
-FILTER_BITS, MOST_BITS = 16, 1 << 28
 #: Entries of a task's word memo; past it the memo starts anew.
 MEMO = 400_000
 BATCH_CHARS = 4_000_000
@@ -160,21 +157,9 @@ def _edge(text: str, count: int) -> str:
     return text[found[count].start():] if len(found) >= -count else text
 
 
-def _filter_bits(digests: DataFrame) -> tuple[np.ndarray, int]:
-    """A Bloom filter of a digest column, as words of 32 bits; its size is bounded by MOST_BITS."""
-    n = digests.count()
-    bits = 1 << 16
-    while bits < min(MOST_BITS, FILTER_BITS * n):
-        bits *= 2
-    # A digest's first two words of 32 bits are its places.
-    place = F.explode(F.array(*[F.conv(F.substring(F.hex("digest"), 8 * i + 1, 8), 16, 10).cast("long") % bits
-                                for i in (0, 1)]))
-    words = digests.select(place.alias("p")).select(
-        F.shiftright("p", 5).alias("w"), F.expr("shiftleft(1L, cast(p % 32 as int))").alias("b")).groupBy("w").agg(
-        F.bit_or("b").alias("b")).toPandas()
-    out = np.zeros(bits // 32, np.uint32)
-    out[words["w"].to_numpy()] = words["b"].to_numpy().astype(np.uint32)
-    return out, bits
+def _places(bits: int) -> list:
+    """A digest's first two words of 32 bits are its places in the filter."""
+    return [F.conv(F.substring(F.hex("digest"), 8 * i + 1, 8), 16, 10).cast("long") % bits for i in (0, 1)]
 
 
 def definition(path: str) -> str:
@@ -218,7 +203,7 @@ def encode(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",),
             yield pd.DataFrame({"digest": found})
 
     seen = docs.select("text").mapInPandas(digests, "digest binary").groupBy("digest").count().where("count > 1")
-    shared = spark.sparkContext.broadcast(_filter_bits(staged(seen.select("digest"), "bpe-shared")))
+    shared = spark.sparkContext.broadcast(bloom_filter(staged(seen.select("digest"), "bpe-shared"), _places))
 
     def hits(codec_chunks):
         """For chunks of a batch: their digests, and which may be shared."""

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,10 @@ from quotemill.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: A Bloom filter's bits a key, and its bits at most (32 MB).  A fuller filter lets more keys
+#: through; whoever uses it must be right for any key let through.
+FILTER_BITS, MOST_BITS = 16, 1 << 28
+
 _shipped: set[str] = set()
 
 
@@ -76,3 +81,21 @@ def in_partitions(df: DataFrame, least: int | None = None) -> DataFrame:
     """Deal rows out when the scan has fewer splits than the cluster has cores."""
     cores = least or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def bloom_filter(keys: DataFrame, places: Callable[[int], list[Column]]) -> tuple[np.ndarray, int]:
+    """A Bloom filter of the rows, as words of 32 bits, and its number of bits.
+
+    ``places`` gives a key's bit numbers for a size.  The bits are set in Spark;
+    what reaches the driver is bounded by MOST_BITS.
+    """
+    n = keys.count()
+    bits = 1 << 16
+    while bits < min(MOST_BITS, FILTER_BITS * n):
+        bits *= 2
+    words = keys.select(F.explode(F.array(*places(bits))).alias("p")).select(
+        F.shiftright("p", 5).alias("w"), F.expr("shiftleft(1L, cast(p % 32 as int))").alias("b")).groupBy("w").agg(
+        F.bit_or("b").alias("b")).toPandas()
+    out = np.zeros(bits // 32, np.uint32)
+    out[words["w"].to_numpy()] = words["b"].to_numpy().astype(np.uint32)
+    return out, bits

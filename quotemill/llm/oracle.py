@@ -112,4 +112,27 @@ SELECT a.page_id, a.host, a.path, own.rule, coalesce(own.verdict, carried.verdic
 FROM a LEFT JOIN own USING (page_id) LEFT JOIN carried USING (node)
 """
 
-ORACLE = {"op2_preference_format": _OP2, "op3_source_mix": _OP3, "op9_url_verdicts": _OP9}
+_OP5 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4]
+                        for i in range(1, len(w) - 3)]) END AS g
+  FROM d),
+x AS (SELECT doc_id, unnest(g) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM p JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b
+  WHERE 100 * c >= 75 * (len(sa.g) + len(sb.g) - c)),
+both_ways AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+low AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m, s.doc_id)) AS component_id,
+       s.doc_id <= coalesce(m, s.doc_id) AS kept
+FROM s LEFT JOIN low ON low.a = s.doc_id
+"""
+
+ORACLE = {"op5_near_duplicates": _OP5, "op2_preference_format": _OP2, "op3_source_mix": _OP3, "op9_url_verdicts": _OP9}

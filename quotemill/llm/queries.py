@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe, chat_format, imatch, knn_tree, lang_id, mixing, url_filter
+from quotemill.llm import bpe, chat_format, imatch, knn_tree, lang_id, minhash_join, mixing, suffix_dedup, url_filter
 from quotemill.llm.common import in_partitions, table
 
 
@@ -36,6 +36,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every document."""
+    return minhash_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -45,6 +50,13 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated strings of 400 bytes."""
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"),
+                      F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
 def op9_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page."""
     out = url_filter.judge(table(spark, sf_dir, "pages"))
@@ -59,4 +71,5 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_imatch, op2_preference_format, op3_source_mix, op4_bpe, op7_language, op9_url_verdicts, op10_nearest)}
+        op1_imatch, op2_preference_format, op3_source_mix, op4_bpe, op5_near_duplicates,
+        op7_language, op8_repeats, op9_url_verdicts, op10_nearest)}
