@@ -6,13 +6,14 @@ Work is dealt out by anchors: of the 64-byte pieces inside a window of ``length`
 one of least hash is the window's anchor, so equal windows have the same anchor at
 the same place.  Neighbouring windows with one anchor form a segment, and only segments of
 the same anchor can hold equal windows.  Equal segments are found by digest and
-need no look inside.  Different segments of one anchor are compared by column-wise
+need no look inside.  Different segments of one anchor are trimmed to what they can have in common
+with another; those that differ still are compared by column-wise
 construction of the Burrows-Wheeler transform of the collection: each round inserts one symbol
 of every string, from the last to the first, into the transform, and compares each
 new suffix with its neighbours, so that the round's common prefixes of ``length`` bytes are
 known.  Collections are batches of a bounded number of strings of bounded length, held by
-one task; what passes between steps lies in written tables.  An anchor with more
-different segments than fit a batch is settled window by window in a grouped count.
+one task; what passes between steps lies in written tables.  An anchor with very many
+different segments is settled by counting hashes of its windows.
 """
 
 from __future__ import annotations
@@ -28,8 +29,11 @@ from quotemill.llm.common import batches, bloom_filter, in_partitions, ship, sta
 
 #: Bytes of a repeated string, of an anchor.
 LENGTH, ANCHOR = 400, 64
-#: Strings of one collection; an anchor with more different segments goes window by window.
+#: Strings of one collection.
 COLLECTION = 256
+#: An anchor with more different segments than the first is settled by counting window hashes inside its task (at most
+#: 50 MB of them), with more than the second by a grouped count in Spark.
+LARGE, LARGEST = 1024, 16_384
 BATCH_CHARS = 2_000_000
 
 _END = 255  # never a byte of UTF-8
@@ -168,7 +172,7 @@ def _reach(parts: list[bytes]) -> list[int]:
     return out
 
 
-def trimmed(group: list[tuple[bytes, int]], length: int, anchor: int) -> list[tuple[int, int]]:
+def trimmed(group: list[tuple[bytes, int]], length: int) -> list[tuple[int, int]]:
     """Bounds of what a segment (bytes, place of the anchor) can have in common with others of its group.
 
     Both ways from the anchor, no further than its longest match on that side.  Too
@@ -187,18 +191,39 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 _FOUND = "anchor long, digest long, first int, last int"
 
 
-def _compare(frames, length: int, anchor: int):
+def _compare(frames, length: int):
     """Segments, sorted by anchor, -> runs of repeated windows, by collections of whole groups."""
     waiting: list = []  # (anchor, digest, string, offset)
     name, group = None, []
 
+    sure: list = []
+
     def close():
-        if len(group) > 1:
-            bounds = trimmed([(s, p) for _, s, p in group], length, anchor)
-            waiting.extend((name, d, s[a:b], a) for (d, s, _), (a, b) in zip(group, bounds) if b > a)
+        """Settle what is equal after trimming; the rest of the group waits for a collection."""
+        if len(group) < 2:
+            return
+        same: dict = {}
+        for (d, s, p), (a, b) in zip(group, trimmed([(s, p) for _, s, p in group], length)):
+            if b > a:
+                same.setdefault(s[a:b], []).append((d, a))
+        for s, members in same.items():
+            if len(members) > 1:
+                sure.extend((name, d, a, a + len(s) - length) for d, a in members)
+        if len(same) < 2:
+            return
+        if len(same) > LARGE:
+            hashes = [_hashes(np.frombuffer(s, np.uint8), length) for s in same]
+            values, count = np.unique(np.concatenate(hashes), return_counts=True)
+            again = values[count > 1]
+            for h, members in zip(hashes, same.values()):
+                if len(members) == 1:
+                    sure.extend((name, d, x + a, y + a) for d, a in members for x, y in _runs(np.isin(h, again)))
+            return
+        waiting.extend((name, members[0][0], s, members[0][1]) for s, members in same.items())
 
     def flush():
-        rows = []
+        rows = list(sure)
+        sure.clear()
         if waiting:
             found = repeated_windows([w[2] for w in waiting], length)
             for (a, d, s, offset), flags in zip(waiting, found):
@@ -211,14 +236,14 @@ def _compare(frames, length: int, anchor: int):
             if a != name:
                 close()
                 name, group = a, []
-                if len(waiting) >= COLLECTION:
+                if len(waiting) >= COLLECTION or len(sure) > 100_000:
                     yield flush()
             group.append((d, bytes(s), p))
     close()
     yield flush()
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, collection: int = COLLECTION) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, largest: int = LARGEST) -> DataFrame:
     """All columns of every row with ``_n_bytes, _n_removed, _n_spans, _kept`` (the bytes left).
 
     Texts are UTF-8 bytes, null ones empty.  A string that starts twice counts wherever it
@@ -275,9 +300,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     parts = parts.select("anchor", "digest", "x.data", "x.place").join(mixed, "anchor")
     parts = staged(parts, "repeat-parts")
 
-    dealt = parts.where(F.col("kinds") <= collection).repartition("anchor").sortWithinPartitions("anchor")
+    dealt = parts.where(F.col("kinds") <= largest).repartition("anchor").sortWithinPartitions("anchor")
     few = dealt.select("anchor", "digest", "data", "place").mapInPandas(
-        lambda frames: _compare(frames, length, anchor), _FOUND)
+        lambda frames: _compare(frames, length), _FOUND)
 
     def windows(frames):
         for frame in batches(frames, 100_000, "data"):
@@ -285,7 +310,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
                 h = _hashes(np.frombuffer(data, np.uint8), length)
                 yield pd.DataFrame({"anchor": a, "digest": d, "first": np.arange(len(h)), "w": h.view(np.int64)})
 
-    each = parts.where(F.col("kinds") > collection).select("anchor", "digest", "data").mapInPandas(
+    each = parts.where(F.col("kinds") > largest).select("anchor", "digest", "data").mapInPandas(
         windows, "anchor long, digest long, first int, w long")
     again = each.groupBy("anchor", "w").count().where("count > 1").select("anchor", "w")
     many = each.join(again, ["anchor", "w"]).select("anchor", "digest", "first", F.col("first").alias("last"))

@@ -50,24 +50,43 @@ def corpus():
     return [*texts, texts[20], texts[20], shared + shared]
 
 
-def check(spark, collection):
+def check(spark, largest):
     texts = corpus()
     rows = [(i if i != 9 else None, t, 5, "x") for i, t in enumerate(texts)] + [(40, texts[40], 1, "repeat")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_bytes int, h string").repartition(5)
     got = sorted(((r.doc_id, r._n_bytes, r._n_removed, r._n_spans, hashlib.sha256(r._kept).hexdigest())
-                  for r in S.remove_repeats(df, 64, 16, collection).collect()), key=str)
+                  for r in S.remove_repeats(df, 64, 16, largest).collect()), key=str)
     want = sorted(((r[0], *b) for r, b in zip(rows, brute([r[1] for r in rows], 64))), key=str)
     assert got == want
 
 
 def test_collections(spark):
-    check(spark, S.COLLECTION)
+    check(spark, S.LARGEST)
 
 
 def test_window_by_window(spark):
     check(spark, 1)
 
 
+def test_large_group_inside_a_task(monkeypatch):
+    rng = random.Random(3)
+    text = lambda n: bytes(rng.choice(b"abcd") for _ in range(n))
+    middle = text(60)
+    strings = [text(30) + middle + text(30) for _ in range(30)] + [b"x" * 10 + middle + text(20), b"y" * 10 + middle + text(20)]
+    strings += [text(4) + strings[0][4:] for _ in range(3)] + [strings[1][:-3] + text(3) for _ in range(3)]
+    import pandas as pd
+    frame = pd.DataFrame({"anchor": 1, "digest": range(len(strings)), "data": strings,
+                          "place": [10 + 5 if s[:1] in b"xy" else 35 for s in strings]})
+
+    def run(large):
+        monkeypatch.setattr(S, "LARGE", large)
+        found = pd.concat(S._compare([frame], 64))
+        return {(d, w) for _, d, a, b in found.itertuples(index=False) for w in range(a, b + 1)}
+    seen = Counter(s[i:i + 64] for s in strings for i in range(len(s) - 63))
+    want = {(d, i) for d, s in enumerate(strings) for i in range(len(s) - 63) if seen[s[i:i + 64]] > 1}
+    assert run(1024) == run(1) == want and want
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.remove_repeats(df).count() == 0
