@@ -22,12 +22,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import batches, in_partitions, ship, staged
+from quotemill.llm.common import batches, bloom_filter, in_partitions, ship, staged
 from quotemill.llm.graph import components
 
 #: Words of a shingle; links need 100 * common >= PERCENT * union.
 SHINGLE, PERCENT = 5, 75
-#: Sketch positions, trees, and positions a node draws for its children (each with chance 1 / (similarity * SKETCH)).
+#: Sketch positions (whole values name the nodes of the first level, 8 bits of each are kept), trees, and positions a node draws for its children (each with chance 1 / (similarity * SKETCH)).
 SKETCH, TREES = 64, 20
 #: Nodes of at most so many sets are compared exhaustively.
 SMALL = 48
@@ -103,10 +103,10 @@ def shingle_sets(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.
 
 
 def sketches(h: np.ndarray, sizes: np.ndarray, positions: int = SKETCH) -> np.ndarray:
-    """Minwise values, one row a non-empty set, 16 bits each."""
+    """Minwise values, one row a non-empty set."""
     sizes = sizes[sizes > 0]
     starts = np.cumsum(sizes) - sizes
-    out = np.empty((len(sizes), positions), np.uint16)
+    out = np.empty((len(sizes), positions), np.uint64)
     if not len(sizes):
         return out
     rng = np.random.default_rng(42)
@@ -114,7 +114,7 @@ def sketches(h: np.ndarray, sizes: np.ndarray, positions: int = SKETCH) -> np.nd
     add = rng.integers(0, 2**63, positions, dtype=np.uint64)
     for j in range(positions):
         least = np.minimum.reduceat(h * odd[j] + add[j], starts)
-        out[:, j] = _mix(least) >> np.uint64(48)
+        out[:, j] = _mix(least)
     return out
 
 
@@ -143,19 +143,60 @@ def _alike(pairs: DataFrame, sketch: DataFrame, agree: float) -> DataFrame:
 
     def run(frames):
         for frame in frames:
-            x, y = (_unpack(frame[c], np.uint16).reshape(len(frame), -1) for c in ("sa", "sb"))
+            x, y = (_unpack(frame[c], np.uint8).reshape(len(frame), -1) for c in ("sa", "sb"))
             yield frame.loc[(x == y).mean(axis=1) >= agree if len(frame) else [], ["a", "b"]]
 
     return both.mapInPandas(run, "a long, b long")
 
 
-def _verify(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _full_sets(docs: DataFrame, reps: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``rep, n_shingles, shingles`` of the wanted classes, from the texts of their representatives.
+
+    Texts stay in the tasks that read them: a filter of the wanted ids, of bounded size, tells
+    which to shingle, and the join after it drops what the filter let through in error.
+    """
+    wanted = staged(wanted, "dup-wanted")
+
+    def places(bits):
+        return [F.pmod(F.xxhash64("rep", F.lit(i)), F.lit(bits)) for i in (1, 2)]
+
+    known = docs.sparkSession.sparkContext.broadcast(bloom_filter(wanted, places))
+    bits = known.value[1]
+
+    def full(frames):
+        words, _ = known.value
+        for frame in batches(frames, BATCH_CHARS):
+            hit = np.ones(len(frame), bool)
+            for column in ("p1", "p2"):
+                place = frame[column].to_numpy()
+                hit &= (words[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
+            frame = frame[hit]
+            h, sizes = shingle_sets(frame["text"].fillna("").tolist(), size)
+            packed, ends = h.tobytes(), 8 * np.cumsum(sizes)
+            each = [packed[b - 8 * n:b] for b, n in zip(ends, sizes)]
+            yield pd.DataFrame({"rep": frame["rep"].to_numpy(), "shingles": each, "n_shingles": sizes,
+                                "name": [hashlib.blake2b(x, digest_size=16).digest() for x in each]})
+
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text")
+    p1, p2 = places(bits)
+    rows = in_partitions(rows).select("rep", "text", p1.alias("p1"), p2.alias("p2")).mapInPandas(
+        full, "rep long, shingles binary, n_shingles long, name binary")
+    exact = reps.select("rep", "name").join(wanted, "rep", "left_semi")
+    return staged(rows.join(exact, ["rep", "name"], "left_semi").drop("name").dropDuplicates(["rep"]), "dup-sets")
+
+
+def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int, shingle: int) -> DataFrame:
     """The ``(a, b)`` pairs that the full sets confirm; sizes alone rule out many before."""
-    size = sets.select("rep", "n_shingles")
+    size = reps.select("rep", "n_shingles")
     sized = (pairs.join(size.withColumnsRenamed({"rep": "a", "n_shingles": "na"}), "a")
              .join(size.withColumnsRenamed({"rep": "b", "n_shingles": "nb"}), "b")
              .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-    full = (sized.select("a", "b").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
+    pairs = staged(sized.select("a", "b"), "dup-sized")
+    if pairs.isEmpty():
+        return pairs
+    ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    sets = _full_sets(docs, reps, ends, shingle)
+    full = (pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
             .join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a"))
 
     def confirm(frames):
@@ -184,7 +225,7 @@ def _node_pairs(members: DataFrame, agree: float) -> DataFrame:
             if len(frame) < 2:
                 return None
             ids, comp = frame["rep"].to_numpy(), frame["component"].to_numpy()
-            sketch = _unpack(frame["sketch"], np.uint16).reshape(len(frame), -1)
+            sketch = _unpack(frame["sketch"], np.uint8).reshape(len(frame), -1)
             found = []
             for i in range(0, len(ids), 64):
                 same = (sketch[i:i + 64, None, :] == sketch[None, :, :]).mean(axis=2) if len(ids) < 2048 else np.stack(
@@ -249,7 +290,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
                                 "name": None, "sketch": None, "nodes": None})
             for column, values in (
                     ("name", [hashlib.blake2b(packed[ends[i] - 8 * sizes[i]:ends[i]], digest_size=16).digest() for i in some]),
-                    ("sketch", [x.tobytes() for x in sketch]),
+                    ("sketch", [x.tobytes() for x in (sketch >> np.uint64(56)).astype(np.uint8)]),
                     ("nodes", [node[b - n:b] for b, n in zip(cut, count)])):
                 filled = np.empty(len(frame), object)
                 for i, v in zip(some.tolist(), values):
@@ -264,7 +305,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     classes = owner.groupBy("name").agg(F.min("doc_id").alias("rep"))
     reps = rows.join(classes.select(F.col("name").alias("_n"), "rep"),
                      (F.col("doc_id") == F.col("rep")) & (F.col("name") == F.col("_n")))
-    reps = staged(reps.select("rep", "name", "sketch", "nodes").dropDuplicates(["rep"]), "dup-reps")
+    reps = staged(reps.select("rep", "name", "n_shingles", "sketch", "nodes").dropDuplicates(["rep"]), "dup-reps")
     sketch = reps.select("rep", "sketch")
 
     members = reps.select("rep", F.explode("nodes").alias("node"))
@@ -274,22 +315,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     stars = met.where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
     stars = staged(_alike(stars, sketch, agree), "dup-stars")
 
-    def full(frames):
-        for frame in batches(frames, BATCH_CHARS):
-            h, sizes = shingle_sets(frame["text"].fillna("").tolist(), size)
-            packed, ends = h.tobytes(), 8 * np.cumsum(sizes)
-            each = [packed[b - 8 * n:b] for b, n in zip(ends, sizes)]
-            yield pd.DataFrame({"rep": frame["rep"].to_numpy(), "shingles": each, "n_shingles": sizes,
-                                "own": [hashlib.blake2b(x, digest_size=16).digest() for x in each], "name": frame["name"]})
-
-    # Full sets of the classes that met any other.
-    wanted = reps.join(met.select("rep").distinct(), "rep", "left_semi").select("rep", "name")
-    sets = docs.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "name", "text").mapInPandas(
-        full, "rep long, shingles binary, n_shingles long, own binary, name binary")
-    sets = staged(sets.where("own = name").drop("own", "name").dropDuplicates(["rep"]), "dup-sets")
-
     # First links: every set of a node with the node's least.
-    links = staged(_verify(sets, stars, percent), "dup-links")
+    links = staged(_verify(docs, reps, stars, percent, size), "dup-links")
 
     def grouped(found):
         return components(found).select(F.col("node").alias("rep"), "component")
@@ -305,7 +332,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         limit = small if depth < deepest else 2**31
         pairs = _node_pairs(open_.where(F.col("n") <= limit).join(sketch, "rep"), agree).distinct()
         pairs = staged(pairs.join(links, ["a", "b"], "left_anti"), "dup-pairs")
-        found = staged(_verify(sets, pairs, percent), "dup-found")
+        found = staged(_verify(docs, reps, pairs, percent, size), "dup-found")
         links = staged(links.unionByName(found), "dup-links")
         comps = staged(grouped(links), "dup-components")
         large = open_.where(F.col("n") > limit)
@@ -316,7 +343,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
             for frame in frames:
                 if not len(frame):
                     continue
-                values = _unpack(frame["sketch"], np.uint16).reshape(len(frame), -1)
+                values = _unpack(frame["sketch"], np.uint8).reshape(len(frame), -1)
                 rows, name = branch(frame["rep"].to_numpy(), frame["node"].to_numpy().view(np.uint64), values, chance)
                 yield pd.DataFrame({"node": name.view(np.int64), "rep": frame["rep"].to_numpy()[rows]})
 
