@@ -68,23 +68,29 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _PLACE["up"][:n], _PLACE["down"][:n]
 
 
-def shingle_sets(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes (64 bits) of the texts on end, ascending in each, and their number by text.
+def words_in(texts: list[str]):
+    """Words of the texts on end, A-Z lower-cased.
 
-    A text of fewer words than a shingle has its whole sequence as one; without words, none.
+    Returns the bytes, each word's start, end, hash and text, and the number of words by text.
     """
     data = ("\n".join(texts) + "\n").encode("utf-8", "surrogatepass").translate(_LOWER)
     raw = np.frombuffer(data, np.uint8)
-    gap = _SPACE[raw]
-    edge = np.diff(np.concatenate([[True], gap]).view(np.int8))
+    edge = np.diff(np.concatenate([[True], _SPACE[raw]]).view(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     up, down = _powers(len(raw) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * up[:len(raw)])])
     word = _mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _C)
-    lengths = np.array([len(t.encode("utf-8", "surrogatepass")) + 1 for t in texts], np.int64)
-    text_ends = np.cumsum(lengths)
+    text_ends = np.cumsum([len(t.encode("utf-8", "surrogatepass")) + 1 for t in texts])
     owner = np.searchsorted(text_ends, starts, "right")
-    n_words = np.bincount(owner, minlength=len(texts))
+    return raw, starts, ends, word, owner, np.bincount(owner, minlength=len(texts))
+
+
+def shingle_sets(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes (64 bits) of the texts on end, ascending in each, and their number by text.
+
+    A text of fewer words than a shingle has its whole sequence as one; without words, none.
+    """
+    _, _, _, word, owner, n_words = words_in(texts)
     n = len(word)
     # A word's place weighs in, so order matters; the sum runs to the shingle's or the text's end.
     first = np.cumsum(n_words) - n_words

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe, chat_format, imatch, knn_tree, lang_id, minhash_join, mixing, suffix_dedup, url_filter
+from quotemill.llm import attention_lm, bpe, chat_format, imatch, knn_tree, lang_id, minhash_join, mixing, suffix_dedup, url_filter
 from quotemill.llm.common import in_partitions, table
 
 
@@ -41,6 +41,11 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under the unigram and the attention model."""
+    return attention_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -72,4 +77,4 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_imatch, op2_preference_format, op3_source_mix, op4_bpe, op5_near_duplicates,
-        op7_language, op8_repeats, op9_url_verdicts, op10_nearest)}
+        op6_attention, op7_language, op8_repeats, op9_url_verdicts, op10_nearest)}
