@@ -11,15 +11,13 @@ formula, by the oracle SQL in ``__spark_entry__.py``.
 
 from __future__ import annotations
 
-import hashlib
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill import schemas as S
 from quotemill.operators.sizing import broadcast_if_small
-from quotemill.session import checkpoint_root
+from quotemill.session import scratch_path
 
 HOST = S.DEFAULT_HOST
 ROWS_PER_PAGE = 40
@@ -32,24 +30,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-with open(__file__, "rb") as _src:
-    _RENDER_VERSION = hashlib.sha1(_src.read()).hexdigest()[:12]
-
-
 def _materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Render a page set once per scale factor and read it back afterwards.
-
-    Pages are written under the session's checkpoint folder, keyed by the
-    input directory and this module's source hash, so a changed renderer or
-    another scale factor never reuses stale pages.  Queries then time the
-    library's work, not the scaffolding (SURVEY §7.3).
-    """
-    key = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    path = f"{checkpoint_root(spark).rstrip('/')}/fixture-{name}-{key}-{_RENDER_VERSION}"
-    jvm = spark.sparkContext._jvm
-    done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
-        build().write.mode("overwrite").parquet(path)
+    """Render a page set from the given tables, anew on every call, and read it back from scratch storage."""
+    path = scratch_path(spark, f"fixture-{name}")
+    build().write.parquet(path)
     return spark.read.parquet(path)
 
 

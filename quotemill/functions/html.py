@@ -42,7 +42,7 @@ NAMED_ENTITIES = {
     "times": "×", "divide": "÷", "bull": "•",
 }
 
-ENTITY_RE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
+ENTITY_RE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]{1,31});"
 
 # End of an element body for tags whose end tag may be omitted (lookaheads).
 _IMPLICIT_END = {
@@ -62,12 +62,6 @@ _IMPLICIT_END = {
 _SCRIPT_STYLE_COMMENT = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?(?:-->|\z)"
 _CHILD_ELEMENT = rf"(?is)<(?!(?:{VOID_TAGS})\b)([a-z][a-z0-9:-]*)\b[^>]*>.*?</\1\s*>"
 _ANY_TAG = r"(?s)<[^>]*>"
-# First direct text node: skip complete child elements and stray tags (atomically,
-# so a body without text fails in linear time), then take the first text run.
-# A '<' with no '>' after it is text, as in the tag split of ``direct_texts``.
-_FIRST_TEXT = (rf"(?is)^(?>(?:<(?!(?:{VOID_TAGS})\b)([a-z][a-z0-9:-]*)\b[^>]*>.*?</\1\s*>"
-               r"|<[^>]*>)*)((?:[^<]|<(?![^>]*>))+)")
-
 
 def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -124,8 +118,13 @@ def _named_map() -> Column:
 def _entity_char(name: Column) -> Column:
     named = F.try_element_at(_named_map(), name)
     hexa = F.lower(F.substring(name, 2, 1)) == "x"
-    code = F.when(hexa, F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 8))
-    code_hex = F.lpad(F.hex(code.cast("bigint")), 8, "0")
+    digits = F.regexp_replace(F.when(hexa, F.substring(name, 3, F.length(name))).otherwise(
+        F.substring(name, 2, F.length(name))), "^0+", "")
+    # Up to eight digits fit; a value that is no character becomes U+FFFD, as in HTML.
+    short = F.when(F.length(digits).between(1, 8), digits).otherwise(F.lit("0"))
+    code = F.when(hexa, F.conv(short, 16, 10)).otherwise(short).cast("bigint")
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    code_hex = F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(0xFFFD))), 8, "0")
     numeric = F.decode(F.unhex(code_hex), "UTF-32")
     return (F.when(F.substring(name, 1, 1) == "#", numeric)
             .otherwise(F.coalesce(named, F.concat(F.lit("&"), name, F.lit(";")))))
@@ -171,10 +170,10 @@ def direct_texts(body: ColumnOrName) -> Column:
 def first_text(body: ColumnOrName) -> Column:
     """``::text`` + ``.get()`` on one element: first direct text node or null.
 
-    Same result as ``direct_texts(body)[0]``, as one anchored regex (no array,
-    no lambda).
+    Child elements are replaced match by match, so neither a long text nor many
+    children deepen the matcher's stack.
     """
-    return decode_entities(F.get(F.regexp_extract_all(_c(body), F.lit(_FIRST_TEXT), 2), 0))
+    return decode_entities(F.get(direct_texts(body), 0))
 
 
 def texts(fragment: ColumnOrName, tag: str, cls: str | None = None,

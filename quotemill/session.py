@@ -50,6 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="quotemill-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():

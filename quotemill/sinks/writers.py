@@ -97,9 +97,15 @@ def land(df: DataFrame, base: str, table: str, ds, compat_round: bool = False) -
 
 def truncate_load(spark: SparkSession, base: str, table: str, ds, schema: T.StructType,
                   dest: str) -> DataFrame:
-    """Replace the warehouse table with one date's landed file (strict schema)."""
+    """Replace the warehouse table with one date's landed file (strict schema).
+
+    The load is written beside the table first: a file that does not fit the schema
+    fails there and leaves the table as it was.
+    """
     loaded = R.read_landed(spark, base, table, ds, schema)
-    loaded.write.mode("overwrite").parquet(dest)
+    staging = f"{dest.rstrip('/')}__loading"
+    loaded.write.mode("overwrite").parquet(staging)
+    spark.read.schema(schema).parquet(staging).write.mode("overwrite").parquet(dest)
     return spark.read.schema(schema).parquet(dest)
 
 
@@ -112,12 +118,19 @@ def write_feed_csv(df: DataFrame, path: str) -> None:
     df.select(*cols).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+def _age(ds_col: str, run_date):
+    """Days from the landing date (a date, or ``yyyyMMdd`` as text or number) to ``run_date``."""
+    text = F.col(ds_col).cast("string")
+    landed = F.coalesce(F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("date"), text.try_cast("date"))
+    return F.datediff(F.lit(run_date).cast("date"), landed)
+
+
 def retained(df: DataFrame, ds_col: str, run_date, days: int = 13) -> DataFrame:
     """Rows whose landing date is younger than ``days`` at ``run_date`` (kept)."""
-    return df.filter(F.datediff(F.lit(run_date).cast("date"), F.col(ds_col).cast("date")) < days)
+    return df.filter(_age(ds_col, run_date) < days)
 
 
 def expired(df: DataFrame, ds_col: str, run_date, days: int = 13) -> DataFrame:
     """The complement of ``retained`` (what the retention rule deletes)."""
-    return df.filter(F.datediff(F.lit(run_date).cast("date"), F.col(ds_col).cast("date")) >= days)
+    return df.filter(_age(ds_col, run_date) >= days)
 

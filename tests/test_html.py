@@ -59,3 +59,16 @@ def test_first_text_equals_first_direct_text(spark):
     got = one_col(spark, vals, H.first_text)
     want = one_col(spark, vals, lambda c: H.decode_entities(F.get(H.direct_texts(c), 0)))
     assert got == want
+
+
+def test_first_text_of_long_and_crowded_bodies(spark):
+    long = "x" * 50_000
+    crowded = "<b>1</b>" * 3_000 + "end"
+    stray = "a" + "<" * 4_000
+    assert one_col(spark, [long, crowded, stray], lambda c: H.first_text(c)) == [long, "end", stray]
+
+
+def test_character_references_out_of_range(spark):
+    got = one_col(spark, ["&#1114112;", "&#9999999999;", "&#xD800;", "&#0;", "&#x000041;", "&#xFFFFFFFFF;"],
+                  lambda c: H.decode_entities(c))
+    assert got == ["�", "�", "�", "�", "A", "�"]
