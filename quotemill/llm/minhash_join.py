@@ -32,7 +32,7 @@ SKETCH, TREES = 64, 20
 #: Nodes of at most so many sets are compared exhaustively.
 SMALL = 48
 #: Levels below which a node is compared in any case.
-DEEPEST = 12
+DEEPEST = 6
 #: A pair goes on to the full sets unless its sketches agree in fewer than this share of positions: 4.6 standard
 #: deviations below the least share wanted.
 AGREE = 0.5
@@ -328,7 +328,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         return components(found).select(F.col("node").alias("rep"), "component")
 
     comps = staged(grouped(links), "dup-components")
-    level = met.select("node", "rep")
+    level, tested = met.select("node", "rep"), stars
     for depth in range(deepest + 1):
         with_comp = level.join(comps, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         mixed = with_comp.groupBy("node").agg(
@@ -337,10 +337,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         open_ = staged(with_comp.join(mixed, "node"), f"dup-level{depth}")
         limit = small if depth < deepest else 2**31
         pairs = _node_pairs(open_.where(F.col("n") <= limit).join(sketch, "rep"), agree).distinct()
-        pairs = staged(pairs.join(links, ["a", "b"], "left_anti"), "dup-pairs")
-        found = staged(_verify(docs, reps, pairs, percent, size), "dup-found")
-        links = staged(links.unionByName(found), "dup-links")
-        comps = staged(grouped(links), "dup-components")
+        pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"), "dup-pairs")
+        if not pairs.isEmpty():
+            tested = staged(tested.unionByName(pairs), "dup-tested")
+            found = staged(_verify(docs, reps, pairs, percent, size), "dup-found")
+            if not found.isEmpty():
+                links = staged(links.unionByName(found), "dup-links")
+                comps = staged(grouped(links), "dup-components")
         large = open_.where(F.col("n") > limit)
         if large.isEmpty():
             break
