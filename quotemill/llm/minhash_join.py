@@ -36,6 +36,8 @@ DEEPEST = 6
 #: A pair goes on to the full sets unless its sketches agree in fewer than this share of positions: 4.6 standard
 #: deviations below the least share wanted.
 AGREE = 0.5
+#: Pairs of sketches compared at a time.
+PAIRS = 100_000
 BATCH_CHARS = 4_000_000
 
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -217,47 +219,69 @@ def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int, sh
     return full.mapInPandas(confirm, "a long, b long")
 
 
+def _within(node: np.ndarray, rep: np.ndarray, comp: np.ndarray, sketch: np.ndarray, agree: float) -> pd.DataFrame:
+    """Pairs of different components inside whole nodes, rows sorted by node.
+
+    Nodes of one size are compared together, a bounded number of pairs at a time; a pair that
+    several nodes hold is compared once a batch.
+    """
+    start = np.flatnonzero(np.diff(node, prepend=node[:1] - 1) != 0)
+    size = np.diff(np.append(start, len(node)))
+    found = [(rep[:0], rep[:0])]
+
+    def test(x, y):
+        other = comp[x] != comp[y]
+        x, y = x[other], y[other]
+        if not len(x):
+            return
+        x, y = np.where(rep[x] < rep[y], x, y), np.where(rep[x] < rep[y], y, x)
+        order = np.lexsort((rep[y], rep[x]))
+        x, y = x[order], y[order]
+        fresh = np.ones(len(x), bool)
+        fresh[1:] = (rep[x[1:]] != rep[x[:-1]]) | (rep[y[1:]] != rep[y[:-1]])
+        x, y = x[fresh], y[fresh]
+        good = (sketch[x] == sketch[y]).mean(axis=1) >= agree
+        found.append((rep[x[good]], rep[y[good]]))
+
+    for k in np.unique(size[size > 1]).tolist():
+        at = start[size == k]
+        if k <= 512:
+            i, j = np.triu_indices(k, 1)
+            step = max(1, PAIRS // len(i))
+            for n in range(0, len(at), step):
+                test((at[n:n + step, None] + i).ravel(), (at[n:n + step, None] + j).ravel())
+            continue
+        step = max(1, PAIRS // k)
+        for s in at.tolist():
+            for n in range(0, k - 1, step):
+                i, j = np.nonzero(np.arange(n, min(n + step, k))[:, None] < np.arange(k))
+                test(s + n + i, s + j)
+    a, b = (np.concatenate(x) for x in zip(*found))
+    return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+
+
 def _node_pairs(members: DataFrame, agree: float) -> DataFrame:
     """Pairs of different components in the same node whose sketches agree enough.
 
-    ``members``: ``node, rep, sketch, component``.  Rows of a node are together and
-    ordered by component; blocks of sketches are compared at a time.
+    ``members``: ``node, rep, sketch, component``.  Rows of a node are together; the last
+    node of a batch waits for the next one.
     """
     def compare(frames):
-        name, held = None, []
-
-        def pairs():
-            frame = pd.concat(held) if len(held) > 1 else held[0]
-            if len(frame) < 2:
-                return None
-            ids, comp = frame["rep"].to_numpy(), frame["component"].to_numpy()
-            sketch = _unpack(frame["sketch"], np.uint8).reshape(len(frame), -1)
-            found = []
-            for i in range(0, len(ids), 64):
-                same = (sketch[i:i + 64, None, :] == sketch[None, :, :]).mean(axis=2) if len(ids) < 2048 else np.stack(
-                    [(sketch == s).mean(axis=1) for s in sketch[i:i + 64]])
-                x, y = np.nonzero((same >= agree) & (comp[i:i + 64, None] != comp[None, :])
-                                  & (ids[i:i + 64, None] < ids[None, :]))
-                found.append(pd.DataFrame({"a": ids[i + x], "b": ids[y]}))
-            return pd.concat(found)
-
+        held: list = []
         for frame in frames:
-            cuts = np.flatnonzero(np.diff(frame["node"].to_numpy(), prepend=frame["node"].iloc[0] - 1 if len(frame) else 0))
-            out = []
-            for lo, hi in zip(cuts, [*cuts[1:], len(frame)]):
-                part = frame.iloc[lo:hi]
-                if held and part["node"].iloc[0] != name:
-                    out.append(pairs())
-                    held = []
-                name = part["node"].iloc[0]
-                held.append(part)
-            out = [o for o in out if o is not None]
-            if out:
-                yield pd.concat(out)
+            if not len(frame):
+                continue
+            node = frame["node"].to_numpy()
+            sketch = _unpack(frame["sketch"], np.uint8).reshape(len(frame), -1)
+            rows = (node, frame["rep"].to_numpy(), frame["component"].to_numpy(), sketch)
+            cut = int(np.searchsorted(node, node[-1]))
+            if cut or (held and held[-1][0][-1] != node[0]):
+                held.append(tuple(x[:cut] for x in rows))
+                yield _within(*(np.concatenate(x) for x in zip(*held)), agree)
+                held = []
+            held.append(tuple(x[cut:] for x in rows))
         if held:
-            last = pairs()
-            if last is not None:
-                yield last
+            yield _within(*(np.concatenate(x) for x in zip(*held)), agree)
 
     return members.repartition("node").sortWithinPartitions("node").select(
         "node", "rep", "sketch", "component").mapInPandas(compare, "a long, b long")
@@ -321,14 +345,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     stars = met.where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
     stars = staged(_alike(stars, sketch, agree), "dup-stars")
 
-    # First links: every set of a node with the node's least.
-    links = staged(_verify(docs, reps, stars, percent, size), "dup-links")
+    def joined(comps, pairs):
+        """Components after the confirmed ones of the pairs: the former ones are their stars."""
+        if pairs.isEmpty():
+            return comps
+        found = staged(_verify(docs, reps, pairs, percent, size), "dup-links")
+        if found.isEmpty():
+            return comps
+        found = found.unionByName(comps.select(F.col("component").alias("a"), F.col("rep").alias("b")))
+        return staged(components(found).select(F.col("node").alias("rep"), "component"), "dup-components")
 
-    def grouped(found):
-        return components(found).select(F.col("node").alias("rep"), "component")
-
-    comps = staged(grouped(links), "dup-components")
-    level, tested = met.select("node", "rep"), stars
+    # First links: every set of a node with the node's least.
+    comps = joined(sketch.sparkSession.createDataFrame([], "rep long, component long"), stars)
+    level, waiting = met.select("node", "rep"), None
     for depth in range(deepest + 1):
         with_comp = level.join(comps, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         mixed = with_comp.groupBy("node").agg(
@@ -337,13 +366,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         open_ = staged(with_comp.join(mixed, "node"), f"dup-level{depth}")
         limit = small if depth < deepest else 2**31
         pairs = _node_pairs(open_.where(F.col("n") <= limit).join(sketch, "rep"), agree).distinct()
-        pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"), "dup-pairs")
-        if not pairs.isEmpty():
-            tested = staged(tested.unionByName(pairs), "dup-tested")
-            found = staged(_verify(docs, reps, pairs, percent, size), "dup-found")
-            if not found.isEmpty():
-                links = staged(links.unionByName(found), "dup-links")
-                comps = staged(grouped(links), "dup-components")
+        pairs = staged(pairs.join(stars, ["a", "b"], "left_anti"), "dup-pairs")
+        if depth == 0:
+            comps, first = joined(comps, pairs), pairs
+        else:
+            # Few are left below the first level: full sets are fetched once for all of them.
+            waiting = pairs if waiting is None else waiting.unionByName(pairs)
         large = open_.where(F.col("n") > limit)
         if large.isEmpty():
             break
@@ -359,6 +387,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         level = large.select("node", "rep").join(sketch, "rep").mapInPandas(deeper, "node long, rep long")
         lone = level.groupBy("node").count().where("count > 1").select("node")
         level = staged(level.distinct().join(lone, "node", "left_semi"), "dup-nodes")
+    if waiting is not None:
+        comps = joined(comps, staged(waiting.distinct().join(first, ["a", "b"], "left_anti"), "dup-waiting"))
 
     label = classes.join(comps, "rep", "left").select("name", F.coalesce("component", "rep").alias("component"))
     label = owner.join(label, "name").select("doc_id", "component")
