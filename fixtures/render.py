@@ -116,7 +116,7 @@ def company_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<tr class="row">'),
         F.lit('<td class="col_width_1 left"><a href="/en/company/'), k.cast("string"), F.lit('">'), name, F.lit("</a></td>"),
         F.lit('<td class="col_width_2">'), sector, F.lit("</td>"),
-        F.lit('<td class="col_width_3">'), price, F.lit("</td>"),
+        F.lit("<td class='col_width_3'>"), price, F.lit("<table><tfoot></tfoot></table></td>"),
         F.lit('<td class="col_width_4">'), one_day, F.lit("</td>"),
         F.lit('<td class="col_width_5">'), ytd, F.lit("</td>"),
         F.lit('<td class="col_width_6">'), cap, F.lit("</td>"),
@@ -230,7 +230,9 @@ def _render_index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # Falling change (C10): absent, red, green (ignored), red with a percent sign (rejected later).
     move = F.format_number(((mid * 7) % 300000).cast("double") / 100, 2)
-    falling = (F.when(mid % 4 == 0, F.lit(""))
+    # A red span that is no child of the font is never the change.
+    deeper = F.lit('<font><b><span style="color: #ff0000;">-9</span></b></font>')
+    falling = (F.when(mid % 4 == 0, deeper)
                .when(mid % 4 == 1, F.concat(F.lit('<font><span style="color: #ff0000;">-'), move, F.lit("</span></font>")))
                .when(mid % 4 == 2, F.concat(F.lit('<font><span style="color: #00aa00;">+'), move, F.lit("</span></font>")))
                .otherwise(F.concat(F.lit('<font><span style="color: #ff0000;">-'), move, F.lit("%</span></font>"))))
@@ -269,7 +271,9 @@ def _render_index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     cap = _cents(F.col("order_cents") + F.col("acct_cents"))
 
     def cell(k: Column, v: Column) -> Column:
-        return F.concat(F.lit("<td><span>"), k, F.lit("</span> <span>"), v, F.lit("</span></td>"))
+        # The value's second text and the empty element between the spans change nothing.
+        return F.concat(F.lit("<td><span>"), k, F.lit("</span> <i></i><span class='v>0'>"), v,
+                        F.lit("<br>(est.)</span></td>"))
 
     row1 = F.concat(F.lit('<tr class="tabrow">'), cell(vt_key, _cents(F.col("acct_cents"))),
                     cell(F.lit("Volume"), volume), F.lit("</tr>"))
@@ -339,9 +343,11 @@ def _render_menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(
         F.lit('<!DOCTYPE html><html><head><title>Markets</title></head><body>'
               '<nav><a class="menu-market-link" href="/en/about">About</a></nav>'
-              '<div class="mega-inner"><ul>'), F.col("body"),
+              "<div data-x='1>0' class='wide mega-inner'><div><div>All</div></div>"
+              '<a class="menu-market-link" href="/en/stray">Not in a list</a><ul>'), F.col("body"),
         F.lit('<li><a class="menu-market-link">Coming soon</a></li>'),
-        F.lit('<li><a class="menu-market-link" href="'), F.col("first_href"), F.lit('">Again</a></li>'),
+        F.lit('<li><div><a title="a > b" class=menu-market-link href='), F.col("first_href"),
+        F.lit('>Again</a></div></li>'),
         F.lit('<li><a class="menu-market-link" href="'), closed, F.lit('">Closed (CL)</a></li>'),
         F.lit('<li><a href="/en/news">News</a></li></ul></div></body></html>'))
     return pages.select(

@@ -17,6 +17,9 @@ ColumnOrName = Column | str
 
 MAP_SCHEMA = "map<string,string>"
 
+# ``None`` outside strings; group 1 is what lies before it since the last one.
+_NONE = r"""(?s)\G((?:[^'"N]++|'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|N(?!one\b))*+)None\b"""
+
 
 def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -74,5 +77,10 @@ def canonical_entries(m: ColumnOrName) -> Column:
 
 
 def parse_dict_literal(c: ColumnOrName) -> Column:
-    """A Python dict literal (single quotes) or JSON object -> map."""
-    return F.from_json(_c(c), MAP_SCHEMA)
+    """A Python dict literal (single quotes) or JSON object -> map.
+
+    ``None`` outside strings is a null value; ``\\'`` and ``\\xhh`` are read as Python does.
+    """
+    text = F.regexp_replace(_c(c), _NONE, "$1null")
+    text = F.regexp_replace(text, r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    return F.from_json(text, MAP_SCHEMA, {"allowBackslashEscapingAnyCharacter": "true"})

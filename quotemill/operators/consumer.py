@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import text as X
-from .sizing import broadcast_if_small
 
 # Magnitude words in summary keys.
 MAGNITUDE_WORDS = {"Mln": 1e6, "Millions": 1e6, "Bln": 1e9, "Billions": 1e9}
@@ -77,20 +76,22 @@ def level_repair(indices: DataFrame) -> DataFrame:
                   .withColumn("level_repaired", repaired)
 
 
-def company_index_join(companies: DataFrame, indices: DataFrame,
-                       max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Companies joined to their market's index through the label abbreviation.
+def company_index_join(companies: DataFrame, indices: DataFrame) -> DataFrame:
+    """Companies joined to the latest row of their market's index through the label abbreviation.
 
     Index rows without a usable abbreviation (sentinel or empty) do not join.
-    The index side holds about one row per market per day; when a bounded
-    count proves it small it is broadcast, so the company side is never
-    shuffled and a market holding a third of all companies cannot create a hot
-    reducer.  Beyond the bound it is a shuffle join with AQE skew handling.
+    Of several days of an index the one of the latest quote date counts (ties:
+    the greatest values), found by a partially aggregated maximum.  The sides are
+    evaluated once; AQE broadcasts the index side when its real size is small,
+    and splits a market that holds a large share of all companies otherwise.
     """
     c = companies.withColumn("_abbr", X.paren_group("market_name"))
     i = indices.filter((F.col("index_abbreviation") != S.SENTINEL_ABBREVIATION)
                        & (F.col("index_abbreviation") != "")).withColumnRenamed("id", "index_id")
-    i = broadcast_if_small(i, max_broadcast_rows)
+    plain = sorted(f.name for f in i.schema.fields if f.dataType != S.MAP_SS)
+    plain.sort(key=lambda name: name != "index_id")
+    latest = F.max_by(F.struct(*i.columns), F.struct(quote_date("current_date").alias("_day"), *plain))
+    i = i.groupBy(F.col("index_abbreviation").alias("_key")).agg(latest.alias("_row")).select("_row.*")
     return c.join(i, c["_abbr"] == i["index_abbreviation"], "inner").drop("_abbr")
 
 

@@ -18,11 +18,6 @@ from ..functions.core import let
 from .sizing import fence, spread
 
 
-def _scope(fragment: Column, tag: str, cls: str | None = None, attrs=None) -> Column:
-    """All matching elements' bodies, joined: the context of a descendant step."""
-    return F.array_join(H.elements(fragment, tag, cls, attrs), "\n")
-
-
 def index_items(resolved: DataFrame, content_start: str | None = None,
                 content_end: str | None = None) -> DataFrame:
     """one raw index record per page (strings and two string maps).
@@ -42,19 +37,20 @@ def index_items(resolved: DataFrame, content_start: str | None = None,
     doc = F.col("doc")
     content = F.col("content")
 
-    heading = _scope(doc, "h1", S.INDEX_HEADING_CLASS)
+    heading = H.scope(doc, "h1", S.INDEX_HEADING_CLASS)
     name_present = H.has_element(heading, "small", S.INDEX_NAME_CLASS)
     name_text = H.first_text_of(heading, "small", S.INDEX_NAME_CLASS)
 
     date_text = H.first_text_of(content, "font", attrs=[("size", S.DATE_FONT_SIZE, "=")])
     levels = H.texts(content, "span", attrs=[("style", S.LEVEL_SPAN_STYLE, "*=")])
-    falling = H.texts(_scope(content, "font"), "span", attrs=[("style", S.FALLING_SPAN_STYLE, "*=")])
+    falling = H.body_texts(F.flatten(F.transform(H.elements(content, "font"), lambda b: H.children(
+        b, "span", attrs=[("style", S.FALLING_SPAN_STYLE, "*=")]))))
 
-    periods = _scope(doc, "table", S.PERIOD_TABLE_CLASS)
-    period_keys = H.texts(_scope(periods, "tr", S.PERIOD_KEY_ROW_CLASS), "td")
-    period_values = H.texts(_scope(periods, "tr", S.DATA_ROW_CLASS), "p")
+    periods = H.scope(doc, "table", S.PERIOD_TABLE_CLASS)
+    period_keys = H.texts(H.scope(periods, "tr", S.PERIOD_KEY_ROW_CLASS), "td")
+    period_values = H.texts(H.scope(periods, "tr", S.DATA_ROW_CLASS), "p")
 
-    summary = _scope(doc, "table", S.SUMMARY_TABLE_CLASS)
+    summary = H.scope(doc, "table", S.SUMMARY_TABLE_CLASS)
     cells = F.flatten(F.transform(H.elements(summary, "tr", S.DATA_ROW_CLASS),
                                   lambda r: H.elements(r, "td")))
     kvs = F.transform(cells, H.kv_cell)
@@ -101,9 +97,7 @@ def company_items(resolved: DataFrame, rebalance_rows: bool = False) -> DataFram
     default.
     """
     doc = H.clean_html("html")
-    tables = H.elements(doc, "table", S.COMPANY_TABLE_CLASS)
-    bodies = F.flatten(F.transform(tables, lambda t: H.elements(t, "tbody")))
-    rows = F.flatten(F.transform(bodies, lambda b: H.elements(b, "tr")))
+    rows = H.elements(H.scope(H.scope(doc, "table", S.COMPANY_TABLE_CLASS), "tbody"), "tr")
     exploded = spread(resolved).select("page_id", "market", F.posexplode(rows).alias("row_pos", "row"))
     if rebalance_rows:
         exploded = exploded.hint("rebalance")
@@ -115,12 +109,12 @@ def company_items(resolved: DataFrame, rebalance_rows: bool = False) -> DataFram
         return H.first_text_of(row, "td", cls)
 
     def fallback_text(cls: str) -> Column:
-        return let(_scope(row, "td", cls), lambda cell: X.first_nonempty(
+        return let(H.scope(row, "td", cls), lambda cell: X.first_nonempty(
             H.first_text_of(cell, "font"), H.first_text_of(cell, "p")))
 
     return fence(exploded.select(
         "page_id", F.col("row_pos").cast("int").alias("row_pos"),
-        X.strip_or_default(H.first_text_of(_scope(row, "td", c1), "a")).alias("company_name"),
+        X.strip_or_default(H.first_text_of(H.scope(row, "td", c1), "a")).alias("company_name"),
         X.strip_or_default(cell_text(c2)).alias("sector"),
         X.strip_or_default(cell_text(c3)).alias("price"),
         X.strip_or_default(fallback_text(c4)).alias("one_day"),

@@ -18,19 +18,23 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def extract_links(pages: DataFrame, scope_tag: str | None = None, scope_class: str | None = None,
-                  anchor_class: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+                  anchor_class: str | None = None, carry: tuple[str, ...] = (),
+                  inside: tuple[str, ...] = ()) -> DataFrame:
     """B1 + C13: one row per anchor, ``(page_id, pos, label, href, *carry)``, document order.
 
     ``label`` is the anchor's first direct text (``a::text`` ``.get()``), ``href``
     its attribute value (null when absent); both entity-decoded, neither
-    stripped.  With a scope, only anchors inside the scope element(s) count.
+    stripped.  With a scope, only anchors inside the scope element(s) count, and
+    with ``inside`` only those inside elements of these names, one in the other.
     ``carry`` names page columns (e.g. ``url``) to keep on every link, so that
     nothing has to be joined back to the page table later.
     Narrow: no shuffle; each page is handled in the task that read it.
     """
     doc = H.clean_html("html")
     if scope_tag:
-        doc = F.array_join(H.elements(doc, scope_tag, scope_class), "\n")
+        doc = H.scope(doc, scope_tag, scope_class)
+    for tag in inside:
+        doc = H.scope(doc, tag)
     anchor_re = r"(?is)" + H.open_tag("a", anchor_class) + r".*?(?:</a\s*>|\z)"
     anchors = F.regexp_extract_all(doc, F.lit(anchor_re), 0)
     parsed = F.transform(anchors, lambda a: F.struct(
@@ -131,16 +135,17 @@ def resolve_links(links: DataFrame, pages: DataFrame, url_col: str = "target_url
 
     Unresolved links are found against the URLs the join reached (at most one
     row per link target), not against the whole page table, so the page URL
-    column is never shuffled either.
+    column is never shuffled either.  Both sides meet on the canonical URL, the
+    key of ``dedupe_links``.
     """
-    side = links.select(F.col(url_col).alias("_target"), *[F.col(c) for c in carry])
+    side = links.select(canonical_url(url_col).alias("_target"), *[F.col(c) for c in carry])
     side = broadcast_if_small(side, max_broadcast_rows)
-    joined = pages.join(side, pages["url"] == side["_target"], "inner").drop("_target")
+    joined = pages.join(side, canonical_url(pages["url"]) == side["_target"], "inner").drop("_target")
     if "label" in carry:
         joined = joined.withColumnRenamed("label", "market")
-    reached = pages.select("url").join(side.select("_target"), F.col("url") == F.col("_target"), "inner") \
+    reached = pages.select("url").join(side.select("_target"), canonical_url("url") == F.col("_target"), "inner") \
                    .select(F.col("_target").alias("_reached")).distinct()
-    unresolved = links.join(reached, links[url_col] == reached["_reached"], "left_anti")
+    unresolved = links.join(reached, canonical_url(links[url_col]) == reached["_reached"], "left_anti")
     return joined, unresolved
 
 

@@ -12,6 +12,8 @@ Layout under ``base``::
     rejects/<table>/ds=<yyyyMMdd>/                            refused records + reason
     landing/<table>/ds=<yyyyMMdd>/                            NDJSON export of full history
     warehouse/<table>/                                        truncate-loaded tables
+    links/ds=<yyyyMMdd>/                                      menu links, written once
+    audit/ds=<yyyyMMdd>/step=<step>/                          audit rows, written as each step ends
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ class SiteRules:
     base_lang: str = "en"
     menu_tag: str = "div"
     menu_class: str = S.MENU_SCOPE_CLASS
+    menu_path: tuple[str, ...] = ("ul", "li")
     link_class: str = S.MENU_LINK_CLASS
     content_start: str | None = None
     content_end: str | None = None
@@ -70,10 +73,13 @@ def run_daily(spark: SparkSession, pages: DataFrame, seeds, base: str, ds,
     """Run one logical date end to end; returns the audit rows ``(dataset, check, value, flag)``."""
     key = R.ds_key(ds)
     seed = R.seed_pages(pages, seeds)
-    links = L.extract_links(seed, rules.menu_tag, rules.menu_class, rules.link_class)
-    links = links.checkpoint(eager=True)
+    L.extract_links(seed, rules.menu_tag, rules.menu_class, rules.link_class, inside=rules.menu_path) \
+     .write.mode("overwrite").parquet(f"{base}/links/ds={key}")
+    links = spark.read.parquet(f"{base}/links/ds={key}")
+
+    def record(step: str, audits: list[DataFrame]) -> None:
+        A.union_all(audits).coalesce(1).write.mode("overwrite").parquet(f"{base}/audit/ds={key}/step={step}")
 
-    audits = []
     for kind, schema in S.TABLES.items():
         resolved, refused, unresolved = crawl(links, pages, kind, rules)
         staged = stage_records(resolved, kind, rules)
@@ -90,25 +96,25 @@ def run_daily(spark: SparkSession, pages: DataFrame, seeds, base: str, ds,
             F.count("*").alias("records"),
             F.count(F.when(F.col("status") == "valid", 1)).alias("valid"),
             F.count(F.when(F.col("status") == "rejected", 1)).alias("rejected"))
-        audits += [A.audit_row(counts, kind, "records", "records"),
-                   A.audit_row(counts, kind, "valid", "valid"),
-                   A.audit_row(counts, kind, "rejected", "rejected"),
-                   A.audit_row(refused.agg(F.count("*").alias("n")), kind, "links_refused", "n"),
-                   A.audit_row(unresolved.agg(F.count("*").alias("n")), kind, "links_unresolved", "n")]
-
-    # H1 row counts, G5/G6 export of the full history, audits, G7 loads.
+        record(f"stage_{kind}", [
+            A.audit_row(counts, kind, "records", "records"),
+            A.audit_row(counts, kind, "valid", "valid"),
+            A.audit_row(counts, kind, "rejected", "rejected"),
+            A.audit_row(refused.agg(F.count("*").alias("n")), kind, "links_refused", "n"),
+            A.audit_row(unresolved.agg(F.count("*").alias("n")), kind, "links_unresolved", "n")])
+
+    # H1 row counts, G5/G6/D18 export of the full history, audits, G7 loads.
     for kind, schema in S.TABLES.items():
         history = R.read_history(spark, f"{base}/history/{kind}", schema)
-        audits.append(A.audit_row(history.agg(F.count("*").alias("n")), kind, "history_rows", "n"))
-        W.land(history, f"{base}/landing", kind, ds)
+        record(f"history_{kind}", [A.audit_row(history.agg(F.count("*").alias("n")), kind, "history_rows", "n")])
+        W.land(history, f"{base}/landing", kind, ds, compat_round=True)
     for kind, schema in S.TABLES.items():
         landed = R.landing_path(f"{base}/landing", kind, ds)
-        audits.append(A.audit_files(spark, landed, kind))
-        audits.append(A.audit_text(spark, landed, kind))
-        drift = A.unexpected_fields(spark, landed, schema)
-        audits.append(A.audit_row(drift.agg(F.count("*").alias("n")), kind, "unexpected_fields", "n",
-                                  F.col("n") > 0))
+        drift = A.unexpected_fields(spark, landed, schema).agg(F.count("*").alias("n"))
+        record(f"landed_{kind}", [
+            A.audit_files(spark, landed, kind), A.audit_text(spark, landed, kind),
+            A.audit_row(drift, kind, "unexpected_fields", "n", F.col("n") > 0)])
     for kind, schema in S.TABLES.items():
         loaded = W.truncate_load(spark, f"{base}/landing", kind, ds, schema, f"{base}/warehouse/{kind}")
-        audits.append(A.audit_row(loaded.agg(F.count("*").alias("n")), kind, "loaded_rows", "n"))
-    return A.union_all(audits)
+        record(f"loaded_{kind}", [A.audit_row(loaded.agg(F.count("*").alias("n")), kind, "loaded_rows", "n")])
+    return spark.read.parquet(f"{base}/audit/ds={key}").drop("step")

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import maps as M
+from ..operators.audit import unexpected_fields
+from ..operators.sizing import broadcast_if_small
+from ..session import scratch_path
 from ..sources import readers as R
 
 
@@ -31,24 +34,26 @@ def assign_ids(df: DataFrame, start: int | Column = 1, col: str = "id",
                stable_input: bool = False) -> DataFrame:
     """Dense increasing ids ``start, start+1, ...`` without a global window.
 
-    Pass 1 counts rows per partition; the offsets table has one row per
-    partition (bounded by the partition count, not the data) and is broadcast;
-    pass 2 adds offset + position within the partition.  Both passes must see
-    identical partitions and row order: unless the caller states that the input
-    is a plain file scan (``stable_input``), it is checkpointed first.
+    A row's place is its file and its index in it, which no split size changes.
+    Pass 1 counts rows per file, pass 2 adds a file's offset to the index.  Unless
+    the caller states that ``df`` reads whole files (``stable_input``), it is
+    written to the shared scratch folder first.  A file without an offset, or
+    one of which only some rows are numbered, fails the job.
     """
-    tagged = (df.withColumn("_pid", F.spark_partition_id())
-              .withColumn("_row", F.monotonically_increasing_id()))
+    spark = df.sparkSession
     if not stable_input:
-        tagged = tagged.checkpoint(eager=True)
-    counts = tagged.groupBy("_pid").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+        path = scratch_path(spark, "ids")
+        df.write.parquet(path)
+        df = spark.read.schema(df.schema).parquet(path)
+    tagged = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    counts = tagged.groupBy("_file").agg(F.count("*").alias("_n"), F.max("_at").alias("_last"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    offsets = counts.select("_file", F.when(F.col("_n") == F.col("_last") + 1, offset).alias("_off"))
+    out = tagged.join(broadcast_if_small(offsets, 200_000), "_file", "left")
     start_col = start if isinstance(start, Column) else F.lit(start)
-    position = F.col("_row") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    out = tagged.join(F.broadcast(offsets), "_pid")
-    return out.select((start_col + F.col("_off") + position).cast("bigint").alias(col),
-                      *[c for c in df.columns])
+    found = F.coalesce("_off", F.raise_error(F.lit("rows of a file were not all numbered")).cast("bigint"))
+    return out.select((start_col + found + F.col("_at")).cast("bigint").alias(col), *df.columns)
 
 
 def next_id(spark: SparkSession, path: str) -> int:
@@ -99,9 +104,13 @@ def truncate_load(spark: SparkSession, base: str, table: str, ds, schema: T.Stru
                   dest: str) -> DataFrame:
     """Replace the warehouse table with one date's landed file (strict schema).
 
-    The load is written beside the table first: a file that does not fit the schema
-    fails there and leaves the table as it was.
+    A field the schema does not know refuses the load.  The load is written beside
+    the table first: a file that does not fit the schema fails there.  Either
+    way the table stays as it was.
     """
+    stray = unexpected_fields(spark, R.landing_path(base, table, ds), schema).orderBy("field").limit(5).collect()
+    if stray:
+        raise ValueError(f"{table}: landed fields without a column: {[r['field'] for r in stray]}")
     loaded = R.read_landed(spark, base, table, ds, schema)
     staging = f"{dest.rstrip('/')}__loading"
     loaded.write.mode("overwrite").parquet(staging)

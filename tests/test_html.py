@@ -72,3 +72,49 @@ def test_character_references_out_of_range(spark):
     got = one_col(spark, ["&#1114112;", "&#9999999999;", "&#xD800;", "&#0;", "&#x000041;", "&#xFFFFFFFFF;"],
                   lambda c: H.decode_entities(c))
     assert got == ["�", "�", "�", "�", "A", "�"]
+
+
+def test_nested_elements_of_one_name(spark):
+    html = ('<div class="m"><div>a<div>b</div></div><ul><li>x<ul><li>y</li></ul>z<li>w</ul></div>'
+            '<div class="m">second</div><div>out</div>')
+    assert one_col(spark, [html], lambda c: H.texts(H.scope(c, "div", "m"), "li")) == [["x", "z", "y", "w"]]
+    assert one_col(spark, [html], lambda c: H.texts(c, "div", "m")) == [["second"]]
+    assert one_col(spark, ["<span><span>5</span></span>"], lambda c: H.texts(c, "span")) == [["5"]]
+    cell = "<table><tr><td>a<table><tr><td>in</td></tr></table>b</td><td>c</td></tr></table>"
+    assert one_col(spark, [cell], lambda c: H.texts(c, "td")) == [["a", "b", "in", "c"]]
+
+
+def test_long_and_deep_markup_keeps_the_stack(spark):
+    deep = "<div>" * 3_000 + "x" + "</div>" * 3_000
+    unclosed = "<div>a" * 3_000
+    wide = '<div class="m">' + "<div>1</div>" * 5_000 + "end</div>"
+    got = one_col(spark, [deep, unclosed, wide], lambda c: F.size(H.elements(c, "div", "m")))
+    assert got == [0, 0, 1]
+    assert one_col(spark, [wide], lambda c: H.first_text(H.scope(c, "div", "m"))) == ["end"]
+
+
+def test_attribute_forms(spark):
+    tags = ["<a class='big m' href='/x?a=1&amp;b=2'>t</a>", "<a class=m href=/x?a=1>t</a>",
+            '<a title="a>b" class="m" href="/y">t</a>', """<a title='say "hi" > class="q"' class="m" href='/z'>t</a>""",
+            '<a href="/first" href="/second" class="m">t</a>', "<p>it's = \"x\" > y</p>"]
+    got = one_col(spark, tags, lambda c: H.attr_value(H.clean_html(c), "href"))
+    assert got == ["/x?a=1&b=2", "/x?a=1", "/y", "/z", "/first", None]
+    assert one_col(spark, tags, lambda c: H.texts(H.clean_html(c), "a", "m")) == [["t"]] * 5 + [[]]
+    assert one_col(spark, tags[-1:], H.clean_html) == tags[-1:]
+
+
+def test_child_step_and_sibling_position(spark):
+    body = '<b><span>deep</span></b><span class="k">one</span><font><span>two</span></font>'
+    assert one_col(spark, [body], lambda c: H.children(c, "span")) == [["one"]]
+    cells = ["<span></span><span>5</span>", "<span>Volume</span><span>12<br>34</span>",
+             "<b>x</b><span>late</span>", "<span>k</span><b>x</b>", "<i><span>k</span></i><span>v</span>",
+             "<span>k</span><span>v</span> tail"]
+    out = one_col(spark, cells, H.kv_cell)
+    assert [None if r is None else (r["key"], r["value"]) for r in out] == \
+        [None, ("Volume", "12"), None, None, ("k", "k"), ("k", "v")]
+
+
+def test_entities_of_html_4(spark):
+    got = one_col(spark, ["&Eacute;t&eacute; &euro;&nbsp;1", "&#233 &#xe9;", "&eacute x", "&apos;&nosuch;"],
+                  H.decode_entities)
+    assert got == ["\u00c9t\u00e9 \u20ac\u00a01", "\u00e9 \u00e9", "&eacute x", "'&nosuch;"]

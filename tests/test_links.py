@@ -61,3 +61,21 @@ def test_dedupe_first_label_wins_and_resolve(spark):
     joined, unresolved = L.resolve_links(dd, pages)
     assert sorted((r.page_id, r.market) for r in joined.collect()) == [(10, "first"), (11, "other")]
     assert [r.target_url for r in unresolved.collect()] == ["u9"]
+
+
+def test_links_only_inside_list_items(spark):
+    html = ("<div class='mega-inner'><div><a class='m' href='/en/out'>Out</a></div><ul><div>"
+            "<li><div><a class=m href=/en/a>A</a></div><ul><li><a class='m' href='/en/b'>B</a></ul></div></ul></div>")
+    pages = spark.createDataFrame([(7, "u", html)], "page_id long, url string, html string")
+    rows = L.extract_links(pages, "div", "mega-inner", "m", inside=("ul", "li")).orderBy("pos").collect()
+    assert [(r.label, r.href) for r in rows] == [("A", "/en/a"), ("B", "/en/b")]
+
+
+def test_resolve_on_canonical_url(spark):
+    links = spark.createDataFrame([(1, 0, "A", "http://h/a#top"), (1, 1, "B", "http://h/b?y=2&x=1"),
+                                   (1, 2, "C", "http://h/c")], "page_id long, pos int, label string, target_url string")
+    pages = spark.createDataFrame([(10, "http://h/a", ""), (11, "http://h/b?x=1&y=2", "")],
+                                  "page_id long, url string, html string")
+    joined, unresolved = L.resolve_links(L.dedupe_links(links), pages)
+    assert sorted((r.page_id, r.market) for r in joined.collect()) == [(10, "A"), (11, "B")]
+    assert [r.label for r in unresolved.collect()] == ["C"]

@@ -25,3 +25,10 @@ def test_zip_empty(spark):
 def test_dict_literal(spark):
     df = spark.createDataFrame([("{'1M': '+1.82%', 'YTD': '-3.64%'}",)], "s string")
     assert df.select(M.parse_dict_literal("s")).first()[0] == {"1M": "+1.82%", "YTD": "-3.64%"}
+
+
+def test_dict_literal_of_python(spark):
+    vals = [r"{'a': None, 'b': 'it\'s', 'c': 'x\xa0y'}", """{'a': "None, 'b': None", 'N': 'None'}""", r"{'a': 'b\\x41'}"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    assert [r[0] for r in df.select(M.parse_dict_literal("s")).collect()] == [
+        {"a": None, "b": "it's", "c": "x\u00a0y"}, {"a": "None, 'b': None", "N": "None"}, {"a": "b\\x41"}]

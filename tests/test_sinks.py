@@ -84,3 +84,29 @@ def test_feed_csv_roundtrip(spark, scratch):
 def test_row_counts(spark):
     a, b = spark.range(3), spark.range(5)
     assert sorted(tuple(r) for r in A.row_counts(a=a, b=b).collect()) == [("a", 3), ("b", 5)]
+
+
+def test_ids_do_not_depend_on_split_size(spark, scratch):
+    path = scratch("files")
+    spark.range(0, 5000, 1, 5).write.parquet(path)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        out = W.assign_ids(spark.read.parquet(path), 3, "new", stable_input=True)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        rows = out.select("new", "id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert sorted(r["new"] for r in rows) == list(range(3, 5003)) and len({r["id"] for r in rows}) == 5000
+
+
+def test_refused_load_keeps_the_table(spark, scratch):
+    from pyspark.sql import types as T
+    schema, base, dest = T.StructType().add("a", "long"), scratch("land"), scratch("wh")
+    W.land(spark.createDataFrame([(1,)], "a long"), base, "t", "2024-04-03")
+    W.truncate_load(spark, base, "t", "2024-04-03", schema, dest)
+    W.land(spark.createDataFrame([(2, "x")], "a long, note string"), base, "t", "2024-04-04")
+    W.land(spark.createDataFrame([("x",)], "a string"), base, "t", "2024-04-05")
+    for day in ("2024-04-04", "2024-04-05"):
+        with pytest.raises(Exception):
+            W.truncate_load(spark, base, "t", day, schema, dest)
+        assert [r["a"] for r in spark.read.parquet(dest).collect()] == [1]
