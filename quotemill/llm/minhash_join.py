@@ -30,12 +30,15 @@ SHINGLE, PERCENT = 5, 75
 #: Sketch positions (whole values name the nodes of the first level, 8 bits of each are kept), trees, and positions a node draws for its children (each with chance 1 / (similarity * SKETCH)).
 SKETCH, TREES = 64, 20
 #: Nodes of at most so many sets are compared exhaustively.
-SMALL = 48
+SMALL = 128
 #: Levels below which a node is compared in any case.
-DEEPEST = 6
-#: A pair goes on to the full sets unless its sketches agree in fewer than this share of positions: 4.6 standard
+DEEPEST = 3
+#: A pair goes on unless its minwise values agree in fewer than this share of positions: 4.6 standard
 #: deviations below the least share wanted.
 AGREE = 0.5
+#: Ranges of shingle hashes: a set's least hash in each, 8 bits of it (0: none), is its second sketch.  A pair goes on
+#: to the full sets unless the ranges agree less than wanted by more than so many standard deviations.
+BINS, SAFE = 256, 4.6
 #: Pairs of sketches compared at a time.
 PAIRS = 100_000
 BATCH_CHARS = 4_000_000
@@ -126,6 +129,27 @@ def sketches(h: np.ndarray, sizes: np.ndarray, positions: int = SKETCH) -> np.nd
     return out
 
 
+def binned(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """8 bits of the least hash in each of BINS equal ranges (0: none), one row a non-empty set."""
+    sizes = sizes[sizes > 0]
+    out = np.zeros((len(sizes), BINS), np.uint8)
+    place = np.repeat(np.arange(len(sizes)) * BINS, sizes) + (h // np.uint64(2**64 // BINS)).astype(np.int64)
+    first = np.diff(place, prepend=-1) != 0
+    out.ravel()[place[first]] = (h[first] % np.uint64(255)).astype(np.uint8) + 1
+    return out
+
+
+def _close(head: np.ndarray, bins: np.ndarray, x: np.ndarray, y: np.ndarray, agree: float, share: float) -> np.ndarray:
+    """Which pairs of rows ``x, y`` agree enough, by minwise values first and by ranges then."""
+    good = (head[x] == head[y]).mean(axis=1) >= agree
+    at = np.flatnonzero(good)
+    p, q = bins[x[at]], bins[y[at]]
+    either = ((p | q) > 0).sum(axis=1)
+    same = ((p == q) & (p > 0)).sum(axis=1)
+    good[at] = same >= share * either - SAFE * np.sqrt(share * (1 - share) * either)
+    return good
+
+
 def _draws(node: np.ndarray, positions: int, chance: float) -> np.ndarray:
     """Which positions each node has chosen, from its name alone."""
     draw = _mix(node[:, None] + np.arange(1, positions + 1, dtype=np.uint64) * _A)
@@ -144,15 +168,18 @@ def _unpack(column, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column), kind)
 
 
-def _alike(pairs: DataFrame, sketch: DataFrame, agree: float) -> DataFrame:
+def _alike(pairs: DataFrame, sketch: DataFrame, agree: float, share: float) -> DataFrame:
     """The ``(a, b)`` pairs whose sketches agree enough."""
     both = (pairs.join(sketch.select(F.col("rep").alias("a"), F.col("sketch").alias("sa")), "a")
             .join(sketch.select(F.col("rep").alias("b"), F.col("sketch").alias("sb")), "b"))
 
     def run(frames):
         for frame in frames:
-            x, y = (_unpack(frame[c], np.uint8).reshape(len(frame), -1) for c in ("sa", "sb"))
-            yield frame.loc[(x == y).mean(axis=1) >= agree if len(frame) else [], ["a", "b"]]
+            if not len(frame):
+                continue
+            rows = np.concatenate([_unpack(frame[c], np.uint8).reshape(len(frame), -1) for c in ("sa", "sb")])
+            x = np.arange(len(frame))
+            yield frame.loc[_close(rows[:, :-BINS], rows[:, -BINS:], x, x + len(frame), agree, share), ["a", "b"]]
 
     return both.mapInPandas(run, "a long, b long")
 
@@ -219,7 +246,8 @@ def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int, sh
     return full.mapInPandas(confirm, "a long, b long")
 
 
-def _within(node: np.ndarray, rep: np.ndarray, comp: np.ndarray, sketch: np.ndarray, agree: float) -> pd.DataFrame:
+def _within(node: np.ndarray, rep: np.ndarray, comp: np.ndarray, sketch: np.ndarray, agree: float,
+            share: float) -> pd.DataFrame:
     """Pairs of different components inside whole nodes, rows sorted by node.
 
     Nodes of one size are compared together, a bounded number of pairs at a time; a pair that
@@ -228,6 +256,7 @@ def _within(node: np.ndarray, rep: np.ndarray, comp: np.ndarray, sketch: np.ndar
     start = np.flatnonzero(np.diff(node, prepend=node[:1] - 1) != 0)
     size = np.diff(np.append(start, len(node)))
     found = [(rep[:0], rep[:0])]
+    head, bins = np.ascontiguousarray(sketch[:, :-BINS]), np.ascontiguousarray(sketch[:, -BINS:])
 
     def test(x, y):
         other = comp[x] != comp[y]
@@ -240,7 +269,7 @@ def _within(node: np.ndarray, rep: np.ndarray, comp: np.ndarray, sketch: np.ndar
         fresh = np.ones(len(x), bool)
         fresh[1:] = (rep[x[1:]] != rep[x[:-1]]) | (rep[y[1:]] != rep[y[:-1]])
         x, y = x[fresh], y[fresh]
-        good = (sketch[x] == sketch[y]).mean(axis=1) >= agree
+        good = _close(head, bins, x, y, agree, share)
         found.append((rep[x[good]], rep[y[good]]))
 
     for k in np.unique(size[size > 1]).tolist():
@@ -260,7 +289,7 @@ def _within(node: np.ndarray, rep: np.ndarray, comp: np.ndarray, sketch: np.ndar
     return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
 
 
-def _node_pairs(members: DataFrame, agree: float) -> DataFrame:
+def _node_pairs(members: DataFrame, agree: float, share: float) -> DataFrame:
     """Pairs of different components in the same node whose sketches agree enough.
 
     ``members``: ``node, rep, sketch, component``.  Rows of a node are together; the last
@@ -277,11 +306,11 @@ def _node_pairs(members: DataFrame, agree: float) -> DataFrame:
             cut = int(np.searchsorted(node, node[-1]))
             if cut or (held and held[-1][0][-1] != node[0]):
                 held.append(tuple(x[:cut] for x in rows))
-                yield _within(*(np.concatenate(x) for x in zip(*held)), agree)
+                yield _within(*(np.concatenate(x) for x in zip(*held)), agree, share)
                 held = []
             held.append(tuple(x[cut:] for x in rows))
         if held:
-            yield _within(*(np.concatenate(x) for x in zip(*held)), agree)
+            yield _within(*(np.concatenate(x) for x in zip(*held)), agree, share)
 
     return members.repartition("node").sortWithinPartitions("node").select(
         "node", "rep", "sketch", "component").mapInPandas(compare, "a long, b long")
@@ -301,7 +330,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     """
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    chance = 100.0 / (percent * positions)
+    chance, share = 100.0 / (percent * positions), percent / 100.0
 
     def prepare(frames):
         """Digest and sketch of every set, and its nodes of the first level in all trees."""
@@ -320,7 +349,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
                                 "name": None, "sketch": None, "nodes": None})
             for column, values in (
                     ("name", [hashlib.blake2b(packed[ends[i] - 8 * sizes[i]:ends[i]], digest_size=16).digest() for i in some]),
-                    ("sketch", [x.tobytes() for x in (sketch >> np.uint64(56)).astype(np.uint8)]),
+                    ("sketch", [x.tobytes() for x in np.hstack(
+                        [(sketch >> np.uint64(56)).astype(np.uint8), binned(h, sizes)])]),
                     ("nodes", [node[b - n:b] for b, n in zip(cut, count)])):
                 filled = np.empty(len(frame), object)
                 for i, v in zip(some.tolist(), values):
@@ -343,7 +373,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     met = staged(members.join(counts, "node").select("node", "rep", "least").distinct(), "dup-nodes")
 
     stars = met.where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
-    stars = staged(_alike(stars, sketch, agree), "dup-stars")
+    stars = staged(_alike(stars, sketch, agree, share), "dup-stars")
 
     def joined(comps, pairs):
         """Components after the confirmed ones of the pairs: the former ones are their stars."""
@@ -365,13 +395,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         mixed = mixed.where("lo <> hi").select("node", "n")
         open_ = staged(with_comp.join(mixed, "node"), f"dup-level{depth}")
         limit = small if depth < deepest else 2**31
-        pairs = _node_pairs(open_.where(F.col("n") <= limit).join(sketch, "rep"), agree).distinct()
-        pairs = staged(pairs.join(stars, ["a", "b"], "left_anti"), "dup-pairs")
-        if depth == 0:
-            comps, first = joined(comps, pairs), pairs
-        else:
-            # Few are left below the first level: full sets are fetched once for all of them.
-            waiting = pairs if waiting is None else waiting.unionByName(pairs)
+        pairs = staged(_node_pairs(open_.where(F.col("n") <= limit).join(sketch, "rep"), agree, share), "dup-pairs")
+        # Few are left beside the stars: full sets are fetched once for all of them.
+        waiting = pairs if waiting is None else waiting.unionByName(pairs)
         large = open_.where(F.col("n") > limit)
         if large.isEmpty():
             break
@@ -380,15 +406,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
             for frame in frames:
                 if not len(frame):
                     continue
-                values = _unpack(frame["sketch"], np.uint8).reshape(len(frame), -1)
+                values = _unpack(frame["sketch"], np.uint8).reshape(len(frame), -1)[:, :positions]
                 rows, name = branch(frame["rep"].to_numpy(), frame["node"].to_numpy().view(np.uint64), values, chance)
                 yield pd.DataFrame({"node": name.view(np.int64), "rep": frame["rep"].to_numpy()[rows]})
 
         level = large.select("node", "rep").join(sketch, "rep").mapInPandas(deeper, "node long, rep long")
-        lone = level.groupBy("node").count().where("count > 1").select("node")
-        level = staged(level.distinct().join(lone, "node", "left_semi"), "dup-nodes")
-    if waiting is not None:
-        comps = joined(comps, staged(waiting.distinct().join(first, ["a", "b"], "left_anti"), "dup-waiting"))
+        level = staged(level, "dup-nodes")
+    comps = joined(comps, staged(waiting.distinct().join(stars, ["a", "b"], "left_anti"), "dup-waiting"))
 
     label = classes.join(comps, "rep", "left").select("name", F.coalesce("component", "rep").alias("component"))
     label = owner.join(label, "name").select("doc_id", "component")

@@ -94,3 +94,22 @@ def test_shingle_sets_match_plain_sets():
     for i in range(0, len(texts), 7):
         for j in range(0, len(texts), 5):
             assert len(mine[i] & mine[j]) == len(plain_set(texts[i]) & plain_set(texts[j]))
+
+
+def test_ranges_let_links_through():
+    import numpy as np
+
+    from quotemill.llm import minhash_join as m
+    rng = np.random.default_rng(7)
+    rows, sizes = [], []
+    for n in (1, 4, 30, 300, 5000):
+        for _ in range(20):
+            base = rng.integers(0, 2**64 - 1, n, dtype=np.uint64)
+            part = base[:-(-3 * n // 4)]
+            rows += [np.unique(base), np.unique(part)]
+            sizes += [len(rows[-2]), len(rows[-1])]
+    h, sizes = np.concatenate(rows), np.array(sizes)
+    head, bins = (m.sketches(h, sizes) >> np.uint64(56)).astype(np.uint8), m.binned(h, sizes)
+    x = np.arange(0, len(sizes), 2)
+    assert m._close(head, bins, x, x + 1, m.AGREE, 0.75).all()
+    assert not m._close(head[-40:], bins[-40:], np.arange(0, 38, 2), np.arange(2, 40, 2), 0.0, 0.75).any()
