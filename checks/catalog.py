@@ -102,7 +102,14 @@ def _next_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_link_page_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Link -> page equi-join, carrying the parent's label as ``market``."""
+    """Link -> page equi-join on the exact URL, carrying the parent's label as ``market``."""
+    links = _next_page_links(spark, sf_dir).withColumnRenamed("page_id", "from_page_id")
+    joined, _ = L.resolve_links(links, _t(spark, sf_dir, "pages"), carry=("label", "from_page_id"), canonical=False)
+    return joined.select("page_id", "url", "market", "from_page_id")
+
+
+def q_link_page_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link -> page join on the canonical URL (fragments and argument order do not count)."""
     links = _next_page_links(spark, sf_dir).withColumnRenamed("page_id", "from_page_id")
     joined, _ = L.resolve_links(links, _t(spark, sf_dir, "pages"), carry=("label", "from_page_id"))
     return joined.select("page_id", "url", "market", "from_page_id")
@@ -424,6 +431,7 @@ QUERIES = {
     "q_offsite_filter": q_offsite_filter,
     "q_dedupe_links": q_dedupe_links,
     "q_link_page_join": q_link_page_join,
+    "q_link_page_canonical": q_link_page_canonical,
     "q_unresolved_links": q_unresolved_links,
     "q_heading_or_default": q_heading_or_default,
     "q_page_texts": q_page_texts,

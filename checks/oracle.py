@@ -103,6 +103,11 @@ LINK_PAGE_JOIN = f"""WITH {TITLES}
 SELECT p2.page_id, p2.url, t.label AS market, CAST(t.page_id AS BIGINT) AS from_page_id
 FROM titles t JOIN pages p2 ON p2.page_id = t.page_id + 1"""
 
+LINK_PAGE_CANONICAL = f"""WITH {TITLES}
+SELECT p.page_id, p.url, t.label AS market, CAST(t.page_id AS BIGINT) AS from_page_id
+FROM titles t JOIN pages p2 ON p2.page_id = t.page_id + 1
+JOIN pages p ON {canon('p.url')} = {canon('p2.url')}"""
+
 UNRESOLVED_LINKS = f"""WITH {NAV_LINKS},
   m AS (SELECT l.page_id, l.pos, {origin('p.url')} || l.href AS target_url
         FROM links l JOIN pages p USING (page_id)),
@@ -425,6 +430,7 @@ ORACLE = {
     "q_offsite_filter": OFFSITE_FILTER,
     "q_dedupe_links": DEDUPE_LINKS,
     "q_link_page_join": LINK_PAGE_JOIN,
+    "q_link_page_canonical": LINK_PAGE_CANONICAL,
     "q_unresolved_links": UNRESOLVED_LINKS,
     "q_heading_or_default": HEADING_OR_DEFAULT,
     "q_page_texts": PAGE_TEXTS,

@@ -123,8 +123,8 @@ def dedupe_links(links: DataFrame, url_col: str = "target_url") -> DataFrame:
 
 
 def resolve_links(links: DataFrame, pages: DataFrame, url_col: str = "target_url",
-                  carry: tuple[str, ...] = ("label",), max_broadcast_rows: int = 200_000
-                  ) -> tuple[DataFrame, DataFrame]:
+                  carry: tuple[str, ...] = ("label",), max_broadcast_rows: int = 200_000,
+                  canonical: bool = True) -> tuple[DataFrame, DataFrame]:
     """B7 + B8: (pages reached through a link, links whose page is missing).
 
     The joined frame holds the target page's ``page_id, url, html`` plus the
@@ -136,16 +136,17 @@ def resolve_links(links: DataFrame, pages: DataFrame, url_col: str = "target_url
     Unresolved links are found against the URLs the join reached (at most one
     row per link target), not against the whole page table, so the page URL
     column is never shuffled either.  Both sides meet on the canonical URL, the
-    key of ``dedupe_links``.
+    key of ``dedupe_links``, or on the URL as it is without ``canonical``.
     """
-    side = links.select(canonical_url(url_col).alias("_target"), *[F.col(c) for c in carry])
+    key = canonical_url if canonical else _c
+    side = links.select(key(url_col).alias("_target"), *[F.col(c) for c in carry])
     side = broadcast_if_small(side, max_broadcast_rows)
-    joined = pages.join(side, canonical_url(pages["url"]) == side["_target"], "inner").drop("_target")
+    joined = pages.join(side, key(pages["url"]) == side["_target"], "inner").drop("_target")
     if "label" in carry:
         joined = joined.withColumnRenamed("label", "market")
-    reached = pages.select("url").join(side.select("_target"), canonical_url("url") == F.col("_target"), "inner") \
+    reached = pages.select("url").join(side.select("_target"), key("url") == F.col("_target"), "inner") \
                    .select(F.col("_target").alias("_reached")).distinct()
-    unresolved = links.join(reached, canonical_url(links[url_col]) == reached["_reached"], "left_anti")
+    unresolved = links.join(reached, key(links[url_col]) == reached["_reached"], "left_anti")
     return joined, unresolved
 
 
