@@ -4,7 +4,9 @@ Terms whose inverse document frequency lies in a band form the lexicon.  A
 text's distinct lexicon terms are sorted and hashed once for the whole lexicon
 and once for each of several randomised subsets of it; two texts are alike by the share
 of subsets that hash alike.  Subsets of several densities tell small
-edits from large ones.
+edits from large ones.  A text with terms but none in the lexicon (short ones, rare languages, copies that
+hold more rows than the band allows, small tables) is hashed over all its distinct terms and is alike
+only to texts of the same terms.
 """
 
 from __future__ import annotations
@@ -72,11 +74,19 @@ class Fingerprinter:
         self.member = draws < (np.array(chances) * 2**32).astype(np.uint32)
 
     def __call__(self, text: str | None) -> str:
-        """Hashes in hex: 16 digits over all lexicon terms, 4 for each subset, ``----`` for one without terms."""
+        """Hashes in hex: 16 digits over all lexicon terms, 4 for each subset, ``----`` for one without terms.
+
+        Without lexicon terms the 16 digits are over all distinct terms, a hash of its own kind, and the
+        subsets have none; ``----`` throughout is a text without any term.
+        """
         got = self.index
-        ids = sorted({got[t] for t in terms(text or "") if t in got})
+        own = terms(text or "")
+        ids = sorted({got[t] for t in own if t in got})
         if not ids:
-            return EMPTY * (4 + self.member.shape[1])
+            empty = EMPTY * self.member.shape[1]
+            if not own:
+                return 4 * EMPTY + empty
+            return hashlib.blake2b(b" ".join(sorted(own)), digest_size=8, person=b"all terms").hexdigest() + empty
         words, member = self.words[ids], self.member[ids]
         out = [hashlib.blake2b(b" ".join(words), digest_size=8).hexdigest()]
         subsets = [EMPTY] * member.shape[1]
@@ -132,8 +142,8 @@ def fingerprint_edits(docs: DataFrame, least: float = LEAST, most: float = MOST)
     many (or all) of the next document in order of doc_id; the last is followed by
     the first.  Null ids come before all others, rows of one id follow in order of a hash
     of their text.  A null text counts as empty.  A text without lexicon terms
-    has a fingerprint of its own kind (``----``), alike only to the same.  One row out per
-    row in; an empty table gives none.
+    has the hash of all its distinct terms and is alike (1) only to texts of the same terms, else 0; only texts
+    without any term share the fixed ``----``.  One row out per row in; an empty table gives none.
 
     One shuffle of the texts by ranges of doc_id puts neighbours together; each range
     also gets the first row of the next.

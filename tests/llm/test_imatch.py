@@ -58,3 +58,23 @@ def test_likeness_falls_with_edits(spark):
     small, half = make(" ".join(words[2:202])), make(" ".join(words[100:300]))
     far = make(" ".join(words[2000:2200]))
     assert 1 > imatch.likeness(base, small) > imatch.likeness(base, half) > imatch.likeness(base, far)
+
+
+def test_copies_over_a_third_of_the_rows(spark):
+    a, b = "the cat sat on the mat", "a dog ran off with one bone"
+    rows = [(i, (a, b, f"single text {i}")[i % 3]) for i in range(60)] + [(60, None), (61, " - "), (62, "cat cat, the mat on sat")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert not set(imatch.lexicon(df)) & (imatch.terms(a) | imatch.terms(b))
+    compare(df, rows)
+    got = {r.doc_id: r for r in imatch.fingerprint_edits(df).collect()}
+    assert got[0].near_next == got[1].near_next == got[59].near_next == got[61].near_next == 0
+    assert got[0].near_edited == 0 and got[60].near_next == 1
+    assert len({got[i].fingerprint for i in range(0, 60, 3)} | {got[62].fingerprint}) == 1
+    assert len({got[i].fingerprint for i in (0, 1, 2, 5, 60)}) == 5 and got[60].fingerprint == got[61].fingerprint
+
+
+def test_small_table_has_no_lexicon(spark):
+    rows = [(i, f"text number {i}") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert imatch.lexicon(df) == []
+    assert [r.near_next for r in imatch.fingerprint_edits(df).collect()] == [0.0] * 4
