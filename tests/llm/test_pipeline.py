@@ -43,3 +43,25 @@ def test_stages(spark):
     assert set(words) == set(taken)
     texts = sorted((r.doc_id, plain(r.text)[0]) for r in before[4].collect())
     assert texts == sorted((r.doc_id, r.n_tokens) for r in before[5].collect())
+
+
+def test_repeated_ids_with_different_texts(spark):
+    schema = spark.read.parquet(f"{SF_SMALL}/documents.parquet").schema
+    def words(k, n=60):
+        return " ".join(f"w{k}x{j}" for j in range(n))
+    rows = [(1, words(k), "en", "src1", 0) for k in range(10)]  # one id, ten texts
+    rows += [(k, words(k), "en", "src1", 0) for k in range(20, 30)]
+    rows += [(1, words(20), "en", "src2", 0), (1, words(0) + " end", "en", "src1", 0), (25, words(25), "en", "src1", 0)]
+    rows += [(None, words(0), "en", "src1", 0), (7, " ", "en", "src1", 0), (7, " ", "en", "src1", 0)]
+    docs = spark.createDataFrame(rows, schema)
+    first = {}
+    for n in (1, 5):
+        out = staged(P.drop_near_duplicates(spark, docs.repartition(n), SF_SMALL), "pipeline-test")
+        got = sorted((tuple(r) for r in out.collect()), key=str)
+        assert first.setdefault("got", got) == got
+    texts = [r[1] for r in first["got"] if r[0] is not None]
+    assert len([t for t in texts if t != " "]) == 20 and texts.count(" ") == 2
+    assert {words(k) for k in range(1, 10)} | {words(k) for k in range(20, 30)} < set(texts)
+    assert (1, words(20), "en", "src2", 0) in first["got"] and (20, words(20), "en", "src1", 0) not in first["got"]
+    assert (words(0) in texts) != (words(0) + " end" in texts)
+    assert sum(r[0] is None for r in first["got"]) == 1
