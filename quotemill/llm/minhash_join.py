@@ -10,6 +10,7 @@ threshold are missed with a chance below 1 in 10^5.
 Small nodes are compared exhaustively.  In a large node every set is first linked to the
 node's smallest id; sets that confirmed links have already put in one component need
 no further comparison, and what remains follows further chosen positions until it is small.
+A node still large at the last level is cut into blocks, and every two of them are a group of their own.
 All links are confirmed on full sets, so the result holds no false link.
 """
 
@@ -31,8 +32,8 @@ SHINGLE, PERCENT = 5, 75
 SKETCH, TREES = 64, 20
 #: Nodes of at most so many sets are compared exhaustively.
 SMALL = 128
-#: Levels below which a node is compared in any case.
-DEEPEST = 3
+#: Levels below which a node is compared in any case, in pairs of blocks of about so many sets.
+DEEPEST, BLOCK = 3, 512
 #: A pair goes on unless its minwise values agree in fewer than this share of positions: 4.6 standard
 #: deviations below the least share wanted.
 AGREE = 0.5
@@ -246,9 +247,9 @@ def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int, sh
     return full.mapInPandas(confirm, "a long, b long")
 
 
-def _within(node: np.ndarray, rep: np.ndarray, comp: np.ndarray, sketch: np.ndarray, agree: float,
+def _within(node: np.ndarray, rep: np.ndarray, comp: np.ndarray, side: np.ndarray, sketch: np.ndarray, agree: float,
             share: float) -> pd.DataFrame:
-    """Pairs of different components inside whole nodes, rows sorted by node.
+    """Pairs of different components, and sides if not negative, inside whole nodes, rows sorted by node.
 
     Nodes of one size are compared together, a bounded number of pairs at a time; a pair that
     several nodes hold is compared once a batch.
@@ -259,7 +260,7 @@ def _within(node: np.ndarray, rep: np.ndarray, comp: np.ndarray, sketch: np.ndar
     head, bins = np.ascontiguousarray(sketch[:, :-BINS]), np.ascontiguousarray(sketch[:, -BINS:])
 
     def test(x, y):
-        other = comp[x] != comp[y]
+        other = (comp[x] != comp[y]) & ((side[x] < 0) | (side[x] != side[y]))
         x, y = x[other], y[other]
         if not len(x):
             return
@@ -289,10 +290,24 @@ def _within(node: np.ndarray, rep: np.ndarray, comp: np.ndarray, sketch: np.ndar
     return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
 
 
+def _blocks(members: DataFrame, block: int) -> DataFrame:
+    """Nodes cut into salted blocks of about ``block`` sets: a new node for every two of them and for each alone.
+
+    ``members``: ``node, rep, component, n``.  Adds ``side``: which of the two blocks a row is of, -1 in a block alone.
+    Every two rows of a node meet on different sides, or in a block alone, once.
+    """
+    parts = F.ceil(F.col("n") / block).cast("int")
+    cut = members.withColumn("_parts", parts).withColumn("_own", F.pmod(F.xxhash64("rep", "node"), "_parts").cast("int"))
+    cut = cut.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    lo, hi = F.least("_own", "_other"), F.greatest("_own", "_other")
+    side = F.when(lo == hi, -1).otherwise((F.col("_own") == hi).cast("int"))
+    return cut.select(F.xxhash64("node", lo, hi).alias("node"), "rep", "component", side.alias("side"))
+
+
 def _node_pairs(members: DataFrame, agree: float, share: float) -> DataFrame:
     """Pairs of different components in the same node whose sketches agree enough.
 
-    ``members``: ``node, rep, sketch, component``.  Rows of a node are together; the last
+    ``members``: ``node, rep, sketch, component, side``.  Rows of a node are together; the last
     node of a batch waits for the next one.
     """
     def compare(frames):
@@ -302,7 +317,7 @@ def _node_pairs(members: DataFrame, agree: float, share: float) -> DataFrame:
                 continue
             node = frame["node"].to_numpy()
             sketch = _unpack(frame["sketch"], np.uint8).reshape(len(frame), -1)
-            rows = (node, frame["rep"].to_numpy(), frame["component"].to_numpy(), sketch)
+            rows = (node, frame["rep"].to_numpy(), frame["component"].to_numpy(), frame["side"].to_numpy(), sketch)
             cut = int(np.searchsorted(node, node[-1]))
             if cut or (held and held[-1][0][-1] != node[0]):
                 held.append(tuple(x[:cut] for x in rows))
@@ -313,12 +328,12 @@ def _node_pairs(members: DataFrame, agree: float, share: float) -> DataFrame:
             yield _within(*(np.concatenate(x) for x in zip(*held)), agree, share)
 
     return members.repartition("node").sortWithinPartitions("node").select(
-        "node", "rep", "sketch", "component").mapInPandas(compare, "a long, b long")
+        "node", "rep", "sketch", "component", "side").mapInPandas(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, trees: int = TREES,
                     positions: int = SKETCH, small: int = SMALL, deepest: int = DEEPEST,
-                    agree: float = AGREE) -> DataFrame:
+                    agree: float = AGREE, block: int = BLOCK) -> DataFrame:
     """``doc_id, text`` -> ``doc_id, n_shingles, component_id, kept``, one row out per row in.
 
     A-Z are lower-cased, words are runs of other characters than blank and the
@@ -394,12 +409,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
             F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
         mixed = mixed.where("lo <> hi").select("node", "n")
         open_ = staged(with_comp.join(mixed, "node"), f"dup-level{depth}")
-        limit = small if depth < deepest else 2**31
-        pairs = staged(_node_pairs(open_.where(F.col("n") <= limit).join(sketch, "rep"), agree, share), "dup-pairs")
+        large = open_.where(F.col("n") > small)
+        whole = open_.where(F.col("n") <= small).select("node", "rep", "component", F.lit(-1).alias("side"))
+        if depth == deepest:
+            whole = whole.unionByName(_blocks(large, block))
+        pairs = staged(_node_pairs(whole.join(sketch, "rep"), agree, share), "dup-pairs")
         # Few are left beside the stars: full sets are fetched once for all of them.
         waiting = pairs if waiting is None else waiting.unionByName(pairs)
-        large = open_.where(F.col("n") > limit)
-        if large.isEmpty():
+        if depth == deepest or large.isEmpty():
             break
 
         def deeper(frames):

@@ -113,3 +113,33 @@ def test_ranges_let_links_through():
     x = np.arange(0, len(sizes), 2)
     assert m._close(head, bins, x, x + 1, m.AGREE, 0.75).all()
     assert not m._close(head[-40:], bins[-40:], np.arange(0, 38, 2), np.arange(2, 40, 2), 0.0, 0.75).any()
+
+
+def test_large_nodes_of_the_last_level_are_cut_into_blocks(spark):
+    n, block = 300, 20
+    rows = [(7, i, i, n) for i in range(n)] + [(8, i, i, 5) for i in range(5)]
+    made = M._blocks(spark.createDataFrame(rows, "node long, rep long, component long, n long"), block).collect()
+    groups = {}
+    for r in made:
+        groups.setdefault(r.node, []).append((r.rep, r.side))
+    assert max(map(len, groups.values())) < 4 * block
+    met = [(min(a, b), max(a, b)) for g in groups.values() for k, (a, s) in enumerate(g) for b, t in g[k + 1:]
+           if s < 0 or s != t]
+    assert len(met) == n * (n - 1) // 2 + 10
+    assert len(set(met)) == n * (n - 1) // 2
+
+
+def test_blocks_find_the_links_of_a_shared_template(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(5000)]
+    base = [rng.choice(words) for _ in range(120)]
+    # A template just below the threshold in a third of the rows, and pairs of near copies inside it.
+    rows = []
+    for i in range(80):
+        own = base[:100] + [f"own{i // 2}x{j}" for j in range(20)]
+        rows.append((i, " ".join(own + ["end"] * (i % 2))))
+    rows += [(100 + i, " ".join(rng.choice(words) for _ in range(60))) for i in range(160)]
+    want = brute(rows)
+    assert len({c for i, (_, c, _) in want.items() if i < 80}) == 40
+    got = run(spark, rows, small=4, deepest=0, block=8)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == want
