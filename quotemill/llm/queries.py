@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import attention_lm, bpe, chat_format, imatch, knn_tree, lang_id, minhash_join, mixing, suffix_dedup, url_filter
+from quotemill.llm import (attention_lm, bpe, chat_format, collocations, imatch, importance, knn_tree, lang_id, minhash_join,
+                           mixing, suffix_dedup, url_filter, weak_quality)
 from quotemill.llm.common import in_partitions, table
 
 
@@ -74,7 +75,25 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_tree.search(rows, rows.where("vec_id % 20 = 0"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, drawn towards the benchmark texts."""
+    docs = in_partitions(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return importance.resample(docs, table(spark, sf_dir, "benchmark"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and verdict of every document."""
+    out = weak_quality.judge(in_partitions(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of every language."""
+    return collocations.mine(in_partitions(table(spark, sf_dir, "documents").select("lang", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_imatch, op2_preference_format, op3_source_mix, op4_bpe, op5_near_duplicates,
-        op6_attention, op7_language, op8_repeats, op9_url_verdicts, op10_nearest)}
+        op6_attention, op7_language, op8_repeats, op9_url_verdicts, op10_nearest, op11_importance,
+        op12_quality, op13_collocations)}
