@@ -14,6 +14,7 @@ asked.  Phrases that share a slot only make others active too early, which costs
 
 from __future__ import annotations
 
+import zlib
 from functools import reduce
 
 import numpy as np
@@ -123,18 +124,24 @@ def _by_lang(batches, size: int = BATCH):
 
 
 def _scan(docs: DataFrame, scan: int, shards: int, longest: int, firsts: list[np.ndarray]) -> DataFrame:
-    """Counts of all active phrases in one shard, summed inside each batch of a task."""
-    shared = docs.sparkSession.sparkContext.broadcast(firsts)
+    """Counts of all active phrases in one shard, summed inside each batch of a task and written.
+
+    The tables travel compressed and are given up when the counts are written.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast([zlib.compress(t.tobytes(), 1) for t in firsts])
 
     def run(batches):
+        tables = [np.frombuffer(zlib.decompress(t), np.uint8) for t in shared.value]
         for lang, texts in _by_lang(batches):
-            for n, phrases, counts, first in _counted(texts, lang, scan, shards, longest, shared.value):
+            for n, phrases, counts, first in _counted(texts, lang, scan, shards, longest, tables):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(phrases), pa.binary()), pa.array([n] * len(phrases), pa.int32()),
                      pa.array(phrases, pa.binary()), pa.array(first, pa.int32()), pa.array(counts, pa.int64())],
                     ["lang", "n", "phrase", "first", "c"])
 
-    return docs.mapInArrow(run, "lang binary, n int, phrase binary, first int, c long")
+    out = staged(docs.mapInArrow(run, "lang binary, n int, phrase binary, first int, c long"), "collocation-scan")
+    shared.destroy()
+    return out
 
 
 def _set_slots(reached: DataFrame, slots: int) -> np.ndarray:
@@ -179,7 +186,7 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, s
     scan, last = 0, shards - 1
     while scan <= last:
         part = corpus.where(F.col("shard") == scan % shards).select("lang", "text")
-        scans.append(staged(_scan(part, scan, shards, longest, firsts), "collocation-scan").withColumn("scan", F.lit(scan)))
+        scans.append(_scan(part, scan, shards, longest, firsts).withColumn("scan", F.lit(scan)))
         for n in range(1 if scan < shards else 2, longest):
             # Of phrases that have not completed their cycle: those that reach the threshold with this scan.
             open_ = [s.where((F.col("n") == n) & (F.col("first") > scan - shards)) for s in scans[-shards:]]
