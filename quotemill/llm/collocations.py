@@ -9,7 +9,11 @@ phrase that reaches the threshold, because its subphrases reach it too.
 What a task must know about subphrases is the scan in which they reached the threshold.  It gets a table of one
 byte for each of SLOTS hash values: the first scan after which any phrase of that hash had reached it.  An entry
 is never changed once set, so a phrase's first scan follows from the table alone and is the same whenever it is
-asked.  Phrases that share a slot only make others active too early, which costs work and changes no count.
+asked.  Phrases that share a slot or a key of KEY_BITS only make others active too early, which costs work and
+changes no count: a slot is set if any of its phrases reached the threshold, and what is returned is counted by text.
+
+Most phrases never reach it.  A scan writes the counts of each batch twice: as sorted keys, of which a check after
+the scan sums some three bytes a phrase, and as texts, of which only phrases of set slots are ever shuffled.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ SUBSUMED = 50
 #: Bytes of one length's table of first scans.  The size is fixed; a fuller table lets more phrases be counted.
 SLOTS = 1 << 23
 UNSET = 255
+#: Bits of a phrase's key, and keys that a check sums in one group on average.
+KEY_BITS, GROUP = 40, 1_000_000
 #: Bytes of text that a task works on at once; one longer text is worked on alone.
 BATCH = 4_000_000
 
@@ -53,8 +59,8 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     return pd.util.hash_array(np.array(words, object), categorize=False)
 
 
-def _slots(hashes: np.ndarray, lang: bytes, slots: int) -> np.ndarray:
-    return (_mixed(hashes, _word_hashes([lang])) % np.uint64(slots)).astype(np.int64)
+def _keys(hashes: np.ndarray, lang: bytes) -> np.ndarray:
+    return (_mixed(hashes, _word_hashes([lang])) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
 
 
 def _words(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
@@ -65,7 +71,7 @@ def _words(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
 
 
 def _counted(texts: list[bytes], lang: bytes, scan: int, shards: int, longest: int, firsts: list[np.ndarray]):
-    """``(length, phrases, counts, first scans)`` of all that is active in this scan, for each length.
+    """``(length, first scan, phrases, keys, counts)`` of all that is active in this scan.
 
     ``firsts[k]`` has for each slot the scan after which a phrase of k + 1 words had reached the threshold.
     """
@@ -73,38 +79,57 @@ def _counted(texts: list[bytes], lang: bytes, scan: int, shards: int, longest: i
     if not words:
         return
     place = np.flatnonzero(codes >= 0)
-    if scan < shards:
-        yield 1, words, np.bincount(codes[place]), np.zeros(len(words), np.int64)
     hash_of = _word_hashes(words)
+    if scan < shards:
+        yield 1, 0, words, _keys(hash_of, lang), np.bincount(codes[place])
     hashes = hash_of[codes[place]]
     for n in range(2, longest + 1):
         # Occurrences of n - 1 words that reached the threshold; two that start one place apart make one of n words.
         table = firsts[n - 2]
-        reached = table[_slots(hashes, lang, len(table))]
+        reached = table[_keys(hashes, lang) % len(table)]
         live = reached != UNSET
         place, hashes, reached = place[live], hashes[live], reached[live].astype(np.int64)
         left = np.flatnonzero(np.diff(place) == 1)
-        first = np.maximum(reached[left], reached[left + 1]) + 1
+        starts = np.maximum(reached[left], reached[left + 1]) + 1
         place = place[left]
         hashes = _mixed(hashes[left], hash_of[codes[place + n - 1]])
-        active = (first <= scan) & (scan < first + shards)
-        at, first = place[active], first[active]
-        if not len(at):
-            continue
-        key = codes[at].astype(np.int64)
-        for i in range(1, n):
-            if i > 1:
-                key = pd.factorize(key)[0].astype(np.int64)
-            key = key * len(words) + codes[at + i]
-        own = pd.factorize(key)[0]
-        counts = np.bincount(own)
-        one = np.empty(len(counts), np.int64)
-        one[own] = np.arange(len(own))
-        start = at[one]
-        made = [words[c] for c in codes[start]]
-        for i in range(1, n):
-            made = [b"%b %b" % (a, words[c]) for a, c in zip(made, codes[start + i])]
-        yield n, made, counts, first[one]
+        active = (starts <= scan) & (scan < starts + shards)
+        for first in np.unique(starts[active]).tolist():
+            here = np.flatnonzero(starts == first)
+            at = place[here]
+            key = codes[at].astype(np.int64)
+            for i in range(1, n):
+                if i > 1:
+                    key = pd.factorize(key)[0].astype(np.int64)
+                key = key * len(words) + codes[at + i]
+            own = pd.factorize(key)[0]
+            counts = np.bincount(own)
+            one = np.empty(len(counts), np.int64)
+            one[own] = np.arange(len(own))
+            made = [words[c] for c in codes[at[one]]]
+            for i in range(1, n):
+                made = [b"%b %b" % (a, words[c]) for a, c in zip(made, codes[at[one] + i])]
+            yield n, first, made, _keys(hashes[here[one]], lang), counts
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    return zlib.compress(np.ascontiguousarray(numbers).tobytes(), 1)
+
+
+def _key_blobs(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Sorted keys as differences, byte by byte of their places, and the counts in their order."""
+    order = np.argsort(keys)
+    steps = np.diff(keys[order], prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8)
+    return _packed(steps.T), _packed(counts[order].astype("<u4"))
+
+
+def _read_keys(blob: bytes) -> np.ndarray:
+    steps = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view("<i8").ravel())
+
+
+def _read_counts(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(blob), "<u4").astype(np.int64)
 
 
 def _by_lang(batches, size: int = BATCH):
@@ -128,44 +153,92 @@ def _scan(docs: DataFrame, scan: int, shards: int, longest: int, firsts: list[np
 
     The tables travel compressed and are given up when the counts are written.
     """
-    shared = docs.sparkSession.sparkContext.broadcast([zlib.compress(t.tobytes(), 1) for t in firsts])
+    shared = docs.sparkSession.sparkContext.broadcast([_packed(t) for t in firsts])
 
     def run(batches):
         tables = [np.frombuffer(zlib.decompress(t), np.uint8) for t in shared.value]
         for lang, texts in _by_lang(batches):
-            for n, phrases, counts, first in _counted(texts, lang, scan, shards, longest, tables):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(phrases), pa.binary()), pa.array([n] * len(phrases), pa.int32()),
-                     pa.array(phrases, pa.binary()), pa.array(first, pa.int32()), pa.array(counts, pa.int64())],
-                    ["lang", "n", "phrase", "first", "c"])
-
-    out = staged(docs.mapInArrow(run, "lang binary, n int, phrase binary, first int, c long"), "collocation-scan")
+            for n, first, phrases, keys, counts in _counted(texts, lang, scan, shards, longest, tables):
+                key_blob, sums = _key_blobs(keys, counts)
+                order = sorted(range(len(phrases)), key=phrases.__getitem__)
+                row = (lang, n, first, len(phrases), int(counts.sum()), key_blob, sums,
+                       zlib.compress(b"\n".join([phrases[i] for i in order]), 1), _packed(counts[order].astype("<u4")))
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _KINDS)], _COLUMNS)
+
+    out = staged(docs.mapInArrow(run, "lang binary, n int, first int, many long, total long, keys binary, sums binary, "
+                                      "phrases binary, counts binary"), "collocation-scan")
     shared.destroy()
     return out
 
 
-def _set_slots(reached: DataFrame, slots: int) -> np.ndarray:
-    """Slots of the phrases, which come to the driver as bits: ``slots / 64`` rows at most."""
-    def run(batches):
-        bits = np.zeros(slots // 64, np.int64)
+_KINDS = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * 4
+_COLUMNS = ["lang", "n", "first", "many", "total", "keys", "sums", "phrases", "counts"]
+
+
+def _reached(rows: DataFrame, least: int, slots: int) -> np.ndarray:
+    """Slots of the keys whose counts, summed over the rows ``many, keys, sums``, reach the threshold.
+
+    Keys are dealt to groups by their value, as many as keep a group near GROUP keys.  The driver gets bits,
+    ``slots / 64`` numbers at most.
+    """
+    many = rows.agg(F.sum("many")).first()[0] or 0
+    bits = max(3, (many // GROUP).bit_length())
+
+    def deal(batches):
         for batch in batches:
-            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = _word_hashes(phrase.split(b" "))
-                h = words[:1]
-                for w in words[1:]:
-                    h = _mixed(h, np.array([w]))
-                s = int(_slots(h, lang, slots)[0])
-                bits[s >> 6] |= np.int64(np.uint64(1 << (s & 63)).astype(np.int64))
-        used = np.flatnonzero(bits)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(bits[used], pa.int64())], ["at", "bits"])
-
-    got = reached.select("lang", "phrase").mapInArrow(run, "at long, bits long").groupBy("at").agg(
+            out = []
+            for blob, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                keys, counts = _read_keys(blob), _read_counts(sums)
+                group = keys >> (KEY_BITS - bits)
+                cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(keys)]
+                out += [(int(group[a]), *_key_blobs(keys[a:b], counts[a:b])) for a, b in zip(cuts, cuts[1:]) if b > a]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                list(zip(*out)) or [[]] * 3, (pa.int32(), pa.binary(), pa.binary()))], ["part", "keys", "sums"])
+
+    def total(group: pa.Table) -> pa.Table:
+        keys = np.concatenate([_read_keys(b) for b in group["keys"].to_pylist()])
+        counts = np.concatenate([_read_counts(b) for b in group["sums"].to_pylist()])
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        starts = np.flatnonzero(np.diff(keys, prepend=-1))
+        slot = keys[starts[np.add.reduceat(counts, starts) >= least]] % slots
+        at, own = np.unique(slot >> 6, return_inverse=True)
+        word = np.zeros(len(at), np.uint64)
+        np.bitwise_or.at(word, own, np.uint64(1) << (slot & 63).astype(np.uint64))
+        return pa.table({"at": pa.array(at, pa.int64()), "bits": pa.array(word.view(np.int64), pa.int64())})
+
+    dealt = rows.select("keys", "sums").mapInArrow(deal, "part int, keys binary, sums binary")
+    got = dealt.groupBy("part").applyInArrow(total, "at long, bits long").groupBy("at").agg(
         F.bit_or("bits").alias("bits")).toPandas()
     words = np.zeros(slots // 64, np.uint64)
     words[got["at"].to_numpy()] = got["bits"].to_numpy().astype(np.int64).view(np.uint64)
     return np.flatnonzero(np.unpackbits(words.view(np.uint8), bitorder="little"))
 
 
+def _by_text(rows: DataFrame, firsts: list[np.ndarray]) -> DataFrame:
+    """``lang, n, phrase, c`` of the phrases whose slot is set."""
+    shared = rows.sparkSession.sparkContext.broadcast([_packed(t) for t in firsts])
+
+    def run(batches):
+        tables = [np.frombuffer(zlib.decompress(t), np.uint8) for t in shared.value]
+        for batch in batches:
+            for lang, n, blob, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                phrases = zlib.decompress(blob).split(b"\n")
+                codes, words = pd.factorize(np.array(b" ".join(phrases).split(b" "), object))
+                hashes = _word_hashes(list(words))[codes].reshape(-1, n)
+                h = hashes[:, 0]
+                for i in range(1, n):
+                    h = _mixed(h, hashes[:, i])
+                table = tables[n - 1]
+                kept = np.flatnonzero(table[_keys(h, lang) % len(table)] != UNSET)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(kept), pa.binary()), pa.array([n] * len(kept), pa.int32()),
+                     pa.array([phrases[i] for i in kept], pa.binary()), pa.array(_read_counts(counts)[kept], pa.int64())],
+                    ["lang", "n", "phrase", "c"])
+
+    return rows.select("lang", "n", "phrases", "counts").mapInArrow(run, "lang binary, n int, phrase binary, c long")
+
+
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, shards: int = SHARDS,
                   slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
     """Exact counts over all ``lang, text`` rows.
@@ -181,27 +254,26 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, s
     docs.where("text is not null").select(lang.alias("lang"), F.col("text").cast("binary").alias("text"),
                                           shard.alias("shard")).write.partitionBy("shard").parquet(path)
     corpus = spark.read.schema("lang binary, text binary, shard long").parquet(path)
-    firsts = [np.full(slots, UNSET, np.uint8) for _ in range(longest - 1)]
+    firsts = [np.full(slots, UNSET, np.uint8) for _ in range(longest)]
     scans: list[DataFrame] = []
     scan, last = 0, shards - 1
     while scan <= last:
         part = corpus.where(F.col("shard") == scan % shards).select("lang", "text")
-        scans.append(_scan(part, scan, shards, longest, firsts).withColumn("scan", F.lit(scan)))
+        scans.append(_scan(part, scan, shards, longest, firsts[:-1]))
         for n in range(1 if scan < shards else 2, longest):
-            # Of phrases that have not completed their cycle: those that reach the threshold with this scan.
+            # Phrases that have not completed their cycle.  What reached the threshold before is set already.
             open_ = [s.where((F.col("n") == n) & (F.col("first") > scan - shards)) for s in scans[-shards:]]
-            sums = reduce(DataFrame.unionByName, open_).groupBy("lang", "phrase").agg(
-                F.sum("c").alias("f"), F.sum(F.when(F.col("scan") == scan, F.col("c")).otherwise(0)).alias("now"))
-            new = _set_slots(sums.where((F.col("f") >= least) & (F.col("f") - F.col("now") < least)), slots)
+            new = _reached(reduce(DataFrame.unionByName, open_), least, slots)
             new = new[firsts[n - 1][new] == UNSET]
             firsts[n - 1][new] = scan
             if len(new):
                 last = max(last, scan + shards)
         scan += 1
     every = reduce(DataFrame.unionByName, scans)
-    phrases = staged(every.groupBy("lang", "n", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= least),
-                     "collocation-phrases")
-    return phrases, every.where("n = 1").groupBy("lang").agg(F.sum("c").alias("total"))
+    firsts[-1][_reached(every.where(F.col("n") == longest), least, slots)] = 0
+    phrases = staged(_by_text(every, firsts).groupBy("lang", "n", "phrase").agg(F.sum("c").alias("f")).where(
+        F.col("f") >= least), "collocation-phrases")
+    return phrases, every.where("n = 1").groupBy("lang").agg(F.sum("total").alias("total"))
 
 
 def _part(words: Column, start, length) -> Column:

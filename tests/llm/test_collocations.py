@@ -106,6 +106,15 @@ def test_phrases_start_after_their_parts(spark):
     firsts = [np.full(64, C.UNSET, np.uint8)]
     assert [n for n, *_ in C._counted([b"a b a b"], b"en", 0, 2, 2, firsts)] == [1]
     firsts[0][:] = 0
-    found = {n: (p, c.tolist(), f.tolist()) for n, p, c, f in C._counted([b"a b a b"], b"en", 1, 2, 2, firsts)}
-    assert found[2] == ([b"a b", b"b a"], [2, 1], [1, 1])
+    found = {n: (p, c.tolist(), f) for n, f, p, _, c in C._counted([b"a b a b"], b"en", 1, 2, 2, firsts)}
+    assert found[2] == ([b"a b", b"b a"], [2, 1], 1)
     assert list(C._counted([b"a b a b"], b"en", 3, 2, 2, firsts)) == []
+
+
+def test_keys_and_counts_come_back():
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 5000):
+        keys, counts = rng.integers(0, 2**C.KEY_BITS, size), rng.integers(1, 2**32, size)
+        a, b = C._key_blobs(keys, counts)
+        order = np.argsort(keys)
+        assert (C._read_keys(a) == keys[order]).all() and (C._read_counts(b) == counts[order]).all()
