@@ -12,8 +12,10 @@ is never changed once set, so a phrase's first scan follows from the table alone
 asked.  Phrases that share a slot or a key of KEY_BITS only make others active too early, which costs work and
 changes no count: a slot is set if any of its phrases reached the threshold, and what is returned is counted by text.
 
-Most phrases never reach it.  A scan writes the counts of each batch twice: as sorted keys, of which a check after
-the scan sums some three bytes a phrase, and as texts, of which only phrases of set slots are ever shuffled.
+The corpus is cut into words once: a shard holds batches, each with its distinct words and the places of each in
+the texts as numbers.  Most phrases never reach the threshold.  A scan writes the counts of each batch twice: as
+sorted keys, of which a check after the scan sums some three bytes a phrase, and by words, of which only phrases
+of set slots are ever spelled out and shuffled.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ SLOTS = 1 << 23
 UNSET = 255
 #: Bits of a phrase's key, and keys that a check sums in one group on average.
 KEY_BITS, GROUP = 40, 1_000_000
+#: Phrases of different batches that a task sums before it shuffles them.
+TOGETHER = 1_000_000
 #: Bytes of text that a task works on at once; one longer text is worked on alone.
 BATCH = 4_000_000
 
@@ -70,18 +74,29 @@ def _words(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     return codes - 1, list(words[1:])
 
 
-def _counted(texts: list[bytes], lang: bytes, scan: int, shards: int, longest: int, firsts: list[np.ndarray]):
-    """``(length, first scan, phrases, keys, counts)`` of all that is active in this scan.
+def _groups(codes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the phrase of each row of word codes, and one row of each phrase."""
+    key = codes[:, 0].astype(np.int64)
+    for i in range(1, codes.shape[1]):
+        if i > 1:
+            key = pd.factorize(key)[0].astype(np.int64)
+        key = key * words + codes[:, i]
+    own = pd.factorize(key)[0]
+    one = np.empty(own.max() + 1, np.int64)
+    one[own] = np.arange(len(own))
+    return own, one
+
+
+def _counted(codes: np.ndarray, words: list[bytes], lang: bytes, scan: int, shards: int, longest: int,
+             firsts: list[np.ndarray]):
+    """``(first scan, word codes, keys, counts)`` of all that is active in this scan, a row of codes for each phrase.
 
     ``firsts[k]`` has for each slot the scan after which a phrase of k + 1 words had reached the threshold.
     """
-    codes, words = _words(texts)
-    if not words:
-        return
     place = np.flatnonzero(codes >= 0)
     hash_of = _word_hashes(words)
     if scan < shards:
-        yield 1, 0, words, _keys(hash_of, lang), np.bincount(codes[place])
+        yield 0, np.arange(len(words))[:, None], _keys(hash_of, lang), np.bincount(codes[place], minlength=len(words))
     hashes = hash_of[codes[place]]
     for n in range(2, longest + 1):
         # Occurrences of n - 1 words that reached the threshold; two that start one place apart make one of n words.
@@ -96,20 +111,9 @@ def _counted(texts: list[bytes], lang: bytes, scan: int, shards: int, longest: i
         active = (starts <= scan) & (scan < starts + shards)
         for first in np.unique(starts[active]).tolist():
             here = np.flatnonzero(starts == first)
-            at = place[here]
-            key = codes[at].astype(np.int64)
-            for i in range(1, n):
-                if i > 1:
-                    key = pd.factorize(key)[0].astype(np.int64)
-                key = key * len(words) + codes[at + i]
-            own = pd.factorize(key)[0]
-            counts = np.bincount(own)
-            one = np.empty(len(counts), np.int64)
-            one[own] = np.arange(len(own))
-            made = [words[c] for c in codes[at[one]]]
-            for i in range(1, n):
-                made = [b"%b %b" % (a, words[c]) for a, c in zip(made, codes[at[one] + i])]
-            yield n, first, made, _keys(hashes[here[one]], lang), counts
+            phrases = codes[place[here][:, None] + np.arange(n)]
+            own, one = _groups(phrases, len(words))
+            yield first, phrases[one], _keys(hashes[here[one]], lang), np.bincount(own)
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -148,31 +152,66 @@ def _by_lang(batches, size: int = BATCH):
         yield from held.items()
 
 
-def _scan(docs: DataFrame, scan: int, shards: int, longest: int, firsts: list[np.ndarray]) -> DataFrame:
-    """Counts of all active phrases in one shard, summed inside each batch of a task and written.
+def _cut(docs: DataFrame) -> DataFrame:
+    """Batches of ``lang, text`` rows as distinct words and, place by place, their numbers."""
+    def run(batches):
+        for lang, texts in _by_lang(batches):
+            codes, words = _words(texts)
+            if words:
+                row = (lang, _spelled(words), _packed(codes.astype("<i4")))
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in row], ["lang", "words", "codes"])
+
+    return docs.mapInArrow(run, "lang binary, words binary, codes binary")
+
+
+def _spelled(words: list[bytes]) -> bytes:
+    return zlib.compress(b"\n".join(words), 1)
+
+
+def _read_words(blob: bytes) -> list[bytes]:
+    return zlib.decompress(blob).split(b"\n")
+
+
+def _read_codes(blob: bytes, n: int = 1) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(blob), "<i4").reshape(n, -1).T
+
+
+def _only_used(words: list[bytes], phrases: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The words that the phrases have, and the phrases in numbers of these."""
+    used = np.flatnonzero(np.bincount(phrases.ravel(), minlength=len(words)))
+    number = np.zeros(len(words), np.int64)
+    number[used] = np.arange(len(used))
+    return [words[i] for i in used], number[phrases]
+
+
+def _scan(corpus: DataFrame, scan: int, shards: int, longest: int, firsts: list[np.ndarray]) -> DataFrame:
+    """Counts of all active phrases in one shard, summed inside each batch and written.
 
     The tables travel compressed and are given up when the counts are written.
     """
-    shared = docs.sparkSession.sparkContext.broadcast([_packed(t) for t in firsts])
+    shared = corpus.sparkSession.sparkContext.broadcast([_packed(t) for t in firsts])
 
     def run(batches):
         tables = [np.frombuffer(zlib.decompress(t), np.uint8) for t in shared.value]
-        for lang, texts in _by_lang(batches):
-            for n, first, phrases, keys, counts in _counted(texts, lang, scan, shards, longest, tables):
-                key_blob, sums = _key_blobs(keys, counts)
-                order = sorted(range(len(phrases)), key=phrases.__getitem__)
-                row = (lang, n, first, len(phrases), int(counts.sum()), key_blob, sums,
-                       zlib.compress(b"\n".join([phrases[i] for i in order]), 1), _packed(counts[order].astype("<u4")))
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _KINDS)], _COLUMNS)
-
-    out = staged(docs.mapInArrow(run, "lang binary, n int, first int, many long, total long, keys binary, sums binary, "
-                                      "phrases binary, counts binary"), "collocation-scan")
+        for batch in batches:
+            for lang, blob, places in zip(*(c.to_pylist() for c in batch.columns)):
+                words = _read_words(blob)
+                for first, phrases, keys, counts in _counted(_read_codes(places)[:, 0], words, lang, scan, shards, longest,
+                                                             tables):
+                    own, phrases = _only_used(words, phrases)
+                    order = np.argsort(phrases[:, 0], kind="stable")
+                    row = (lang, phrases.shape[1], first, len(phrases), int(counts.sum()), *_key_blobs(keys, counts),
+                           _spelled(own), _packed(phrases[order].T.astype("<i4")), _packed(counts[order].astype("<u4")))
+                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _KINDS)], _COLUMNS)
+
+    out = staged(corpus.mapInArrow(run, "lang binary, n int, first int, many long, total long, keys binary, sums binary, "
+                                        "words binary, phrases binary, counts binary"), "collocation-scan")
     shared.destroy()
     return out
 
 
-_KINDS = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * 4
-_COLUMNS = ["lang", "n", "first", "many", "total", "keys", "sums", "phrases", "counts"]
+_KINDS = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * 5
+_COLUMNS = ["lang", "n", "first", "many", "total", "keys", "sums", "words", "phrases", "counts"]
 
 
 def _reached(rows: DataFrame, least: int, slots: int) -> np.ndarray:
@@ -216,27 +255,45 @@ def _reached(rows: DataFrame, least: int, slots: int) -> np.ndarray:
 
 
 def _by_text(rows: DataFrame, firsts: list[np.ndarray]) -> DataFrame:
-    """``lang, n, phrase, c`` of the phrases whose slot is set."""
+    """``lang, n, phrase, c`` of the phrases whose slot is set, summed over about TOGETHER phrases of a task."""
     shared = rows.sparkSession.sparkContext.broadcast([_packed(t) for t in firsts])
 
+    def summed(lang, n, parts):
+        codes, words = pd.factorize(np.array([w for own, _, _ in parts for w in own], object))
+        starts = np.cumsum([0] + [len(own) for own, _, _ in parts])
+        phrases = np.concatenate([codes[start + p] for start, (_, p, _) in zip(starts, parts)])
+        own, one = _groups(phrases, len(words))
+        counts = np.zeros(len(one), np.int64)
+        np.add.at(counts, own, np.concatenate([c for _, _, c in parts]))
+        text = words[phrases[one, 0]]
+        for i in range(1, n):
+            text = text + b" " + words[phrases[one, i]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(one), pa.binary()), pa.array([n] * len(one), pa.int32()),
+             pa.array(text, pa.binary()), pa.array(counts, pa.int64())], ["lang", "n", "phrase", "c"])
+
     def run(batches):
         tables = [np.frombuffer(zlib.decompress(t), np.uint8) for t in shared.value]
+        held: dict[tuple[bytes, int], list] = {}
         for batch in batches:
-            for lang, n, blob, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                phrases = zlib.decompress(blob).split(b"\n")
-                codes, words = pd.factorize(np.array(b" ".join(phrases).split(b" "), object))
-                hashes = _word_hashes(list(words))[codes].reshape(-1, n)
+            for lang, n, blob, codes, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                words, phrases = _read_words(blob), _read_codes(codes, n)
+                hashes = _word_hashes(words)[phrases]
                 h = hashes[:, 0]
                 for i in range(1, n):
                     h = _mixed(h, hashes[:, i])
                 table = tables[n - 1]
                 kept = np.flatnonzero(table[_keys(h, lang) % len(table)] != UNSET)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(kept), pa.binary()), pa.array([n] * len(kept), pa.int32()),
-                     pa.array([phrases[i] for i in kept], pa.binary()), pa.array(_read_counts(counts)[kept], pa.int64())],
-                    ["lang", "n", "phrase", "c"])
+                if len(kept):
+                    parts = held.setdefault((lang, n), [])
+                    parts.append((*_only_used(words, phrases[kept]), _read_counts(counts)[kept]))
+                    if sum(len(c) for _, _, c in parts) > TOGETHER:
+                        yield summed(lang, n, held.pop((lang, n)))
+        for (lang, n), parts in held.items():
+            yield summed(lang, n, parts)
 
-    return rows.select("lang", "n", "phrases", "counts").mapInArrow(run, "lang binary, n int, phrase binary, c long")
+    return rows.select("lang", "n", "words", "phrases", "counts").mapInArrow(
+        run, "lang binary, n int, phrase binary, c long")
 
 
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, shards: int = SHARDS,
@@ -249,16 +306,15 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, s
     spark = docs.sparkSession
     ship(spark)
     lang = F.coalesce(F.col("lang"), F.lit("und")).cast("binary")
-    shard = F.pmod(F.monotonically_increasing_id(), F.lit(shards))
+    batches = _cut(docs.where("text is not null").select(lang.alias("lang"), F.col("text").cast("binary").alias("text")))
     path = scratch_path(spark, "collocation-shards")
-    docs.where("text is not null").select(lang.alias("lang"), F.col("text").cast("binary").alias("text"),
-                                          shard.alias("shard")).write.partitionBy("shard").parquet(path)
-    corpus = spark.read.schema("lang binary, text binary, shard long").parquet(path)
+    batches.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards))).write.partitionBy("shard").parquet(path)
+    corpus = spark.read.schema("lang binary, words binary, codes binary, shard long").parquet(path)
     firsts = [np.full(slots, UNSET, np.uint8) for _ in range(longest)]
     scans: list[DataFrame] = []
     scan, last = 0, shards - 1
     while scan <= last:
-        part = corpus.where(F.col("shard") == scan % shards).select("lang", "text")
+        part = corpus.where(F.col("shard") == scan % shards).select("lang", "words", "codes")
         scans.append(_scan(part, scan, shards, longest, firsts[:-1]))
         for n in range(1 if scan < shards else 2, longest):
             # Phrases that have not completed their cycle.  What reached the threshold before is set already.

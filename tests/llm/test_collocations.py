@@ -104,11 +104,15 @@ def test_exact_beyond_64_bits(spark):
 def test_phrases_start_after_their_parts(spark):
     """A phrase's first scan comes after its words reached the threshold, and it sees every shard once."""
     firsts = [np.full(64, C.UNSET, np.uint8)]
-    assert [n for n, *_ in C._counted([b"a b a b"], b"en", 0, 2, 2, firsts)] == [1]
+    codes, words = C._words([b"a b. a b A b"])
+    assert words == [b"a", b"b"] and codes.tolist() == [-1, 0, 1, -1, 0, 1, 0, 1]
+
+    def counted(scan):
+        return [(f, p.tolist(), c.tolist()) for f, p, _, c in C._counted(codes, words, b"en", scan, 2, 2, firsts)]
+    assert counted(0) == [(0, [[0], [1]], [3, 3])]
     firsts[0][:] = 0
-    found = {n: (p, c.tolist(), f) for n, f, p, _, c in C._counted([b"a b a b"], b"en", 1, 2, 2, firsts)}
-    assert found[2] == ([b"a b", b"b a"], [2, 1], 1)
-    assert list(C._counted([b"a b a b"], b"en", 3, 2, 2, firsts)) == []
+    assert counted(1)[1:] == [(1, [[0, 1], [1, 0]], [3, 1])]
+    assert counted(2) == [(1, [[0, 1], [1, 0]], [3, 1])] and counted(3) == []
 
 
 def test_keys_and_counts_come_back():
