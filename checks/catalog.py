@@ -19,6 +19,7 @@ from quotemill.operators import extract as E
 from quotemill.operators import links as L
 from quotemill.operators import audit as A
 from quotemill.operators import validate as V
+from quotemill.operators.select import Each, select_fields
 from quotemill.functions import maps as M
 from quotemill.plans import daily as D
 from quotemill.session import scratch_path
@@ -93,7 +94,8 @@ def q_dedupe_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _next_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page links to page_id + 1, labelled with its own title (the last one dangles)."""
     pages = _t(spark, sf_dir, "pages")
-    titles = pages.select("page_id", X.strip(H.first_text_of(H.clean_html("html"), "title")).alias("label"))
+    titles = select_fields(pages, {"title": "title"}, ("page_id",)).select(
+        "page_id", X.strip(H.first_text("title")).alias("label"))
     nxt = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("target_url"))
     last = pages.groupBy().agg(F.max("page_id").alias("page_id"))
     dangling = last.select("page_id", F.concat(F.lit(R.HOST + "/missing/"), F.col("page_id").cast("string"))
@@ -127,20 +129,18 @@ def q_unresolved_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_heading_or_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page heading text; the index-name selector falls back to its sentinel."""
-    doc = _t(spark, sf_dir, "pages").select("page_id", H.clean_html("html").alias("doc"))
-    heading = F.col("doc")
-    return doc.select(
-        "page_id",
-        F.when(H.has_element(heading, "h1"), X.strip(H.first_text_of(heading, "h1")))
-         .otherwise(F.lit(S.SENTINEL_INDEX_NAME)).alias("heading"),
-        F.when(H.has_element(heading, "small", S.INDEX_NAME_CLASS),
-               X.strip(H.first_text_of(heading, "small", S.INDEX_NAME_CLASS)))
-         .otherwise(F.lit(S.SENTINEL_INDEX_NAME)).alias("indice_name"))
+    found = select_fields(_t(spark, sf_dir, "pages"), {
+        "h1": Each("h1", {"text": "h1"}), "name": Each(f"small.{S.INDEX_NAME_CLASS}", {"text": "small"})}, ("page_id",))
+
+    def text_or_default(field: str):
+        return F.when(F.size(field) > 0, X.strip(H.first_text(F.flatten(f"{field}.text")))).otherwise(
+            F.lit(S.SENTINEL_INDEX_NAME))
+    return found.select("page_id", text_or_default("h1").alias("heading"), text_or_default("name").alias("indice_name"))
 
 
 def q_page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraph texts of each page: first, second (sentinel when missing), count."""
-    ps = _t(spark, sf_dir, "pages").select("page_id", H.texts(H.clean_html("html"), "p").alias("ps"))
+    ps = select_fields(_t(spark, sf_dir, "pages"), {"p": "p"}, ("page_id",)).select("page_id", H.decoded("p").alias("ps"))
     return ps.select("page_id",
                      X.nth_or("ps", 0, S.SENTINEL_DATA).alias("first_text"),
                      X.nth_or("ps", 1, S.SENTINEL_DATA).alias("second_text"),
@@ -149,7 +149,7 @@ def q_page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _index_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = R.index_pages(spark, sf_dir)
-    raw = E.index_items(pages, R.CONTENT_START, R.CONTENT_END)
+    raw = E.index_items(pages, R.CONTENT)
     return V.stage(V.abbreviate(raw), "indices")
 
 
@@ -373,7 +373,7 @@ def q_run_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages.write.parquet(f"{base}/pages")
     pages = RD.read_pages(spark, f"{base}/pages")
     seeds = R.menu_pages(spark, sf_dir).select("url")
-    rules = D.SiteRules(host=R.HOST, content_start=R.CONTENT_START, content_end=R.CONTENT_END)
+    rules = D.SiteRules(host=R.HOST, content=R.CONTENT)
     audit = D.run_daily(spark, pages, seeds, base, EXPORT_DS, rules)
     return audit.filter(F.col("check") != "landed_files")
 

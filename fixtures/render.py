@@ -22,8 +22,8 @@ from quotemill.session import scratch_path
 HOST = S.DEFAULT_HOST
 ROWS_PER_PAGE = 40
 # Quote block markers for the index pages (C2 re-aimed as markers).
-CONTENT_START = r'<div class="quote-content">'
-CONTENT_END = r'<div class="quote-end">'
+#: Where index pages have their quote block.
+CONTENT = "/html/body/div[2]/section/div[2]"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -294,11 +294,14 @@ def _render_index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<!DOCTYPE html><html><head><title>Market</title><style>.x{}</style></head><body>"
               '<div class="menu"><a href="/en/">Home</a></div>'),
         heading,
-        F.lit('<section><div class="quote-content"><div class="quote">'), date_font,
+        # The block is found by its place alone: others before it hold the same markup.
+        F.lit('<div><section><div class="quote-content"><font size="1">As of 02-Feb-2001</font>'
+              '<span style="font-weight:bold;font-size: 22pt">1.11</span><font><span style="color: #ff0000;">-1.1</span></font></div>'
+              '<p>Quotes</p><div class="quote-content"><div class="quote">'), date_font,
         F.lit("<p>Index level</p>"), levels, F.lit(" "), falling,
         F.lit('</div><div class="quote-end"></div></div>'),
         periods, summary,
-        F.lit('</section><footer><font size="1">As of 01-Jan-1999 (archive)</font>'
+        F.lit('</section></div><footer><font size="1">As of 01-Jan-1999 (archive)</font>'
               '<span style="font-weight:bold;font-size: 22pt">0.00</span></footer></body></html>'))
     href = F.when(nk % 5 == 2, F.concat(F.lit("/fr/bourse/"), slug)).otherwise(F.concat(F.lit("/en/stock-markets/"), slug))
     url = F.when(href.startswith("/en/") | href.startswith("/fr/"), F.concat(F.lit(HOST), href)) \
@@ -311,6 +314,8 @@ def _render_index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Menu (seed) pages for the whole daily job: one per (nation, group of 25 blocks).
 
 MENU_GROUP = 25
+#: Elements of one name around the menu's list.
+MENU_DEPTH = 200
 
 
 def menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,12 +349,12 @@ def _render_menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<!DOCTYPE html><html><head><title>Markets</title></head><body>'
               '<nav><a class="menu-market-link" href="/en/about">About</a></nav>'
               "<div data-x='1>0' class='wide mega-inner'><div><div>All</div></div>"
-              '<a class="menu-market-link" href="/en/stray">Not in a list</a><ul>'), F.col("body"),
+              '<a class="menu-market-link" href="/en/stray">Not in a list</a>' + "<div>" * MENU_DEPTH + "<ul>"), F.col("body"),
         F.lit('<li><a class="menu-market-link">Coming soon</a></li>'),
         F.lit('<li><div><a title="a > b" class=menu-market-link href='), F.col("first_href"),
         F.lit('>Again</a></div></li>'),
         F.lit('<li><a class="menu-market-link" href="'), closed, F.lit('">Closed (CL)</a></li>'),
-        F.lit('<li><a href="/en/news">News</a></li></ul></div></body></html>'))
+        F.lit('<li><a href="/en/news">News</a></li></ul>' + "</div>" * MENU_DEPTH + "</div></body></html>"))
     return pages.select(
         (F.col("grp") * 1000 + F.col("nk")).cast("bigint").alias("page_id"),
         F.concat(F.lit(HOST + "/en/menu/"), F.col("nk").cast("string"), F.lit("/"),

@@ -1,25 +1,7 @@
-"""HTML selector forms re-expressed as native column expressions.
+"""Character references of HTML as column expressions.
 
-The source job used a per-document CSS/XPath engine.  Here each *selector form*
-it uses becomes a regular expression evaluated by the JVM, so extraction runs
-inside the executor's codegen'd projections with no Python worker.
-
-Semantics, stated once:
-
-* An element's body runs from its start tag to its own end tag: complete
-  elements of the same name inside it belong to the body, nested up to
-  ``MAX_NESTING`` deep.  Elements whose end tag HTML lets you omit (p, li, td, th,
-  tr, thead, tbody, tfoot) also end where the next sibling or an enclosing
-  container begins; tables inside cells and lists inside items belong to them.
-  Where tags do not balance, the body ends at the first end tag.
-* The *direct text nodes* of a body are the non-empty text runs left after
-  complete child elements are removed; whitespace-only runs count, as they
-  do for ``::text``.  An unclosed inline child is transparent.
-* Entities are decoded after extraction, in a single pass (so ``&amp;lt;``
-  becomes ``&lt;``), for the named entities of HTML 4 and ``apos`` and for every
-  decimal or hexadecimal character reference (its ``;`` may be missing).
-* ``clean_html`` brings attributes into one form (double-quoted, no ``>`` inside),
-  which the other functions expect.
+They are decoded after extraction, in a single pass (so ``&amp;lt;`` becomes ``&lt;``), for the named entities
+of HTML 4 and ``apos`` and for every decimal or hexadecimal reference (its ``;`` may be missing).
 """
 
 from __future__ import annotations
@@ -31,128 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .core import let
-from .text import strip
 
 ColumnOrName = Column | str
 
-VOID_TAGS = "area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr"
-
 ENTITY_RE = r"&(#[0-9]++|#[xX][0-9a-fA-F]++|[a-zA-Z][a-zA-Z0-9]{1,31}(?=;));?"
 
-#: Elements of one name inside each other that a body is followed through.
-MAX_NESTING = 32
-
-# End of an element body for tags whose end tag may be omitted (lookaheads).
-_IMPLICIT_END = {
-    "p": r"(?=<(?:p|div|ul|ol|dl|table|h[1-6]|article|aside|section|footer|header|nav|form"
-         r"|pre|blockquote|hr|address|fieldset|figure|main|menu)\b)"
-         r"|(?=</(?:div|article|aside|section|footer|header|nav|main|body|html|td|th|li"
-         r"|blockquote|form)\s*>)",
-    "li": r"(?=<li\b)|(?=</(?:ul|ol|menu)\s*>)",
-    "td": r"(?=<(?:td|th|tr|tbody|tfoot)\b)|(?=</(?:tr|table|tbody|thead|tfoot)\s*>)",
-    "th": r"(?=<(?:td|th|tr|tbody|tfoot)\b)|(?=</(?:tr|table|tbody|thead|tfoot)\s*>)",
-    "tr": r"(?=<(?:tr|tbody|thead|tfoot)\b)|(?=</(?:table|tbody|thead|tfoot)\s*>)",
-    "tbody": r"(?=<(?:tbody|tfoot)\b)|(?=</table\s*>)",
-    "thead": r"(?=<(?:tbody|tfoot)\b)|(?=</table\s*>)",
-    "tfoot": r"(?=<tbody\b)|(?=</table\s*>)",
-}
-
-_SCRIPT_STYLE_COMMENT = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?(?:-->|\z)"
-_ANY_TAG = r"(?s)<[^>]*>"
-
-# A tag that is not in the one form ``clean_html`` makes, any start tag, and the parts of one.
-_ODD_TAG = r"""(?is)<[a-z][a-z0-9:-]*+(?=[\s/"'])(?:[^>"'=]++|=\s*+"[^">]*+")*+[="']"""
-_START_TAG = r"""(?is)<[a-z][a-z0-9:-]*+(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|[="'])*+>"""
-_TAG_PART = r"""(?s)=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)|[^=]++|="""
-
-
-def _balanced(name: str) -> str:
-    """Regex for content up to an end tag of ``name``, over complete elements of that name.
-
-    Every repetition is possessive: the matcher loops instead of recursing, so
-    neither long texts nor many children deepen its stack.
-    """
-    text = rf"[^<]++|<(?!/?{name}\b)"
-    body = rf"(?:{text})*+"
-    for _ in range(MAX_NESTING):
-        body = rf"(?:{text}|<{name}\b[^>]*+>{body}</{name}\s*+>)*+"
-    return body
-
-
-_CHILD_ELEMENT = (rf"(?is)<(?!(?:{VOID_TAGS})\b)([a-z][a-z0-9:-]*)\b[^>]*>"
-                  rf"(?:{_balanced(chr(92) + '1')}</\1\s*+>|.*?</\1\s*>)")
-
-# Containers whose complete elements inside a body of omitted end tag belong to it.
-_INNER = {"li": ("ul", "ol", "menu"), **{tag: ("table",) for tag in ("td", "th", "tr", "tbody", "thead", "tfoot")}}
-
-
-def _body_re(tag: str) -> str:
-    """Regex for the body of an element of ``tag`` whose start tag was just read."""
-    end = rf"</{tag}\s*+>"
-    if tag in _IMPLICIT_END:
-        end += "|" + _IMPLICIT_END[tag]
-        inner = "".join(rf"<{c}\b[^>]*+>{_balanced(c)}</{c}\s*+>|" for c in _INNER.get(tag, ()))
-        return rf"(?:[^<]++|{inner}(?!{end})<)*+"
-    return rf"(?:{_balanced(tag)}(?={end})|.*?(?={end}|\z))"
-
-def _c(c: ColumnOrName) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def _quote(text: str) -> str:
-    return r"\Q" + text + r"\E"
-
-
-def open_tag(tag: str, cls: str | None = None,
-             attrs: list[tuple[str, str, str]] | None = None) -> str:
-    """Regex for a start tag with an optional class token and attribute tests.
-
-    ``attrs`` items are ``(name, value, op)`` with ``op`` ``"="`` (C8) or
-    ``"*="`` (substring, C9).
-    """
-    looks = ""
-    if cls:
-        looks += rf'(?=[^>]*\sclass\s*=\s*"(?:[^"]*\s)?{_quote(cls)}(?:\s[^"]*)?")'
-    for name, value, op in attrs or []:
-        if op == "=":
-            looks += rf'(?=[^>]*\s{name}\s*=\s*"{_quote(value)}")'
-        elif op == "*=":
-            looks += rf'(?=[^>]*\s{name}\s*=\s*"[^"]*{_quote(value)}[^"]*")'
-        else:
-            raise ValueError(f"unsupported attribute operator {op!r}")
-    return rf"<{tag}\b{looks}[^>]*>"
-
-
-def element_re(tag: str, cls: str | None = None,
-               attrs: list[tuple[str, str, str]] | None = None) -> str:
-    """Regex whose group 1 is the body of each matching element, elements inside others too."""
-    return rf"(?is){open_tag(tag, cls, attrs)}(?=({_body_re(tag)}))"
-
-
-def _canonical_tag(tag: Column) -> Column:
-    """A start tag with every attribute value double-quoted and free of quotes and ``>``."""
-    def part(p: Column) -> Column:
-        value = F.regexp_extract(p, r"""(?s)^=\s*+(["']?)(.*)\1\z""", 2)
-        value = F.replace(F.replace(value, F.lit('"'), F.lit("&quot;")), F.lit(">"), F.lit("&gt;"))
-        return F.when(p.rlike(r"^=\s*\S"), F.concat(F.lit('="'), value, F.lit('"'))).otherwise(p)
-    return F.array_join(F.transform(F.regexp_extract_all(tag, F.lit(_TAG_PART), 0), part), "")
-
-
-def _canonical_attributes(html: Column) -> Column:
-    """Documents that hold other tags than double-quoted ones are taken apart; the rest pass."""
-    def rebuild(h: Column) -> Column:
-        gaps = F.split(h, _START_TAG, -1)
-        tags = F.regexp_extract_all(h, F.lit(_START_TAG), 0)
-        pieces = F.zip_with(tags, F.slice(gaps, 2, F.size(gaps) - 1), lambda t, g: F.concat(
-            F.when(t.rlike(_ODD_TAG), _canonical_tag(t)).otherwise(t), g))
-        return F.concat(F.get(gaps, 0), F.array_join(pieces, ""))
-    return let(html, lambda h: F.when(h.rlike(_ODD_TAG), rebuild(h)).otherwise(h))
-
-
-def clean_html(html: ColumnOrName) -> Column:
-    """Drop script and style bodies and comments (they hold no element text); one form of attributes."""
-    return _canonical_attributes(F.regexp_replace(_c(html), _SCRIPT_STYLE_COMMENT, ""))
-
 
 def _named_map() -> Column:
     """The named entities as a map; one constant, folded when the plan is made."""
@@ -188,104 +53,11 @@ def decode_entities(text: ColumnOrName) -> Column:
     return let(text, decode)
 
 
-def elements(fragment: ColumnOrName, tag: str, cls: str | None = None,
-             attrs: list[tuple[str, str, str]] | None = None) -> Column:
-    """Bodies of all matching elements, those inside others too, document order."""
-    return F.regexp_extract_all(_c(fragment), F.lit(element_re(tag, cls, attrs)), 1)
-
-
-def scope(fragment: ColumnOrName, tag: str, cls: str | None = None,
-          attrs: list[tuple[str, str, str]] | None = None) -> Column:
-    """C11: all matching elements' bodies, joined: the context of a descendant step.
-
-    An element inside another match is part of that one's body and not repeated.
-    """
-    pattern = rf"(?is){open_tag(tag, cls, attrs)}({_body_re(tag)})"
-    return F.array_join(F.regexp_extract_all(_c(fragment), F.lit(pattern), 1), "\n")
-
-
-def children(body: ColumnOrName, tag: str, cls: str | None = None,
-             attrs: list[tuple[str, str, str]] | None = None) -> Column:
-    """Bodies of the matching elements that are direct children in ``body``."""
-    whole = F.filter(F.regexp_extract_all(_c(body), F.lit(_CHILD_ELEMENT), 0),
-                     lambda e: e.rlike("(?is)^" + open_tag(tag, cls, attrs)))
-    return F.transform(whole, lambda e: F.regexp_extract(e, element_re(tag), 1))
-
-
-def element(fragment: ColumnOrName, tag: str, cls: str | None = None,
-            attrs: list[tuple[str, str, str]] | None = None) -> Column:
-    """Body of the first matching element, null when there is none."""
-    return F.get(elements(fragment, tag, cls, attrs), 0)
-
-
-def has_element(fragment: ColumnOrName, tag: str, cls: str | None = None,
-                attrs: list[tuple[str, str, str]] | None = None) -> Column:
-    """Element-exists test (null fragment -> false)."""
-    return F.coalesce(_c(fragment).rlike("(?is)" + open_tag(tag, cls, attrs)), F.lit(False))
-
-
-def direct_texts(body: ColumnOrName) -> Column:
-    """C6 on one body: its direct text nodes, raw (not stripped, not decoded)."""
-    flat = F.regexp_replace(_c(body), _CHILD_ELEMENT, "<>")
-    return F.filter(F.split(flat, _ANY_TAG, -1), lambda s: F.length(s) > 0)
-
-
-def first_text(body: ColumnOrName) -> Column:
-    """``::text`` + ``.get()`` on one element: first direct text node or null.
-
-    Child elements are replaced match by match, so neither a long text nor many
-    children deepen the matcher's stack.
-    """
-    return decode_entities(F.get(direct_texts(body), 0))
-
-
-def texts(fragment: ColumnOrName, tag: str, cls: str | None = None,
-          attrs: list[tuple[str, str, str]] | None = None) -> Column:
-    """``tag::text`` ``.getall()`` -- direct texts of every match, decoded."""
-    return body_texts(elements(fragment, tag, cls, attrs))
-
-
-def body_texts(bodies: ColumnOrName) -> Column:
-    """Direct texts of every body, decoded."""
-    return F.transform(F.flatten(F.transform(_c(bodies), direct_texts)), decode_entities)
-
-
-def first_text_of(fragment: ColumnOrName, tag: str, cls: str | None = None,
-                  attrs: list[tuple[str, str, str]] | None = None) -> Column:
-    """C5 with a descendant step: ``fragment.css('tag::text').get()``."""
-    return F.get(texts(fragment, tag, cls, attrs), 0)
-
-
-def attr_value(start_tag: ColumnOrName, name: str) -> Column:
-    """Attribute value of a start tag (null when absent), decoded."""
-    pattern = rf'(?is)^<[a-z][a-z0-9]*\b[^>]*?\s{name}\s*=\s*"([^"]*)"'
-    return decode_entities(F.get(F.regexp_extract_all(_c(start_tag), F.lit(pattern), 1), 0))
-
-
-def block_between(html: ColumnOrName, start_re: str, end_re: str) -> Column:
-    """C2 re-aimed: the text between a start marker and the next end marker.
-
-    Null when the start marker is absent, so every selector evaluated on the
-    block yields its 'not found' arm, as an empty selection did in the source.
-    """
-    pattern = rf"(?is){start_re}(.*?)(?:{end_re}|\z)"
-    return F.get(F.regexp_extract_all(_c(html), F.lit(pattern), 1), 0)
-
-
-def kv_cell(cell: ColumnOrName) -> Column:
-    """``span:first-child`` / ``span:last-child`` texts of one cell.
+def first_text(texts: ColumnOrName) -> Column:
+    """The first of the texts found, decoded; null when there is none."""
+    return decode_entities(F.get(texts, 0))
 
-    A span is a first child if only text lies between its parent's start tag and
-    its own, a last child if only text follows it up to an end tag.  Returns
-    ``struct<key, value>`` stripped, or null when either has no text (the source
-    raised and lost the record then, see F9).
-    """
-    first = (rf"(?is)<(?!(?:{VOID_TAGS})\b)[a-z][a-z0-9:-]*\b[^>]*+>[^<]*+"
-             rf"(?=<span\b[^>]*+>({_balanced('span')}))")
-    last = rf"(?is)<span\b[^>]*+>(?=({_balanced('span')})(?:</span\s*+>[^<]*+(?:</|\z)|\z))"
 
-    def text(fragment: Column, pattern: str) -> Column:
-        return strip(F.get(body_texts(F.regexp_extract_all(fragment, F.lit(pattern), 1)), 0))
-    pair = let(F.concat(F.lit("<td>"), _c(cell)), lambda c: F.struct(
-        text(c, first).alias("key"), text(c, last).alias("value")))
-    return let(pair, lambda p: F.when(p["key"].isNotNull() & p["value"].isNotNull(), p))
+def decoded(texts: ColumnOrName) -> Column:
+    """All texts found, decoded."""
+    return F.transform(texts, decode_entities)

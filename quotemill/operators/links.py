@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import html as H
 from ..functions.core import let
-from .sizing import broadcast_if_small, fence, spread
+from .select import Each, select_fields
+from .sizing import broadcast_if_small, fence
 
 ColumnOrName = Column | str
 
@@ -28,21 +29,16 @@ def extract_links(pages: DataFrame, scope_tag: str | None = None, scope_class: s
     with ``inside`` only those inside elements of these names, one in the other.
     ``carry`` names page columns (e.g. ``url``) to keep on every link, so that
     nothing has to be joined back to the page table later.
-    Narrow: no shuffle; each page is handled in the task that read it.
+    Scopes nest to any depth.  Narrow: no shuffle; each page is handled in the task that read it.
     """
-    doc = H.clean_html("html")
-    if scope_tag:
-        doc = H.scope(doc, scope_tag, scope_class)
-    for tag in inside:
-        doc = H.scope(doc, tag)
-    anchor_re = r"(?is)" + H.open_tag("a", anchor_class) + r".*?(?:</a\s*>|\z)"
-    anchors = F.regexp_extract_all(doc, F.lit(anchor_re), 0)
-    parsed = F.transform(anchors, lambda a: F.struct(
-        H.first_text(F.regexp_replace(a, r"(?is)^<a\b[^>]*>|</a\s*>$", "")).alias("label"),
-        H.attr_value(F.regexp_extract(a, r"(?is)^<a\b[^>]*>", 0), "href").alias("href")))
-    return fence(spread(pages).select("page_id", *carry, F.posexplode(parsed).alias("pos", "link"))
+    def step(tag: str, cls: str | None) -> str:
+        return tag + (f".{cls}" if cls else "")
+    steps = [step(scope_tag, scope_class)] if scope_tag else []
+    anchors = " ".join([*steps, *inside, step("a", anchor_class)])
+    found = select_fields(pages, {"_links": Each(anchors, {"label": "a", "href": "a::attr(href)"})}, ("page_id", *carry))
+    return fence(found.select("page_id", *carry, F.posexplode("_links").alias("pos", "link"))
                  .select(F.col("page_id").cast("bigint"), F.col("pos").cast("int"),
-                         "link.label", "link.href", *carry))
+                         H.first_text("link.label").alias("label"), H.first_text("link.href").alias("href"), *carry))
 
 
 def index_page_url(href: ColumnOrName, host: str = schemas.DEFAULT_HOST,

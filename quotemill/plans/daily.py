@@ -42,8 +42,7 @@ class SiteRules:
     menu_class: str = S.MENU_SCOPE_CLASS
     menu_path: tuple[str, ...] = ("ul", "li")
     link_class: str = S.MENU_LINK_CLASS
-    content_start: str | None = None
-    content_end: str | None = None
+    content: str | None = None
 
 
 def crawl(links: DataFrame, pages: DataFrame, kind: str, rules: SiteRules) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -61,7 +60,7 @@ def crawl(links: DataFrame, pages: DataFrame, kind: str, rules: SiteRules) -> tu
 def stage_records(resolved: DataFrame, kind: str, rules: SiteRules) -> DataFrame:
     """Extraction, then stage 300 (abbreviation) and stage 400 (typing, reasons)."""
     if kind == "indices":
-        raw = V.abbreviate(E.index_items(resolved, rules.content_start, rules.content_end))
+        raw = V.abbreviate(E.index_items(resolved, rules.content))
     else:
         raw = E.company_items(resolved)
     staged = V.stage(raw, kind)

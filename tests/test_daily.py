@@ -14,7 +14,7 @@ def test_run_daily_invariants(spark, scratch):
     pages.write.parquet(f"{base}/pages")
     pages = RD.read_pages(spark, f"{base}/pages")
     seeds = R.menu_pages(spark, SF_SMALL).select("url")
-    rules = D.SiteRules(host=R.HOST, content_start=R.CONTENT_START, content_end=R.CONTENT_END)
+    rules = D.SiteRules(host=R.HOST, content=R.CONTENT)
     audit = {(r.dataset, r.check): r.value for r in D.run_daily(spark, pages, seeds, base, "2024-04-04", rules).collect()}
     for kind in ("indices", "companies"):
         assert audit[(kind, "valid")] + audit[(kind, "rejected")] == audit[(kind, "records")]

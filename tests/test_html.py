@@ -1,71 +1,13 @@
-"""HTML selector forms (C0-C13) as column expressions."""
-from pyspark.sql import functions as F
+"""Character references."""
 from conftest import one_col
 from quotemill.functions import html as H
 
 
-def test_clean_and_decode(spark):
-    html = '<script>var t="</p>";</script><p>A &amp;lt; B &#233;&#x1F600; &copy;&unknown;</p><!-- c -->'
-    out = one_col(spark, [html], lambda c: H.texts(H.clean_html(c), "p"))
-    assert out == [["A &lt; B é\U0001F600 ©&unknown;"]]
-
-
-def test_direct_texts_skip_child_elements(spark):
-    body = "\n <a href='x'>Name</a> tail<br>more"
-    out = one_col(spark, [body, "<b>x</b>", None], H.direct_texts)
-    assert out == [["\n ", " tail", "more"], [], None]
-
-
-def test_first_text_and_fallback_null(spark):
-    assert one_col(spark, ["<font></font>", "x<b>y</b>"], H.first_text) == [None, "x"]
-
-
-def test_elements_implicit_end(spark):
-    html = "<p>one<p>two</p><ul><li>a<li>b</ul><table><tr><td>1<td>2<tr><td>3</table>"
-    assert one_col(spark, [html], lambda c: H.texts(c, "p")) == [["one", "two"]]
-    assert one_col(spark, [html], lambda c: H.texts(c, "li")) == [["a", "b"]]
-    assert one_col(spark, [html], lambda c: H.texts(c, "td")) == [["1", "2", "3"]]
-
-
-def test_class_token_and_attributes(spark):
-    html = ('<table class="x-old"><tr><td>no</td></tr></table>'
-            '<table class="a x b"><tr><td>yes</td></tr></table>'
-            '<font size="1">As of d</font><font size="10">no</font>'
-            '<span style="color: #ff0000; x">red</span><span style="color: #00ff00;">green</span>')
-    assert one_col(spark, [html], lambda c: H.texts(H.element(c, "table", "x"), "td")) == [["yes"]]
-    assert one_col(spark, [html], lambda c: H.texts(c, "font", attrs=[("size", "1", "=")])) == [["As of d"]]
-    assert one_col(spark, [html], lambda c: H.texts(c, "span", attrs=[("style", "color: #ff0000;", "*=")])) == [["red"]]
-    assert one_col(spark, [html], lambda c: H.has_element(c, "table", "old")) == [False]
-
-
-def test_attr_and_block(spark):
-    assert one_col(spark, ['<a class="m" href="/en/x?a=1&amp;b=2">', "<a>"],
-                   lambda c: H.attr_value(c, "href")) == ["/en/x?a=1&b=2", None]
-    html = 'x<div class="q">inside</div><div class="end"></div>outside'
-    assert one_col(spark, [html, "nothing"], lambda c: H.block_between(c, '<div class="q">', '<div class="end">')) \
-        == ['inside</div>', None]
-
-
-def test_kv_cell(spark):
-    cells = ["<span>Key</span> <span> 1,0 </span>", "<span>Volume</span>", "n/a"]
-    out = one_col(spark, cells, H.kv_cell)
-    assert [None if r is None else (r["key"], r["value"]) for r in out] == \
-        [("Key", "1,0"), ("Volume", "Volume"), None]
-
-
-def test_first_text_equals_first_direct_text(spark):
-    vals = ["a < b", "<b>x</b> y", "<b>x", "x<br>y", "< b>", "<>", "a<", "<td>", " ", "<b></b><i></i>",
-            "&amp;<b>", "<font></font><p> z </p>", "\n <a>N</a>", "<b>x<b>y</b>z</b>w", "<br><b>q", "<<b>>"]
-    got = one_col(spark, vals, H.first_text)
-    want = one_col(spark, vals, lambda c: H.decode_entities(F.get(H.direct_texts(c), 0)))
-    assert got == want
-
-
-def test_first_text_of_long_and_crowded_bodies(spark):
-    long = "x" * 50_000
-    crowded = "<b>1</b>" * 3_000 + "end"
-    stray = "a" + "<" * 4_000
-    assert one_col(spark, [long, crowded, stray], lambda c: H.first_text(c)) == [long, "end", stray]
+def test_single_pass(spark):
+    assert one_col(spark, ["A &amp;lt; B &#233;&#x1F600; &copy;&unknown;", None, "plain"], H.decode_entities) == [
+        "A &lt; B \u00e9\U0001F600 \u00a9&unknown;", None, "plain"]
+    assert one_col(spark, [["a&amp;b", "c"], []], H.decoded, "array<string>") == [["a&b", "c"], []]
+    assert one_col(spark, [["a&amp;b", "c"], []], H.first_text, "array<string>") == ["a&b", None]
 
 
 def test_character_references_out_of_range(spark):
@@ -74,46 +16,6 @@ def test_character_references_out_of_range(spark):
     assert got == ["�", "�", "�", "�", "A", "�"]
 
 
-def test_nested_elements_of_one_name(spark):
-    html = ('<div class="m"><div>a<div>b</div></div><ul><li>x<ul><li>y</li></ul>z<li>w</ul></div>'
-            '<div class="m">second</div><div>out</div>')
-    assert one_col(spark, [html], lambda c: H.texts(H.scope(c, "div", "m"), "li")) == [["x", "z", "y", "w"]]
-    assert one_col(spark, [html], lambda c: H.texts(c, "div", "m")) == [["second"]]
-    assert one_col(spark, ["<span><span>5</span></span>"], lambda c: H.texts(c, "span")) == [["5"]]
-    cell = "<table><tr><td>a<table><tr><td>in</td></tr></table>b</td><td>c</td></tr></table>"
-    assert one_col(spark, [cell], lambda c: H.texts(c, "td")) == [["a", "b", "in", "c"]]
-
-
-def test_long_and_deep_markup_keeps_the_stack(spark):
-    deep = "<div>" * 3_000 + "x" + "</div>" * 3_000
-    unclosed = "<div>a" * 3_000
-    wide = '<div class="m">' + "<div>1</div>" * 5_000 + "end</div>"
-    got = one_col(spark, [deep, unclosed, wide], lambda c: F.size(H.elements(c, "div", "m")))
-    assert got == [0, 0, 1]
-    assert one_col(spark, [wide], lambda c: H.first_text(H.scope(c, "div", "m"))) == ["end"]
-
-
-def test_attribute_forms(spark):
-    tags = ["<a class='big m' href='/x?a=1&amp;b=2'>t</a>", "<a class=m href=/x?a=1>t</a>",
-            '<a title="a>b" class="m" href="/y">t</a>', """<a title='say "hi" > class="q"' class="m" href='/z'>t</a>""",
-            '<a href="/first" href="/second" class="m">t</a>', "<p>it's = \"x\" > y</p>"]
-    got = one_col(spark, tags, lambda c: H.attr_value(H.clean_html(c), "href"))
-    assert got == ["/x?a=1&b=2", "/x?a=1", "/y", "/z", "/first", None]
-    assert one_col(spark, tags, lambda c: H.texts(H.clean_html(c), "a", "m")) == [["t"]] * 5 + [[]]
-    assert one_col(spark, tags[-1:], H.clean_html) == tags[-1:]
-
-
-def test_child_step_and_sibling_position(spark):
-    body = '<b><span>deep</span></b><span class="k">one</span><font><span>two</span></font>'
-    assert one_col(spark, [body], lambda c: H.children(c, "span")) == [["one"]]
-    cells = ["<span></span><span>5</span>", "<span>Volume</span><span>12<br>34</span>",
-             "<b>x</b><span>late</span>", "<span>k</span><b>x</b>", "<i><span>k</span></i><span>v</span>",
-             "<span>k</span><span>v</span> tail"]
-    out = one_col(spark, cells, H.kv_cell)
-    assert [None if r is None else (r["key"], r["value"]) for r in out] == \
-        [None, ("Volume", "12"), None, None, ("k", "k"), ("k", "v")]
-
-
 def test_entities_of_html_4(spark):
     got = one_col(spark, ["&Eacute;t&eacute; &euro;&nbsp;1", "&#233 &#xe9;", "&eacute x", "&apos;&nosuch;"],
                   H.decode_entities)

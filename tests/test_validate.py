@@ -47,7 +47,7 @@ def test_index_items(spark):
     pages = spark.createDataFrame([(1, "u", INDEX_PAGE, "Johannesburg (JSE)"),
                                    (2, "v", INDEX_PAGE.replace("<span>Volume</span>", "n/a"), "BRVM")],
                                   "page_id long, url string, html string, market string")
-    raw = V.abbreviate(E.index_items(pages, '<div class="c">', '<div class="e">')).orderBy("page_id").collect()
+    raw = V.abbreviate(E.index_items(pages, "div.c")).orderBy("page_id").collect()
     r = raw[0]
     assert (r.current_date, r.index_abbreviation, r.index_value, r.index_change, r.index_percentage_change) == \
         ("04-Apr-2024", "JSE", "", "74,097.94", "-334.95")
@@ -56,7 +56,7 @@ def test_index_items(spark):
     assert r.market_summary == {"Volume": "Volume", "Value Traded (BWP)": "661,866.43"}
     assert r.extract_error is None
     assert raw[1].extract_error == "summary_cell_without_span" and raw[1].index_abbreviation == S.SENTINEL_ABBREVIATION
-    staged = V.stage(V.abbreviate(E.index_items(pages, '<div class="c">', '<div class="e">')), "indices")
+    staged = V.stage(V.abbreviate(E.index_items(pages, "div.c")), "indices")
     assert staged.filter(F.col("reject_reason").isNull()).count() == 1
 
 
