@@ -91,6 +91,55 @@ def q_dedupe_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.dedupe_links(links).select("canonical_url", "page_id", "pos", "label", "href")
 
 
+def q_url_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three spellings of each page URL (case, escapes, argument order, blank values) are one request."""
+    url = _t(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", r"[?#].*$", "").alias("stem"))
+    front = F.regexp_extract("stem", r"^([^/]*//[^/]*)", 1)
+    path = F.regexp_extract("stem", r"^[^/]*//[^/]*(.*)$", 1)
+    spellings = F.array(
+        F.concat("stem", F.lit("/\u00e9~x y?b=1&a=&c=p+q")),
+        F.concat(F.upper(front), path, F.lit("/%C3%A9%7ex%20y?c=p%20q&a&b=1#top")),
+        F.concat("stem", F.lit("/%c3%a9~%78 y?&b=%31&a=&c=p+q&")))
+    links = url.select("page_id", F.posexplode(spellings).alias("pos", "target_url"))
+    kept = links.groupBy(L.canonical_url("target_url").alias("canonical_url")).agg(F.count("*").alias("n_spellings"))
+    return L.dedupe_links(links).join(kept, "canonical_url").select("canonical_url", "page_id", "pos", "n_spellings")
+
+
+def q_rerun_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders appended in three batches, every batch twice; each is there once, ids dense."""
+    from pyspark.sql.types import _parse_datatype_string
+    schema = _parse_datatype_string(APPEND_SCHEMA)
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    path = scratch_path(spark, "batches")
+    for k in range(3):
+        for _ in range(2):
+            W.append_with_ids(spark, o.filter(F.col("o_orderkey") % 3 == k), path, schema, batch=f"part{k}")
+    h = RD.read_history(spark, path, schema).agg(
+        F.count("*").alias("n_rows"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
+        F.countDistinct("id").alias("n_ids"), F.sum("o_orderkey").alias("sum_keys"))
+    b = W.recorded_batches(spark, path)
+    # One row of totals beside each of the three batches.
+    return b.withColumn("one", F.lit(1)).join(F.broadcast(h.withColumn("one", F.lit(1))), "one").drop("one")
+
+
+def q_atomic_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed and loaded by status, one load after the other; a load refused in between changes nothing."""
+    from pyspark.sql.types import _parse_datatype_string
+    schema = _parse_datatype_string("o_orderkey bigint, o_totalprice double, o_orderstatus string")
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    base = scratch_path(spark, "atomic")
+    for ds, rows in (("2024-04-03", o.filter("o_orderstatus = 'O'")), ("2024-04-04", o.filter("o_orderstatus = 'F'")),
+                     ("2024-04-05", o.withColumn("o_orderkey", F.lit("none")))):
+        W.land(rows, base, "orders", ds)
+    for ds in ("2024-04-03", "2024-04-04"):
+        W.truncate_load(spark, base, "orders", ds, schema, f"{base}/warehouse")
+    try:
+        W.truncate_load(spark, base, "orders", "2024-04-05", schema, f"{base}/warehouse")
+    except Exception:  # noqa: BLE001 - refused: keys that are no numbers
+        pass
+    return RD.read_table(spark, f"{base}/warehouse", schema)
+
+
 def _next_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page links to page_id + 1, labelled with its own title (the last one dangles)."""
     pages = _t(spark, sf_dir, "pages")
@@ -430,6 +479,9 @@ QUERIES = {
     "q_company_url_rule": q_company_url_rule,
     "q_offsite_filter": q_offsite_filter,
     "q_dedupe_links": q_dedupe_links,
+    "q_url_fingerprint": q_url_fingerprint,
+    "q_rerun_append": q_rerun_append,
+    "q_atomic_load": q_atomic_load,
     "q_link_page_join": q_link_page_join,
     "q_link_page_canonical": q_link_page_canonical,
     "q_unresolved_links": q_unresolved_links,

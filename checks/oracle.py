@@ -37,11 +37,13 @@ def origin(x: str) -> str:
 
 
 def canon(x: str) -> str:
-    """B6 key: fragment dropped, query arguments sorted."""
+    """B6 key: fragment dropped, path escaped, query arguments sorted (their names and values are plain here)."""
     u = f"regexp_replace({x}, '#.*$', '')"
     base = f"regexp_replace({u}, '\\?.*$', '')"
+    path = (f"array_to_string(list_transform(string_split({base}, ''), lambda ch: "
+            "CASE WHEN regexp_matches(ch, '[ -~]') THEN ch ELSE url_encode(ch) END), '')")
     args = f"list_sort(list_filter(string_split(regexp_extract({u}, '\\?(.*)$', 1), '&'), lambda a: a <> ''))"
-    return f"CASE WHEN len({args}) > 0 THEN {base} || '?' || array_to_string({args}, '&') ELSE {base} END"
+    return f"CASE WHEN len({args}) > 0 THEN {path} || '?' || array_to_string({args}, '&') ELSE {path} END"
 
 
 NAV_LINKS = f"""
@@ -422,7 +424,25 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE strftime(o_orderd
 FROM orders"""
 
 
+URL_FINGERPRINT = """
+WITH p AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS stem FROM pages)
+SELECT stem || '/%C3%A9~x%20y?a=&b=1&c=p+q' AS canonical_url, min(page_id) AS page_id, 0 AS pos, 3 * count(*) AS n_spellings
+FROM p GROUP BY stem"""
+
+RERUN_APPEND = """
+WITH o AS (SELECT o_orderkey, 'part' || (o_orderkey % 3) AS batch FROM orders),
+b AS (SELECT batch, count(*) AS rows FROM o GROUP BY batch),
+t AS (SELECT count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS s FROM o)
+SELECT batch, CAST(1 + coalesce(sum(rows) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first_id,
+       rows, t.n AS n_rows, 1 AS min_id, t.n AS max_id, t.n AS n_ids, t.s AS sum_keys
+FROM b, t"""
+
+ATOMIC_LOAD = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F'"
+
 ORACLE = {
+    "q_url_fingerprint": URL_FINGERPRINT,
+    "q_rerun_append": RERUN_APPEND,
+    "q_atomic_load": ATOMIC_LOAD,
     "q_company_items": COMPANY_ITEMS,
     "q_link_extract": LINK_EXTRACT,
     "q_index_url_rule": INDEX_URL_RULE,

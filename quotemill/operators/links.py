@@ -93,15 +93,54 @@ def within_domains(url: ColumnOrName, domains=schemas.DEFAULT_DOMAINS) -> Column
     return let(url_host(url), test)
 
 
+def _escaped(text: Column, plain: str, kept: str = "", blank: str = "%20") -> Column:
+    """Percent-encoding in one form, character by character (UTF-8).
+
+    Characters of the class ``plain`` stand for themselves and the rest is escaped in upper case.  Escapes named in
+    ``kept`` are not undone.  ``blank`` is how a blank is written; ``+`` is read as one where it is written so.
+    """
+    def piece(t: Column) -> Column:
+        code = F.when(t.rlike("^%[0-9A-Fa-f]{2}$"), F.conv(F.substring(t, 2, 2), 16, 10).cast("int"))
+        undone = F.when(code < 128, F.chr(code))
+        raw = F.concat(F.lit("%"), F.regexp_replace(F.hex(F.encode(t, "UTF-8")), "(..)(?=.)", "$1%"))
+        known = F.upper(t)
+        stays = known.isin(kept.split()) if kept else F.lit(False)
+        blanks = (t == " ") | (code == 32) | ((t == "+") if blank == "+" else F.lit(False))
+        return (F.when(blanks, F.lit(blank))
+                .when(code.isNotNull(), F.when(undone.rlike(f"^[{plain}]$") & ~stays, undone).otherwise(known))
+                .when(t.rlike(f"^[{plain}]$"), t).otherwise(raw))
+    no_escape = plain.replace("%", "")
+    whole = F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)%[0-9A-Fa-f]{2}|."), 0), piece), "")
+    return F.when(text.rlike(f"^[{no_escape}]*$"), text).otherwise(whole)
+
+
+# Characters that stay as they are in a path and in a query argument.
+_PATH_PLAIN = r"A-Za-z0-9._~:/?\[\]@!$&'()*+,;=|%-"
+_ARGUMENT_PLAIN = r"A-Za-z0-9._~-"
+
+
 def canonical_url(url: ColumnOrName) -> Column:
-    """B6 key: drop the fragment and sort query arguments."""
+    """B6 key: URLs that ask for the same thing are written alike.
+
+    Scheme and host are lower-cased (a port stays), the fragment goes, an empty path becomes ``/``, escapes take
+    one form in path and arguments, arguments without a value get an empty one (``a`` is ``a=``), empty
+    arguments go and the rest is sorted.  What has no ``scheme://`` keeps its path as written.
+    """
+    def argument(a: Column) -> Column:
+        name = F.regexp_extract(a, r"(?s)^([^=]*)", 1)
+        value = F.regexp_extract(a, r"(?s)^[^=]*=(.*)$", 1)
+        return F.concat(_escaped(name, _ARGUMENT_PLAIN, blank="+"), F.lit("="), _escaped(value, _ARGUMENT_PLAIN, blank="+"))
+
     def canon(u: Column) -> Column:
-        base = F.regexp_replace(u, r"\?.*$", "")
-        query = F.regexp_extract(u, r"\?(.*)$", 1)
-        return let(F.array_sort(F.filter(F.split(query, "&"), lambda s: s != "")), lambda args:
-                   F.when(F.size(args) > 0, F.concat(base, F.lit("?"), F.array_join(args, "&")))
-                   .otherwise(base))
-    return let(F.regexp_replace(_c(url), r"#.*$", ""), canon)
+        front = F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?]*)", 1)
+        path = F.regexp_extract(u, r"(?s)^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?]*)?([^?]*)", 1)
+        path = F.when((front != "") & (path == ""), F.lit("/")).when(
+            front != "", let(path, lambda p: _escaped(p, _PATH_PLAIN, "%2F %3F"))).otherwise(path)
+        args = F.filter(F.split(F.regexp_extract(u, r"(?s)\?(.*)$", 1), "&"), lambda a: a != "")
+        return let(F.array_sort(F.transform(args, argument)), lambda found: F.concat(
+            F.regexp_replace(F.lower(front), ":$", ""), path,
+            F.when(F.size(found) > 0, F.concat(F.lit("?"), F.array_join(found, "&"))).otherwise("")))
+    return let(F.regexp_replace(_c(url), r"(?s)#.*$", ""), canon)
 
 
 def dedupe_links(links: DataFrame, url_col: str = "target_url") -> DataFrame:

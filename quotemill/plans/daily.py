@@ -8,10 +8,11 @@ fetching are not part of it (SURVEY §9).
 Layout under ``base``::
 
     staging/<table>/ds=<yyyyMMdd>/status=<valid|rejected>/   extraction, written once
-    history/<table>/                                          append-only typed tables
+    history/<table>/rows-<yyyyMMdd>/                          append-only typed tables, a folder a date
+    history/<table>/_batches/<yyyyMMdd>/                      record of each whole batch
     rejects/<table>/ds=<yyyyMMdd>/                            refused records + reason
     landing/<table>/ds=<yyyyMMdd>/                            NDJSON export of full history
-    warehouse/<table>/                                        truncate-loaded tables
+    warehouse/<table>/version-<n>/                            truncate-loaded tables, the newest counts
     links/ds=<yyyyMMdd>/                                      menu links, written once
     audit/ds=<yyyyMMdd>/step=<step>/                          audit rows, written as each step ends
 """
@@ -68,8 +69,12 @@ def stage_records(resolved: DataFrame, kind: str, rules: SiteRules) -> DataFrame
 
 
 def run_daily(spark: SparkSession, pages: DataFrame, seeds, base: str, ds,
-              rules: SiteRules = SiteRules()) -> DataFrame:
-    """Run one logical date end to end; returns the audit rows ``(dataset, check, value, flag)``."""
+              rules: SiteRules = SiteRules(), append_again: bool = False) -> DataFrame:
+    """Run one logical date end to end; returns the audit rows ``(dataset, check, value, flag)``.
+
+    A date can be run again, after a failure or not: its rows are appended to history once, everything else
+    replaces what the run before left.  ``append_again`` appends on every run, as the source does.
+    """
     key = R.ds_key(ds)
     seed = R.seed_pages(pages, seeds)
     L.extract_links(seed, rules.menu_tag, rules.menu_class, rules.link_class, inside=rules.menu_path) \
@@ -89,7 +94,8 @@ def run_daily(spark: SparkSession, pages: DataFrame, seeds, base: str, ds,
         valid = V.valid_rows(stage_df.filter(F.col("status") == "valid"), kind)
         rejects = V.reject_rows(stage_df.filter(F.col("status") == "rejected"), kind)
         rejects.write.mode("overwrite").parquet(f"{base}/rejects/{kind}/ds={key}")
-        W.append_with_ids(spark, valid, f"{base}/history/{kind}", schema, stable_input=True)
+        W.append_with_ids(spark, valid, f"{base}/history/{kind}", schema, stable_input=True,
+                          batch=None if append_again else key)
 
         counts = stage_df.groupBy().agg(
             F.count("*").alias("records"),

@@ -6,6 +6,8 @@ through the file committer.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,13 +19,23 @@ from ..session import scratch_path
 from ..sources import readers as R
 
 
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system of a path, and the path."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _fs(spark, path)
     return fs.exists(hpath)
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, source = _fs(spark, old)
+    if not fs.rename(source, _fs(spark, new)[1]):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Create an empty table with the fixed schema if it does not exist."""
     if not _exists(spark, path):
@@ -58,7 +70,7 @@ def assign_ids(df: DataFrame, start: int | Column = 1, col: str = "id",
 
 def next_id(spark: SparkSession, path: str) -> int:
     """First free id of a history table (max + 1; 1 when empty)."""
-    mx = spark.read.parquet(path).agg(F.max("id")).first()[0]
+    mx = spark.read.option("recursiveFileLookup", "true").parquet(path).agg(F.max("id")).first()[0]
     return 1 if mx is None else int(mx) + 1
 
 
@@ -67,12 +79,42 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+BATCH = "batch string, first_id bigint, rows bigint"
+
+
+def recorded_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Batches of a history table: ``batch, first_id, rows``; a batch is listed once it is whole."""
+    root = f"{path}/_batches"
+    if not _exists(spark, root):
+        return spark.createDataFrame([], BATCH)
+    return spark.read.schema(BATCH).option("recursiveFileLookup", "true").json(root)
+
+
 def append_with_ids(spark: SparkSession, valid: DataFrame, path: str, schema: T.StructType,
-                    stable_input: bool = False) -> None:
-    """Create if absent, number after the current max id, append in column order."""
+                    stable_input: bool = False, batch: str | None = None) -> bool:
+    """Create if absent, number after the current max id, append in column order.
+
+    With ``batch`` (a date key) the append can be repeated: the batch goes to a folder of its own, and a record
+    of its name, first id and rows is written last.  A recorded batch is skipped.  One that was cut short has
+    no record; its folder is written over, with ids after those of all other rows.  Without ``batch`` every
+    call appends, as the source does.  Returns whether rows were written.
+    """
     ensure_table(spark, path, schema)
-    with_ids = assign_ids(valid, next_id(spark, path), stable_input=stable_input)
-    append(with_ids.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), path)
+    if batch is None:
+        with_ids = assign_ids(valid, next_id(spark, path), stable_input=stable_input)
+        append(with_ids.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), path)
+        return True
+    if not recorded_batches(spark, path).where(F.col("batch") == batch).isEmpty():
+        return False
+    folder = f"{path}/rows-{batch}"
+    fs, hpath = _fs(spark, folder)
+    fs.delete(hpath, True)  # what a run that was cut short left
+    first = next_id(spark, path)
+    with_ids = assign_ids(valid, first, stable_input=stable_input)
+    with_ids.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.parquet(folder)
+    rows = spark.read.schema(schema).parquet(folder).count()
+    spark.createDataFrame([(batch, first, rows)], BATCH).coalesce(1).write.mode("overwrite").json(f"{path}/_batches/{batch}")
+    return True
 
 
 def export_columns(df: DataFrame, compat_round: bool = False) -> list[Column]:
@@ -104,18 +146,23 @@ def truncate_load(spark: SparkSession, base: str, table: str, ds, schema: T.Stru
                   dest: str) -> DataFrame:
     """Replace the warehouse table with one date's landed file (strict schema).
 
-    A field the schema does not know refuses the load.  The load is written beside
-    the table first: a file that does not fit the schema fails there.  Either
-    way the table stays as it was.
+    A field the schema does not know refuses the load.  The rows are written to a folder that no reader looks
+    at; one rename makes it the table's newest version.  Whatever fails before leaves the table as it was.
+    The version before stays for readers that have it open, older ones go.  One load of a table at a time.
     """
     stray = unexpected_fields(spark, R.landing_path(base, table, ds), schema).orderBy("field").limit(5).collect()
     if stray:
         raise ValueError(f"{table}: landed fields without a column: {[r['field'] for r in stray]}")
-    loaded = R.read_landed(spark, base, table, ds, schema)
-    staging = f"{dest.rstrip('/')}__loading"
-    loaded.write.mode("overwrite").parquet(staging)
-    spark.read.schema(schema).parquet(staging).write.mode("overwrite").parquet(dest)
-    return spark.read.schema(schema).parquet(dest)
+    root = dest.rstrip("/")
+    fresh = f"{root}/_loading-{uuid.uuid4().hex}"
+    R.read_landed(spark, base, table, ds, schema).write.parquet(fresh)
+    versions = R.table_versions(spark, root)
+    number = (versions[-1] if versions else 0) + 1
+    _rename(spark, fresh, R.version_path(root, number))
+    for old in versions[:-1]:
+        fs, hpath = _fs(spark, R.version_path(root, old))
+        fs.delete(hpath, True)
+    return R.read_table(spark, root, schema)
 
 
 def write_feed_csv(df: DataFrame, path: str) -> None:

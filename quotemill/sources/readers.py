@@ -60,8 +60,30 @@ def landing_path(base: str, table: str, ds=None) -> str:
 
 
 def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A3: full scan of a history table (no predicate, every column, no order)."""
-    return spark.read.schema(schema).parquet(path)
+    """A3: full scan of a history table and the folders of its batches (no predicate, every column, no order)."""
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
+def version_path(root: str, number: int) -> str:
+    return f"{root.rstrip('/')}/version-{number:010d}"
+
+
+def table_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions of a replaced table (G7), oldest first; folders of unfinished loads are none."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(hpath)]
+    return sorted(int(n[len("version-"):]) for n in names if n.startswith("version-"))
+
+
+def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The newest version of a replaced table; without any, no rows."""
+    versions = table_versions(spark, root)
+    if not versions:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(version_path(root, versions[-1]))
 
 
 def read_landed(spark: SparkSession, base: str, table: str, ds, schema: T.StructType) -> DataFrame:

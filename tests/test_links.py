@@ -43,6 +43,20 @@ def test_domains_and_canonical(spark):
         ["http://a/b?a=2&z=1", "http://a/b"]
 
 
+def test_canonical_forms(spark):
+    same = [
+        ["http://h/a", "HTTP://H/a", "http://h:/a#x", "http://h/%61"],
+        ["http://h/", "http://h", "http://H#top", "http://h/?", "http://h?&"],
+        ["https://h:8443/%C3%A9~%20b", "https://H:8443/\u00e9%7E b", "https://h:8443/%c3%a9~%20%62"],
+        ["http://h/p?a=&b=1&c=p+q", "http://h/p?c=p%20q&a&b=%31", "http://h/p?b=1&&a=&c=p+q&"],
+        ["http://h/x%2Fy%3Fz", "http://h/x%2fy%3fz"], ["http://h/x/y?z="],
+        ["http://h/p?a=%26&b=%3D", "http://h/p?b==&a=%26"], ["http://h/p?a=%C3%A9", "http://h/p?a=\u00e9"],
+        ["http://h/a:b@c;d=e,f'(g)*!$&+|[i]"], ["http://h/50%", "http://h/50%25"], ["nonsense"], ["/only/path?b=1", "/only/path?b=1#f"]]
+    for group in same:
+        assert one_col(spark, group, L.canonical_url) == [group[0]] * len(group)
+    assert one_col(spark, [None, ""], L.canonical_url) == [None, ""]
+
+
 def test_absolute_url(spark):
     df = spark.createDataFrame([("https://a.b/x/y?q=1", "/z"), ("https://a.b/x/y", "z"), ("https://a.b", "z"),
                                 ("http://a.b/x", "//c.d/e"), ("http://a.b/x", "https://e.f/")], "b string, h string")

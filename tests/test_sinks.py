@@ -109,4 +109,48 @@ def test_refused_load_keeps_the_table(spark, scratch):
     for day in ("2024-04-04", "2024-04-05"):
         with pytest.raises(Exception):
             W.truncate_load(spark, base, "t", day, schema, dest)
-        assert [r["a"] for r in spark.read.parquet(dest).collect()] == [1]
+        assert [r["a"] for r in R.read_table(spark, dest, schema).collect()] == [1]
+
+
+def test_load_that_fails_before_the_switch_keeps_the_table(spark, scratch, monkeypatch):
+    from pyspark.sql import types as T
+    schema, base, dest = T.StructType().add("a", "long"), scratch("land"), scratch("wh")
+    assert R.read_table(spark, dest, schema).count() == 0
+
+    def load(day, value):
+        W.land(spark.createDataFrame([(value,)], "a long"), base, "t", day)
+        return W.truncate_load(spark, base, "t", day, schema, dest)
+    held = load("2024-04-03", 1)
+    with monkeypatch.context() as m:
+        def lost(*_):
+            raise OSError("lost")
+        m.setattr(W, "_rename", lost)
+        with pytest.raises(OSError):
+            load("2024-04-04", 2)
+    assert [r.a for r in R.read_table(spark, dest, schema).collect()] == [1]
+    assert [r.a for r in load("2024-04-05", 3).collect()] == [3]
+    assert [r.a for r in held.collect()] == [1]  # the version before stays
+    load("2024-04-06", 4)
+    assert R.table_versions(spark, dest) == [2, 3]
+    assert [r.a for r in R.read_table(spark, dest, schema).collect()] == [4]
+
+
+def test_batches_append_once(spark, scratch, monkeypatch):
+    from pyspark.sql.types import _parse_datatype_string
+    schema, path = _parse_datatype_string(SCHEMA), scratch("hist")
+    a = spark.range(0, 30).select(F.col("id").alias("k"), F.lit(1.0).alias("v"))
+
+    def state():
+        r = R.read_history(spark, path, schema).agg(F.count("*"), F.min("id"), F.max("id"), F.countDistinct("id")).first()
+        return tuple(r)
+    assert W.append_with_ids(spark, a, path, schema, batch="20240403") and state() == (30, 1, 30, 30)
+    assert not W.append_with_ids(spark, a, path, schema, batch="20240403") and state() == (30, 1, 30, 30)
+    with monkeypatch.context() as m:  # rows are written, their record is not
+        m.setattr(W, "BATCH", "no such schema")
+        with pytest.raises(Exception):
+            W.append_with_ids(spark, a, path, schema, batch="20240404")
+    assert W.append_with_ids(spark, a.limit(20), path, schema, batch="20240404") and state() == (50, 1, 50, 50)
+    assert W.append_with_ids(spark, a.limit(0), path, schema, batch="20240405")
+    assert W.append_with_ids(spark, a, path, schema) and state() == (80, 1, 80, 80)
+    got = sorted(tuple(r) for r in W.recorded_batches(spark, path).collect())
+    assert got == [("20240403", 1, 30), ("20240404", 31, 20), ("20240405", 51, 0)]
