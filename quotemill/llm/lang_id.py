@@ -14,6 +14,7 @@ import functools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -236,6 +237,39 @@ def predict(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",), s
         run, f"{fields}, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
 
 
+def determined(docs: DataFrame, model: dict) -> DataFrame:
+    """The rows whose language ``predict`` can tell, as they are; without a learned language those with a letter.
+
+    Columns pass through untouched, whatever their names; texts are looked at some millions of characters at a time.
+    """
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def known(texts: list[str]) -> list[bool]:
+        if shared.value["langs"]:
+            return [g[0] != UNDETERMINED for g in label(texts, shared.value)]
+        found = _letters(texts)
+        owners = set() if found is None else set(found[4].tolist())
+        return [i in owners for i in range(len(texts))]
+
+    def run(batches_):
+        for batch in batches_:
+            stay, texts, held = [], [], 0
+            for text in batch.column(at):
+                text = text.as_py() or ""
+                if texts and held + len(text) > BATCH_CHARS:
+                    stay += known(texts)
+                    texts, held = [], 0
+                texts.append(text)
+                held += len(text)
+            if texts:
+                stay += known(texts)
+            yield batch.filter(pa.array(stay, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def remainder(ids, modulus: int):
     """crc32 of the id as text, modulo; a null id counts as empty text."""
     return F.crc32(F.coalesce(ids.cast("string"), F.lit(""))) % modulus

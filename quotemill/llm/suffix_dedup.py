@@ -243,9 +243,12 @@ def _compare(frames, length: int):
     yield flush()
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, largest: int = LARGEST) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, largest: int = LARGEST,
+                   as_text: bool = False) -> DataFrame:
     """All columns of every row with ``_n_bytes, _n_removed, _n_spans, _kept`` (the bytes left).
 
+    With ``as_text`` what is left is a string instead: of a character cut in two the rest goes too.
+
     Texts are UTF-8 bytes, null ones empty.  A string that starts twice counts wherever it
     does: in two rows, equal ones included, or twice in one text, overlaps too.  Matches never cross
     rows.  One row out per row in; null ids are ids like others.  An empty table gives an empty result.
@@ -322,10 +325,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
             (F.col("at") + r["first"]).alias("first"), (F.col("at") + r["last"]).alias("last"))).alias("runs"))
     # Repeated rows of one id and text have the same runs, each several times.
     spans = staged(spans.groupBy("doc_id", "h").agg(F.flatten(F.collect_set("runs")).alias("_runs")), "repeat-spans")
-    return _without(docs, spans, length)
+    return _without(docs, spans, length, as_text)
 
 
-def _without(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
+def _without(docs: DataFrame, spans: DataFrame, length: int, as_text: bool) -> DataFrame:
     """Join the runs to their rows and leave out the bytes they cover."""
     spans = spans.select(F.col("doc_id").alias("_i"), F.col("h").alias("_h"), "_runs")
     both = docs.withColumn("_key", F.xxhash64("text")).join(
@@ -347,8 +350,10 @@ def _without(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
                     gone += max(0, end - at)
                     at = max(at, end)
                 out.append(data[at:])
-                n_bytes.append(len(data)), removed.append(gone), pieces.append(count), kept.append(b"".join(out))
+                n_bytes.append(len(data)), removed.append(gone), pieces.append(count)
+                kept.append("".join(x.decode("utf-8", "ignore") for x in out) if as_text else b"".join(out))
             yield frame.drop(columns="_runs").assign(_n_bytes=n_bytes, _n_removed=removed, _n_spans=pieces, _kept=kept)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return both.mapInPandas(strip, f"{fields}, _n_bytes long, _n_removed long, _n_spans long, _kept binary")
+    return both.mapInPandas(strip, f"{fields}, _n_bytes long, _n_removed long, _n_spans long, "
+                                f"_kept {'string' if as_text else 'binary'}")

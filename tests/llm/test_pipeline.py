@@ -1,5 +1,7 @@
 """The pipeline against its operators' rules, stage by stage, on a small table."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from quotemill.llm import mixing
 from quotemill.llm.common import staged
@@ -65,3 +67,36 @@ def test_repeated_ids_with_different_texts(spark):
     assert (1, words(20), "en", "src2", 0) in first["got"] and (20, words(20), "en", "src1", 0) not in first["got"]
     assert (words(0) in texts) != (words(0) + " end" in texts)
     assert sum(r[0] is None for r in first["got"]) == 1
+
+
+def _clashing(spark):
+    """Documents beside columns that operators use inside, with characters that repeats cut in two."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(40)
+    names = ["score", "spans", "lang_pred", "_text", "_row", "_key", "_runs", "_h", "_t", "_size", "_copy", "_seq", "_digest",
+             "_ids", "component_id", "extra0", "key", "h", "size", "target"]
+    shared = "\u00e9" * 230  # 460 bytes
+    more = spark.createDataFrame([(5001, "a" + shared + "b\ufffd one", "en", "src1", 0), (5002, "xx" + shared + "y\ufffd two", "en", "src1", 0)],
+                                 docs.schema)
+    docs = docs.unionByName(more)
+    return docs.select(*[F.lit(f"{n} kept").alias(n) for n in names], *docs.columns), names
+
+
+def test_clashing_columns_pass_through(spark):
+    docs, names = _clashing(spark)
+    cur = docs = staged(docs, "pipeline-test")
+    for name, stage in P.STAGES[:-1]:
+        cur = staged(stage(spark, cur, SF_SMALL), "pipeline-test")
+        assert cur.columns == docs.columns, name
+        assert cur.select(*names).distinct().collect() == docs.select(*names).distinct().collect(), name
+        if name == "repeats":
+            left = {r.doc_id: r.text for r in cur.where("doc_id > 5000").collect()}
+            assert left == {5001: "ab\ufffd one", 5002: "xxy\ufffd two"}
+    assert cur.count() > 0
+    assert P.STAGES[-1][1](spark, cur, SF_SMALL).count() == cur.count()
+
+
+def test_without_labels_documents_with_letters_stay(spark):
+    rows = [(1, "some words", None, "s", 0), (2, "12 34", None, "s", 0), (3, None, None, "s", 0), (4, "", None, "s", 0),
+            (5, "\u65e5\u672c", None, "s", 0), (6, "7 x 8", None, "s", 0)]
+    docs = spark.createDataFrame(rows, spark.read.parquet(f"{SF_SMALL}/documents.parquet").schema)
+    assert sorted(r.doc_id for r in P.identify_language(spark, docs, SF_SMALL).collect()) == [1, 5, 6]
