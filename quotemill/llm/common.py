@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,8 +66,10 @@ def word_count(text: Column) -> Column:
 def batches(frames: Iterator, max_chars: int, column: str = "text") -> Iterator:
     """Split incoming pandas frames so that each holds about ``max_chars`` characters.
 
-    A row is never split; one longer than the bound forms a batch of its own.
+    A row is never split; one longer than the bound forms a batch of its own.  Memory that
+    earlier tasks of this worker have freed goes back to the system before and after.
     """
+    give_back()
     for frame in frames:
         sizes = frame[column].str.len().fillna(0).to_numpy()
         start, held = 0, 0
@@ -75,6 +80,17 @@ def batches(frames: Iterator, max_chars: int, column: str = "text") -> Iterator:
             held += n
         if start < len(frame):
             yield frame.iloc[start:]
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system: Spark keeps workers for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def in_partitions(df: DataFrame, least: int | None = None) -> DataFrame:
