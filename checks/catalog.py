@@ -458,6 +458,17 @@ def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(gone).select(F.date_format("ds", "yyyy-MM-dd").alias("ds"), "n_events", "kept")
 
 
+def q_retention_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed by day, partitions of 13 days or more at the latest day removed; what is left, by day."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("ds"))
+    base = scratch_path(spark, "retention")
+    ev.write.partitionBy("ds").json(RD.landing_path(base, "events"))
+    run_date = _t(spark, sf_dir, "events").agg(F.max(F.to_date("ts"))).first()[0]
+    W.remove_expired(spark, base, "events", run_date)
+    left = spark.read.schema("event_id bigint, event_type string, ds string").json(RD.landing_path(base, "events"))
+    return left.groupBy("ds").agg(F.count("*").alias("n_events"), F.sum("event_id").alias("sum_ids"))
+
+
 def q_latest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest event per user (by time, then id), via a partial aggregate."""
     ev = _t(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
@@ -510,6 +521,7 @@ QUERIES = {
     "q_export_rounding": q_export_rounding,
     "q_schema_drift": q_schema_drift,
     "q_retention": q_retention,
+    "q_retention_run": q_retention_run,
     "q_latest_row": q_latest_row,
     "q_quote_date": q_quote_date,
 }

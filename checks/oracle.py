@@ -439,7 +439,13 @@ FROM b, t"""
 
 ATOMIC_LOAD = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F'"
 
+RETENTION_RUN = """
+WITH e AS (SELECT event_id, CAST(ts AS DATE) AS d FROM events)
+SELECT strftime(d, '%Y%m%d') AS ds, count(*) AS n_events, CAST(sum(event_id) AS BIGINT) AS sum_ids
+FROM e WHERE date_diff('day', d, (SELECT max(d) FROM e)) < 13 GROUP BY d"""
+
 ORACLE = {
+    "q_retention_run": RETENTION_RUN,
     "q_url_fingerprint": URL_FINGERPRINT,
     "q_rerun_append": RERUN_APPEND,
     "q_atomic_load": ATOMIC_LOAD,

@@ -190,3 +190,21 @@ def expired(df: DataFrame, ds_col: str, run_date, days: int = 13) -> DataFrame:
     """The complement of ``retained`` (what the retention rule deletes)."""
     return df.filter(_age(ds_col, run_date) >= days)
 
+
+
+def remove_expired(spark: SparkSession, base: str, table: str, run_date, days: int = 13) -> DataFrame:
+    """Delete the landing partitions of ``days`` or more at ``run_date``; returns ``ds, removed`` of all of them.
+
+    Partitions are told by their folder's name (``ds=yyyyMMdd`` or an ISO date); folders of other names stay and
+    are not reported.  Only names are listed, no file is read.  A second run finds nothing left to remove.
+    """
+    root = R.landing_path(base, table)
+    fs, hpath = _fs(spark, root)
+    names = [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()] if fs.exists(hpath) else []
+    dates = spark.createDataFrame([(n[3:],) for n in names if n.startswith("ds=")], "ds string")
+    found = [(r.ds, r.age >= days) for r in dates.select("ds", _age("ds", run_date).alias("age")).collect()
+             if r.age is not None]
+    for ds, gone in found:
+        if gone and not fs.delete(_fs(spark, f"{root}/ds={ds}")[1], True):
+            raise OSError(f"cannot remove {root}/ds={ds}")
+    return spark.createDataFrame(found, "ds string, removed boolean")

@@ -154,3 +154,19 @@ def test_batches_append_once(spark, scratch, monkeypatch):
     assert W.append_with_ids(spark, a, path, schema) and state() == (80, 1, 80, 80)
     got = sorted(tuple(r) for r in W.recorded_batches(spark, path).collect())
     assert got == [("20240403", 1, 30), ("20240404", 31, 20), ("20240405", 51, 0)]
+
+
+def test_expired_partitions_are_removed(spark, scratch):
+    import os
+    base = scratch("land")
+    for ds in ("2024-03-21", "2024-03-22", "2024-03-23", "2024-04-04"):
+        W.land(spark.createDataFrame([(ds,)], "a string"), base, "t", ds)
+    os.mkdir(f"{R.landing_path(base, 't')}/ds=latest")
+    os.mkdir(f"{R.landing_path(base, 't')}/notes")
+    got = sorted(tuple(r) for r in W.remove_expired(spark, base, "t", "2024-04-04").collect())
+    assert got == [("20240321", True), ("20240322", True), ("20240323", False), ("20240404", False)]
+    assert sorted(r.a for r in spark.read.json(R.landing_path(base, "t")).collect()) == ["2024-03-23", "2024-04-04"]
+    assert sorted(n for n in os.listdir(R.landing_path(base, "t")) if n[0] not in "._") == [
+        "ds=20240323", "ds=20240404", "ds=latest", "notes"]
+    assert not any(r.removed for r in W.remove_expired(spark, base, "t", "2024-04-04").collect())
+    assert W.remove_expired(spark, base, "nothing", "2024-04-04").count() == 0
