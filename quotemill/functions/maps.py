@@ -17,8 +17,20 @@ ColumnOrName = Column | str
 
 MAP_SCHEMA = "map<string,string>"
 
-# ``None`` outside strings; group 1 is what lies before it since the last one.
-_NONE = r"""(?s)\G((?:[^'"N]++|'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|N(?!one\b))*+)None\b"""
+# Grammar of a flat dict literal (E8): keys are strings, values strings, numbers or the constants.
+_STRING = r"""(?:[rRuU]?+(?:'(?:[^'\\\n]++|\\.)*+'|"(?:[^"\\\n]++|\\.)*+"))"""
+_DIGITS = "[0-9](?:_?[0-9])*+"
+_NUMBER = rf"""(?:[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?)"""
+_VALUE = rf"(?:{_STRING}|(?:True|False|None|true|false|null)\b|{_NUMBER})"
+#: One step of the walk: an entry with what opens the dict before it and what closes it after it.
+_STEP = rf"(?s)\G(?:\A\s*\{{|(?!\A))\s*{_STRING}\s*:\s*{_VALUE}\s*(?:\}}\s*\z|,(?:\s*\}}\s*\z)?)"
+_ENTRY = rf"(?s)\A\s*\{{?\s*({_STRING})\s*:\s*({_VALUE})"
+_EMPTY = r"\A\s*\{\s*\}\s*\z"
+_CODES = r"(?:\\u[0-9a-fA-F]{4})+"
+_PIECE = rf"(?s){_CODES}|\\U[0-9a-fA-F]{{8}}|\\x[0-9a-fA-F]{{2}}|\\[0-7]{{1,3}}|\\.|[^\\]+"
+# Python's and JSON's escapes of one character.
+_ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "f": "\f", "a": "\a", "v": "\v", "\n": "",
+            "\\": "\\", "'": "'", '"': '"', "/": "/"}
 
 
 def _c(c: ColumnOrName) -> Column:
@@ -76,11 +88,62 @@ def canonical_entries(m: ColumnOrName) -> Column:
     return F.array_sort(F.map_entries(_c(m)))
 
 
-def parse_dict_literal(c: ColumnOrName) -> Column:
-    """A Python dict literal (single quotes) or JSON object -> map.
-
-    ``None`` outside strings is a null value; ``\\'`` and ``\\xhh`` are read as Python does.
+def _unescaped(body: Column) -> Column:
+    """Text between the quotes of a string literal, its escapes undone; an unknown escape stays as written."""
+    def utf32(code: Column) -> Column:
+        return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+
+    def piece(p: Column) -> Column:
+        out = (F.when(p.rlike(r"\A\\u[0-9a-fA-F]{4}"),
+                      F.decode(F.unhex(F.regexp_replace(p, r"\\u", "")), "UTF-16BE"))
+               .when(p.rlike(r"\A\\U[0-9a-fA-F]{8}"), utf32(F.substring(p, 3, 8)))
+               .when(p.rlike(r"\A\\x[0-9a-fA-F]{2}"), utf32(F.substring(p, 3, 2)))
+               .when(p.rlike(r"\A\\[0-7]"), utf32(F.conv(F.substring(p, 2, 3), 8, 16))))
+        for name, text in _ESCAPES.items():
+            out = out.when(p == F.lit("\\" + name), F.lit(text))
+        return out.otherwise(p)
+    return F.when(F.instr(body, "\\") == 0, body).otherwise(
+        F.array_join(F.transform(F.regexp_extract_all(body, F.lit(_PIECE), 0), piece), ""))
+
+
+def _atom(text: Column) -> Column:
+    """One key or value: strings unquoted, constants as JSON writes them, numbers as written."""
+    body = F.regexp_extract(text, r"""(?s)\A[rRuU]?['"](.*)['"]\z""", 1)
+    return (F.when(text.rlike(r"""\A[rR]['"]"""), body)
+            .when(text.rlike(r"""\A[uU]?['"]"""), let(body, _unescaped))
+            .when(text.isin("None", "null"), F.lit(None))
+            .when(text.isin("True", "False", "true", "false"), F.lower(text))
+            .otherwise(F.replace(text, F.lit("_"), F.lit(""))))
+
+
+def dict_literal(c: ColumnOrName) -> Column:
+    """A Python dict literal or a JSON object -> ``struct<value: map<string,string>, error: string>``.
+
+    The entries are walked one after the other, each where the one before ended.  Keys are strings; values are
+    strings (either quote, ``r`` and ``u`` prefixes, Python's and JSON's escapes), numbers (as written, without
+    underscores) or ``True False None`` (``true``, ``false``, null).  The last of equal keys wins.  A JSON object
+    that nests is read as JSON, inner objects as their text.  Anything else is refused: ``value`` is null and
+    ``error`` is ``empty`` (no text but white space) or ``not_a_dict@<n>``, ``n`` being how many characters
+    were read before the walk stopped.  A null cell is a null value without an error.
     """
-    text = F.regexp_replace(_c(c), _NONE, "$1null")
-    text = F.regexp_replace(text, r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
-    return F.from_json(text, MAP_SCHEMA, {"allowBackslashEscapingAnyCharacter": "true"})
+    def entry(step: Column) -> Column:
+        return F.struct(_atom(F.regexp_extract(step, _ENTRY, 1)).alias("key"),
+                        _atom(F.regexp_extract(step, _ENTRY, 2)).alias("value"))
+
+    def read(text: Column, steps: Column, done: Column) -> Column:
+        walked = (done == F.length(text)) & F.get(steps, F.size(steps) - 1).rlike(r"\}\s*\z")
+        nested = F.when(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.from_json(text, MAP_SCHEMA))
+        value = (F.when(text.rlike(_EMPTY), F.create_map().cast(MAP_SCHEMA))
+                 .when(walked, entries_to_map(F.transform(steps, entry)))
+                 .when(text.rlike(r"\A\s*\{"), nested))
+        error = F.when(text.rlike(r"\A\s*\z"), F.lit("empty")).otherwise(
+            F.concat(F.lit("not_a_dict@"), done.cast("string")))
+        return let(value, lambda v: F.struct(
+            v.alias("value"), F.when(v.isNull() & text.isNotNull(), error).alias("error")))
+    return let(c, lambda text: let(F.regexp_extract_all(text, F.lit(_STEP), 0), lambda steps: let(
+        F.coalesce(F.length(F.array_join(steps, "")), F.lit(0)), lambda done: read(text, steps, done))))
+
+
+def parse_dict_literal(c: ColumnOrName) -> Column:
+    """The map of ``dict_literal``; null where the text is refused."""
+    return dict_literal(c)["value"]
