@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fixtures import render as R
 from quotemill import schemas as S
@@ -320,6 +321,20 @@ def q_number_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
                     X.to_number(pct_text, S.SENTINEL_COMPANY, True)["value"].alias("one_day"))
 
 
+def q_number_python(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order prices with underscores, digits of other scripts or a misplaced underscore."""
+    k, v = F.col("o_orderkey"), F.col("o_totalprice")
+    plain = F.replace(F.format_number(v, 2), F.lit(","), F.lit(""))
+    text = (F.when(k % 6 == 0, F.replace(F.format_number(v, 2), F.lit(","), F.lit("_")))
+            .when(k % 6 == 1, F.translate(plain, "0123456789", "٠١٢٣٤٥٦٧٨٩"))
+            .when(k % 6 == 2, F.translate(plain, "0123456789", "𝟎𝟏𝟐𝟑𝟒𝟓𝟔𝟕𝟖𝟗"))
+            .when(k % 6 == 3, F.concat(F.lit("_"), plain)).when(k % 6 == 4, F.replace(plain, F.lit("."), F.lit("_.")))
+            .otherwise(F.concat(F.lit("\u00a0"), plain, F.lit("e1_0"))))
+    number = X.to_number(text, S.SENTINEL_DATA)
+    return _t(spark, sf_dir, "orders").select("o_orderkey", F.round(number["value"] / F.when(k % 6 == 5, 1e10).otherwise(1.0), 2)
+                                              .alias("price"), number["error"].alias("error"))
+
+
 def q_reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company records built from orders with bad tokens -> status and reasons."""
     o = _t(spark, sf_dir, "orders")
@@ -345,7 +360,7 @@ def q_reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event props JSON -> map -> entries, and the map written back as JSON."""
+    """Event props JSON -> map -> entries, and the map written back as JSON."""
     ev = _t(spark, sf_dir, "events").select("event_id", M.parse_dict_literal("props").alias("m"))
     e = ev.select("event_id", F.explode(M.or_empty("m")).alias("key", "value"))
     return e.select("event_id", "key", "value",
@@ -364,9 +379,81 @@ def q_dict_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.explode(M.parse_dict_literal("props")).alias("key", "value"))
 
 
+def q_feed_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed cells as Python or JSON literals, broken ones refused with the place."""
+    k = F.regexp_extract("props", "([0-9]+)", 1)
+    kind = F.col("event_id") % 8
+    cell = (F.when(kind == 0, F.concat(F.lit("{'k': "), k, F.lit(", 'ok': True, 'note': None}")))
+            .when(kind == 1, F.col("props"))
+            .when(kind == 2, F.concat(F.lit("{'k': "), k, F.lit(r""".5, "n": 'it\'s \x41\u00e9',}""")))
+            .when(kind == 3, F.concat(F.lit("{'k': "), k, F.lit(", 'ok': }")))
+            .when(kind == 4, F.lit("  "))
+            .when(kind == 5, F.concat(F.lit("{'k': {'n': "), k, F.lit("}}")))
+            .when(kind == 6, F.concat(F.lit("{'k': 'a', 'k': '1_"), k, F.lit("'}"))))
+    ev = _t(spark, sf_dir, "events").select("event_id", cell.alias("props"))
+    staged = V.stage_literals(ev, ("props",))
+    return staged.select("event_id", F.when(F.col("reject_reason").isNull(), M.map_json("_t_props")).alias("props"),
+                         "reject_reason")
+
+
 EXPORT_DS = "2024-04-04"
 
 
+def q_strict_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 F8: landed orders of which some lines carry a stray field, a wrong type or no object, told in one scan."""
+    k = F.col("o_orderkey")
+    line = (F.when(k % 7 == 1, F.concat(F.lit('{"id":'), k, F.lit(',"note":"x","vip":1}')))
+            .when(k % 7 == 2, F.concat(F.lit('{"id":'), k, F.lit(',"price":"cheap"}')))
+            .when(k % 7 == 3, F.concat(F.lit('["id",'), k, F.lit("]")))
+            .when(k % 7 == 4, F.lit(" "))
+            .otherwise(F.concat(F.lit('{"price":'), F.col("o_totalprice").cast("string"), F.lit(',"id":'), k, F.lit("}"))))
+    base = scratch_path(spark, "strict")
+    _t(spark, sf_dir, "orders").select(line.alias("value")).write.text(base)
+    read = RD.checked_landed(spark, base, S.COMPANIES)
+    return read.groupBy("refused").agg(F.count("*").alias("n_lines"), F.sum("id").alias("sum_ids"),
+                                       F.count("price").alias("n_prices"), F.count("line").alias("n_reported"))
+
+
+def q_landed_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and characters of landed customers, which differ by the letters beyond ASCII."""
+    base = scratch_path(spark, "sizes")
+    c = _t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.concat(F.lit("Größe "), F.col("c_name")).alias("label"))
+    landed = W.land(c, base, "customers", EXPORT_DS)
+    audits = A.union_all([A.audit_files(spark, landed, "customers", sizes=True),
+                          A.audit_text(spark, landed, "customers", sizes=True)])
+    return audits.filter(F.col("check").isin("landed_bytes", "landed_chars"))
+
+
+def q_route_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as items of two record types and unknown ones, each sent to its table or to none."""
+    kind = F.when(F.col("event_type") == "view", F.lit("indices")).when(F.col("event_type") == "click", F.lit("companies"))
+    items = _t(spark, sf_dir, "events").select("event_id", F.coalesce(kind, F.col("event_type")).alias("record_type"))
+    return A.union_all([part.select(F.lit(name).alias("table_name"), "event_id") for name, part in V.route(items).items()])
+
+
+def q_run_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stamp and date key of every event's time."""
+    return _t(spark, sf_dir, "events").select(
+        "event_id", X.run_stamp("ts").alias("stamp"), X.date_key("ts").alias("ds"))
+
+
+def q_nested_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps exported as nested objects, loaded into a map column, compared free of order."""
+    ev = _t(spark, sf_dir, "events")
+    keys = F.when(F.col("event_id") % 3 == 0, F.array(F.lit("user"), F.lit("a \"type\""))).when(
+        F.col("event_id") % 3 == 1, F.array(F.lit("a \"type\""), F.lit("user"))).otherwise(F.array().cast("array<string>"))
+    values = F.when(F.col("event_id") % 3 == 0, F.array(F.col("user_id").cast("string"), F.col("event_type"))).otherwise(
+        F.array(F.col("event_type"), F.col("user_id").cast("string")))
+    base = scratch_path(spark, "nested")
+    schema = T.StructType().add("id", "long").add("market_summary", S.MAP_SS)
+    W.land(ev.select(F.col("event_id").alias("id"), M.zip_map(keys, values).alias("market_summary")),
+           f"{base}/landing", "maps", EXPORT_DS)
+    loaded = W.truncate_load(spark, f"{base}/landing", "maps", EXPORT_DS, schema, f"{base}/warehouse")
+    entries = F.transform(M.canonical_entries("market_summary"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return loaded.select("id", F.array_join(entries, ";").alias("entries"))
+
+
 def q_export_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Companies appended, full history landed as NDJSON, strictly re-loaded."""
     base = scratch_path(spark, "export")
@@ -416,7 +503,7 @@ def q_file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_run_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole daily job on a rendered site."""
+    """The whole daily job on a rendered site."""
     pages = R.site_pages(spark, sf_dir)
     base = scratch_path(spark, "daily")
     pages.write.parquet(f"{base}/pages")
@@ -424,11 +511,11 @@ def q_run_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     seeds = R.menu_pages(spark, sf_dir).select("url")
     rules = D.SiteRules(host=R.HOST, content=R.CONTENT)
     audit = D.run_daily(spark, pages, seeds, base, EXPORT_DS, rules)
-    return audit.filter(F.col("check") != "landed_files")
+    return audit.filter(~F.col("check").isin("landed_files", "landed_bytes", "landed_chars"))
 
 
 def q_export_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price per unit exported with 10-decimal rounding and read back."""
+    """Price per unit exported with 10-decimal rounding and read back."""
     li = _t(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", (F.col("l_extendedprice") / F.col("l_quantity")).alias("ratio"))
     base = scratch_path(spark, "rounding")
@@ -513,6 +600,13 @@ QUERIES = {
     "q_reject_split": q_reject_split,
     "q_json_props": q_json_props,
     "q_dict_literal": q_dict_literal,
+    "q_feed_literals": q_feed_literals,
+    "q_strict_load": q_strict_load,
+    "q_landed_sizes": q_landed_sizes,
+    "q_route_items": q_route_items,
+    "q_run_stamp": q_run_stamp,
+    "q_nested_load": q_nested_load,
+    "q_number_python": q_number_python,
     "q_export_load": q_export_load,
     "q_append_history": q_append_history,
     "q_row_counts": q_row_counts,

@@ -368,6 +368,42 @@ SELECT event_id, key, value, '{{"' || key || '":"' || value || '"}}' AS entry_js
 DICT_LITERAL = f"""WITH {JSON_ENTRIES}
 SELECT event_id, key, value FROM jv"""
 
+FEED_LITERALS = r"""WITH e AS (SELECT event_id, event_id % 8 AS kind, regexp_extract(props, '[0-9]+') AS k FROM events)
+SELECT event_id,
+  CASE kind WHEN 0 THEN '{"k":"' || k || '","ok":"true","note":null}' WHEN 1 THEN '{"k":"' || k || '"}'
+            WHEN 2 THEN '{"k":"' || k || '.5","n":"it''s A' || chr(233) || '"}' WHEN 6 THEN '{"k":"1_' || k || '"}'
+            WHEN 7 THEN '{}' END AS props,
+  CASE kind WHEN 3 THEN 'props:not_a_dict@' || (length(k) + 7) WHEN 4 THEN 'props:empty' WHEN 5 THEN 'props:not_a_dict@0'
+  END AS reject_reason
+FROM e"""
+
+STRICT_LOAD = """
+SELECT CASE o_orderkey % 7 WHEN 1 THEN 'unknown_fields:note,vip' WHEN 2 THEN 'wrong_type' WHEN 3 THEN 'not_an_object' END
+         AS refused,
+       count(*) AS n_lines, CAST(sum(CASE WHEN o_orderkey % 7 <> 3 THEN o_orderkey END) AS BIGINT) AS sum_ids,
+       count(*) FILTER (o_orderkey % 7 IN (0, 5, 6)) AS n_prices, count(*) FILTER (o_orderkey % 7 IN (1, 2, 3)) AS n_reported
+FROM orders WHERE o_orderkey % 7 <> 4 GROUP BY 1"""
+
+LANDED_SIZES = """WITH l AS (SELECT '{"id":' || c_custkey || ',"label":"Größe ' || c_name || '"}' AS line FROM customer)
+SELECT 'customers' AS dataset, 'landed_bytes' AS "check", CAST(sum(strlen(line) + 1) AS BIGINT) AS value, false AS flag FROM l
+UNION ALL SELECT 'customers', 'landed_chars', CAST(sum(length(line) + 1) AS BIGINT), false FROM l"""
+
+ROUTE_ITEMS = """
+SELECT CASE event_type WHEN 'view' THEN 'indices' ELSE 'companies' END AS table_name, event_id
+FROM events WHERE event_type IN ('view', 'click')"""
+
+RUN_STAMP = """
+SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') AS stamp, strftime(ts, '%Y%m%d') AS ds FROM events"""
+
+NESTED_LOAD = """
+SELECT event_id AS id, CASE WHEN event_id % 3 = 2 THEN '' ELSE 'a "type"=' || event_type || ';user=' || user_id END AS entries
+FROM events"""
+
+NUMBER_PYTHON = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 6 IN (3, 4) THEN NULL ELSE round(o_totalprice, 2) END AS price,
+       CASE WHEN o_orderkey % 6 IN (3, 4) THEN 'not_a_number' END AS error
+FROM orders"""
+
 APPEND_HISTORY = """
 SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS min_id, count(*) AS max_id, count(*) AS n_ids,
        count(DISTINCT o_orderkey) AS n_orders
@@ -475,6 +511,13 @@ ORACLE = {
     "q_reject_split": REJECT_SPLIT,
     "q_json_props": JSON_PROPS,
     "q_dict_literal": DICT_LITERAL,
+    "q_feed_literals": FEED_LITERALS,
+    "q_strict_load": STRICT_LOAD,
+    "q_landed_sizes": LANDED_SIZES,
+    "q_route_items": ROUTE_ITEMS,
+    "q_run_stamp": RUN_STAMP,
+    "q_nested_load": NESTED_LOAD,
+    "q_number_python": NUMBER_PYTHON,
     "q_export_load": COMPANY_ITEMS,
     "q_append_history": APPEND_HISTORY,
     "q_row_counts": ROW_COUNTS,

@@ -6,6 +6,9 @@ so they stay inside whole-stage codegen; no Python worker is involved.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,12 +20,15 @@ ColumnOrName = Column | str
 # The 29 code points Python's str.strip() removes (str.isspace), as a Java class.
 WS = r"[\t\n\x0B\f\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 
-# Python float() grammar restricted to ASCII digits (D13): sign, digits with an
-# optional point, optional exponent, or nan / inf / infinity.  Underscores and
-# non-ASCII digits are refused on purpose (documented deviation).
+# Python float() grammar (D13) once digits are ASCII and underscores gone: sign, digits
+# with an optional point, optional exponent, or nan / inf / infinity.
 NUMBER_RE = (r"(?i)^" + WS + r"*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?"
              r"|nan|inf|infinity)" + WS + r"*$")
 
+# Every decimal digit of Unicode beyond ASCII, and the ASCII digit of its value.
+_DIGITS = [c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.decimal(c, None) is not None]
+_ASCII_DIGITS = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
+
 # First parenthesised group, non-greedy; '.' stops only at '\n' as in Python.
 PAREN_RE = r"(?d)\((.*?)\)"
 
@@ -79,6 +85,14 @@ def number_text(c: ColumnOrName, sentinel: str, strip_percent: bool = False) ->
     return let(c, clean)
 
 
+def plain_digits(c: ColumnOrName) -> Column:
+    """Decimal digits of any script as ASCII, single underscores between digits dropped, as ``float`` reads them."""
+    ascii_only = let(c, lambda t: F.when(
+        t.rlike(r"[^\x00-\x7F]"), F.translate(t, "".join(_DIGITS), _ASCII_DIGITS)).otherwise(t))
+    return let(ascii_only, lambda t: F.when(
+        F.instr(t, "_") > 0, F.regexp_replace(t, "(?<=[0-9])_(?=[0-9])", "")).otherwise(t))
+
+
 def to_number(c: ColumnOrName, sentinel: str, strip_percent: bool = False) -> Column:
     """D10-D13 + F7: ``struct<value: double, error: string>``.
 
@@ -87,13 +101,13 @@ def to_number(c: ColumnOrName, sentinel: str, strip_percent: bool = False) -> Co
     the NUMERIC target column refuses.
     """
     def typed(t: Column) -> Column:
-        return let(strip(t).try_cast("double"), lambda value: let(
+        return let(t.try_cast("double"), lambda value: let(
             F.when(t.isNull(), F.lit(None))
              .when(~t.rlike(NUMBER_RE) | value.isNull(), F.lit("not_a_number"))
              .when(F.abs(value) == F.lit(float("inf")), F.lit("not_finite")),
             lambda error: F.struct(F.when(error.isNull(), value).alias("value"),
                                    error.alias("error"))))
-    return let(number_text(c, sentinel, strip_percent), typed)
+    return let(plain_digits(strip(number_text(c, sentinel, strip_percent))), typed)
 
 
 def date_key(ds: ColumnOrName) -> Column:

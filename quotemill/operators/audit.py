@@ -30,6 +30,16 @@ def audit_row(df: DataFrame, dataset: str, check: str, value, warn=None) -> Data
                      F.coalesce(w.cast("boolean"), F.lit(False)).alias("flag"))
 
 
+def audit_rows(df: DataFrame, dataset: str, *checks) -> DataFrame:
+    """Audit rows ``(check, value, warn or None)`` from one one-row aggregate frame, evaluated once for all of them."""
+    rows = [F.struct(F.lit(dataset).alias("dataset"), F.lit(check).alias("check"),
+                     F.coalesce((F.col(value) if isinstance(value, str) else value).cast("bigint"),
+                                F.lit(0).cast("bigint")).alias("value"),
+                     F.coalesce((F.lit(False) if warn is None else warn).cast("boolean"), F.lit(False)).alias("flag"))
+            for check, value, warn in checks]
+    return df.select(F.inline(F.array(*rows)))
+
+
 def yes_no(c) -> "F.Column":
     return F.when(c, F.lit(1)).otherwise(F.lit(0))
 
@@ -44,27 +54,30 @@ def row_counts(**tables: DataFrame) -> DataFrame:
                       .select(F.lit(name).alias("table"), "rows") for name, t in tables.items()])
 
 
-def audit_files(spark: SparkSession, path: str, dataset: str) -> DataFrame:
-    """A6 + F11: number of files, total bytes, and an empty-file warning flag.
+def audit_files(spark: SparkSession, path: str, dataset: str, sizes: bool = False) -> DataFrame:
+    """A6 + F11: number of files, with ``sizes`` total bytes, and an empty-file warning flag.
 
     Spark's JSON writer adds ``_SUCCESS`` markers; only data files count.
     """
-    sizes = R.file_sizes(spark, path).filter(~F.col("path").rlike(r"/_[^/]*$|/\.[^/]*$"))
-    agg = sizes.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+    files = R.file_sizes(spark, path).filter(~F.col("path").rlike(r"/_[^/]*$|/\.[^/]*$"))
+    agg = files.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
     empty = F.col("bytes") == 0
-    return union_all([
-        audit_row(agg, dataset, "landed_files", "files"),
-        audit_row(agg, dataset, "landed_empty", yes_no(empty), empty),
-    ])
+    checks = [("landed_files", "files", None), ("landed_empty", yes_no(empty), empty)]
+    if sizes:
+        checks.append(("landed_bytes", "bytes", empty))
+    return audit_rows(agg, dataset, *checks)
 
 
-def audit_text(spark: SparkSession, path: str, dataset: str) -> DataFrame:
-    """A5 + D17: landed lines and whether all content is blank (character counts, not bytes)."""
+def audit_text(spark: SparkSession, path: str, dataset: str, sizes: bool = False) -> DataFrame:
+    """A5 + D17: landed lines, with ``sizes`` their characters (not bytes), and whether all content is blank."""
     st = R.file_text_stats(spark, path).filter(~F.col("path").rlike(r"/_[^/]*$"))
     agg = st.agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"),
+                 F.coalesce(F.sum("chars"), F.lit(0)).alias("chars"),
                  F.coalesce(F.bool_and("is_blank"), F.lit(True)).alias("blank"))
-    return union_all([audit_row(agg, dataset, "landed_rows", "lines", F.col("lines") == 0),
-                      audit_row(agg, dataset, "landed_blank", yes_no(F.col("blank")), F.col("blank"))])
+    checks = [("landed_rows", "lines", F.col("lines") == 0), ("landed_blank", yes_no(F.col("blank")), F.col("blank"))]
+    if sizes:
+        checks.append(("landed_chars", "chars", F.col("chars") == 0))
+    return audit_rows(agg, dataset, *checks)
 
 
 def unexpected_fields(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

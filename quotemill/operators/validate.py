@@ -66,6 +66,19 @@ def stage(raw: DataFrame, kind: str) -> DataFrame:
     return fence(spread(raw).select("*", *typed, reason.alias("reject_reason")))
 
 
+def stage_literals(raw: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """Feed columns that hold dict literals, typed as maps ``_t_<field>`` plus ``reject_reason``.
+
+    A null cell is an empty map (E4).  A cell that is no dict refuses its row as ``<field>:<error>``; the reasons
+    of several cells are joined by ``;``.
+    """
+    read = fence(raw.select("*", *[M.dict_literal(f).alias(f"_d_{f}") for f in fields]))
+    reasons = [F.concat(F.lit(f + ":"), F.col(f"_d_{f}.error")) for f in fields]
+    typed = [F.when(F.col(f"_d_{f}.error").isNull(), M.or_empty(F.col(f"_d_{f}.value"))).alias(f"_t_{f}") for f in fields]
+    reason = F.nullif(F.array_join(F.array_compact(F.array(*reasons)), ";"), F.lit(""))
+    return read.select(*raw.columns, *typed, reason.alias("reject_reason"))
+
+
 def valid_rows(staged: DataFrame, kind: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Valid side in table column order (F10), without the surrogate ``id``.
 

@@ -102,9 +102,7 @@ def run_daily(spark: SparkSession, pages: DataFrame, seeds, base: str, ds,
             F.count(F.when(F.col("status") == "valid", 1)).alias("valid"),
             F.count(F.when(F.col("status") == "rejected", 1)).alias("rejected"))
         record(f"stage_{kind}", [
-            A.audit_row(counts, kind, "records", "records"),
-            A.audit_row(counts, kind, "valid", "valid"),
-            A.audit_row(counts, kind, "rejected", "rejected"),
+            A.audit_rows(counts, kind, *[(c, c, None) for c in ("records", "valid", "rejected")]),
             A.audit_row(refused.agg(F.count("*").alias("n")), kind, "links_refused", "n"),
             A.audit_row(unresolved.agg(F.count("*").alias("n")), kind, "links_unresolved", "n")])
 
@@ -117,7 +115,7 @@ def run_daily(spark: SparkSession, pages: DataFrame, seeds, base: str, ds,
         landed = R.landing_path(f"{base}/landing", kind, ds)
         drift = A.unexpected_fields(spark, landed, schema).agg(F.count("*").alias("n"))
         record(f"landed_{kind}", [
-            A.audit_files(spark, landed, kind), A.audit_text(spark, landed, kind),
+            A.audit_files(spark, landed, kind, sizes=True), A.audit_text(spark, landed, kind, sizes=True),
             A.audit_row(drift, kind, "unexpected_fields", "n", F.col("n") > 0)])
     for kind, schema in S.TABLES.items():
         loaded = W.truncate_load(spark, f"{base}/landing", kind, ds, schema, f"{base}/warehouse/{kind}")

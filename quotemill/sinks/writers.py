@@ -8,12 +8,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import maps as M
-from ..operators.audit import unexpected_fields
 from ..operators.sizing import broadcast_if_small
 from ..session import scratch_path
 from ..sources import readers as R
@@ -146,16 +145,23 @@ def truncate_load(spark: SparkSession, base: str, table: str, ds, schema: T.Stru
                   dest: str) -> DataFrame:
     """Replace the warehouse table with one date's landed file (strict schema).
 
-    A field the schema does not know refuses the load.  The rows are written to a folder that no reader looks
-    at; one rename makes it the table's newest version.  Whatever fails before leaves the table as it was.
-    The version before stays for readers that have it open, older ones go.  One load of a table at a time.
+    One scan of the landed text parses, tests and writes.  A line with a field the schema does not know, or a
+    value of another type, refuses the load; the error names some of those lines.  The rows are written to a
+    folder that no reader looks at; one rename makes it the table's newest version.  Whatever fails before leaves
+    the table as it was.  The version before stays for readers that have it open, older ones go.  One load of a
+    table at a time.
     """
-    stray = unexpected_fields(spark, R.landing_path(base, table, ds), schema).orderBy("field").limit(5).collect()
-    if stray:
-        raise ValueError(f"{table}: landed fields without a column: {[r['field'] for r in stray]}")
+    landed = R.checked_landed(spark, R.landing_path(base, table, ds), schema)
     root = dest.rstrip("/")
     fresh = f"{root}/_loading-{uuid.uuid4().hex}"
-    R.read_landed(spark, base, table, ds, schema).write.parquet(fresh)
+    seen = Observation()
+    landed.observe(seen, F.count("refused").alias("refused")).where("refused is null") \
+          .select(*schema.names).write.parquet(fresh)
+    if seen.get["refused"]:
+        fs, hpath = _fs(spark, fresh)
+        fs.delete(hpath, True)
+        lines = landed.where("refused is not null").orderBy("file", "line").limit(5).collect()
+        raise ValueError(f"{table}: landed lines refused: {[(r.refused, r.file, r.line[:200]) for r in lines]}")
     versions = R.table_versions(spark, root)
     number = (versions[-1] if versions else 0) + 1
     _rename(spark, fresh, R.version_path(root, number))

@@ -170,3 +170,38 @@ def test_expired_partitions_are_removed(spark, scratch):
         "ds=20240323", "ds=20240404", "ds=latest", "notes"]
     assert not any(r.removed for r in W.remove_expired(spark, base, "t", "2024-04-04").collect())
     assert W.remove_expired(spark, base, "nothing", "2024-04-04").count() == 0
+
+
+def test_refused_load_names_its_lines_and_scans_once(spark, scratch):
+    import os
+    base, dest = scratch("land"), scratch("wh")
+    folder = R.landing_path(base, "companies", "2024-04-03")
+    lines = ['{"id":1,"price":2.5}', "", '{"id":2,"Id":3}', '{"id":"x"}', "nonsense", '{"id":4,"price":null}', "[1]"]
+    spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(folder)
+    read = R.checked_landed(spark, folder, S.COMPANIES)
+    assert read._jdf.queryExecution().executedPlan().toString().count("Scan text") == 1
+    got = {(r.id, r.refused, r.line) for r in read.collect() if r.refused}
+    assert got == {(2, "unknown_fields:Id", lines[2]), (None, "wrong_type", lines[3]),
+                   (None, "not_an_object", lines[4]), (None, "not_an_object", lines[6])}
+    with pytest.raises(ValueError, match="unknown_fields:Id"):
+        W.truncate_load(spark, base, "companies", "2024-04-03", S.COMPANIES, dest)
+    assert not os.path.exists(dest) or os.listdir(dest) == []
+    spark.createDataFrame([], "value string").write.mode("overwrite").text(folder)
+    assert W.truncate_load(spark, base, "companies", "2024-04-03", S.COMPANIES, dest).count() == 0
+
+
+def test_audited_sizes(spark, scratch):
+    base = scratch("sizes")
+    spark.createDataFrame([("é",), ("",)], "value string").coalesce(1).write.text(base)
+    rows = {r.check: (r.value, r.flag) for r in A.audit_files(spark, base, "c", sizes=True).collect()}
+    assert rows == {"landed_files": (1, False), "landed_empty": (0, False), "landed_bytes": (4, False)}
+    rows = {r.check: (r.value, r.flag) for r in A.audit_text(spark, base, "c", sizes=True).collect()}
+    assert rows == {"landed_rows": (2, False), "landed_blank": (0, False), "landed_chars": (3, False)}
+
+
+def test_feed_cells_are_refused_not_lost(spark):
+    from quotemill.operators import validate as V
+    feed = spark.createDataFrame([(1, "{'a': 'b'}", None), (2, "{'a'", "  "), (3, "{}", "{'n': 1}")], "i int, p string, q string")
+    rows = V.stage_literals(feed, ("p", "q")).orderBy("i").collect()
+    assert [(r["_t_p"], r["_t_q"], r.reject_reason) for r in rows] == [
+        ({"a": "b"}, {}, None), (None, None, "p:not_a_dict@0;q:empty"), ({}, {"n": "1"}, None)]

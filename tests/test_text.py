@@ -71,3 +71,17 @@ def test_date_keys(spark):
     df = spark.createDataFrame([("2024-04-03 10:11:12",)], "t string").select(F.to_timestamp("t").alias("t"))
     r = df.select(X.date_key("t"), X.run_stamp("t")).first()
     assert tuple(r) == ("20240403", "20240403101112")
+
+
+def test_numbers_as_float_reads_them(spark):
+    texts = ["1_000", "1_0.2_5e1_0", "٣", "३.५", "𝟎𝟏", "_1", "1_", "1__0", "1_.5", "1._5", "1e_5", "1.5e5_", "٣_٣", "　1 ",
+             "²", "½", "一", "1_000_000", "n_an", "in_f", "+_1", "0x1_0"]
+
+    def read(t):
+        try:
+            return float(t)
+        except ValueError:
+            return None
+    got = one_col(spark, texts, lambda c: X.to_number(c, "none"))
+    assert [r["value"] for r in got] == [read(t) for t in texts]
+    assert all((r["value"] is None) == (r["error"] == "not_a_number") for r in got)
