@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: No broadcast holds more than this, whatever its row count.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def bounded_count(df: DataFrame, bound: int) -> int:
@@ -11,15 +15,27 @@ def bounded_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only when the frame is proven to hold at most ``max_rows``.
+def row_bytes(df: DataFrame):
+    """Bytes of a row's values: texts by their length, nested values by that of their JSON, others eight each."""
+    def width(f: T.StructField):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8
+        return F.lit(8)
+    return sum((width(f).cast("long") for f in df.schema.fields), F.lit(16).cast("long"))
+
 
-    Beyond the bound the frame is returned unhinted and the planner (with AQE)
-    picks a shuffle join.
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when the frame is proven to hold at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    Beyond either bound the frame is returned unhinted and the planner (with AQE)
+    picks a shuffle join.  Only the widths of ``max_rows + 1`` rows meet in one task.
     """
-    if bounded_count(df, max_rows) <= max_rows:
-        return F.broadcast(df)
-    return df
+    rows, size = (df.select(row_bytes(df).alias("n")).limit(max_rows + 1)
+                  .agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first())
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
 _SCAN_ONLY = {"LogicalRelation", "DataSourceV2Relation", "Project", "Filter", "SubqueryAlias"}

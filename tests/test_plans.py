@@ -83,3 +83,17 @@ def test_pages_by_date_prune_partitions_and_seeds_push_into_scan(spark, scratch)
     seed = R.seed_pages(day, seeds)
     assert "PushedFilters: [In(url" in _physical(seed)
     assert [r.page_id for r in seed.collect()] == [25]
+
+
+def test_broadcasts_are_bounded_by_bytes_too(spark):
+    from quotemill.operators import sizing as Z
+    few_long = spark.range(100).select("id", F.repeat(F.lit("é"), 1 << 10).alias("label"), F.array("id").alias("ids"))
+    pages = spark.range(1000).select("id")
+
+    def hinted(side):
+        return "ResolvedHint" in pages.join(side, "id")._jdf.queryExecution().analyzed().toString()
+    assert hinted(Z.broadcast_if_small(few_long, 1000)) and not hinted(Z.broadcast_if_small(few_long, 99))
+    assert not hinted(Z.broadcast_if_small(few_long, 1000, max_bytes=200_000))
+    assert hinted(Z.broadcast_if_small(few_long.limit(0), 1))
+    total = few_long.agg(F.sum(Z.row_bytes(few_long))).first()[0]
+    assert 100 * 2048 < total < 100 * 2200
