@@ -68,14 +68,17 @@ def stage_records(resolved: DataFrame, kind: str, rules: SiteRules) -> DataFrame
     return staged.withColumn("status", F.when(F.col("reject_reason").isNull(), "valid").otherwise("rejected"))
 
 
-def run_daily(spark: SparkSession, pages: DataFrame, seeds, base: str, ds,
+def run_daily(spark: SparkSession, pages: DataFrame | str, seeds, base: str, ds,
               rules: SiteRules = SiteRules(), append_again: bool = False) -> DataFrame:
     """Run one logical date end to end; returns the audit rows ``(dataset, check, value, flag)``.
 
-    A date can be run again, after a failure or not: its rows are appended to history once, everything else
+    ``pages`` is a table of fetched pages or the path of an archive partitioned by fetch date, of which the
+    pages of ``ds`` alone are read (A2).  A date can be run again, after a failure or not: its rows are appended to history once, everything else
     replaces what the run before left.  ``append_again`` appends on every run, as the source does.
     """
     key = R.ds_key(ds)
+    if isinstance(pages, str):
+        pages = R.read_pages(spark, pages, ds)
     seed = R.seed_pages(pages, seeds)
     L.extract_links(seed, rules.menu_tag, rules.menu_class, rules.link_class, inside=rules.menu_path) \
      .write.mode("overwrite").parquet(f"{base}/links/ds={key}")

@@ -38,3 +38,21 @@ def test_run_daily_invariants(spark, scratch):
     wh = RD.read_table(spark, f"{base}/warehouse/companies", S.COMPANIES)
     assert wh.agg(F.countDistinct("id")).first()[0] == audit3[("companies", "loaded_rows")]
     assert wh.columns == [f.name for f in S.COMPANIES.fields]
+
+
+def test_run_daily_reads_the_pages_of_its_date(spark, scratch, monkeypatch):
+    path = scratch("archive")
+    spark.createDataFrame([(1, "u1", "x", "20240403"), (2, "u2", "y", "20240404")],
+                          "page_id long, url string, html string, ds string").write.partitionBy("ds").parquet(path)
+    read = []
+
+    def seen(pages, seeds):
+        read.append(pages)
+        raise InterruptedError
+    monkeypatch.setattr(D.R, "seed_pages", seen)
+    try:
+        D.run_daily(spark, path, ["u2"], scratch("daily"), "2024-04-04")
+    except InterruptedError:
+        pass
+    assert [r.page_id for r in read[0].collect()] == [2]
+    assert "PartitionFilters: [isnotnull(ds" in read[0]._jdf.queryExecution().executedPlan().toString()
