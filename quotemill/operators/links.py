@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from .. import schemas
 from ..functions import html as H
 from ..functions.core import let
 from .select import Each, select_fields
-from .sizing import broadcast_if_small, fence
+from ..session import checkpoint_root
+from .sizing import MAX_BROADCAST_BYTES, fence, possible_members, row_sizes
 
 ColumnOrName = Column | str
 
@@ -159,30 +162,46 @@ def dedupe_links(links: DataFrame, url_col: str = "target_url") -> DataFrame:
 
 def resolve_links(links: DataFrame, pages: DataFrame, url_col: str = "target_url",
                   carry: tuple[str, ...] = ("label",), max_broadcast_rows: int = 200_000,
-                  canonical: bool = True) -> tuple[DataFrame, DataFrame]:
+                  canonical: bool = True, extract: Callable[[DataFrame], DataFrame] | None = None,
+                  market_col: str = "market") -> tuple[DataFrame, DataFrame]:
     """B7 + B8: (pages reached through a link, links whose page is missing).
 
     The joined frame holds the target page's ``page_id, url, html`` plus the
     carried link columns (the parent's ``market`` label, renamed ``market``
-    when ``label`` is carried).  The link side is broadcast when a bounded
-    count proves it small, so page HTML is never shuffled; otherwise the join
-    falls back to a shuffle join chosen by AQE.
-
-    Unresolved links are found against the URLs the join reached (at most one
-    row per link target), not against the whole page table, so the page URL
-    column is never shuffled either.  Both sides meet on the canonical URL, the
+    when ``label`` is carried).  Both sides meet on the canonical URL, the
     key of ``dedupe_links``, or on the URL as it is without ``canonical``.
+
+    Two phases.  First links and pages meet on their URLs alone; the links, each marked reached or not, are
+    written once to the shared folder, so neither side is evaluated again.  Then the HTML is fetched by a
+    second scan.  Up to ``max_broadcast_rows`` rows and 64 MB the reached links are broadcast to it.  Beyond,
+    pages that no link can reach are dropped in the scan (``possible_members``) and the rest meets the links in
+    a shuffle.  With ``extract`` that shuffle moves records instead of HTML: it is a narrow function from pages
+    ``page_id, url, html, market`` to records that hand ``market`` on as ``market_col``, the joined frame is
+    what it returns, and ``carry`` must be the label alone.
     """
+    if extract is not None and tuple(carry) != ("label",):
+        raise ValueError("with extract, only the label can be carried")
+    checkpoint_root(links.sparkSession)
     key = canonical_url if canonical else _c
-    side = links.select(key(url_col).alias("_target"), *[F.col(c) for c in carry])
-    side = broadcast_if_small(side, max_broadcast_rows)
-    joined = pages.join(side, key(pages["url"]) == side["_target"], "inner").drop("_target")
+    known = pages.select(key("url").alias("_url")).where("_url is not null").distinct()
+    marked = (links.withColumn("_target", key(url_col)).join(known, F.col("_target") == F.col("_url"), "left")
+              .checkpoint())
+    unresolved = marked.where("_url is null").select(*links.columns)
+    side = marked.where("_url is not null").select("_target", *carry)
     if "label" in carry:
-        joined = joined.withColumnRenamed("label", "market")
-    reached = pages.select("url").join(side.select("_target"), key("url") == F.col("_target"), "inner") \
-                   .select(F.col("_target").alias("_reached")).distinct()
-    unresolved = links.join(reached, key(links[url_col]) == reached["_reached"], "left_anti")
-    return joined, unresolved
+        side = side.withColumnRenamed("label", "market")
+    rows, size = row_sizes(side, max_broadcast_rows)
+    if rows <= max_broadcast_rows and size <= MAX_BROADCAST_BYTES:
+        joined = pages.join(F.broadcast(side), key(pages["url"]) == side["_target"]).drop("_target")
+        return (extract(joined) if extract else joined), unresolved
+    near = possible_members(pages, key(pages["url"]), side, "_target", side.count())
+    if extract is None:
+        return near.join(side, key(near["url"]) == side["_target"]).drop("_target"), unresolved
+    # Records carry their page's key where the label goes, and trade it for the label after the shuffle.
+    records = extract(near.withColumn("market", key("url")))
+    labels = side.select("_target", F.col("market").alias("_label"))
+    joined = records.join(labels, records[market_col] == labels["_target"])
+    return joined.select(*[F.col("_label").alias(c) if c == market_col else records[c] for c in records.columns]), unresolved
 
 
 def absolute_url(base_url: ColumnOrName, href: ColumnOrName) -> Column:

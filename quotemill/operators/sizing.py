@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,17 +27,48 @@ def row_bytes(df: DataFrame):
     return sum((width(f).cast("long") for f in df.schema.fields), F.lit(16).cast("long"))
 
 
+def row_sizes(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """Rows and bytes of the first ``max_rows + 1`` rows: proves whether there are more."""
+    return tuple(df.select(row_bytes(df).alias("n")).limit(max_rows + 1)
+                 .agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first())
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only when the frame is proven to hold at most ``max_rows`` rows and ``max_bytes`` bytes.
 
     Beyond either bound the frame is returned unhinted and the planner (with AQE)
     picks a shuffle join.  Only the widths of ``max_rows + 1`` rows meet in one task.
     """
-    rows, size = (df.select(row_bytes(df).alias("n")).limit(max_rows + 1)
-                  .agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first())
+    rows, size = row_sizes(df, max_rows)
     return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
+#: Bits of the filter that ``possible_members`` broadcasts: 16 a key, at most 256 Mi (32 MB).
+BITS_A_KEY, LEAST_BITS, MOST_BITS = 16, 1 << 15, 1 << 28
+
+
+def possible_members(df: DataFrame, key: Column, members: DataFrame, member_key: str, count: int) -> DataFrame:
+    """Rows of ``df`` whose key may be among the ``count`` keys of ``members``: all that are, and few others.
+
+    One bit a hash value, kept as bitmaps of 4 KB that are broadcast by number; together they hold at most 32 MB
+    whatever ``count`` is.  About one in 16 other rows passes, more beyond 16 million keys, so a join on the
+    key itself must follow.  Nothing of ``df`` is shuffled and its order stays.
+    """
+    bits = LEAST_BITS
+    while bits < MOST_BITS and bits < BITS_A_KEY * count:
+        bits *= 2
+
+    def slot(k: Column) -> Column:
+        return F.pmod(F.xxhash64(k), F.lit(bits))
+    maps = (members.where(F.col(member_key).isNotNull()).select(slot(F.col(member_key)).alias("s"))
+            .groupBy(F.bitmap_bucket_number("s").alias("_number")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("_bits")))
+    marked = df.withColumn("_slot", F.when(key.isNotNull(), slot(key)))
+    place = F.bitmap_bit_position("_slot")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = marked.join(F.broadcast(maps), F.bitmap_bucket_number("_slot") == F.col("_number"))
+    return found.where(F.getbit(byte, place.bitwiseAND(F.lit(7)).cast("int")) == 1).select(*df.columns)
+
+
 _SCAN_ONLY = {"LogicalRelation", "DataSourceV2Relation", "Project", "Filter", "SubqueryAlias"}
 
 

@@ -47,24 +47,24 @@ class SiteRules:
 
 
 def crawl(links: DataFrame, pages: DataFrame, kind: str, rules: SiteRules) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """B2-B8 for one crawl: ``(target pages with market label, refused links, unresolved links)``."""
+    """B2-B8 and extraction for one crawl: ``(raw records of the target pages, refused links, unresolved links)``."""
     rule = "index" if kind == "indices" else "company"
     kept, refused = L.drop_missing_href(links, rule)
     url = (L.index_page_url("href", rules.host, rules.base_lang) if kind == "indices"
            else L.company_page_url("href", rules.host))
     targets = kept.withColumn("target_url", url).filter(L.within_domains("target_url", rules.domains))
     targets = L.dedupe_links(targets)
-    resolved, unresolved = L.resolve_links(targets, pages, url_col="target_url")
-    return resolved, refused, unresolved
-
-
-def stage_records(resolved: DataFrame, kind: str, rules: SiteRules) -> DataFrame:
-    """Extraction, then stage 300 (abbreviation) and stage 400 (typing, reasons)."""
     if kind == "indices":
-        raw = V.abbreviate(E.index_items(resolved, rules.content))
+        extract, market = (lambda found: E.index_items(found, rules.content)), "index_abbreviation"
     else:
-        raw = E.company_items(resolved)
-    staged = V.stage(raw, kind)
+        extract, market = E.company_items, "market_name"
+    raw, unresolved = L.resolve_links(targets, pages, url_col="target_url", extract=extract, market_col=market)
+    return raw, refused, unresolved
+
+
+def stage_records(raw: DataFrame, kind: str) -> DataFrame:
+    """Stage 300 (abbreviation) and stage 400 (typing, reasons) of extracted records."""
+    staged = V.stage(V.abbreviate(raw) if kind == "indices" else raw, kind)
     return staged.withColumn("status", F.when(F.col("reject_reason").isNull(), "valid").otherwise("rejected"))
 
 
@@ -88,8 +88,8 @@ def run_daily(spark: SparkSession, pages: DataFrame | str, seeds, base: str, ds,
         A.union_all(audits).coalesce(1).write.mode("overwrite").parquet(f"{base}/audit/ds={key}/step={step}")
 
     for kind, schema in S.TABLES.items():
-        resolved, refused, unresolved = crawl(links, pages, kind, rules)
-        staged = stage_records(resolved, kind, rules)
+        raw, refused, unresolved = crawl(links, pages, kind, rules)
+        staged = stage_records(raw, kind)
         stage_root = f"{base}/staging/{kind}/ds={key}"
         # Extraction runs once: both sides are read back from the written stage.
         staged.write.mode("overwrite").partitionBy("status").parquet(stage_root)

@@ -1,6 +1,7 @@
 """Plan-shape guarantees the scale design relies on (SURVEY §4, README 'Scale design')."""
 from pyspark.sql import functions as F
 
+from quotemill import schemas as S
 from quotemill.operators import consumer as C
 from quotemill.operators import extract as E
 from quotemill.operators import links as L
@@ -58,6 +59,48 @@ def test_link_page_join_broadcasts_links_and_never_shuffles_html(spark):
     assert joined.count() == 133 and unresolved.count() == 67 + 1
 
 
+def _listing_pages(spark, n):
+    html = F.concat(F.lit(f"<table class='{S.COMPANY_TABLE_CLASS}'><tbody><tr><td class='{S.COMPANY_CELL_CLASSES[0]}'><a>C"),
+                    F.col("id").cast("string"), F.lit("</a></td></tr></tbody></table>"))
+    return spark.range(0, n, 1, 4).select(
+        F.col("id").alias("page_id"), F.concat(F.lit("https://h/p"), F.col("id").cast("string")).alias("url"), html.alias("html"))
+
+
+def test_beyond_the_bound_no_html_is_shuffled(spark, scratch):
+    path = scratch("pages")
+    _listing_pages(spark, 2000).write.parquet(path)
+    pages = spark.read.parquet(path)
+    links = L.dedupe_links(_hot_links(spark, 300))
+    want, missing = L.resolve_links(links, pages, extract=E.company_items, market_col="market_name")
+    got, missing_too = L.resolve_links(links, pages, max_broadcast_rows=5, extract=E.company_items, market_col="market_name")
+    plan = got._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "html" in plan and plan.count("MapInArrow") == 2  # one node, named once in the tree and once below
+    below = plan.split("\n\n")
+    assert any("Exchange" in b for b in below)
+    assert all("html" not in b for b in below if b.lstrip().startswith("(") and "Exchange" in b.split("\n")[0])
+    # The links are read back, not evaluated again.
+    assert "partial_min" not in _physical(got) and "partial_min" not in _physical(missing_too)
+    key = lambda r: (r.page_id, r.row_pos, r.company_name, r.market_name)
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect())) and got.columns == want.columns
+    assert got.count() == 200 and missing.count() == missing_too.count() == 1
+    plain, _ = L.resolve_links(links, pages, max_broadcast_rows=5)
+    assert sorted(r.market for r in plain.collect()) == sorted(r.market_name for r in want.collect())
+    assert plain.columns == ["page_id", "url", "html", "market"]
+
+
+def test_possible_members_keeps_every_member(spark):
+    from quotemill.operators import sizing as Z
+    df = spark.range(0, 40000, 1, 6).select(F.when(F.col("id") != 7, F.concat(F.lit("k"), F.col("id"))).alias("k"), "id")
+    members = df.where("id % 3 = 0").select(F.col("k").alias("m"))
+    for count in (1, 14000, 1 << 40):
+        got = Z.possible_members(df, F.col("k"), members, "m", count)
+        assert got.columns == ["k", "id"] and "Exchange hashpartitioning(k" not in _physical(got)
+        kept = {r.id for r in got.collect()}
+        assert set(range(0, 40000, 3)) <= kept and 7 not in kept
+        assert count == 1 or len(kept) < 13334 + 26666 / 10
+    assert Z.possible_members(df, F.col("k"), members.limit(0), "m", 0).count() == 0
+
+
 def test_extraction_reads_each_page_once_and_filters_stay_above_the_fence(spark):
     pages = spark.createDataFrame([(1, "u", "<h1>x</h1>", "M (A)")], "page_id long, url string, html string, market string")
     staged = V.stage(V.abbreviate(E.index_items(pages)), "indices")
