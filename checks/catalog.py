@@ -379,6 +379,18 @@ def q_dict_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.explode(M.parse_dict_literal("props")).alias("key", "value"))
 
 
+def q_feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, line ends and quotes included, as cells of a CSV feed that is written and read in splits."""
+    text = F.regexp_replace("text", r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    quoted = F.concat(F.lit('"'), text, F.lit('",\n"'), F.col("lang"), F.lit('"'))
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", text.alias("text"), quoted.alias("quoted"))
+    path = scratch_path(spark, "documents-feed")
+    W.write_feed_csv(docs, path)
+    back = RD.read_feed_csv(spark, path, "doc_id string, lang string, quoted string, text string")
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.length("text").alias("n_chars"),
+                       F.md5(F.encode("text", "UTF-8")).alias("text_md5"), F.md5(F.encode("quoted", "UTF-8")).alias("quoted_md5"))
+
+
 def q_feed_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed cells as Python or JSON literals, broken ones refused with the place."""
     k = F.regexp_extract("props", "([0-9]+)", 1)
@@ -600,6 +612,7 @@ QUERIES = {
     "q_reject_split": q_reject_split,
     "q_json_props": q_json_props,
     "q_dict_literal": q_dict_literal,
+    "q_feed_documents": q_feed_documents,
     "q_feed_literals": q_feed_literals,
     "q_strict_load": q_strict_load,
     "q_landed_sizes": q_landed_sizes,

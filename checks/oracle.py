@@ -368,6 +368,11 @@ SELECT event_id, key, value, '{{"' || key || '":"' || value || '"}}' AS entry_js
 DICT_LITERAL = f"""WITH {JSON_ENTRIES}
 SELECT event_id, key, value FROM jv"""
 
+FEED_DOCUMENTS = r"""WITH d AS (
+  SELECT doc_id, lang, nullif(regexp_replace(text, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g'), '') AS text FROM documents)
+SELECT doc_id, lang, CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS text_md5,
+       md5('"' || text || '",' || chr(10) || '"' || lang || '"') AS quoted_md5 FROM d"""
+
 FEED_LITERALS = r"""WITH e AS (SELECT event_id, event_id % 8 AS kind, regexp_extract(props, '[0-9]+') AS k FROM events)
 SELECT event_id,
   CASE kind WHEN 0 THEN '{"k":"' || k || '","ok":"true","note":null}' WHEN 1 THEN '{"k":"' || k || '"}'
@@ -511,6 +516,7 @@ ORACLE = {
     "q_reject_split": REJECT_SPLIT,
     "q_json_props": JSON_PROPS,
     "q_dict_literal": DICT_LITERAL,
+    "q_feed_documents": FEED_DOCUMENTS,
     "q_feed_literals": FEED_LITERALS,
     "q_strict_load": STRICT_LOAD,
     "q_landed_sizes": LANDED_SIZES,

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions import csv_parts
 from ..functions import text as X
-from ..operators.sizing import bounded_count, broadcast_if_small, fence
+from ..operators.sizing import MAX_BROADCAST_BYTES, bounded_count, broadcast_if_small, fence, row_sizes
+from ..session import checkpoint_root
+
+# Tasks get the helper with the job; nothing has to be installed on executors.
+cloudpickle.register_pickle_by_value(csv_parts)
 
 
 def read_pages(spark: SparkSession, path: str, ds=None) -> DataFrame:
@@ -139,9 +145,62 @@ def file_text_stats(spark: SparkSession, path: str) -> DataFrame:
                  F.bool_and(X.is_blank("value")).alias("is_blank")))
 
 
-def read_feed_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV feed with header and quoted cells; every column read as text."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+def csv_records(spark: SparkSession, path: str, max_splits: int = 400_000) -> DataFrame | None:
+    """Records of quoted CSV files as text, ``value, first``, read in parallel however large a file is.
+
+    Lines are read in splits.  Whether a split begins inside quotes, and where the record began that reaches into
+    it, follows from the quotes before: counts a split and running sums over the splits of a file.  Each task
+    then cuts its split into records; a record that reaches over a border is put together from one part a split.
+    ``first`` marks a file's first record.  Order is not kept.  The files are read twice, and a third time if a split
+    begins inside quotes.  None if there are more than ``max_splits`` splits, or over 64 MB of their names.
+    """
+    lines = (spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    counts = lines.groupBy("file", "block").agg(F.sum(quotes).alias("n"), F.sum(quotes % 2).alias("odd"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("n").over(before), F.lit(0)) % 2 == 1
+    splits = counts.select("file", "block", inside.alias("inside"), "odd")
+    # A split wholly inside one record begins none that another could hold the rest of.
+    origin = F.last(F.when(~F.col("inside") | (F.col("odd") > 0), F.col("block")), ignorenulls=True).over(before)
+    checkpoint_root(spark)
+    splits = splits.select("file", "block", F.when(F.col("inside"), origin).alias("begins")).checkpoint()
+    rows, size = row_sizes(splits, max_splits)
+    if rows > max_splits or size > MAX_BROADCAST_BYTES:
+        return None
+    # Scans planned at other times may be split otherwise; a split whose state is unknown fails the job.
+    known = splits.withColumn("known", F.lit(True))
+    unknown = F.raise_error(F.lit("the files were split otherwise while being read")).cast("boolean")
+    parts = (lines.join(F.broadcast(known), ["file", "block"], "left").where(F.coalesce("known", unknown))
+             .select("value", "file", "block", "begins").mapInArrow(csv_parts.records, csv_parts.ROW))
+    whole = parts.where("place in ('first', 'whole')").select("value", (F.col("place") == "first").alias("first"))
+    if splits.where("begins is not null").isEmpty():
+        return whole
+    cut = (parts.where("place in ('first part', 'part')").groupBy("file", "begins")
+           .agg(F.array_sort(F.collect_list(F.struct("block", "value"))).alias("p"),
+                F.bool_or(F.col("place") == "first part").alias("first")))
+    return whole.unionByName(cut.select(F.array_join("p.value", "\n").alias("value"), "first"))
+
+
+def read_feed_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+                  max_splits: int = 400_000) -> DataFrame:
+    """CSV feed with header and quoted cells; every column read as text.
+
+    Files are split (see ``csv_records``), and line ends inside quotes stay.  Cells that hold quotes must be
+    quoted, with quotes doubled, as ``write_feed_csv`` does.  Where ``csv_records`` refuses, each file is read by
+    one task instead.
+    """
+    options = {"header": "true", "multiLine": "true", "escape": '"'}
+    if schema is None:
+        schema = spark.read.options(**options).csv(path).schema
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    records = csv_records(spark, path, max_splits)
+    if records is None:
+        return spark.read.options(**options).schema(schema).csv(path)
+    row = F.from_csv(F.regexp_replace("value", r"\r$", ""), schema_ddl(schema), {"multiLine": "true", "escape": '"'})
+    return records.where("not first").select(row.alias("row")).select("row.*")
+
+
+def schema_ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -1,5 +1,6 @@
 """Writers, readers and audits: G1-G9, A3-A8, F8, H1 invariants."""
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +82,44 @@ def test_feed_csv_roundtrip(spark, scratch):
     assert (back.abbr, back.m, back.t) == ("JSE", '{"1M":"+1.82%"}', 'a,b "q"')
 
 
+CELLS = ["plain", "a,b \"q\"", "two\nlines", "\n", "", None, "\"", "\"\"\n\"x", "é\r\nü,\n\n\n", "long\n" * 120 + "end", "x" * 500]
+
+
+@pytest.mark.parametrize("split", ["200", "2k", "1m"])
+def test_csv_is_read_in_splits(spark, scratch, split):
+    path = scratch("feed")
+    rows = [(f"k{i:04d}", CELLS[(i * i + i // 7) % len(CELLS)], f"t{i}") for i in range(66)]
+    (spark.createDataFrame(rows, "a string, b string, c string").coalesce(2).write.option("header", True)
+     .options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        back = R.read_feed_csv(spark, path, "a string, b string, c string")
+        # Spark reads an empty cell as null, quoted or not.
+        assert sorted(map(tuple, back.collect())) == [(a, b or None, c) for a, b, c in rows]
+        assert spark.read.text(path).rdd.getNumPartitions() > {"200": 30, "2k": 3, "1m": 0}[split]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_csv_edges(spark, scratch):
+    path = scratch("edges")
+    os.makedirs(path)
+    with open(f"{path}/a.csv", "w", newline="") as f:
+        f.write('\r\n"h\r\n1",h2\r\n"x\r\ny",1\r\n\r\n ,2\r\nz\r\n')
+    with open(f"{path}/b.csv", "w", newline="") as f:
+        f.write('h1,h2')
+    open(f"{path}/c.csv", "w").close()
+    back = R.read_feed_csv(spark, path, "p string, q string")
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, back.collect()), key=key) == sorted([("x\r\ny", "1"), (" ", "2"), ("z", None)], key=key)
+    assert sorted(map(tuple, R.read_feed_csv(spark, path, "p string, q string", max_splits=0).collect()), key=key) \
+        == sorted(map(tuple, back.collect()), key=key)
+    assert R.read_feed_csv(spark, f"{path}/b.csv").columns == ["h1", "h2"]
+
+
 def test_row_counts(spark):
     a, b = spark.range(3), spark.range(5)
     assert sorted(tuple(r) for r in A.row_counts(a=a, b=b).collect()) == [("a", 3), ("b", 5)]
