@@ -115,8 +115,10 @@ def test_csv_edges(spark, scratch):
     back = R.read_feed_csv(spark, path, "p string, q string")
     key = lambda r: tuple(map(str, r))
     assert sorted(map(tuple, back.collect()), key=key) == sorted([("x\r\ny", "1"), (" ", "2"), ("z", None)], key=key)
-    assert sorted(map(tuple, R.read_feed_csv(spark, path, "p string, q string", max_splits=0).collect()), key=key) \
-        == sorted(map(tuple, back.collect()), key=key)
+    with open(f"{path}/b.csv", "w") as f:
+        f.write('h1,h2\n"x\n\ny",1\n\n,2\n"z ""\nq"\n')
+    split, whole = (R.read_feed_csv(spark, f"{path}/b.csv", "p string, q string", max_splits=n) for n in (1, 0))
+    assert sorted(map(tuple, split.collect()), key=key) == sorted(map(tuple, whole.collect()), key=key) and whole.count() == 3
     assert R.read_feed_csv(spark, f"{path}/b.csv").columns == ["h1", "h2"]
 
 
