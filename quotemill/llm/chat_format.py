@@ -4,7 +4,7 @@ A chosen and a rejected conversation share their first turns.  The longest commo
 prefix is rendered once as the prompt; what follows on either side is rendered as
 that side's completion, masked so that only assistant turns are trained on.
 
-Conversations stay tables of turns: the two sides meet in a join on
+Conversations stay tables of turns: the two sides meet in one aggregation by
 (pair, turn, role, text), and the first turn at which they differ is a partially
 aggregated minimum.  No conversation is gathered into one value, so one that
 holds a third of all turns is as well spread as any other.
@@ -42,16 +42,10 @@ def preference_segments(chosen: DataFrame, rejected: DataFrame, trained_role: st
     give an empty result.
     """
     cols = ["pair_id", "turn", "role", "text"]
-    one = chosen.select(*cols).groupBy(*cols).agg(F.count("*").alias("c"))
-    two = rejected.select(*[F.col(c).alias("r_" + c) for c in cols]).groupBy(
-        *["r_" + c for c in cols]).agg(F.count("*").alias("r"))
-    same = F.lit(True)
-    for c in cols:
-        same = same & F.col(c).eqNullSafe(F.col("r_" + c))
-    # One row per different turn, with how often each side has it.
-    met = one.join(two, same, "full_outer")
-    turns = met.select(*[F.when(F.col("c").isNotNull(), F.col(c)).otherwise(F.col("r_" + c)).alias(c) for c in cols],
-                       F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("r", F.lit(0)).alias("r"))
+    # One row per different turn, with how often each side has it: both sides go through one aggregation.
+    one = chosen.select(*cols, F.lit(1).alias("c"), F.lit(0).alias("r"))
+    two = rejected.select(*cols, F.lit(0).alias("c"), F.lit(1).alias("r"))
+    turns = one.unionByName(two).groupBy(*cols).agg(F.sum("c").alias("c"), F.sum("r").alias("r"))
     at = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn"))
     turns = turns.withColumn("at", at)
     parts = turns.groupBy(F.col("pair_id").alias("p")).agg(F.min(F.when(F.col("c") != F.col("r"), F.col("at"))).alias("first"))
