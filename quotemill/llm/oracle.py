@@ -70,7 +70,8 @@ u AS (
   SELECT page_id, url, html, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*(\?[^#]*)?', 1) AS q
   FROM (SELECT page_id, url, html, coalesce(rest, '') AS rest FROM p)),
-a AS (SELECT *, CASE WHEN host <> '' THEN host || CASE WHEN path = '' THEN '/' ELSE path END || q END AS node FROM u),
+seen AS (SELECT * REPLACE (regexp_replace(html, '(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\b|\z)|<style\b.*?(?:</style\b|\z)', ' ', 'g') AS html) FROM u),
+a AS (SELECT *, CASE WHEN host <> '' THEN host || CASE WHEN path = '' THEN '/' ELSE path END || q END AS node FROM seen),
 tag AS (
   SELECT a.*, unnest(list_concat(
     list_filter(regexp_extract_all(html, '(?i)<link\s[^<>]*>'), lambda x: regexp_matches(x, '(?i)\srel\s*=\s*["'']?[^"''>]*\bcanonical\b')),

@@ -65,8 +65,11 @@ def _with_rule(df: DataFrame, rules) -> DataFrame:
     return df.withColumns({"rule": name if rules else null, "own": own if rules else null})
 
 
-_LINK = r"(?i)<link\s[^<>]*>"
-_META = r"(?i)<meta\s[^<>]*>"
+#: What a browser takes no tags from: comments, scripts and styles, to the end of the page where one stays open.
+_UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\b|\z)|<style\b.*?(?:</style\b|\z)"
+_TAG = r"(?i)<(?:link|meta)\s[^<>]*>"
+_CANONICAL = r"""(?i)\srel\s*=\s*["']?[^"'>]*\bcanonical\b"""
+_REFRESH = r"""(?i)http-equiv\s*=\s*["']?refresh\b"""
 _HREF = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 _TO = r"""(?i)\scontent\s*=\s*["']?\s*[\d.]+\s*[;,]\s*url\s*=\s*["']?([^"'>\s]+)"""
 
@@ -86,14 +89,14 @@ def _resolve(link: Column) -> Column:
 def equivalence_links(pages: DataFrame) -> DataFrame:
     """``(url, html)`` -> distinct ``(a, b)``: a page's address and where it redirects or is canonical.
 
-    Reads ``<link rel=canonical>`` and ``<meta http-equiv=refresh>``.  Rows
+    Reads ``<link rel=canonical>`` and ``<meta http-equiv=refresh>`` outside comments, scripts and styles.  Rows
     with a null URL or null HTML give no link.
     """
-    canonical = F.filter(F.regexp_extract_all("html", F.lit(_LINK), 0),
-                         lambda t: t.rlike(r"""(?i)\srel\s*=\s*["']?[^"'>]*\bcanonical\b"""))
-    refresh = F.filter(F.regexp_extract_all("html", F.lit(_META), 0),
-                       lambda t: t.rlike(r"""(?i)http-equiv\s*=\s*["']?refresh\b"""))
-    tags = pages.select("url", F.explode(F.concat(canonical, refresh)).alias("tag"))
+    # Most pages name neither and are not searched for comments.
+    told = F.col("html").rlike(r"""(?i)\bcanonical\b|http-equiv\s*=\s*["']?refresh\b""")
+    found = F.regexp_extract_all(F.when(told, F.regexp_replace("html", _UNSEEN, " ")), F.lit(_TAG), 0)
+    links = F.filter(found, lambda t: F.when(F.lower(t).startswith("<link"), t.rlike(_CANONICAL)).otherwise(t.rlike(_REFRESH)))
+    tags = pages.select("url", F.explode(links).alias("tag"))
     href = F.concat(*[F.coalesce(F.regexp_extract("tag", _HREF, i), F.lit("")) for i in (1, 2, 3)])
     link = F.when(F.lower("tag").startswith("<link"), href).otherwise(F.regexp_extract("tag", _TO, 1))
     # Few rows, written between the steps: filters below would otherwise be pushed down as

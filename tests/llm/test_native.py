@@ -41,6 +41,11 @@ PAGES = [
     (2, "http://a.example.net/q?x=1&y=2", None),
     (11, "https://xorg/", None),
     (12, "https://m.example.net/1", "<link rel=canonical href='https://z.example.com/de/7'>"),
+    (14, "https://n.example.net/1", "<!-- <link rel=canonical href=http://z.com/de/1> --><script>var a = \"<link rel=canonical "
+     "href='http://z.com/de/1'>\"</script><STYLE>\n<link rel=canonical href=http://z.com/de/1></STYLE>"
+     "<!-- <script> --><link rel=canonical href=/2><!-- open <link rel=canonical href=http://z.com/de/1>"),
+    (15, "https://n.example.net/2", "<script><!--</script><link rel=canonical href='http://z.com/de/2'><style>"),
+    (16, "https://n.example.net/3", "<script src=a>\n<link rel=canonical href=http://z.com/de/1>"),
     (13, "https://m.example.net/2", "<link rel=canonical href='1'><link rel=canonical href='http://k.org/'>"),
 ]
 
@@ -53,6 +58,8 @@ def test_url_verdicts(spark):
             5: ("c.example.com", "/de/1", "com/de/", "block"), 6: ("example.org", "/en/12", "example.org/en/1", "block"),
             7: ("", "", None, "allow"), 8: ("", "", None, "allow"), 9: ("org", "/", "org/", "allow"),
             10: ("org", "", None, "allow"), -1: ("u", "/", None, "allow"), 11: ("xorg", "/", None, "allow"),
+            14: ("n.example.net", "/1", None, "block"), 15: ("n.example.net", "/2", None, "block"),
+            16: ("n.example.net", "/3", None, "allow"),
             # 12 and 13 share a class with a blocked and an explicitly allowed address.
             12: ("m.example.net", "/1", None, "allow"), 13: ("m.example.net", "/2", None, "allow")}
     assert len(got) == len(PAGES)
