@@ -8,9 +8,10 @@ phrase that reaches the threshold, because its subphrases reach it too.
 
 What a task must know about subphrases is the scan in which they reached the threshold.  It gets a table of one
 byte for each of SLOTS hash values: the first scan after which any phrase of that hash had reached it.  An entry
-is never changed once set, so a phrase's first scan follows from the table alone and is the same whenever it is
-asked.  Phrases that share a slot or a key of KEY_BITS only make others active too early, which costs work and
-changes no count: a slot is set if any of its phrases reached the threshold, and what is returned is counted by text.
+is never changed once set, so a phrase's first scan follows from the tables alone and is the same whenever it is
+asked.  Phrases that share a slot or a key of KEY_BITS make others active that never reach the threshold, which costs
+work and changes no count: a slot is set if any of its phrases reached the threshold, no phrase begins before its
+subphrases have begun, whatever set their slots, and what is returned is counted by text.
 
 The corpus is cut into words once: a shard holds batches, each with its distinct words and the places of each in
 the texts as numbers.  Most phrases never reach the threshold.  A scan writes the counts of each batch twice: as
@@ -97,13 +98,14 @@ def _counted(codes: np.ndarray, words: list[bytes], lang: bytes, scan: int, shar
     hash_of = _word_hashes(words)
     if scan < shards:
         yield 0, np.arange(len(words))[:, None], _keys(hash_of, lang), np.bincount(codes[place], minlength=len(words))
-    hashes = hash_of[codes[place]]
+    hashes, starts = hash_of[codes[place]], np.zeros(len(place), np.int64)
     for n in range(2, longest + 1):
         # Occurrences of n - 1 words that reached the threshold; two that start one place apart make one of n words.
+        # Another phrase may have set a slot before its own phrase's first scan; none reaches before that scan.
         table = firsts[n - 2]
         reached = table[_keys(hashes, lang) % len(table)]
         live = reached != UNSET
-        place, hashes, reached = place[live], hashes[live], reached[live].astype(np.int64)
+        place, hashes, reached = place[live], hashes[live], np.maximum(reached[live], starts[live])
         left = np.flatnonzero(np.diff(place) == 1)
         starts = np.maximum(reached[left], reached[left + 1]) + 1
         place = place[left]
@@ -116,6 +118,17 @@ def _counted(codes: np.ndarray, words: list[bytes], lang: bytes, scan: int, shar
             yield first, phrases[one], _keys(hashes[here[one]], lang), np.bincount(own)
 
 
+def _last_scan(firsts: list[np.ndarray], shards: int) -> int:
+    """The scan in which the last phrase that the tables let begin completes its cycle."""
+    start = 0
+    for table in firsts[:-1]:
+        scans = table[table != UNSET]
+        if not len(scans):
+            break
+        start = max(start, int(scans.max())) + 1
+    return start + shards - 1
+
+
 def _packed(numbers: np.ndarray) -> bytes:
     return zlib.compress(np.ascontiguousarray(numbers).tobytes(), 1)
 
@@ -322,8 +335,7 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, s
             new = _reached(reduce(DataFrame.unionByName, open_), least, slots)
             new = new[firsts[n - 1][new] == UNSET]
             firsts[n - 1][new] = scan
-            if len(new):
-                last = max(last, scan + shards)
+        last = _last_scan(firsts, shards)
         scan += 1
     every = reduce(DataFrame.unionByName, scans)
     firsts[-1][_reached(every.where(F.col("n") == longest), least, slots)] = 0

@@ -122,3 +122,28 @@ def test_keys_and_counts_come_back():
         a, b = C._key_blobs(keys, counts)
         order = np.argsort(keys)
         assert (C._read_keys(a) == keys[order]).all() and (C._read_counts(b) == counts[order]).all()
+
+
+def test_slots_set_by_others_before_the_words_reached(spark):
+    """The last shard's words make phrases whose slots those of the first two shards have set before."""
+    early = [("en", " ".join(f"{a} {b}" for a in "abcdefghABCDEFGHqrst" for b in "ijklmnopuvwxyz"))] * 6
+    late = [("en", "late is it . never is it late")] * 6
+    # One batch a partition: their numbers modulo 3 put them into shards 0, 2 and 1.
+    df = spark.createDataFrame(spark.sparkContext.parallelize(early + late + early, 3), "lang string, text string")
+    phrases, _ = C.phrase_counts(df, 3, 4, 3, 64)
+    want = {k: c for k, c in brute_counts(early + late + early, 3).items() if c >= 4}
+    assert {(r.lang.decode(), r.phrase.decode()): r.f for r in phrases.collect()} == want
+
+
+def test_a_phrase_starts_after_its_words_whatever_set_its_slots():
+    """The slot of "b c" was set in scan 0 by another phrase; its word c reached the threshold in scan 2."""
+    codes, words = C._words([b"a b c"])
+    firsts = [np.full(1 << 12, C.UNSET, np.uint8) for _ in range(2)]
+    slot = C._keys(C._word_hashes(words), b"en") % (1 << 12)
+    firsts[0][slot] = [0, 0, 2]
+    firsts[1][:] = 0
+    got = {(p.tolist()[0][0], p.shape[1], f) for scan in range(9) for f, p, _, _ in C._counted(
+        codes, words, b"en", scan, 3, 3, firsts) if p.shape[1] > 1}
+    assert got == {(0, 2, 1), (1, 2, 3), (0, 3, 4)}
+    seen = [scan for scan in range(9) if any(p.shape[1] == 3 for _, p, _, _ in C._counted(codes, words, b"en", scan, 3, 3, firsts))]
+    assert seen == [4, 5, 6] and C._last_scan([*firsts, firsts[0]], 3) == 6
