@@ -1,8 +1,8 @@
 """Phrase collocation mining by dynamic itemset counting (operator 13).
 
 The corpus is cut into shards that are scanned in a cycle.  Words are counted from the first scan on.  As soon
-as both subphrases of a longer phrase (without its last, without its first word) have reached the threshold,
-the phrase becomes active: it is counted from the next scan on, together with phrases of other lengths, until it
+as a check after a scan finds that both subphrases of a longer phrase (without its last, without its first word) have
+reached the threshold, the phrase becomes active: it is counted from the next scan on, together with phrases of other lengths, until it
 has seen every shard once.  Scans go on until every phrase has completed its cycle.  Counts are exact for every
 phrase that reaches the threshold, because its subphrases reach it too.
 
@@ -42,6 +42,8 @@ SLOTS = 1 << 23
 UNSET = 255
 #: Bits of a phrase's key, and keys that a check sums in one group on average.
 KEY_BITS, GROUP = 40, 1_000_000
+#: Scans from one check to the next: a check reads all scans of phrases that have not completed their cycle.
+EVERY = 2
 #: Phrases of different batches that a task sums before it shuffles them.
 TOGETHER = 1_000_000
 #: Bytes of text that a task works on at once; one longer text is worked on alone.
@@ -149,6 +151,15 @@ def _read_counts(blob: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(blob), "<u4").astype(np.int64)
 
 
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sum of each one's counts."""
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[starts], np.add.reduceat(count, starts) if len(starts) else count
+
+
 def _by_lang(batches, size: int = BATCH):
     """``(lang, texts)`` of about ``size`` bytes each; a longer text comes alone."""
     for batch in batches:
@@ -236,30 +247,38 @@ def _reached(rows: DataFrame, least: int, slots: int) -> np.ndarray:
     many = rows.agg(F.sum("many")).first()[0] or 0
     bits = max(3, (many // GROUP).bit_length())
 
+    def dealt_out(blobs, sums):
+        """One row a group of the keys of some batches, summed; the check needs no count beyond what 32 bits hold."""
+        keys, counts = _summed([_read_keys(b) for b in blobs], [_read_counts(b) for b in sums])
+        counts = np.minimum(counts, 2**32 - 1)
+        group = keys >> (KEY_BITS - bits)
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(keys)]
+        out = [(int(group[a]), *_key_blobs(keys[a:b], counts[a:b])) for a, b in zip(cuts, cuts[1:]) if b > a]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+            list(zip(*out)) or [[]] * 3, (pa.int32(), pa.binary(), pa.binary()))], ["part", "keys", "sums"])
+
     def deal(batches):
+        held, size = [], 0
         for batch in batches:
-            out = []
-            for blob, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                keys, counts = _read_keys(blob), _read_counts(sums)
-                group = keys >> (KEY_BITS - bits)
-                cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(keys)]
-                out += [(int(group[a]), *_key_blobs(keys[a:b], counts[a:b])) for a, b in zip(cuts, cuts[1:]) if b > a]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                list(zip(*out)) or [[]] * 3, (pa.int32(), pa.binary(), pa.binary()))], ["part", "keys", "sums"])
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and size + row[0] > TOGETHER:
+                    yield dealt_out(*list(zip(*held))[1:])
+                    held, size = [], 0
+                held.append(row)
+                size += row[0]
+        if held:
+            yield dealt_out(*list(zip(*held))[1:])
 
     def total(group: pa.Table) -> pa.Table:
-        keys = np.concatenate([_read_keys(b) for b in group["keys"].to_pylist()])
-        counts = np.concatenate([_read_counts(b) for b in group["sums"].to_pylist()])
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        starts = np.flatnonzero(np.diff(keys, prepend=-1))
-        slot = keys[starts[np.add.reduceat(counts, starts) >= least]] % slots
+        keys, counts = _summed(*([read(b) for b in group[c].to_pylist()] for c, read in (
+            ("keys", _read_keys), ("sums", _read_counts))))
+        slot = keys[counts >= least] % slots
         at, own = np.unique(slot >> 6, return_inverse=True)
         word = np.zeros(len(at), np.uint64)
         np.bitwise_or.at(word, own, np.uint64(1) << (slot & 63).astype(np.uint64))
         return pa.table({"at": pa.array(at, pa.int64()), "bits": pa.array(word.view(np.int64), pa.int64())})
 
-    dealt = rows.select("keys", "sums").mapInArrow(deal, "part int, keys binary, sums binary")
+    dealt = rows.select("many", "keys", "sums").mapInArrow(deal, "part int, keys binary, sums binary")
     got = dealt.groupBy("part").applyInArrow(total, "at long, bits long").groupBy("at").agg(
         F.bit_or("bits").alias("bits")).toPandas()
     words = np.zeros(slots // 64, np.uint64)
@@ -325,16 +344,21 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, s
     corpus = spark.read.schema("lang binary, words binary, codes binary, shard long").parquet(path)
     firsts = [np.full(slots, UNSET, np.uint8) for _ in range(longest)]
     scans: list[DataFrame] = []
-    scan, last = 0, shards - 1
+    scan, last, checked = 0, shards - 1, -1
     while scan <= last:
         part = corpus.where(F.col("shard") == scan % shards).select("lang", "words", "codes")
         scans.append(_scan(part, scan, shards, longest, firsts[:-1]))
-        for n in range(1 if scan < shards else 2, longest):
-            # Phrases that have not completed their cycle.  What reached the threshold before is set already.
-            open_ = [s.where((F.col("n") == n) & (F.col("first") > scan - shards)) for s in scans[-shards:]]
+        if scan - checked < EVERY and scan < last:
+            scan += 1
+            continue
+        # Phrases that had not completed their cycle at the last check.  What reached the threshold before is set already.
+        since = checked - shards + 1
+        for n in range(1 if since < 0 else 2, longest):
+            open_ = [s.where((F.col("n") == n) & (F.col("first") > since)) for s in scans[max(0, since + 1):]]
             new = _reached(reduce(DataFrame.unionByName, open_), least, slots)
             new = new[firsts[n - 1][new] == UNSET]
             firsts[n - 1][new] = scan
+        checked = scan
         last = _last_scan(firsts, shards)
         scan += 1
     every = reduce(DataFrame.unionByName, scans)

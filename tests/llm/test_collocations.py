@@ -147,3 +147,20 @@ def test_a_phrase_starts_after_its_words_whatever_set_its_slots():
     assert got == {(0, 2, 1), (1, 2, 3), (0, 3, 4)}
     seen = [scan for scan in range(9) if any(p.shape[1] == 3 for _, p, _, _ in C._counted(codes, words, b"en", scan, 3, 3, firsts))]
     assert seen == [4, 5, 6] and C._last_scan([*firsts, firsts[0]], 3) == 6
+
+
+def test_a_check_after_every_second_scan(spark, monkeypatch):
+    """Scans of open phrases are read by every second check only; the last scan is always followed by one."""
+    rows = [("en", "a b c. a b"), ("de", "x y z")] * 12
+    read, reached = [], C._reached
+    monkeypatch.setattr(C, "_reached", lambda part, *rest: read.append(part.count()) or reached(part, *rest))
+    phrases, _ = C.phrase_counts(spark.createDataFrame(rows, "lang string, text string").coalesce(1), 3, 4, 4, 1 << 12)
+    assert {(r.lang.decode(), r.phrase.decode()): r.f for r in phrases.collect()} == brute_counts(rows, 3)
+    # Words after scans 1 and 3, two words after 1, 3, 5 and on to 11, three words at the end.
+    assert len(read) == 2 + 5 + 1 or len(read) == 2 + 6 + 1
+
+
+def test_sums_of_keys():
+    keys, counts = C._summed([np.array([1, 5, 5]), np.array([0, 5])], [np.array([2, 3, 4]), np.array([7, 2**32])])
+    assert keys.tolist() == [0, 1, 5] and counts.tolist() == [7, 2, 7 + 2**32]
+    assert len(C._summed([np.zeros(0, np.int64)], [np.zeros(0, np.int64)])[0]) == 0
