@@ -143,3 +143,43 @@ def test_blocks_find_the_links_of_a_shared_template(spark):
     assert len({c for i, (_, c, _) in want.items() if i < 80}) == 40
     got = run(spark, rows, small=4, deepest=0, block=8)
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == want
+
+
+def _template(n):
+    rng = random.Random(5)
+    base = [f"t{rng.randrange(5000)}" for _ in range(120)]
+    return [" ".join(base[:102] + [f"own{i}x{j}" for j in range(18)]) for i in range(n)]
+
+
+def test_a_node_gives_one_row_for_each_close_set():
+    n = 60
+    h, sizes = M.shingle_sets(_template(n))
+    sketch = np.hstack([(M.sketches(h, sizes) >> np.uint64(56)).astype(np.uint8), M.binned(h, sizes)])
+    rep = np.arange(10, 10 + n)
+    got = M._within(np.full(n, 3), rep, rep, np.full(n, -1), sketch, M.AGREE, 0.75)
+    assert sorted(got["rep"]) == rep.tolist()
+    assert set(got["root"]) == {10}
+
+
+def test_rows_hang_on_the_least_they_are_connected_to():
+    x, y = np.array([8, 5, 2, 7, 3]), np.array([9, 8, 5, 3, 1])
+    assert M._least_linked(10, x, y).tolist() == [0, 1, 2, 1, 4, 2, 6, 1, 2, 2]
+
+
+def test_links_on_full_sets_against_plain_ones(monkeypatch):
+    texts = [t for _, t in corpus(6) if plain_set(t)][:150]
+    h, sizes = M.shingle_sets(texts)
+    sets = [h[e - n:e] for e, n in zip(np.cumsum(sizes), sizes)]
+    rep = np.arange(len(sets)) * 2
+    for cells in (M.CELLS, 1000):
+        monkeypatch.setattr(M, "CELLS", cells)
+        got = M._links_within(rep, rep, np.full(len(sets), -1), sets, 75)
+        label = dict(zip(got["b"], got["a"]))
+        assert [label.get(i, i) for i in rep.tolist()] == [c for _, c, _ in brute(list(zip(rep.tolist(), texts))).values()]
+
+
+def test_clusters_whole_in_blocks_and_by_node_find_the_same(spark):
+    rows = corpus(11) + [(10_000 + i, t + (" end" if i % 3 else "")) for i, t in enumerate(_template(30) * 2)]
+    want = brute(rows)
+    for how in ({"block": 8}, {"block": 8, "many": 0}):
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in run(spark, rows, **how)} == want, how
