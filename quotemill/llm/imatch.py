@@ -12,6 +12,7 @@ only to texts of the same terms.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -27,6 +28,8 @@ LEAST, MOST = 1 / 5000, 1 / 10
 #: Randomised subsets: chance of a term to be in one, and how many subsets have it.
 DENSITIES = ((1 / 4, 8), (1 / 16, 16), (1 / 64, 16), (1 / 256, 16), (1 / 1024, 16))
 SEED = 7
+#: Parts that terms are counted in, at least, and rows of the corpus for each part beyond.
+PARTS, PART_ROWS = 64, 10_000
 EMPTY = "----"
 
 # ASCII other than letters and digits parts terms; A-Z are lower-cased.  Other bytes are kept.
@@ -37,25 +40,45 @@ def terms(text: str) -> set[bytes]:
     return set(text.encode("utf-8", "surrogatepass").translate(_TERMS).split())
 
 
-def _document_counts(frames):
-    counts = Counter()
-    for frame in frames:
-        for text in frame["text"]:
-            if text:
-                counts.update(terms(text))
-            if len(counts) > 1_000_000:
-                yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
-                counts = Counter()
-    yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
+def _parted(counts: Counter, parts: int) -> pd.DataFrame:
+    """One row for each part of the terms, which lie sorted and compressed in it, with their counts in that order."""
+    held: dict[int, list[bytes]] = {}
+    for term in sorted(counts):
+        held.setdefault(zlib.crc32(term) % parts, []).append(term)
+    return pd.DataFrame({"part": list(held), "terms": [zlib.compress(b" ".join(t), 1) for t in held.values()],
+                         "n": [zlib.compress(np.array([counts[w] for w in t], "<u4").tobytes(), 1) for t in held.values()]})
 
 
 def lexicon(docs: DataFrame, least: float = LEAST, most: float = MOST) -> list[bytes]:
-    """Sorted terms whose document frequency, over all rows, lies in the band."""
+    """Sorted terms whose document frequency, over all rows, lies in the band.
+
+    Terms are dealt to parts by their hash; their number grows with the rows, so that a part stays small.
+    """
     ship(docs.sparkSession)
     total = docs.count()
-    counts = docs.select("text").mapInPandas(_document_counts, "term binary, n long").groupBy("term").agg(
-        F.sum("n").alias("n"))
-    band = counts.where((F.col("n") >= least * total) & (F.col("n") <= most * total)).select("term")
+    parts = max(PARTS, total // PART_ROWS)
+
+    def document_counts(frames):
+        counts = Counter()
+        for frame in frames:
+            for text in frame["text"]:
+                if text:
+                    counts.update(terms(text))
+                if len(counts) > 1_000_000:
+                    yield _parted(counts, parts)
+                    counts = Counter()
+        yield _parted(counts, parts)
+
+    def in_band(group: pd.DataFrame) -> pd.DataFrame:
+        counts = Counter()
+        for packed, n in zip(group["terms"], group["n"]):
+            own = np.frombuffer(zlib.decompress(n), "<u4").tolist()
+            for term, k in zip(zlib.decompress(packed).split(b" "), own):
+                counts[term] += k
+        return pd.DataFrame({"term": [w for w, n in counts.items() if least * total <= n <= most * total]}, dtype=object)
+
+    band = docs.select("text").mapInPandas(document_counts, "part int, terms binary, n binary").groupBy(
+        "part").applyInPandas(in_band, "term binary")
     return sorted(bytes(r.term) for r in band.toLocalIterator())
 
 

@@ -1,6 +1,7 @@
 """Operator 1 against a plain re-computation."""
 
 import hashlib
+import zlib
 
 from quotemill.llm import imatch, queries
 from tests.conftest import SF_SMALL
@@ -78,3 +79,19 @@ def test_small_table_has_no_lexicon(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert imatch.lexicon(df) == []
     assert [r.near_next for r in imatch.fingerprint_edits(df).collect()] == [0.0] * 4
+
+
+def test_counts_are_packed_by_parts(spark, monkeypatch):
+    counts = {b"t%d" % i: i + 1 for i in range(500)}
+    got = imatch._parted(counts, 8)
+    assert sorted(got["part"]) == list(range(8))
+    back = {}
+    for packed, n in zip(got["terms"], got["n"]):
+        back.update(zip(zlib.decompress(packed).split(b" "), memoryview(zlib.decompress(n)).cast("I").tolist()))
+    assert back == counts
+    df = spark.createDataFrame([(f"all w{i % 7} own{i}",) for i in range(60)], "text string").repartition(5)
+    want = sorted([b"all", *(b"w%d" % i for i in range(7))])
+    for parts, rows in ((1, 10**6), (64, 1)):
+        monkeypatch.setattr(imatch, "PARTS", parts)
+        monkeypatch.setattr(imatch, "PART_ROWS", rows)
+        assert imatch.lexicon(df, 2 / 60, 1.0) == want
