@@ -183,3 +183,30 @@ def test_clusters_whole_in_blocks_and_by_node_find_the_same(spark):
     want = brute(rows)
     for how in ({"block": 8}, {"block": 8, "many": 0}):
         assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in run(spark, rows, **how)} == want, how
+
+
+def test_sets_that_hang_together_are_compared_once_not_in_every_node(spark, monkeypatch):
+    rows, made, kept = list(enumerate(_template(240))), [], M.staged
+
+    def counted(df, name):
+        out = kept(df, name)
+        if name == "dup-close":
+            made.append(out.count())
+        return out
+    monkeypatch.setattr(M, "staged", counted)
+    got = run(spark, rows, small=4, deepest=1, block=8)
+    assert {r.doc_id: r.component_id for r in got} == {i: i for i, _ in rows}
+    assert sum(made) < 10 * len(rows)
+
+
+def test_later_nodes_leave_out_what_hangs_together():
+    n = 60
+    h, sizes = M.shingle_sets(_template(n))
+    sketch = np.hstack([(M.sketches(h, sizes) >> np.uint64(56)).astype(np.uint8), M.binned(h, sizes)])
+    rep = np.arange(10, 10 + n)
+    args = np.repeat([3, 4], n), np.tile(rep, 2), np.tile(rep, 2), np.full(2 * n, -1), np.tile(sketch, (2, 1))
+    got = M._within(*args, M.AGREE, 0.75)
+    assert got["rep"].tolist() == rep.tolist() and set(got["root"]) == {10}
+    assert M._within(*args, M.AGREE, 0.75, np.tile(rep // 100, 2)).empty
+    got = M._within(*args, M.AGREE, 0.75, np.tile(np.where(rep < 40, 10, rep), 2))
+    assert set(got["root"]) == {10}
