@@ -90,7 +90,7 @@ def company_market(nation_key: Column, nation_name: Column, block: Column) -> tu
 
 def company_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rendered ``<tr>`` per customer, with its market keys."""
-    c = _read(spark, sf_dir, "customer")
+    c = _spread(_read(spark, sf_dir, "customer"))
     n = _read(spark, sf_dir, "nation")
     k = F.col("c_custkey")
     name = F.when(k % 2 == 1, F.concat(F.col("c_name"), F.lit(" &amp; Co"))).otherwise(F.col("c_name"))

@@ -107,6 +107,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+#: Parts a core that ``dealt`` makes.
+PARTS_A_CORE = 2
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Deal rows out evenly over the cores, for CPU-heavy work on rows that a filter or a join has picked.
+
+    The picked rows can lie in few of the input's files, whose tasks would then do all the work while the others
+    find nothing to do; that stays so however many files there are.
+    """
+    return df.repartition(PARTS_A_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def fence(df: DataFrame) -> DataFrame:
     """Keep later filters from re-running the projections that built ``df``.
 

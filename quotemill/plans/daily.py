@@ -29,6 +29,7 @@ from ..operators import audit as A
 from ..operators import extract as E
 from ..operators import links as L
 from ..operators import validate as V
+from ..operators.sizing import dealt
 from ..sinks import writers as W
 from ..sources import readers as R
 
@@ -79,7 +80,7 @@ def run_daily(spark: SparkSession, pages: DataFrame | str, seeds, base: str, ds,
     key = R.ds_key(ds)
     if isinstance(pages, str):
         pages = R.read_pages(spark, pages, ds)
-    seed = R.seed_pages(pages, seeds)
+    seed = dealt(R.seed_pages(pages, seeds))
     L.extract_links(seed, rules.menu_tag, rules.menu_class, rules.link_class, inside=rules.menu_path) \
      .write.mode("overwrite").parquet(f"{base}/links/ds={key}")
     links = spark.read.parquet(f"{base}/links/ds={key}")

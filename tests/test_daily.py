@@ -56,3 +56,23 @@ def test_run_daily_reads_the_pages_of_its_date(spark, scratch, monkeypatch):
         pass
     assert [r.page_id for r in read[0].collect()] == [2]
     assert "PartitionFilters: [isnotnull(ds" in read[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_file_of_the_archive_holds_pages_of_both_kinds(spark, monkeypatch):
+    from checks import catalog as C
+    seen = {}
+
+    def stop(spark, pages, *args):
+        found = pages.where("page_id % 10 > 0").groupBy(F.input_file_name()).agg(F.countDistinct(F.expr("page_id % 10")).alias("kinds"))
+        seen["kinds"] = [r.kinds for r in found.collect()]
+        return spark.createDataFrame([], "check string")
+    monkeypatch.setattr(C.D, "run_daily", stop)
+    C.q_run_daily(spark, SF_SMALL)
+    assert set(seen["kinds"]) == {2}
+
+
+def test_dealt_rows_lie_evenly(spark):
+    from quotemill.operators.sizing import dealt
+    rows = dealt(spark.range(0, 4000, 1, 8).where("id < 500"))
+    held = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(held) > 1 and max(held) < 2 * 500 / len(held)
