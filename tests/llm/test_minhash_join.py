@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from quotemill.llm import minhash_join as M
 
@@ -210,3 +211,13 @@ def test_later_nodes_leave_out_what_hangs_together():
     assert M._within(*args, M.AGREE, 0.75, np.tile(rep // 100, 2)).empty
     got = M._within(*args, M.AGREE, 0.75, np.tile(np.where(rep < 40, 10, rep), 2))
     assert set(got["root"]) == {10}
+
+
+def test_only_wanted_sketches_go_on(spark):
+    """Sets that need no further comparison do not enter the joins with their sketches."""
+    sketch = spark.range(5000).select(F.col("id").alias("rep"), F.encode(F.col("id").cast("string"), "UTF-8").alias("sketch"))
+    wanted = spark.createDataFrame([(3,), (77,), (77,), (4999,)], "rep long")
+    got = {r.rep: bytes(r.sketch) for r in M._sketches_of(wanted, sketch).collect()}
+    assert {r: got.get(r) for r in (3, 77, 4999)} == {3: b"3", 77: b"77", 4999: b"4999"}
+    assert len(got) < 20
+    assert M._sketches_of(wanted.limit(0), sketch).count() == 0

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from quotemill.llm import chat_format, mixing, url_filter
 from quotemill.llm.graph import components
 
@@ -167,3 +169,28 @@ def test_swapped_answers(spark):
     assert got == {(0, 0): "u", (0, 1): "a1", (1, 0): "a0", (1, 1): "v", (4, 0): "alone", (6, 0): "none",
                    (7, 0): "a7", (None, 0): None}
     assert chat_format.preference_segments(*chat_format.swapped_answers(df.limit(0))).count() == 0
+
+
+def test_rounds_are_written_in_few_files(spark, monkeypatch):
+    """Whatever the number of shuffle partitions, a round's links lie in a few files a core."""
+    from quotemill.llm import graph
+
+    files, write = [], graph.staged
+
+    def noted(df, name):
+        out = write(df, name)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(graph, "staged", noted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        links = spark.range(1, 400).select(F.col("id").alias("a"), (F.col("id") - F.col("id") % 40).alias("b"))
+        got = {r.node: r.component for r in graph.components(links).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i - i % 40 for i in range(400)}
+    assert max(files) <= 2 * spark.sparkContext.defaultParallelism < 97
